@@ -1,77 +1,97 @@
-"""Exact medians by distributed selection.
+"""Exact order statistics by distributed selection.
 
 ``median`` and ``percentile`` gather every distinct value of a column in one
-task. Here a sketch first names a narrow bracket around the middle; the second
-pass counts what lies below it and keeps only values inside it.
+task. Here a sketch first names a narrow bracket around the wanted rank; the next
+passes count what lies below it and keep only values inside it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SKETCH_ACCURACY = 10_000
-# Rank error allowed for when the bracket is drawn; the sketch promises 1/accuracy.
+# Twice the rank error the sketch allows, on either side of the wanted rank.
 BRACKET_SLACK = 2.0 / SKETCH_ACCURACY
 BRACKET_VALUES = 500_000
 
-
-def _brackets(df: DataFrame, cols: Sequence[str], ranges: dict) -> dict:
-    """Count and (low, high) values that enclose the middle of each column."""
-    aggs = []
-    for c in cols:
-        inside = F.col(c)
-        if c in ranges:
-            lo, hi, _, _ = ranges[c]
-            inside = F.when(F.col(c).between(lo, hi), F.col(c))
-        aggs.append(F.count(inside).alias(f"n_{c}"))
-        target = 0.5 if c not in ranges else ranges[c][3]
-        probes = [max(0.0, target - BRACKET_SLACK), min(1.0, target + BRACKET_SLACK)]
-        aggs.append(
-            F.percentile_approx(inside, F.array(*[F.lit(p) for p in probes]), SKETCH_ACCURACY).alias(f"q_{c}")
-        )
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n_{c}"], row[f"q_{c}"]) for c in cols}
+Bounds = dict[str, tuple]
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """Median of each numeric column; nulls and NaN do not count, a middle pair is averaged.
 
     All columns share the scans. Columns of at most ``BRACKET_VALUES`` values take
-    two, longer ones three, plus one for each time a bracket must be narrowed.
+    two, longer ones three, plus two for each time a bracket must be narrowed.
     """
     cols = list(dict.fromkeys(cols))
-    value = lambda c: F.col(c).cast("double")
+    value = lambda c: F.col(f"`{c}`").cast("double")
     typed = df.select(*[F.when(~F.isnan(value(c)), value(c)).alias(c) for c in cols])
-    first = _brackets(typed, cols, {})
-    total = {c: n for c, (n, _) in first.items()}
+    total, bounds = _sketch(typed, {c: 0.5 for c in cols}, {})
     out: dict[str, float | None] = {c: None for c in cols if total[c] == 0}
     short = [c for c in cols if 0 < total[c] <= BRACKET_VALUES]
     if short:
         row = typed.agg(*[F.median(c).alias(c) for c in short]).first()
         out.update({c: row[c] for c in short})
-    bounds = {c: (q[0], q[1]) for c, (n, q) in first.items() if n > BRACKET_VALUES}
-    todo = list(bounds)
+    longer = [c for c in cols if total[c] > BRACKET_VALUES]
+    ranks = {c: {(total[c] - 1) // 2, total[c] // 2} for c in longer}
+    for c, found in _select(typed, ranks, total, {c: bounds[c] for c in longer}).items():
+        out[c] = (found[0] + found[-1]) / 2.0
+    return out
+
+
+def value_at_rank(df: DataFrame, column: str, rank: int, total: int):
+    """The value that stands at ``rank`` (from 0) of ``total`` values in ascending order."""
+    typed = df.select(column).where(F.col(column).isNotNull())
+    _, bounds = _sketch(typed, {column: rank / max(total - 1, 1)}, {})
+    return _select(typed, {column: {rank}}, {column: total}, bounds)[column][0]
+
+
+def _sketch(df: DataFrame, targets: Mapping[str, float], within: Bounds) -> tuple[dict, Bounds]:
+    """Count of values and a (low, high) bracket around a target share of each column."""
+    aggs = []
+    for c, share in targets.items():
+        x = F.when(F.col(c).between(*within[c]), F.col(c)) if c in within else F.col(c)
+        probes = [max(0.0, share - BRACKET_SLACK), min(1.0, share + BRACKET_SLACK)]
+        quantiles = F.percentile_approx(x, F.array(*[F.lit(p) for p in probes]), SKETCH_ACCURACY)
+        aggs += [F.count(x).alias(f"n_{c}"), quantiles.alias(f"q_{c}")]
+    row = df.agg(*aggs).first()
+    return (
+        {c: row[f"n_{c}"] for c in targets},
+        {c: tuple(row[f"q_{c}"]) for c in targets if row[f"n_{c}"]},
+    )
+
+
+def _select(df: DataFrame, ranks: Mapping[str, set[int]], total: Mapping[str, int], bounds: Bounds) -> dict:
+    """Values at the wanted ranks of each column, ascending."""
+    out: dict[str, list] = {}
+    bounds = dict(bounds)
+    todo = list(ranks)
     while todo:
-        counts = _bracket_counts(typed, todo, bounds)
-        narrower = {}
+        counts = _counts(df, todo, bounds)
+        for c in todo:
+            below, inside = counts[c]
+            if below > min(ranks[c]) or below + inside <= max(ranks[c]):
+                raise RuntimeError(f"the sketch of {c} missed the wanted rank")
         wide = [c for c in todo if counts[c][1] > BRACKET_VALUES and bounds[c][0] < bounds[c][1]]
+        narrower: Bounds = {}
         if wide:
-            found = _narrow(typed, wide, bounds, counts, total)
+            targets = {c: (min(ranks[c]) - counts[c][0]) / (counts[c][1] - 1) for c in wide}
+            _, found = _sketch(df, targets, bounds)
             # A bracket that stays as it was is held open by ties: few values, many rows.
             narrower = {c: b for c, b in found.items() if b != bounds[c]}
         ready = [c for c in todo if c not in narrower]
         if ready:
-            out.update(_select(typed, ready, bounds, counts, total))
+            out.update(_pick(df, ready, ranks, bounds, counts))
         bounds.update(narrower)
         todo = list(narrower)
     return out
 
 
-def _bracket_counts(df: DataFrame, cols: Sequence[str], bounds: dict) -> dict:
+def _counts(df: DataFrame, cols: Sequence[str], bounds: Bounds) -> dict[str, tuple[int, int]]:
     """Rows below each bracket and rows inside it."""
     aggs = []
     for c in cols:
@@ -82,45 +102,15 @@ def _bracket_counts(df: DataFrame, cols: Sequence[str], bounds: dict) -> dict:
     return {c: (row[f"b_{c}"], row[f"i_{c}"]) for c in cols}
 
 
-def _narrow(df: DataFrame, cols: Sequence[str], bounds: dict, counts: dict, total: dict) -> dict:
-    ranges = {}
-    for c in cols:
-        below, inside = counts[c]
-        middle = (total[c] - 1) / 2
-        ranges[c] = (*bounds[c], inside, (middle - below) / max(inside - 1, 1))
-    found = _brackets(df, cols, ranges)
-    return {c: (q[0], q[1]) for c, (_, q) in found.items()}
-
-
-def _select(df: DataFrame, cols: Sequence[str], bounds: dict, counts: dict, total: dict) -> dict:
-    """Pick the middle value or pair out of each bracket."""
-    keep = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("name"),
-                F.when(F.col(c).between(*bounds[c]), F.col(c)).alias("value"),
-            )
-            for c in cols
-        ]
-    )
-    values = (
-        df.select(F.inline(keep))
-        .where(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    upto = F.sum("n").over(W.partitionBy("name").orderBy("value"))
-    ranked = values.withColumn("upto", upto)
-    picks = None
-    for c in cols:
-        below = counts[c][0]
-        for rank in {(total[c] - 1) // 2, total[c] // 2}:
-            wanted = rank - below
-            hit = (F.col("name") == c) & (F.col("upto") > wanted) & (F.col("upto") - F.col("n") <= wanted)
-            picks = hit if picks is None else picks | hit
-    rows = ranked.where(picks).select("name", "value").collect()
+def _pick(df: DataFrame, cols: Sequence[str], ranks, bounds: Bounds, counts) -> dict[str, list]:
+    """Read the wanted ranks off the values inside the brackets, counted once each."""
     out = {}
     for c in cols:
-        mid = sorted(r["value"] for r in rows if r["name"] == c)
-        out[c] = (mid[0] + mid[-1]) / 2.0
+        values = df.where(F.col(c).between(*bounds[c])).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        # One task, but over the distinct values of one narrow bracket.
+        upto = F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("value"))
+        wanted = F.array(*[F.lit(r - counts[c][0]) for r in sorted(ranks[c])])
+        hit = F.exists(wanted, lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+        rows = values.withColumn("upto", upto).where(hit).select("value").collect()
+        out[c] = sorted(r["value"] for r in rows)
     return out
