@@ -20,9 +20,9 @@ BUCKET_ROWS = 250_000
 MAX_BITS = 16
 
 
-def bucket_bits(n_rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+def bucket_bits(n_rows: int, bucket_rows: int = BUCKET_ROWS, max_bits: int = MAX_BITS) -> int:
     """How many leading bits of a 32-bit draw to use, so that a bucket holds about ``bucket_rows``."""
-    return min(MAX_BITS, max(0, (max(n_rows, 1) - 1) // bucket_rows).bit_length())
+    return min(max_bits, max(0, (max(n_rows, 1) - 1) // bucket_rows).bit_length())
 
 
 def draw_bucket(draw: Column, bits: int) -> Column:
