@@ -136,36 +136,41 @@ def score_points(
     label: str = "label",
     score: str = "score",
     prediction: str | None = None,
+    with_next: bool = False,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Every distinct score of a group with its counts and the counts at or above it.
 
     Columns: ``score``; ``pos`` and ``neg`` at the score; ``cum_pos`` and
-    ``cum_neg`` at or above it; ``n_pos`` and ``n_neg`` of the group; ``next_pos``
-    and ``next_neg`` of the next lower score. With ``prediction`` also ``hits``
-    and ``alarms``, the predicted positives among ``pos`` and ``neg``.
+    ``cum_neg`` at or above it; ``n_pos`` and ``n_neg`` of the group. With
+    ``prediction`` also ``hits`` and ``alarms``, the predicted positives among
+    ``pos`` and ``neg``; ``with_next`` adds ``next_pos`` and ``next_neg`` of the next
+    lower score.
 
     Equal scores collapse on the map side. Running sums go bucket by bucket of
     scores: a task sorts one bucket of one group, never a whole group.
     """
     by = list(by)
     y = F.col(label)
-    aggs = [F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")]
-    carried = []
+    sides = [F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")]
+    flags = []
     if prediction:
         predicted = F.col(prediction) == 1
-        aggs += [F.count_if((y == 1) & predicted).alias("hits"), F.count_if((y == 0) & predicted).alias("alarms")]
-        carried = ["hits", "alarms"]
-    rows = scored.where(F.col(score).isNotNull() & y.isNotNull())
-    bounds = score_bounds(rows, score, bucket_rows)
-    counts = rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(*aggs)
-    down = [F.desc("score")]
+        flags = [F.count_if((y == 1) & predicted).alias("hits"), F.count_if((y == 0) & predicted).alias("alarms")]
+    carried = ["hits", "alarms"] if prediction else []
+    rows = scored.where(F.col(score).isNotNull() & y.isNotNull()).withColumn("score", F.col(score).cast("double"))
+    bounds = score_bounds(rows, "score", bucket_rows)
+    if not by:
+        rows = rows.withColumn("_all", F.lit(0))
+    keys = by or ["_all"]
+    down = F.desc("score")
     if not bounds:
         # Few enough rows in all for one sort per group.
-        group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
-        order = group.orderBy(*down)
+        group = W.partitionBy(*keys)
+        order = group.orderBy(down)
         whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        return counts.select(
+        following = [F.lead(c).over(order).alias(f"next_{c}") for c in ("pos", "neg")] if with_next else []
+        return rows.groupBy(*keys, "score").agg(*sides, *flags).select(
             *by,
             "score",
             "pos",
@@ -175,38 +180,42 @@ def score_points(
             F.sum("neg").over(order).alias("cum_neg"),
             F.sum("pos").over(whole).alias("n_pos"),
             F.sum("neg").over(whole).alias("n_neg"),
-            F.lead("pos").over(order).alias("next_pos"),
-            F.lead("neg").over(order).alias("next_neg"),
+            *following,
         )
-    if not by:
-        counts, by, dropped = counts.withColumn("_all", F.lit(0)), ["_all"], ["_all"]
-    else:
-        dropped = []
-    parts = with_score_bucket(counts, "score", bounds, "bucket")
-    totals = parts.groupBy(*by, "bucket").agg(
-        F.sum("pos").alias("b_pos"),
-        F.sum("neg").alias("b_neg"),
-        F.max_by(F.struct("pos", "neg"), "score").alias("head"),
-    )
-    # A group has at most as many totals as there are buckets.
-    group = W.partitionBy(*by)
+    rows = with_score_bucket(rows, "score", bounds, "bucket")
+    counts = rows.groupBy(*keys, "bucket", "score").agg(*sides, *flags)
+    # Totals straight from the rows: a map-side reduction to a few cells per task, so only
+    # the counts by score are shuffled at length. A group has at most one total per bucket.
+    totals = rows.groupBy(*keys, "bucket").agg(*sides)
+    group = W.partitionBy(*keys)
     lower = group.orderBy(F.desc("bucket"))
     whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    after = []
+    if with_next:
+        heads = counts.groupBy(*keys, "bucket").agg(F.max_by(F.struct("pos", "neg"), "score").alias("head"))
+        totals = totals.alias("a").join(heads.alias("h"), _same([*keys, "bucket"], "a", "h")).select("a.*", "h.head")
+        after = [F.lead("head").over(lower).alias("after")]
     totals = totals.select(
-        *by,
+        *keys,
         "bucket",
-        (F.sum("b_pos").over(lower) - F.col("b_pos")).alias("base_pos"),
-        (F.sum("b_neg").over(lower) - F.col("b_neg")).alias("base_neg"),
-        F.sum("b_pos").over(whole).alias("n_pos"),
-        F.sum("b_neg").over(whole).alias("n_neg"),
-        F.lead("head").over(lower).alias("after"),
+        (F.sum("pos").over(lower) - F.col("pos")).alias("base_pos"),
+        (F.sum("neg").over(lower) - F.col("neg")).alias("base_neg"),
+        F.sum("pos").over(whole).alias("n_pos"),
+        F.sum("neg").over(whole).alias("n_neg"),
+        *after,
     )
+    named = ["base_pos", "base_neg", "n_pos", "n_neg", *(["after"] if with_next else [])]
     joined = (
-        parts.alias("p")
-        .join(totals.alias("t"), _same([*by, "bucket"], "p", "t"))
-        .select("p.*", "t.base_pos", "t.base_neg", "t.n_pos", "t.n_neg", "t.after")
+        counts.alias("p")
+        .join(totals.alias("t"), _same([*keys, "bucket"], "p", "t"))
+        .select("p.*", *[f"t.{c}" for c in named])
     )
-    inside = W.partitionBy(*by, "bucket").orderBy(*down)
+    inside = W.partitionBy(*keys, "bucket").orderBy(down)
+    following = []
+    if with_next:
+        following = [
+            F.coalesce(F.lead(c).over(inside), F.col(f"after.{c}")).alias(f"next_{c}") for c in ("pos", "neg")
+        ]
     return joined.select(
         *by,
         "score",
@@ -217,36 +226,31 @@ def score_points(
         (F.col("base_neg") + F.sum("neg").over(inside)).alias("cum_neg"),
         "n_pos",
         "n_neg",
-        F.coalesce(F.lead("pos").over(inside), F.col("after.pos")).alias("next_pos"),
-        F.coalesce(F.lead("neg").over(inside), F.col("after.neg")).alias("next_neg"),
-    ).drop(*dropped)
+        *following,
+    )
+
+
+def _is_first() -> Column:
+    return (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
 
 
 def roc_curve(points: DataFrame, by: Sequence[str] = (), drop_collinear: bool = True) -> DataFrame:
     """False and true positive rate at each threshold, from (0, 0) at an infinite one.
 
     ``drop_collinear`` leaves out points on a straight line between their
-    neighbors, which do not change the curve.
+    neighbors, which do not change the curve; it needs points made ``with_next``.
     """
-    rates = points.select(
-        *by,
+    if drop_collinear:
+        is_last = (F.col("cum_pos") == F.col("n_pos")) & (F.col("cum_neg") == F.col("n_neg"))
+        bend = (F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))
+        points = points.where(_is_first() | is_last | bend)
+    here = F.struct(
         F.col("score").alias("threshold"),
         ratio("cum_neg", "n_neg").alias("fpr"),
         ratio("cum_pos", "n_pos").alias("tpr"),
-        ((F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))).alias("first"),
-        (F.col("next_pos").isNull()).alias("last"),
-        ((F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))).alias("bend"),
     )
-    if drop_collinear:
-        rates = rates.where(F.col("first") | F.col("last") | F.col("bend"))
-    start = F.when(
-        F.col("first"),
-        F.array(
-            F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")),
-            F.struct("threshold", "fpr", "tpr"),
-        ),
-    ).otherwise(F.array(F.struct("threshold", "fpr", "tpr")))
-    return rates.select(*by, F.inline(start))
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.select(*by, F.inline(F.when(_is_first(), F.array(start, here)).otherwise(F.array(here))))
 
 
 def precision_recall_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -259,8 +263,7 @@ def precision_recall_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFra
     closing = F.struct(
         F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
-    first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
-    return points.select(*by, F.inline(F.when(first, F.array(closing, here)).otherwise(F.array(here))))
+    return points.select(*by, F.inline(F.when(_is_first(), F.array(closing, here)).otherwise(F.array(here))))
 
 
 def roc_auc(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -316,7 +319,7 @@ def evaluate(
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """One metric record per group: confusion cells, rates and ROC AUC, in one job for all groups."""
-    points = score_points(scored, by, label, score, prediction, bucket_rows)
+    points = score_points(scored, by, label, score, prediction, bucket_rows=bucket_rows)
     cells = points.groupBy(*by).agg(
         (F.sum("neg") - F.sum("alarms")).alias("tn"),
         F.sum("alarms").alias("fp"),

@@ -32,6 +32,16 @@ HISTORY_SCHEMA = (
 )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores.
+
+    Training passes over the rows many times; a table read back from few files would
+    keep most cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_logistic(
     train: DataFrame,
     features: str = "features",
@@ -78,14 +88,16 @@ def fit_forest(
     return estimator.fit(train)
 
 
-def _perceptron(width: int, hidden: Sequence[int], features: str, label: str, max_iter: int, seed: int):
+def _perceptron(
+    width: int, hidden: Sequence[int], features: str, label: str, max_iter: int, seed: int, tol: float = 1e-6
+) -> MultilayerPerceptronClassifier:
     return MultilayerPerceptronClassifier(
         featuresCol=features,
         labelCol=label,
         layers=[width, *hidden, 2],
         maxIter=max_iter,
         seed=seed,
-        tol=1e-9,
+        tol=tol,
         blockSize=128,
     )
 
@@ -98,9 +110,13 @@ def fit_perceptron(
     label: str = "label",
     max_iter: int = 200,
     seed: int = 42,
+    tol: float = 1e-4,
 ) -> MultilayerPerceptronClassificationModel:
-    """Feed-forward net with sigmoid hidden layers, fitted with l-bfgs on all rows per step."""
-    return _perceptron(width, hidden, features, label, max_iter, seed).fit(train)
+    """Feed-forward net with sigmoid hidden layers, fitted with l-bfgs on all rows per step.
+
+    Stops before ``max_iter`` once the loss improves by less than ``tol``.
+    """
+    return _perceptron(width, hidden, features, label, max_iter, seed, tol).fit(train)
 
 
 def replicate_by_class(train: DataFrame, label: str = "label") -> DataFrame:
@@ -181,7 +197,8 @@ def fit_early_stopping(
         if model is not None:
             estimator = estimator.setInitialWeights(model.weights)
         model = estimator.fit(train)
-        seen, held = _figures(model, train, label), _figures(model, validation, label)
+        figures = _figures(model, train, validation, label)
+        seen, held = figures["train"], figures["held"]
         auc = None
         if monitor == "val_auc":
             auc = roc_auc(score_points(score(model, validation, keep=[label]), label=label)).first()["roc_auc"]
@@ -196,10 +213,13 @@ def fit_early_stopping(
     return EarlyStop(best if restore_best else model, best_step, history)
 
 
-def _figures(model: Model, df: DataFrame, label: str) -> dict[str, float]:
+def _figures(model: Model, train: DataFrame, validation: DataFrame, label: str) -> dict[str, dict[str, float]]:
+    """Loss and accuracy on both tables, in one job."""
+    rows = train.withColumn("part", F.lit("train")).unionByName(validation.withColumn("part", F.lit("held")))
     right = (threshold_label("score") == F.col(label).cast("int")).cast("double")
-    row = score(model, df, keep=[label]).agg(F.avg(bce_loss(label, "score")).alias("loss"), F.avg(right).alias("accuracy"))
-    return row.first().asDict()
+    out = score(model, rows, keep=[label, "part"]).groupBy("part")
+    out = out.agg(F.avg(bce_loss(label, "score")).alias("loss"), F.avg(right).alias("accuracy")).collect()
+    return {r["part"]: r.asDict() for r in out}
 
 
 def loss_history(model, name: str, spark) -> DataFrame:

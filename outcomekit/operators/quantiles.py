@@ -72,10 +72,10 @@ def _select(df: DataFrame, ranks: Mapping[str, set[int]], total: Mapping[str, in
     todo = list(ranks)
     while todo:
         counts = _counts(df, todo, bounds)
-        for c in todo:
-            below, inside = counts[c]
-            if below > min(ranks[c]) or below + inside <= max(ranks[c]):
-                raise RuntimeError(f"the sketch of {c} missed the wanted rank")
+        missed = _widened(todo, ranks, counts, bounds)
+        if missed:
+            bounds.update(missed)
+            continue
         wide = [c for c in todo if counts[c][1] > BRACKET_VALUES and bounds[c][0] < bounds[c][1]]
         narrower: Bounds = {}
         if wide:
@@ -91,6 +91,20 @@ def _select(df: DataFrame, ranks: Mapping[str, set[int]], total: Mapping[str, in
     return out
 
 
+def _widened(cols: Sequence[str], ranks, counts, bounds: Bounds) -> Bounds:
+    """Brackets that do not hold their ranks, opened on the side the ranks lie."""
+    out: Bounds = {}
+    for c in cols:
+        (below, inside), (lo, hi) = counts[c], bounds[c]
+        if below > min(ranks[c]):
+            lo = float("-inf")
+        if below + inside <= max(ranks[c]):
+            hi = float("inf")
+        if (lo, hi) != bounds[c]:
+            out[c] = (lo, hi)
+    return out
+
+
 def _counts(df: DataFrame, cols: Sequence[str], bounds: Bounds) -> dict[str, tuple[int, int]]:
     """Rows below each bracket and rows inside it."""
     aggs = []

@@ -143,7 +143,7 @@ def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe) -> Model:
         weight = "weight"
     elif spec.weighted:
         rows = models.replicate_by_class(rows)
-    fit_on = stage(prepared.vectors(rows, keep=["label", *([weight] if weight else [])]))
+    fit_on = models.spread(stage(prepared.vectors(rows, keep=["label", *([weight] if weight else [])])))
     if spec.kind == "logistic":
         return models.fit_logistic(fit_on, weight=weight, max_iter=spec.iterations)
     if spec.kind == "forest":

@@ -115,7 +115,22 @@ def _points(spark, sf):
         UNION ALL SELECT model, segment, 'inf'::DOUBLE, 0, 0 FROM points WHERE i = 1""",
 )
 def roc_curve(spark, sf):
-    return rounded(ev.roc_curve(_points(spark, sf), BY), "fpr", "tpr")
+    points = ev.score_points(scored_lines(spark, sf), BY, with_next=True)
+    return rounded(ev.roc_curve(points, BY), "fpr", "tpr")
+
+
+@query(
+    "e05_roc_curve_small_buckets",
+    f"""WITH {POINTS_SQL}
+        SELECT model, segment, score AS threshold, round(cum_neg::DOUBLE / nullif(n_neg, 0), 6) AS fpr,
+               round(cum_pos::DOUBLE / nullif(n_pos, 0), 6) AS tpr FROM points
+        WHERE i = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg
+        UNION ALL SELECT model, segment, 'inf'::DOUBLE, 0, 0 FROM points WHERE i = 1""",
+)
+def roc_curve_small_buckets(spark, sf):
+    # So that the running sums across buckets are used on any test size.
+    points = ev.score_points(scored_lines(spark, sf), BY, with_next=True, bucket_rows=20_000)
+    return rounded(ev.roc_curve(points, BY), "fpr", "tpr")
 
 
 @query(
@@ -126,9 +141,7 @@ def roc_curve(spark, sf):
         UNION ALL SELECT model, segment, 'inf'::DOUBLE, 0, 0 FROM points WHERE i = 1""",
 )
 def roc_curve_full(spark, sf):
-    # Small buckets, so that the running sums across buckets are used on any test size.
-    points = ev.score_points(scored_lines(spark, sf), BY, bucket_rows=20_000)
-    return rounded(ev.roc_curve(points, BY, drop_collinear=False), "fpr", "tpr")
+    return rounded(ev.roc_curve(_points(spark, sf), BY, drop_collinear=False), "fpr", "tpr")
 
 
 @query("e06_roc_auc", f"WITH {RECORD_SQL} SELECT model, segment, round(roc_auc, 6) AS roc_auc FROM record")

@@ -150,7 +150,7 @@ def perceptron(spark, sf):
 
 def _early(spark, sf, **options):
     data, _ = model_data(spark, sf)
-    train = stage(data.vectors(models.replicate_by_class(data.train)))
+    train = models.spread(stage(data.vectors(models.replicate_by_class(data.train))))
     held = stage(data.vectors(data.part("validation")))
     return models.fit_early_stopping(train, held, len(data.names), **options)
 
