@@ -44,6 +44,19 @@ def one_hot(spark, sf):
     return features.OneHot.fit(df, ["segment", "contract"]).transform(df)
 
 
+PRIORITIES = CONTRACTS[:5]
+
+
+@query(
+    "f01_one_hot_orders",
+    f"""SELECT o_orderkey, o_totalprice, {one_hot_sql("o_orderpriority", PRIORITIES)},
+        {one_hot_sql("o_orderstatus", ["F", "O", "P"])} FROM orders""",
+)
+def one_hot_orders(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    return features.OneHot.fit(df, ["o_orderpriority", "o_orderstatus"]).transform(df)
+
+
 @query(
     "f02_auto_encode",
     f"""WITH {CUSTOMERS_SQL} SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN 1 ELSE 0 END AS gender,
