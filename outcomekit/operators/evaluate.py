@@ -68,6 +68,17 @@ def add_rates(cells: DataFrame) -> DataFrame:
     return rated.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
+def accuracy_gap(scored: DataFrame, by: Sequence[str] = (), split: str = "split") -> DataFrame:
+    """Accuracy on the training and validation parts and how far the first is above the second."""
+    hit = (F.col("label") == F.col("prediction")).cast("double")
+    part = lambda name: F.avg(F.when(F.col(split) == name, hit))
+    return (
+        scored.groupBy(*by)
+        .agg(part("train").alias("accuracy"), part("validation").alias("val_accuracy"))
+        .withColumn("accuracy_gap", F.col("accuracy") - F.col("val_accuracy"))
+    )
+
+
 def class_report(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows ``0``, ``1``, ``accuracy``, ``macro avg`` and ``weighted avg`` for each group.
 

@@ -49,6 +49,7 @@ def fit_logistic(
     weight: str | None = None,
     c: float = 1.0,
     max_iter: int = 1000,
+    tol: float = 1e-6,
 ) -> LogisticRegressionModel:
     """L2-penalized logistic regression with inverse penalty ``c``.
 
@@ -63,6 +64,7 @@ def fit_logistic(
         elasticNetParam=0.0,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
         family="binomial",
     )
     if weight:

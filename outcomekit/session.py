@@ -47,6 +47,9 @@ def scratch_dir(spark: SparkSession) -> str:
     if configured:
         return configured
     context = spark.sparkContext
+    named = context.getCheckpointDir()
+    if named:
+        return named
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = context.applicationId
@@ -67,6 +70,12 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of this folder; tables still read from them are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` ready to be the small side of a join.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions import linear_margin, sigmoid, threshold_label
-from outcomekit.operators import evaluate as ev, explain, models, topk
+from outcomekit.operators import evaluate as ev, explain, features, models, topk
 from outcomekit.plans import recipes
 from outcomekit.session import scratch_dir, stage
 from registry.core import customers, draw_sql, query
@@ -112,6 +112,123 @@ def _fit(data, recipe, name, kind, **options):
     return recipes.train(data, recipes.ModelSpec(name, kind, **options), recipe)
 
 
+# The optimum of the penalized loss is unique, so a fit can be checked against Newton steps in SQL.
+LINEAR = ["senior", "months"]
+
+
+def newton_sql(weight: str, where: str = "split = 'train'", steps: int = 25) -> str:
+    """CTEs that end in ``fit(b0, b1, b2)``: intercept, senior and scaled months, inverse penalty 1."""
+    return f""", ranged AS (SELECT avg(tenure::DOUBLE) AS mu, stddev_pop(tenure::DOUBLE) AS sd FROM filled WHERE split = 'train'),
+      class_n AS (SELECT label AS cl, count(*) AS n_c, sum(count(*)) OVER () AS n_all FROM filled WHERE {where} GROUP BY label),
+      x AS (SELECT customer_id, split, label, senior::DOUBLE AS x1, (tenure - mu) / sd AS x2, {weight} AS w
+            FROM filled, ranged, class_n WHERE cl = label),
+      step AS (
+        SELECT 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
+        UNION ALL
+        SELECT i + 1,
+          b0 - (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / det,
+          b1 - (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / det,
+          b2 - (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / det
+        FROM (SELECT *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+          FROM (SELECT i, b0, b1, b2, sum(w * (p - label)) AS g0, sum(w * (p - label) * x1) + b1 AS g1,
+              sum(w * (p - label) * x2) + b2 AS g2, sum(w * p * (1 - p)) AS h00, sum(w * p * (1 - p) * x1) AS h01,
+              sum(w * p * (1 - p) * x2) AS h02, sum(w * p * (1 - p) * x1 * x1) + 1 AS h11,
+              sum(w * p * (1 - p) * x1 * x2) AS h12, sum(w * p * (1 - p) * x2 * x2) + 1 AS h22
+            FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM step, x WHERE {where} AND i < {steps}) r
+            GROUP BY i, b0, b1, b2) s) t),
+      fit AS (SELECT b0, b1, b2 FROM step WHERE i = {steps})"""
+
+
+BALANCED_SQL = "n_all::DOUBLE / (2 * n_c)"
+
+
+def linear_data(spark, sf):
+    """Customers with a split and two features, one of them scaled on the training rows."""
+    df = filled(spark, sf).select("customer_id", "label", "split", "senior", F.col("tenure").alias("months"))
+    return features.Standardize.fit(df, ["months"], F.col("split") == "train").transform(df)
+
+
+def linear_fit(df, balanced=False):
+    rows = df.where(F.col("split") == "train")
+    if balanced:
+        rows = features.ClassWeights.fit(rows, "label").transform(rows, "label")
+    keep = ["label", "weight"] if balanced else ["label"]
+    vectors = models.spread(features.assemble(rows, LINEAR, keep=keep))
+    return models.fit_logistic(vectors, weight="weight" if balanced else None, tol=1e-10)
+
+
+def _all_coefficients(spark, model):
+    named = models.coefficient_table(model, LINEAR, spark)
+    return named.unionByName(models.named_values(["intercept"], [model.intercept], spark, "coefficient"))
+
+
+_FIT_ROWS = """SELECT 'intercept' AS feature, round(b0, 3) AS coefficient FROM fit
+        UNION ALL SELECT 'senior', round(b1, 3) FROM fit UNION ALL SELECT 'months', round(b2, 3) FROM fit"""
+
+
+@query("m01_logistic_optimum", f"WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')} {_FIT_ROWS}")
+def logistic_optimum(spark, sf):
+    return rounded(_all_coefficients(spark, linear_fit(linear_data(spark, sf))), "coefficient", digits=3)
+
+
+@query("m02_logistic_balanced_optimum", f"WITH RECURSIVE {FILLED_SQL} {newton_sql(BALANCED_SQL)} {_FIT_ROWS}")
+def logistic_balanced_optimum(spark, sf):
+    return rounded(_all_coefficients(spark, linear_fit(linear_data(spark, sf), True)), "coefficient", digits=3)
+
+
+@query(
+    "m10_top_coefficients",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')}, named AS (
+          SELECT 'senior' AS feature, b1 AS coefficient FROM fit UNION ALL SELECT 'months', b2 FROM fit)
+        SELECT feature, round(coefficient, 3) AS coefficient FROM named ORDER BY coefficient DESC, feature LIMIT 10""",
+)
+def top_coefficients(spark, sf):
+    named = models.coefficient_table(linear_fit(linear_data(spark, sf)), LINEAR, spark)
+    return rounded(topk.top_k(named, "feature", "coefficient", 10), "coefficient", digits=3)
+
+
+@query(
+    "m07_final_loss",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')}
+        SELECT round(avg(-(label * ln(p) + (1 - label) * ln(1 - p))) + any_value(b1 * b1 + b2 * b2) / (2 * count(*)), 5) AS loss
+        FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))) AS p FROM x, fit WHERE split = 'train') r""",
+)
+def final_loss(spark, sf):
+    history = models.loss_history(linear_fit(linear_data(spark, sf)), "logistic", spark)
+    return rounded(topk.top_k(history.withColumn("name", F.lit("")), "name", "step", 1).select("loss"), "loss", digits=5)
+
+
+@query(
+    "m07_accuracy_gap",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql(BALANCED_SQL)}, right_or_not AS (
+          SELECT split, CASE WHEN (b0 + b1 * x1 + b2 * x2 > 0) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hit
+          FROM x, fit)
+        SELECT round(avg(hit) FILTER (WHERE split = 'train'), 6) AS accuracy,
+               round(avg(hit) FILTER (WHERE split = 'validation'), 6) AS val_accuracy,
+               round(avg(hit) FILTER (WHERE split = 'train') - avg(hit) FILTER (WHERE split = 'validation'), 6) AS accuracy_gap
+        FROM right_or_not""",
+)
+def accuracy_gap(spark, sf):
+    df = linear_data(spark, sf)
+    rows = features.assemble(df, LINEAR, keep=["label", "split"])
+    scored = models.score(linear_fit(df, True), rows, keep=["label", "split"])
+    return rounded(ev.accuracy_gap(scored), "accuracy", "val_accuracy", "accuracy_gap")
+
+
+@query(
+    "s06_reloaded_scores",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')}
+        SELECT customer_id, round(1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))), 3) AS score FROM x, fit WHERE split = 'test'""",
+)
+def reloaded_scores(spark, sf):
+    df = linear_data(spark, sf)
+    path = os.path.join(scratch_dir(spark), f"model-{uuid.uuid4().hex}")
+    models.save_model(linear_fit(df), path)
+    held = features.assemble(df.where(F.col("split") == "test"), LINEAR, keep=["customer_id"])
+    scored = models.score(models.load_model(path, spark), held, keep=["customer_id"])
+    return rounded(scored.select("customer_id", "score"), "score", digits=3)
+
+
 @query("m01_logistic")
 def logistic(spark, sf):
     data, recipe = model_data(spark, sf)
