@@ -195,23 +195,29 @@ def fit_early_stopping(
     best, best_value, best_step, waited = None, None, 0, 0
     history: list[tuple] = []
     model = None
-    for step in range(1, max_steps + 1):
-        if model is not None:
-            estimator = estimator.setInitialWeights(model.weights)
-        model = estimator.fit(train)
-        figures = _figures(model, train, validation, label)
-        seen, held = figures["train"], figures["held"]
-        auc = None
-        if monitor == "val_auc":
-            auc = roc_auc(score_points(score(model, validation, keep=[label]), label=label)).first()["roc_auc"]
-        history.append((name, step, seen["loss"], held["loss"], seen["accuracy"], held["accuracy"], auc))
-        value = -held["loss"] if monitor == "val_loss" else (auc if auc is not None else float("-inf"))
-        if best_value is None or value > best_value:
-            best, best_value, best_step, waited = model, value, step, 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
+    # Every step reads the rows again; lost blocks are made anew from the source.
+    train, validation = train.persist(), validation.persist()
+    try:
+        for step in range(1, max_steps + 1):
+            if model is not None:
+                estimator = estimator.setInitialWeights(model.weights)
+            model = estimator.fit(train)
+            figures = _figures(model, train, validation, label)
+            seen, held = figures["train"], figures["held"]
+            auc = None
+            if monitor == "val_auc":
+                auc = roc_auc(score_points(score(model, validation, keep=[label]), label=label)).first()["roc_auc"]
+            history.append((name, step, seen["loss"], held["loss"], seen["accuracy"], held["accuracy"], auc))
+            value = -held["loss"] if monitor == "val_loss" else (auc if auc is not None else float("-inf"))
+            if best_value is None or value > best_value:
+                best, best_value, best_step, waited = model, value, step, 0
+            else:
+                waited += 1
+                if waited >= patience:
+                    break
+    finally:
+        train.unpersist()
+        validation.unpersist()
     return EarlyStop(best if restore_best else model, best_step, history)
 
 

@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 
 BUCKET_ROWS = 250_000
 MAX_BITS = 16
+FEW_BUCKETS = 256
+MAX_BUCKETS = 2_048
+SAMPLE_SHARE = 0.125
 
 
 def bucket_bits(n_rows: int, bucket_rows: int = BUCKET_ROWS, max_bits: int = MAX_BITS) -> int:
@@ -47,22 +50,26 @@ def with_rank(
     return rows.join(base, "_bucket").withColumn(rank, F.col("_base") + inside - 1).drop("_bucket", "_base")
 
 
-def score_bounds(df: DataFrame, score: str, bucket_rows: int = BUCKET_ROWS, max_buckets: int = 4096) -> list[float]:
-    """Ascending cut points that part the rows into even buckets of scores."""
-    probes = [i / 64 for i in range(1, 64)]
-    x = F.col(score).cast("double")
-    row = df.agg(
-        F.count(x).alias("n"), F.percentile_approx(x, F.array(*[F.lit(p) for p in probes]), 10_000).alias("q")
-    ).first()
-    buckets = min(max_buckets, -(-row["n"] // bucket_rows))
-    if buckets <= 1:
+def score_bounds(df: DataFrame, score: str, bucket_rows: int = BUCKET_ROWS) -> list[float]:
+    """Ascending cut points that part the rows into even buckets of scores.
+
+    Read off a sample: the points need only be roughly even, any will do for the
+    result.
+    """
+    drawn = df.select(F.col(score).cast("double").alias("x"), F.rand(42).alias("r"))
+    sampled = F.when(F.col("r") < SAMPLE_SHARE, F.col("x"))
+
+    def points(parts: int):
+        probes = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+        return F.percentile_approx(sampled, probes, 8 * parts).alias("q")
+
+    row = drawn.agg(F.count("x").alias("n"), points(FEW_BUCKETS)).first()
+    buckets, parts = min(MAX_BUCKETS, -(-row["n"] // bucket_rows)), FEW_BUCKETS
+    if buckets <= 1 or row["q"] is None:
         return []
-    if buckets <= 64:
-        step = 64 / buckets
-        return sorted({row["q"][min(62, int(i * step) - 1)] for i in range(1, buckets)})
-    probes = [i / buckets for i in range(1, buckets)]
-    fine = F.percentile_approx(x, F.array(*[F.lit(p) for p in probes]), 4 * buckets)
-    return sorted(set(df.agg(fine.alias("q")).first()["q"]))
+    if buckets > FEW_BUCKETS:
+        row, parts = drawn.agg(points(MAX_BUCKETS)).first(), MAX_BUCKETS
+    return sorted({row["q"][int(i * parts / buckets) - 1] for i in range(1, buckets)})
 
 
 def with_score_bucket(df: DataFrame, score: str, bounds: Sequence[float], to: str) -> DataFrame:

@@ -22,6 +22,8 @@ from outcomekit.operators.ranking import draw_bucket
 
 COUNT_BITS = 16
 MAX_STRATA = 1_000
+# Up to this many strata the cuts are literals of the projection.
+LITERAL_STRATA = 20
 
 
 @dataclass(frozen=True)
@@ -95,24 +97,43 @@ class HashSplit:
         strata = tuple(dict.fromkeys(c.stratum for c in cuts))
         return cls(key, seed, stratum, tuple(fractions), rest, cuts, strata)
 
-    def part_column(self) -> Column:
-        u = draw(self.key, self.seed, "split")
-        k = F.col(self.key)
+    def _part(self, u: Column, bounds: dict[str, tuple[Column, Column]]) -> Column:
+        """The first part whose last row is not before this one."""
+        k, here = F.col(self.key), F.lit(self.rest)
+        for part in reversed(self.parts):
+            if part in bounds:
+                last_u, last_k = bounds[part]
+                here = F.when((u < last_u) | ((u == last_u) & (k <= last_k)), part).otherwise(here)
+        return here
+
+    def transform(self, df: DataFrame, to: str = "split") -> DataFrame:
+        drawn = df.withColumn("_u", draw(self.key, self.seed, "split"))
+        u = F.col("_u")
+        if self.stratum is None:
+            mine = {c.part: (F.lit(c.draw), F.lit(c.key)) for c in self.cuts}
+            return drawn.withColumn(to, self._part(u, mine)).drop("_u")
+        if len(self.strata) > LITERAL_STRATA:
+            return self._transform_by_join(drawn, df, to)
         out = F.lit(self.rest)
         for value in self.strata:
-            here = F.lit(self.rest)
+            mine = {c.part: (F.lit(c.draw), F.lit(c.key)) for c in self.cuts if c.stratum == value}
+            out = F.when(F.col(self.stratum).eqNullSafe(F.lit(value)), self._part(u, mine)).otherwise(out)
+        return drawn.withColumn(to, out).drop("_u")
+
+    def _transform_by_join(self, drawn: DataFrame, df: DataFrame, to: str) -> DataFrame:
+        """Look the cuts up in a broadcast table of at most MAX_STRATA rows."""
+        kinds = {c: t for c, t in df.dtypes}
+        names = [f"_{side}{i}" for i in range(len(self.parts)) for side in ("u", "k")]
+        rows = []
+        for value in self.strata:
             mine = {c.part: c for c in self.cuts if c.stratum == value}
-            for part in reversed(self.parts):
-                if part in mine:
-                    cut = mine[part]
-                    within = (u < cut.draw) | ((u == cut.draw) & (k <= F.lit(cut.key)))
-                    here = F.when(within, part).otherwise(here)
-            in_stratum = F.col(self.stratum).eqNullSafe(F.lit(value)) if self.stratum else F.lit(True)
-            out = F.when(in_stratum, here).otherwise(out)
-        return out
-
-    def transform(self, df: DataFrame, to: str = "split") -> DataFrame:
-        return df.withColumn(to, self.part_column())
+            cells = [(mine[p].draw, mine[p].key) if p in mine else (-1, None) for p in self.parts]
+            rows.append((value, *[x for cell in cells for x in cell]))
+        columns = [f"`{n}` {'bigint' if n.startswith('_u') else kinds[self.key]}" for n in names]
+        table = df.sparkSession.createDataFrame(rows, f"_g {kinds[self.stratum]}, " + ", ".join(columns))
+        joined = drawn.join(F.broadcast(table), F.col(self.stratum).eqNullSafe(F.col("_g")), "left")
+        bounds = {p: (F.col(f"_u{i}"), F.col(f"_k{i}")) for i, p in enumerate(self.parts)}
+        return joined.withColumn(to, self._part(F.col("_u"), bounds)).drop("_u", "_g", *names)
 
 
 def tail_split(

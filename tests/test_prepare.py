@@ -41,6 +41,18 @@ def test_split_handles_null_strata_and_tiny_classes(spark):
     assert got == {(None, "test"): 2, (None, "train"): 8, ("a", "train"): 1, ("b", "test"): 18, ("b", "train"): 71}
 
 
+def test_split_of_many_strata(spark):
+    df = spark.range(6_000).select(F.col("id").alias("k"), (F.col("id") % 60).cast("string").alias("y"))
+    split = HashSplit.fit(df, "k", {"test": 0.25, "validation": 0.1}, "y")
+    out = split.transform(df)
+    assert out.columns == ["k", "y", "split"] and len(split.strata) == 60
+    got = {(r.y, r.split): r["count"] for r in out.groupBy("y", "split").count().collect()}
+    want = {"test": 25, "validation": 10, "train": 65}
+    assert got == {(str(y), s): n for y in range(60) for s, n in want.items()}
+    new = spark.createDataFrame([(1, "unknown")], "k bigint, y string")
+    assert split.transform(new).first().split == "train"
+
+
 def test_split_needs_no_shuffle_to_apply(spark):
     df = labeled(spark)
     plan = HashSplit.fit(df, "k", {"test": 0.2}, "y").transform(df)._jdf.queryExecution().executedPlan().toString()
