@@ -30,7 +30,7 @@ def bucket_bits(n_rows: int, bucket_rows: int = BUCKET_ROWS, max_bits: int = MAX
 
 def draw_bucket(draw: Column, bits: int) -> Column:
     """Bucket of a draw in [0, 2^32). Draws of unique keys are even, so buckets are too."""
-    return F.shiftright(draw, 32 - bits).cast("int")
+    return F.shiftright(draw, 32 - bits)
 
 
 def with_rank(

@@ -20,7 +20,10 @@ from outcomekit.functions import draw
 from outcomekit.operators.quantiles import value_at_rank
 from outcomekit.operators.ranking import draw_bucket
 
-COUNT_BITS = 16
+# Leading bits of the draw that one counting pass resolves.
+STEP_BITS = 12
+# A cut is looked up by rank once its bucket holds no more rows than this.
+RANKED_ROWS = 1_000_000
 MAX_STRATA = 1_000
 # Up to this many strata the cuts are literals of the projection.
 LITERAL_STRATA = 20
@@ -36,6 +39,56 @@ class Cut:
     key: object
 
 
+def _first_marks(totals: DataFrame, fractions: Mapping[str, float]) -> list[dict]:
+    """For each class and part: rank of its last row, and the bucket of draws that row is in.
+
+    The first part takes floor(n x f + 0.5) rows, each further one as many again.
+    """
+    # A class has at most 2^STEP_BITS totals.
+    ordered = W.partitionBy("g").orderBy("b")
+    upto = totals.select(
+        "g", "b", "n", F.sum("n").over(ordered).alias("upto"), F.sum("n").over(W.partitionBy("g")).alias("n_g")
+    )
+    ends, reached = [], F.lit(0).cast("bigint")
+    for part, fraction in fractions.items():
+        size = F.floor(F.col("n_g") * F.lit(float(fraction)) + F.lit(0.5))
+        reached = F.least(F.col("n_g"), reached + size)
+        ends.append(F.struct(F.lit(part).alias("part"), reached.alias("r")))
+    base = F.col("upto") - F.col("n")
+    found = upto.select("g", "b", "n", base.alias("base"), "upto", F.inline(F.array(*ends)))
+    limit = MAX_STRATA * len(fractions)
+    rows = found.where((F.col("r") > F.col("base")) & (F.col("r") <= F.col("upto"))).drop("upto").limit(limit + 1)
+    marks = [r.asDict() for r in rows.collect()]
+    if len(marks) > limit:
+        raise ValueError(f"more than {MAX_STRATA} strata")
+    return marks
+
+
+def _marks_table(df: DataFrame, marks: list[dict], rows: DataFrame) -> DataFrame:
+    """The marks as a table: at most MAX_STRATA rows per part."""
+    kind = rows.schema["g"].dataType.simpleString()
+    cells = [(m["g"], m["part"], m["r"], m["b"], m["base"]) for m in marks]
+    return F.broadcast(df.sparkSession.createDataFrame(cells, f"g {kind}, part string, r bigint, b bigint, base bigint"))
+
+
+def _finer_marks(rows: DataFrame, marks: list[dict], bits: int) -> tuple[list[dict], int]:
+    """Place the marks within buckets of more leading bits, from counts inside their present ones."""
+    finer = min(32, bits + STEP_BITS)
+    buckets = sorted({m["b"] for m in marks})
+    inside = rows.where(draw_bucket(F.col("u"), bits).isin(buckets))
+    counts = inside.groupBy("g", draw_bucket(F.col("u"), finer).alias("b")).agg(F.count("*").alias("n")).collect()
+    out = []
+    for mark in marks:
+        base = mark["base"]
+        mine = sorted((c["b"], c["n"]) for c in counts if c["g"] == mark["g"] and c["b"] >> (finer - bits) == mark["b"])
+        for b, n in mine:
+            if mark["r"] <= base + n:
+                out.append({**mark, "b": b, "n": n, "base": base})
+                break
+            base += n
+    return out, finer
+
+
 @dataclass(frozen=True)
 class HashSplit:
     key: str
@@ -58,41 +111,23 @@ class HashSplit:
     ) -> HashSplit:
         """Find the cut points. ``fractions`` name the parts in the order they are cut off."""
         group = F.col(stratum) if stratum else F.lit(None).cast("string")
-        u = draw(key, seed, "split")
-        rows = df.select(group.alias("g"), F.col(key).alias("k"), u.alias("u"))
-        rows = rows.withColumn("b", draw_bucket(F.col("u"), COUNT_BITS))
-        totals = rows.groupBy("g", "b").agg(F.count("*").alias("n"))
-        ordered = W.partitionBy("g").orderBy("b")
-        upto = totals.select(
-            "g", "b", "n", F.sum("n").over(ordered).alias("upto"), F.sum("n").over(W.partitionBy("g")).alias("n_g")
-        )
-        # The first cut takes floor(n x f + 0.5) rows, each further one as many again.
-        size = lambda f: F.floor(F.col("n_g") * F.lit(float(f)) + F.lit(0.5))
-        marks, reached = [], F.lit(0).cast("bigint")
-        for part, fraction in fractions.items():
-            reached = F.least(F.col("n_g"), reached + size(fraction))
-            marks.append(F.struct(F.lit(part).alias("part"), reached.alias("r")))
-        found = (
-            upto.select("g", "b", (F.col("upto") - F.col("n")).alias("base"), "upto", F.inline(F.array(*marks)))
-            .where((F.col("r") > F.col("base")) & (F.col("r") <= F.col("upto")))
-            .select("g", "b", "base", "part", "r")
-        )
-        limit = MAX_STRATA * len(fractions)
-        marks_found = found.limit(limit + 1).collect()
-        if len(marks_found) > limit:
-            raise ValueError(f"more than {MAX_STRATA} strata")
-        if not marks_found:
+        rows = df.select(group.alias("g"), F.col(key).alias("k"), draw(key, seed, "split").alias("u"))
+        totals = rows.groupBy("g", draw_bucket(F.col("u"), STEP_BITS).alias("b")).agg(F.count("*").alias("n"))
+        marks = _first_marks(totals, fractions)
+        if not marks:
             return cls(key, seed, stratum, tuple(fractions), rest, ())
-        spark = df.sparkSession
-        wanted = F.broadcast(spark.createDataFrame(marks_found, found.schema))
-        buckets = sorted({m["b"] for m in marks_found})
+        bits = STEP_BITS
+        while bits < 32 and max(m["n"] for m in marks) > RANKED_ROWS:
+            marks, bits = _finer_marks(rows, marks, bits)
+        buckets = sorted({m["b"] for m in marks})
+        # One bucket of one class per task, of about RANKED_ROWS rows at most.
         inside = F.row_number().over(W.partitionBy("g", "b").orderBy("u", "k"))
-        ranked = rows.where(F.col("b").isin(buckets)).withColumn("i", inside)
-        hits = ranked.alias("x").join(
-            wanted.alias("w"),
+        near = rows.withColumn("b", draw_bucket(F.col("u"), bits)).where(F.col("b").isin(buckets))
+        found = near.withColumn("i", inside).alias("x").join(
+            _marks_table(df, marks, rows).alias("w"),
             F.expr("x.g <=> w.g AND x.b = w.b AND x.i + w.base = w.r"),
         )
-        got = hits.select("x.g", "w.part", "x.u", "x.k").collect()
+        got = found.select("x.g", "w.part", "x.u", "x.k").collect()
         cuts = tuple(Cut(r["g"], r["part"], r["u"], r["k"]) for r in got)
         strata = tuple(dict.fromkeys(c.stratum for c in cuts))
         return cls(key, seed, stratum, tuple(fractions), rest, cuts, strata)

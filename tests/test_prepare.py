@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from outcomekit.operators import features, ranking
+from outcomekit.operators import split as split_module
 from outcomekit.operators.split import HashSplit, tail_split
 
 
@@ -41,6 +42,16 @@ def test_split_handles_null_strata_and_tiny_classes(spark):
     assert got == {(None, "test"): 2, (None, "train"): 8, ("a", "train"): 1, ("b", "test"): 18, ("b", "train"): 71}
 
 
+def test_split_refines_full_buckets(spark, monkeypatch):
+    df = labeled(spark, 3_000)
+    first = HashSplit.fit(df, "k", {"test": 0.2, "validation": 0.15}, "y")
+    for bits, rows in ((2, 30), (1, 1), (5, 4)):
+        monkeypatch.setattr(split_module, "STEP_BITS", bits)
+        monkeypatch.setattr(split_module, "RANKED_ROWS", rows)
+        again = HashSplit.fit(df, "k", {"test": 0.2, "validation": 0.15}, "y")
+        assert sorted(again.cuts, key=str) == sorted(first.cuts, key=str)
+
+
 def test_split_of_many_strata(spark):
     df = spark.range(6_000).select(F.col("id").alias("k"), (F.col("id") % 60).cast("string").alias("y"))
     split = HashSplit.fit(df, "k", {"test": 0.25, "validation": 0.1}, "y")
