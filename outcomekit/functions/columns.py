@@ -76,13 +76,18 @@ def first_match(c: Column | str, rules: Sequence[tuple[Sequence[str], str]], def
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
+def _formatted(pattern: str, x: Column) -> Column:
+    """Text of a number; NULL stays NULL, which the formatter itself would print."""
+    return F.when(x.isNotNull(), F.format_string(pattern, x))
+
+
 def fixed_decimals(c: Column | str, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", _col(c).cast("double"))
+    return _formatted(f"%.{digits}f", _col(c).cast("double"))
 
 
 def percent_text(c: Column | str, digits: int = 1) -> Column:
     """A share as percent text: 0.2634 -> ``26.3%``."""
-    return F.format_string(f"%.{digits}f%%", _col(c).cast("double") * F.lit(100.0))
+    return _formatted(f"%.{digits}f%%", _col(c).cast("double") * F.lit(100.0))
 
 
 def thousands_text(c: Column | str, digits: int = 0) -> Column:

@@ -126,7 +126,7 @@ def class_report(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def report_text(report: DataFrame, digits: int = 4) -> DataFrame:
     """Add a printable ``line`` to every row of a class report."""
-    number = lambda m: F.coalesce(F.format_string(f"%10.{digits}f", m), F.lit(" " * 10))
+    number = lambda m: F.when(F.col(m).isNull(), F.lit(" " * 10)).otherwise(F.format_string(f"%10.{digits}f", m))
     text = F.concat(
         F.format_string("%12s", "class"),
         number("precision"),

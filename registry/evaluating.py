@@ -102,6 +102,20 @@ def class_report(spark, sf):
     return rounded(report, "precision", "recall", "f1")
 
 
+@query(
+    "e04_report_text",
+    f"""WITH {CELLS_SQL}, per AS (SELECT *, coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS p1,
+              coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS r1 FROM cells)
+        SELECT model, segment, printf('%12s%10.4f%10.4f%10.4f%10d', '1', p1, r1,
+               coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0), tp + fn) AS line FROM per
+        UNION ALL SELECT model, segment, printf('%12s%20s%10.4f%10d', 'accuracy', '', (tn + tp)::DOUBLE / (tn + fp + fn + tp),
+               tn + fp + fn + tp) FROM cells""",
+)
+def report_text(spark, sf):
+    lines = ev.report_text(ev.class_report(ev.confusion(scored_lines(spark, sf), BY), BY))
+    return lines.where(F.col("class").isin("1", "accuracy")).select(*BY, "line")
+
+
 def _points(spark, sf):
     return ev.score_points(scored_lines(spark, sf), BY)
 

@@ -215,6 +215,97 @@ def accuracy_gap(spark, sf):
     return rounded(ev.accuracy_gap(scored), "accuracy", "val_accuracy", "accuracy_gap")
 
 
+_ANY_PAIRS = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, r FROM (SELECT unnest(range(0, 10)) AS r) t" for c in LINEAR
+)
+
+
+@query(
+    "m12_permutation_fitted",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql(BALANCED_SQL)},
+      test AS (SELECT *, row_number() OVER (ORDER BY {draw_sql('customer_id', "'permute'")}, customer_id) - 1 AS pos,
+        count(*) OVER () AS n FROM x, fit WHERE split = 'test'),
+      pairs AS ({_ANY_PAIRS}),
+      shifts AS (SELECT feature, r,
+          (1 + CAST(floor({draw_sql("feature || ':' || r", "'shift'")} / 4294967296.0::DOUBLE * ((SELECT any_value(n) FROM test) - 1)) AS BIGINT)) AS shift
+        FROM pairs),
+      moved AS (SELECT feature, r, a.label, a.b0 + a.b1 * (CASE feature WHEN 'senior' THEN b.x1 ELSE a.x1 END)
+          + a.b2 * (CASE feature WHEN 'months' THEN b.x2 ELSE a.x2 END) AS margin
+        FROM shifts, test a, test b WHERE b.pos = (a.pos + shift) % a.n),
+      drops AS (SELECT feature, r, (SELECT avg(CASE WHEN (b0 + b1 * x1 + b2 * x2 > 0) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FROM test)
+          - avg(CASE WHEN (margin > 0) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS loss FROM moved GROUP BY feature, r)
+      SELECT feature, round(avg(loss), 6) AS importance, round(stddev_pop(loss), 6) AS importance_std FROM drops GROUP BY feature""",
+)
+def permutation_fitted(spark, sf):
+    df = linear_data(spark, sf)
+    held = df.where(F.col("split") == "test")
+    out = explain.permutation_importance(linear_fit(df, True), held, "customer_id", "label", LINEAR)
+    return rounded(out, "importance", "importance_std")
+
+
+def sound_scores(model, df) -> DataFrame:
+    """Rows and positives of each part, and how many scores or labels break the rules."""
+    rows = features.assemble(df, LINEAR, keep=["label", "split"])
+    scored = models.score(model, rows, keep=["label", "split"])
+    s = F.col("score")
+    return scored.groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("label") == 1).alias("positives"),
+        F.count_if(s.isNull() | (s < 0) | (s > 1)).alias("outside"),
+        F.count_if((s > 0.5).cast("int") != F.col("prediction")).alias("disagreeing"),
+    )
+
+
+SOUND_SQL = f"""WITH {FILLED_SQL} SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS positives,
+        0::BIGINT AS outside, 0::BIGINT AS disagreeing FROM filled GROUP BY split"""
+
+
+def training_vectors(df, replicate=False) -> DataFrame:
+    rows = df.where(F.col("split") == "train")
+    rows = models.replicate_by_class(rows) if replicate else rows
+    return models.spread(features.assemble(rows, LINEAR, keep=["label"]))
+
+
+@query("m03_forest_scores", SOUND_SQL)
+def forest_scores(spark, sf):
+    df = linear_data(spark, sf)
+    return sound_scores(models.fit_forest(training_vectors(df)), df)
+
+
+@query("m04_network_scores", SOUND_SQL)
+def network_scores(spark, sf):
+    df = linear_data(spark, sf)
+    return sound_scores(models.fit_perceptron(training_vectors(df, True), len(LINEAR), (16, 8), max_iter=20), df)
+
+
+@query("m05_perceptron_scores", SOUND_SQL)
+def perceptron_scores(spark, sf):
+    df = linear_data(spark, sf)
+    return sound_scores(models.fit_perceptron(training_vectors(df), len(LINEAR), (64, 32), max_iter=30), df)
+
+
+@query("m06_stopped_scores", SOUND_SQL)
+def stopped_scores(spark, sf):
+    df = linear_data(spark, sf)
+    held = features.assemble(df.where(F.col("split") == "validation"), LINEAR, keep=["label"])
+    stop = models.fit_early_stopping(training_vectors(df), held, len(LINEAR), (8, 4), max_steps=4, patience=2)
+    return sound_scores(stop.model, df)
+
+
+@query("m11_importance_total", "SELECT 2::BIGINT AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS negative")
+def importance_total(spark, sf):
+    model = models.fit_forest(training_vectors(linear_data(spark, sf)))
+    table = models.importance_table(model, LINEAR, spark)
+    return rounded(
+        table.agg(
+            F.count("*").alias("n_features"),
+            F.sum("importance").alias("total"),
+            F.count_if(F.col("importance") < 0).alias("negative"),
+        ),
+        "total",
+    )
+
+
 @query(
     "s06_reloaded_scores",
     f"""WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')}

@@ -44,6 +44,8 @@ def test_formats(spark):
     df = spark.createDataFrame([(0.67834, 1234567)], "x double, n bigint")
     row = df.select(fn.fixed_decimals("x"), fn.percent_text("x"), fn.thousands_text("n")).first()
     assert list(row) == ["0.6783", "67.8%", "1,234,567"]
+    empty = spark.createDataFrame([(None, None)], "x double, n bigint")
+    assert list(empty.select(fn.fixed_decimals("x"), fn.percent_text("x"), fn.thousands_text("n")).first()) == [None] * 3
 
 
 def test_loss_is_finite_at_certain_scores(spark):
