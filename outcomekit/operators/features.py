@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from outcomekit.functions import map_values
 from outcomekit.operators.profile import distinct_values
 
 MAX_LEVELS = 2_000
+MAX_VECTOR_LEVELS = 1_000_000
 MAX_CLASSES = 1_000
 
 # Two-valued domains that become 1 and 0.
@@ -72,6 +74,39 @@ class OneHot:
         return df.select(*kept, *flags)
 
 
+@dataclass(frozen=True)
+class OneHotVector:
+    """The same encoding as one sparse vector per column, for columns of very many levels.
+
+    The plan does not grow with the levels: values are looked up in the label index
+    of a fitted indexer. The first level, null and unseen levels share the place
+    that the encoder drops, so all of them are the zero vector.
+    """
+
+    levels: dict[str, list[str]]
+    suffix: str = "_onehot"
+
+    @classmethod
+    def fit(cls, df: DataFrame, cols: Sequence[str], max_levels: int = MAX_VECTOR_LEVELS) -> OneHotVector:
+        return cls(column_levels(df, cols, max_levels))
+
+    def names(self, column: str) -> list[str]:
+        return [f"{column}_{v}" for v in self.levels[column][1:]]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        for c, levels in self.levels.items():
+            index, vector = f"{c}_index", f"{c}{self.suffix}"
+            if len(levels) < 2:
+                df = df.withColumn(vector, array_to_vector(F.array().cast("array<double>"))).drop(c)
+                continue
+            indexer = StringIndexerModel.from_labels(levels[1:], inputCol=c, outputCol=index, handleInvalid="keep")
+            coded = indexer.transform(df)
+            # The sizes come from the indexer's metadata: fitting reads no rows.
+            encoder = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True).fit(coded)
+            df = encoder.transform(coded).drop(c, index)
+        return df
+
+
 @dataclass(frozen=True)
 class AutoEncode:
     """Per text column: a Yes/No or Male/Female domain becomes 1/0, any other one-hot columns."""

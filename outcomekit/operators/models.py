@@ -155,6 +155,7 @@ class EarlyStop:
     """Outcome of a fit that stops once the validation figure no longer improves."""
 
     model: MultilayerPerceptronClassificationModel
+    best: MultilayerPerceptronClassificationModel
     best_step: int
     history: list[tuple] = field(default_factory=list)
 
@@ -185,14 +186,17 @@ def fit_early_stopping(
     monitor: str = "val_loss",
     seed: int = 42,
     name: str = "perceptron",
+    save_best_to: str | None = None,
+    save_monitor: str = "val_auc",
 ) -> EarlyStop:
     """Train in steps of a few iterations and watch the validation rows.
 
     Each step is a distributed fit that starts from the weights of the last one.
-    ``monitor`` is ``val_loss`` (lower is better) or ``val_auc``.
+    ``monitor`` is ``val_loss`` (lower is better) or ``val_auc``. The model best by
+    ``save_monitor`` is saved to ``save_best_to`` whenever it improves.
     """
     estimator = _perceptron(width, hidden, features, label, step_iter, seed)
-    best, best_value, best_step, waited = None, None, 0, 0
+    best, best_value, best_step, waited, saved_value = None, None, 0, 0, None
     history: list[tuple] = []
     model = None
     # Every step reads the rows again; lost blocks are made anew from the source.
@@ -205,10 +209,14 @@ def fit_early_stopping(
             figures = _figures(model, train, validation, label)
             seen, held = figures["train"], figures["held"]
             auc = None
-            if monitor == "val_auc":
+            if monitor == "val_auc" or (save_best_to and save_monitor == "val_auc"):
                 auc = roc_auc(score_points(score(model, validation, keep=[label]), label=label)).first()["roc_auc"]
             history.append((name, step, seen["loss"], held["loss"], seen["accuracy"], held["accuracy"], auc))
-            value = -held["loss"] if monitor == "val_loss" else (auc if auc is not None else float("-inf"))
+            worth = {"val_loss": -held["loss"], "val_auc": auc if auc is not None else float("-inf")}
+            value = worth[monitor]
+            if save_best_to and (saved_value is None or worth[save_monitor] > saved_value):
+                saved_value = worth[save_monitor]
+                save_model(model, save_best_to)
             if best_value is None or value > best_value:
                 best, best_value, best_step, waited = model, value, step, 0
             else:
@@ -218,7 +226,7 @@ def fit_early_stopping(
     finally:
         train.unpersist()
         validation.unpersist()
-    return EarlyStop(best if restore_best else model, best_step, history)
+    return EarlyStop(best if restore_best else model, best, best_step, history)
 
 
 def _figures(model: Model, train: DataFrame, validation: DataFrame, label: str) -> dict[str, dict[str, float]]:

@@ -57,6 +57,25 @@ def one_hot_orders(spark, sf):
     return features.OneHot.fit(df, ["o_orderpriority", "o_orderstatus"]).transform(df)
 
 
+@query(
+    "f01_one_hot_vector",
+    """WITH places AS (
+         SELECT p_name, p_brand, dense_rank() OVER (ORDER BY p_name) - 1 AS name_at, dense_rank() OVER (ORDER BY p_brand) - 1 AS brand_at,
+                p_partkey FROM part)
+       SELECT p_partkey, name_at, brand_at, (SELECT count(DISTINCT p_name) - 1 FROM part) AS name_size,
+              (SELECT count(DISTINCT p_brand) - 1 FROM part) AS brand_size FROM places""",
+)
+def one_hot_vector(spark, sf):
+    df = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    coded = features.OneHotVector.fit(df, ["p_name", "p_brand"]).transform(df)
+    cells = {c: vector_to_array(f"p_{c}_onehot") for c in ("name", "brand")}
+    return coded.select(
+        "p_partkey",
+        *[F.array_position(x, 1.0).alias(f"{c}_at") for c, x in cells.items()],
+        *[F.size(x).cast("bigint").alias(f"{c}_size") for c, x in cells.items()],
+    )
+
+
 @query(
     "f02_auto_encode",
     f"""WITH {CUSTOMERS_SQL} SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN 1 ELSE 0 END AS gender,

@@ -102,11 +102,15 @@ def test_early_stopping_stops_and_keeps_the_best(vectors, spark):
     assert table.count() == stop.steps_run and table.where("loss is null or val_accuracy is null").count() == 0
 
 
-def test_early_stopping_on_area_without_restoring(vectors):
+def test_early_stopping_on_area_without_restoring(vectors, spark, tmp_path):
     train, held = vectors.where("k % 3 <> 0"), vectors.where("k % 3 = 0")
+    path = str(tmp_path / "best")
     stop = models.fit_early_stopping(
-        train, held, 3, (4,), step_iter=5, max_steps=3, patience=3, monitor="val_auc", restore_best=False
+        train, held, 3, (4,), step_iter=5, max_steps=3, patience=3, monitor="val_auc", restore_best=False,
+        save_best_to=path,
     )
+    saved = models.load_model(path, spark)
+    assert saved.weights.toArray().tolist() == stop.best.weights.toArray().tolist()
     assert all(0.5 < h[6] <= 1 for h in stop.history)
     assert models.score(stop.model, held).count() == held.count()
 

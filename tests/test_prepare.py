@@ -101,6 +101,16 @@ def test_one_hot_drops_the_first_level(spark):
     assert got == [(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 0.0, 1.0), (4, 0.0, 0.0), (5, 0.0, 0.0)]
 
 
+def test_one_hot_vector_is_the_same_encoding(spark):
+    df = spark.createDataFrame([(1, "Month", "x"), (2, "One", "x"), (3, "Two", "x"), (4, None, None)], "k int, c string, d string")
+    enc = features.OneHotVector.fit(df, ["c", "d"])
+    new = spark.createDataFrame([(1, "Month", "x"), (2, "One", "y"), (3, "Two", None), (4, None, "x"), (5, "Three", "x")], "k int, c string, d string")
+    got = [(r.k, r.c_onehot.toArray().tolist(), r.d_onehot.size) for r in enc.transform(new).orderBy("k").collect()]
+    zero = [0.0, 0.0]
+    assert got == [(1, zero, 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (4, zero, 0), (5, zero, 0)]
+    assert enc.names("c") == ["c_One", "c_Two"] and enc.names("d") == []
+
+
 def test_too_many_levels_are_refused(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("c"))
     with pytest.raises(ValueError, match="levels"):
