@@ -32,14 +32,18 @@ HISTORY_SCHEMA = (
 )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores.
+def spread(df: DataFrame, rows_each: int = 4_096) -> DataFrame:
+    """``df`` in enough partitions to keep the cores busy, but not with fewer than ``rows_each`` rows.
 
     Training passes over the rows many times; a table read back from few files would
-    keep most cores idle.
+    keep most cores idle. Tables of more partitions than cores stay as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    have = df.rdd.getNumPartitions()
+    if have >= cores:
+        return df
+    want = min(cores, -(-df.count() // rows_each))
+    return df.repartition(want) if want > have else df
 
 
 def fit_logistic(

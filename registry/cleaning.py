@@ -14,6 +14,7 @@ from outcomekit.functions import (
     threshold_label,
 )
 from outcomekit.operators import clean
+from outcomekit.session import stage
 from registry.core import CUSTOMERS_SQL, SCORED_SQL, customers, query, scored_lines, table
 
 NUMBER_SQL = r"regexp_full_match(lower({c}), '\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*')"
@@ -147,7 +148,7 @@ def trim_cast(spark, sf):
 )
 def median_fill(spark, sf):
     numeric = clean.lenient_numeric(customers(spark, sf), "total_charges_raw", to="total_charges")
-    numeric = numeric.select("customer_id", "total_charges")
+    numeric = stage(numeric.select("customer_id", "total_charges"))
     return clean.MedianFill.fit(numeric, ["total_charges"]).transform(numeric)
 
 

@@ -40,7 +40,7 @@ def one_hot_sql(column: str, levels: list[str]) -> str:
         {one_hot_sql("contract", CONTRACTS)} FROM customers""",
 )
 def one_hot(spark, sf):
-    df = customers(spark, sf).select("customer_id", "segment", "tenure", "contract")
+    df = stage(customers(spark, sf).select("customer_id", "segment", "tenure", "contract"))
     return features.OneHot.fit(df, ["segment", "contract"]).transform(df)
 
 
@@ -88,7 +88,7 @@ def auto_encode(spark, sf):
     gender = F.when(F.col("customer_id") % 2 == 0, "Male").otherwise("Female")
     df = customers(spark, sf).withColumn("gender", gender)
     df = df.select("customer_id", "gender", "paperless", "has_returns", "segment", "churn")
-    df = clean.replace_values(df, {"No orders": "No"})
+    df = stage(clean.replace_values(df, {"No orders": "No"}))
     return features.AutoEncode.fit(df, clean.columns_of_kind(df, "text")).transform(df)
 
 
@@ -122,7 +122,7 @@ def with_split(df, parts, key="customer_id", stratum="label"):
         SELECT customer_id, label, split FROM parts""",
 )
 def split2(spark, sf):
-    return with_split(labeled(spark, sf).select("customer_id", "label"), TWO_WAY)
+    return with_split(stage(labeled(spark, sf).select("customer_id", "label")), TWO_WAY)
 
 
 @query(
@@ -130,7 +130,7 @@ def split2(spark, sf):
     f"WITH {SPLIT3_SQL} SELECT customer_id, label, split FROM parts",
 )
 def split3(spark, sf):
-    return with_split(labeled(spark, sf).select("customer_id", "label"), THREE_WAY)
+    return with_split(stage(labeled(spark, sf).select("customer_id", "label")), THREE_WAY)
 
 
 @query(
@@ -171,7 +171,7 @@ def validation_tail(spark, sf):
           round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM parts GROUP BY split""",
 )
 def split_profile(spark, sf):
-    df = with_split(labeled(spark, sf).select("customer_id", "label"), THREE_WAY)
+    df = with_split(stage(labeled(spark, sf).select("customer_id", "label")), THREE_WAY)
     return rounded(profile.split_profile(df, "label"), "rate", "share")
 
 
@@ -236,7 +236,7 @@ def standardize_full(spark, sf):
         FROM parts JOIN n ON l = label WHERE split = 'train'""",
 )
 def class_weights(spark, sf):
-    df = with_split(labeled(spark, sf).select("customer_id", "label"), THREE_WAY).where(F.col("split") == "train")
+    df = with_split(stage(labeled(spark, sf).select("customer_id", "label")), THREE_WAY).where(F.col("split") == "train")
     weighted = features.ClassWeights.fit(df, "label").transform(df, "label")
     return rounded(weighted.select("customer_id", "label", "weight"), "weight")
 

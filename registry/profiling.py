@@ -7,9 +7,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from outcomekit.functions import lenient_double, map_values
+from outcomekit.functions import any_substring, lenient_double, map_values
 from outcomekit.operators import profile, topk
-from outcomekit.session import scratch_dir
+from outcomekit.operators.clean import MedianFill
+from outcomekit.session import scratch_dir, stage
 from outcomekit.sources import CUSTOMER_SCHEMA, read_csv, write_csv
 from registry.core import CUSTOMERS_SQL, customers, query, table
 
@@ -127,7 +128,7 @@ def value_shares(spark, sf):
         FROM customers GROUP BY churn""",
 )
 def percent_labels(spark, sf):
-    shares = profile.value_shares(customers(spark, sf), "churn")
+    shares = profile.value_shares(stage(customers(spark, sf).select("churn")), "churn")
     return shares.select("value", "n", F.format_string("%.1f%%", F.col("share") * 100.0).alias("percent"))
 
 
@@ -219,9 +220,7 @@ def describe(spark, sf):
         FROM filled GROUP BY segment""",
 )
 def target_rate(spark, sf):
-    from outcomekit.operators.clean import MedianFill
-
-    df = labeled(spark, sf).select("segment", "label", "total_charges")
+    df = stage(labeled(spark, sf).select("segment", "label", "total_charges"))
     df = MedianFill.fit(df, ["total_charges"]).transform(df)
     rates = profile.class_rate(df, "label", by=["segment"])
     charges = df.groupBy("segment").agg(F.sum(F.col("total_charges").cast("decimal(18,2)")).alias("charges"))
@@ -279,7 +278,7 @@ def histogram(spark, sf):
     + "SELECT bin, round(bin_lo, 6) AS bin_lo, round(bin_hi, 6) AS bin_hi, n FROM counted",
 )
 def histogram_months(spark, sf):
-    return rounded(profile.histogram(customers(spark, sf), "tenure"), "bin_lo", "bin_hi")
+    return rounded(profile.histogram(stage(customers(spark, sf).select("tenure")), "tenure"), "bin_lo", "bin_hi")
 
 
 @query(
@@ -304,7 +303,8 @@ def density_hist(spark, sf):
                 round(n / (group_n * (bin_hi - bin_lo)), 9) AS density FROM counted""",
 )
 def density_by_outcome(spark, sf):
-    out = profile.histogram(customers(spark, sf), "tenure", by=["churn"], density=True)
+    rows = stage(customers(spark, sf).select("churn", "tenure"))
+    out = profile.histogram(rows, "tenure", by=["churn"], density=True)
     return rounded(rounded(out, "bin_lo", "bin_hi"), "density", digits=9)
 
 
@@ -372,8 +372,6 @@ def top_share(spark, sf):
         FROM ranked WHERE rk <= 15""",
 )
 def group_share(spark, sf):
-    from outcomekit.functions import any_substring
-
     values = part_value(spark, sf).withColumn("value", F.col("value").cast("double"))
     out = topk.share_of_group(values, "name", "value", any_substring("name", ["ring", "gear"]))
     return rounded(rounded(out, "group_share"), "head_total", "group_total", digits=2)
