@@ -8,8 +8,6 @@ grouped aggregation over it; no group is gathered in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -137,10 +135,6 @@ def report_text(report: DataFrame, digits: int = 4) -> DataFrame:
     return report.withColumn("line", text)
 
 
-def _same(by: Sequence[str], left: str, right: str) -> Column:
-    return reduce(and_, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in by])
-
-
 def score_points(
     scored: DataFrame,
     by: Sequence[str] = (),
@@ -201,44 +195,46 @@ def score_points(
     group = W.partitionBy(*keys)
     lower = group.orderBy(F.desc("bucket"))
     whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    after = []
     if with_next:
-        heads = counts.groupBy(*keys, "bucket").agg(F.max_by(F.struct("pos", "neg"), "score").alias("head"))
-        totals = totals.alias("a").join(heads.alias("h"), _same([*keys, "bucket"], "a", "h")).select("a.*", "h.head")
-        after = [F.lead("head").over(lower).alias("after")]
-    totals = totals.select(
+        head = F.max_by(F.struct("pos", "neg"), "score").alias("head")
+        totals = totals.unionByName(counts.groupBy(*keys, "bucket").agg(head), allowMissingColumns=True)
+        totals = totals.groupBy(*keys, "bucket").agg(
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.max("head").alias("head")
+        )
+    else:
+        totals = totals.withColumn("head", F.lit(None).cast("struct<pos:bigint,neg:bigint>"))
+    # One leading row per bucket brings in the sums of the buckets before it, so the totals
+    # need no join: the window's own shuffle brings them together.
+    leading = totals.select(
         *keys,
         "bucket",
-        (F.sum("pos").over(lower) - F.col("pos")).alias("base_pos"),
-        (F.sum("neg").over(lower) - F.col("neg")).alias("base_neg"),
+        F.lit(True).alias("leads"),
+        (F.sum("pos").over(lower) - F.col("pos")).alias("pos"),
+        (F.sum("neg").over(lower) - F.col("neg")).alias("neg"),
         F.sum("pos").over(whole).alias("n_pos"),
         F.sum("neg").over(whole).alias("n_neg"),
-        *after,
-    )
-    named = ["base_pos", "base_neg", "n_pos", "n_neg", *(["after"] if with_next else [])]
-    joined = (
-        counts.alias("p")
-        .join(totals.alias("t"), _same([*keys, "bucket"], "p", "t"))
-        .select("p.*", *[f"t.{c}" for c in named])
+        F.lead("head").over(lower).alias("after"),
     )
-    inside = W.partitionBy(*keys, "bucket").orderBy(down)
+    both = counts.withColumn("leads", F.lit(False)).unionByName(leading, allowMissingColumns=True)
+    inside = W.partitionBy(*keys, "bucket").orderBy(F.desc("leads"), down)
     following = []
     if with_next:
-        following = [
-            F.coalesce(F.lead(c).over(inside), F.col(f"after.{c}")).alias(f"next_{c}") for c in ("pos", "neg")
-        ]
-    return joined.select(
+        after = F.first("after").over(inside)
+        following = [F.coalesce(F.lead(c).over(inside), after[c]).alias(f"next_{c}") for c in ("pos", "neg")]
+    summed = both.select(
         *by,
+        "leads",
         "score",
         "pos",
         "neg",
         *carried,
-        (F.col("base_pos") + F.sum("pos").over(inside)).alias("cum_pos"),
-        (F.col("base_neg") + F.sum("neg").over(inside)).alias("cum_neg"),
-        "n_pos",
-        "n_neg",
+        F.sum("pos").over(inside).alias("cum_pos"),
+        F.sum("neg").over(inside).alias("cum_neg"),
+        F.first("n_pos").over(inside).alias("n_pos"),
+        F.first("n_neg").over(inside).alias("n_neg"),
         *following,
     )
+    return summed.where(~F.col("leads")).drop("leads")
 
 
 def _is_first() -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from outcomekit.functions import draw
 from outcomekit.session import stage
 
-LEAF_ROWS = 2_048
+LEAF_ROWS = 4_096
 MAX_LEAVES = 4_096
 TILE_ROWS = 4_096
 SAMPLE_PER_LEAF = 32
