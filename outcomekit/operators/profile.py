@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomekit.operators.quantiles import exact_medians
-from outcomekit.session import small_table
+from outcomekit.session import join_groups, small_table
 
 
 def _long(row_df: DataFrame, names: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -73,7 +73,7 @@ def value_shares(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     counts = value_counts(df, column, by)
     totals = counts.groupBy(*by).agg(F.sum("n").alias("group_n"))
     if by:
-        joined = counts.join(small_table(totals), list(by))
+        joined = join_groups(counts, small_table(totals), by)
     else:
         joined = counts.withColumn("group_n", F.lit(totals.first()["group_n"]))
     return joined.withColumn("share", F.col("n") / F.col("group_n"))
@@ -183,7 +183,7 @@ def histogram(
     )
     stats = small_table(stats)
     if by:
-        ranged = rows.join(stats, by)
+        ranged = join_groups(rows, stats, by)
     else:
         got = stats.first()
         if got is None:
@@ -204,7 +204,7 @@ def histogram(
         .agg(F.count("*").alias("n"))
     )
     ladder = stats.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
-    out = ladder.join(counts, [*by, "bin"], "left").select(
+    out = join_groups(ladder, counts, [*by, "bin"], "left").select(
         *by,
         F.col("bin").cast("bigint").alias("bin"),
         _edge(F.col("bin"), lo, hi, bins).alias("bin_lo"),

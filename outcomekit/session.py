@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,3 +92,10 @@ def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     if rows.num_rows == 0:
         return df.limit(0)
     return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+
+
+def join_groups(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal columns where NULL equals NULL, so that a group without a name is kept."""
+    marked = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(marked, same, how).drop(*[f"_right_{c}" for c in on])

@@ -62,6 +62,14 @@ def test_density_histogram_has_bins_per_group(spark):
         assert [r.density for r in got if r.g == g] == pytest.approx(density.tolist())
 
 
+def test_groups_without_a_name_are_kept(spark):
+    df = spark.createDataFrame([(None, 1.0, "a"), (None, 2.0, "b"), ("g", 5.0, "a")], "g string, x double, v string")
+    shares = {(r.g, r.value): r.share for r in profile.value_shares(df, "v", ["g"]).collect()}
+    assert shares == {(None, "a"): 0.5, (None, "b"): 0.5, ("g", "a"): 1.0}
+    bins = profile.histogram(df, "x", 2, by=["g"]).orderBy("g", "bin").collect()
+    assert [(r.g, r.n) for r in bins] == [(None, 1), (None, 1), ("g", 0), ("g", 1)]
+
+
 def test_histogram_of_nothing_is_empty(spark):
     assert profile.histogram(spark.createDataFrame([], "x double"), "x").count() == 0
 
