@@ -15,8 +15,8 @@ from outcomekit.operators import evaluate as ev, explain, features, models, topk
 from outcomekit.plans import recipes
 from outcomekit.session import scratch_dir, stage
 from registry.core import customers, draw_sql, query
-from registry.preparing import FILLED_SQL, filled
-from registry.profiling import rounded
+from registry.preparing import FILLED_SQL, filled, split_sql
+from registry.profiling import LABELED_SQL, rounded
 
 # A scorecard over the customer columns.
 WEIGHTS = {
@@ -406,6 +406,30 @@ def model_save(spark, sf):
     return _test_record(spark, data, {"reloaded": models.load_model(path, spark)})
 
 
+def _sizes_sql(recipe: recipes.Recipe) -> str:
+    """Rows and positives of each part, and of the rows that models are trained on."""
+    stratum = "label" if recipe.stratify else None
+    kept = "total_charges IS NOT NULL" if recipe.null_policy == "drop" else "true"
+    most = "2 * greatest(count(*) FILTER (WHERE label = 0), count(*) FILTER (WHERE label = 1))"
+    grown = recipe.balance in ("smote", "both")
+    return f"""WITH {LABELED_SQL}, kept_rows AS (SELECT customer_id, label FROM labeled WHERE {kept}),
+          parts AS ({split_sql("kept_rows", "customer_id", dict(recipe.parts), stratum)})
+        SELECT split AS part, count(*) AS n_rows, count(*) FILTER (WHERE label = 1) AS positives FROM parts GROUP BY split
+        UNION ALL SELECT 'trained on', {most if grown else "count(*)"},
+          {most + " // 2" if grown else "count(*) FILTER (WHERE label = 1)"} FROM parts WHERE split = 'train'"""
+
+
+def _register_sizes(name):
+    @query(f"recipe_sizes_{name}", _sizes_sql(recipes.RECIPES[name]))
+    def sizes(spark, sf):
+        data = recipes.prepare(customers(spark, sf), recipes.RECIPES[name])
+        trained = data.resampled.select(F.lit("trained on").alias("part"), "label")
+        rows = data.table.select(F.col("split").alias("part"), "label").unionByName(trained)
+        return rows.groupBy("part").agg(F.count("*").alias("n_rows"), F.count_if(F.col("label") == 1).alias("positives"))
+
+    return sizes
+
+
 def _register(name):
     @query(f"recipe_{name}")
     def run(spark, sf):
@@ -415,4 +439,5 @@ def _register(name):
 
 
 for _name in recipes.RECIPES:
+    _register_sizes(_name)
     _register(_name)
