@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 SKETCH_ACCURACY = 10_000
 # Twice the rank error the sketch allows, on either side of the wanted rank.
 BRACKET_SLACK = 2.0 / SKETCH_ACCURACY
-BRACKET_VALUES = 1_000_000
+BRACKET_VALUES = 200_000
 
 Bounds = dict[str, tuple]
 
