@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from outcomekit.llm import recompress
+from outcomekit.llm import jaccard, recompress
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, coalesce(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w
+        FROM documents),
+    sets AS (
+        SELECT DISTINCT doc_id, md5(array_to_string(list_slice(w, p, p + 3), ' ')) AS shingle
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS p FROM words)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+    pairs AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+        FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+        WHERE 100 * o >= 85 * (x.n + y.n - o)),
+    both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+    reach AS (
+        SELECT a AS doc_id, b AS other FROM both_ways
+        UNION
+        SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+    lowest AS (SELECT doc_id, min(other) AS low FROM reach GROUP BY doc_id)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+    FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)
+    """
+)
+def op4_t_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 @query(
     """
     WITH words AS (
@@ -37,14 +69,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM words)),
     firsts AS (SELECT name, min(doc_id) AS first_doc FROM begins GROUP BY name),
     gone AS (
-        SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS at
+        SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS place
         FROM begins JOIN firsts USING (name) WHERE first_doc < doc_id),
-    marks AS (SELECT doc_id, list(at) AS ats FROM gone GROUP BY doc_id),
+    marks AS (SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id),
     kept AS (
-        SELECT doc_id, len(w) AS n, coalesce(len(ats), 0) AS removed,
-               CASE WHEN ats IS NULL THEN w
+        SELECT doc_id, len(w) AS n, coalesce(len(places), 0) AS removed,
+               CASE WHEN places IS NULL THEN w
                     ELSE list_transform(
-                        list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ats, i)),
+                        list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)),
                         lambda i: w[i]) END AS left_over
         FROM words LEFT JOIN marks USING (doc_id))
     SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(removed AS BIGINT) AS n_removed,
