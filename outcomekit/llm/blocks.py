@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from outcomekit.llm.text import find_words, text_bytes
 from outcomekit.session import scratch_dir
@@ -186,7 +187,7 @@ def by_bucket(given: list[dict] | None) -> list[bytes]:
 
 
 def per_block(
-    blocks: DataFrame, work: Callable[[dict], Iterator[pa.RecordBatch] | list[pa.RecordBatch]], schema: str
+    blocks: DataFrame, work: Callable[[dict], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """Rows that ``work`` makes of each block, one block at a time."""
     names = blocks.columns
@@ -197,3 +198,15 @@ def per_block(
                 yield from work({c: batch.column(k)[i].as_py() for k, c in enumerate(names)})
 
     return blocks.mapInArrow(run, schema)
+
+
+def kept_rows(known: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of blocks (payload, ``gone``: places to leave out), with the columns that were packed."""
+
+    def choose(row: dict) -> Iterator[pa.RecordBatch]:
+        batch = open_payload(row["payload"])
+        keep = np.ones(batch.num_rows, bool)
+        keep[row["gone"] or []] = False
+        yield batch.filter(pa.array(keep))
+
+    return per_block(known, choose, schema)

@@ -37,6 +37,7 @@ from outcomekit.llm.blocks import (
     bucket_count,
     by_bucket,
     deflate,
+    kept_rows,
     open_payload,
     pack,
     per_block,
@@ -57,7 +58,7 @@ SHINGLES_PER_TASK = 1_000_000
 MU = 0.0085
 
 DOC_SCHEMA = (
-    "doc_id long, n_shingles long, class binary, prefix array<long>, shingles binary"
+    "block long, place long, doc_id long, n_shingles long, class binary, prefix array<long>, shingles binary"
 )
 
 
@@ -66,8 +67,8 @@ class Sets:
 
     def __init__(self, payload: bytes, size: int) -> None:
         batch = open_payload(payload)
-        self.ids = [None if x is None else int(x) for x in batch.column("doc_id").to_pylist()]
-        data, offsets = text_bytes(batch.column("text"))
+        self.ids = batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64())
+        data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         data = LOWER[data]
         spans = find_words(data, offsets)
         words = word_hashes(data, spans)
@@ -126,13 +127,12 @@ def read_levels(given: list[bytes], bounds: np.ndarray) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint8)
 
 
-def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Staged rows of DOC_SCHEMA, one per document.
+def shingle_sets(blocks: DataFrame, size: int, percent: int) -> DataFrame:
+    """Staged rows of DOC_SCHEMA, one per document of ``blocks``.
 
     ``class`` names the set, where another document shares a shingle of the prefix. The first document
     of a class in its block also has the shared shingles of its prefix and the whole set.
     """
-    blocks = to_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     n = bucket_count(blocks)
 
     def ask_levels(row: dict) -> Iterator[tuple[int, bytes]]:
@@ -172,13 +172,15 @@ def shingle_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
             wholes.append(sets.shingles[sets.bounds[i] : sets.bounds[i + 1]].tobytes() if first else None)
         yield pa.record_batch(
             [
-                pa.array(sets.ids, pa.int64()),
+                pa.array(np.full(len(keys), row["block"])),
+                pa.array(np.arange(len(keys))),
+                sets.ids,
                 pa.array(sets.sizes, pa.int64()),
                 pa.array(classes, pa.binary()),
                 pa.array(prefixes, pa.list_(pa.int64())),
                 pa.array(wholes, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "class", "prefix", "shingles"],
+            names=["block", "place", "doc_id", "n_shingles", "class", "prefix", "shingles"],
         )
 
     known = with_answers(blocks, answer(ask(blocks, ask_levels), frequency_levels), "levels")
@@ -254,10 +256,12 @@ def search(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("a", "part").applyInArrow(compare, f"a {node}, b {node}")
 
 
-def jaccard_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """Per document: doc_id, n_shingles and component_id."""
-    sets = shingle_sets(docs, size, percent)
-    named = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("first"), F.col("class"))
+def grouped(blocks: DataFrame, size: int, percent: int) -> DataFrame:
+    """Rows block, place, doc_id, n_shingles and group, null for a document that no other is like.
+
+    The group is its smallest class, (first doc_id, name).
+    """
+    sets = shingle_sets(blocks, size, percent)
     firsts = sets.where("class IS NOT NULL").groupBy("class").agg(
         F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("first")
     )
@@ -307,18 +311,30 @@ def jaccard_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     pairs = stage(pairs.join(tested.union(again), ["a", "b"], "left_anti"))
     roots = connect(links.union(search(pairs, classes, percent)))
 
-    named_classes = classes.select("node").join(roots, "node", "left").select(
-        F.col("node.class").alias("class"), F.coalesce("root", "node").getField("first").alias("found")
+    groups = classes.select("node").join(roots, "node", "left").select(
+        F.col("node.class").alias("class"), F.coalesce("root", "node").alias("group")
     )
-    out = sets.select("doc_id", "n_shingles", "class").join(named_classes, "class", "left")
-    own = F.coalesce(F.col("found"), F.coalesce("doc_id", F.lit(NO_ID)))
-    return out.select(
+    return sets.select("block", "place", "doc_id", "n_shingles", "class").join(groups, "class", "left").drop("class")
+
+
+def jaccard_groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles and component_id."""
+    blocks = to_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    own = F.coalesce(F.col("group.first"), "doc_id", F.lit(NO_ID))
+    return grouped(blocks, size, percent).select(
         "doc_id", "n_shingles", F.when(own != NO_ID, own).alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each group: the one whose ``doc_id`` names it."""
-    groups = jaccard_groups(docs.select("doc_id", "text"), size, percent)
-    spare = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(spare, "doc_id", "left_anti")
+    """``docs`` with one row of each group, all columns kept: the first by doc_id, null last."""
+    blocks = to_blocks(docs)
+    rows = stage(grouped(blocks, size, percent).where("group IS NOT NULL"))
+    mine = F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "block", "place")
+    first = rows.groupBy("group").agg(F.min(mine).alias("first"))
+    spare = rows.join(first, "group").where(
+        (F.col("block") != F.col("first.block")) | (F.col("place") != F.col("first.place"))
+    )
+    gone = spare.groupBy("block").agg(F.collect_list("place").alias("gone"))
+    known = blocks.select("block", "payload").join(gone.hint("shuffle_hash"), "block", "left")
+    return kept_rows(known, docs.schema)

@@ -5,9 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from outcomekit.llm import jaccard, recompress
+from outcomekit.llm import (
+    extract,
+    jaccard,
+    mixing,
+    perplexity,
+    pii,
+    pstable,
+    recompress,
+    sharding,
+    tiling,
+    url_rules,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +37,92 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes, copies together where a shard has room."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
+def _weights(level: str) -> str:
+    cases = " ".join(f"WHEN {level} = '{name}' THEN {w}" for name, w in mixing.WEIGHTS[level].items())
+    return f"CASE {cases} ELSE 1 END"
+
+
+def _share(depth: int) -> str:
+    """One level of the tree: what each node gets of its parent's budget."""
+    level, parents = mixing.LEVELS[depth], ", ".join(mixing.LEVELS[:depth])
+    by = f"PARTITION BY {parents}" if parents else ""
+    keys = ", ".join(mixing.LEVELS[: depth + 1])
+    budget = (
+        f"(SELECT sum(tokens) * {mixing.BUDGET_PERCENT} // 100 FROM leaf)" if not depth else "given"
+    )
+    source = "leaf" if not depth else f"leaf JOIN (SELECT {parents}, given FROM share{depth - 1}) USING ({parents})"
+    more = ", given" if depth else ""
+    return f"""
+    node{depth} AS (
+        SELECT *, cap::DOUBLE / weight::DOUBLE AS ratio FROM (
+            SELECT {keys}, sum(tokens)::HUGEINT * {mixing.MAX_EPOCHS} AS cap, {_weights(level)}::HUGEINT AS weight,
+                   {budget}::HUGEINT AS budget
+            FROM {source} GROUP BY {keys}{more})),
+    full{depth} AS (
+        SELECT *, cap * sum(weight) OVER ({by} ORDER BY ratio, {level} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+                  <= weight * (budget - coalesce(sum(cap) OVER (
+                      {by} ORDER BY ratio, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS is_full
+        FROM node{depth}),
+    rest{depth} AS (
+        SELECT *, budget - coalesce(sum(cap) FILTER (is_full) OVER ({by}), 0) AS rest,
+               sum(weight) FILTER (NOT is_full) OVER ({by}) AS open_weight
+        FROM full{depth}),
+    part{depth} AS (
+        SELECT *, CASE WHEN NOT is_full THEN rest * weight // open_weight END AS part,
+               row_number() OVER ({by} ORDER BY is_full, {level}) AS place
+        FROM rest{depth}),
+    share{depth} AS (
+        SELECT {keys}, CASE WHEN is_full THEN cap
+                            ELSE part + (place <= rest - sum(part) OVER ({by}))::INT END AS given
+        FROM part{depth})"""
+
+
+@query(
+    rf"""
+    WITH tokens AS (
+        SELECT doc_id, CASE WHEN digit IN ('0', '4', '8') THEN 'web' WHEN digit IN ('1', '5', '9') THEN 'books'
+                            WHEN digit IN ('2', '6') THEN 'forums' WHEN digit IN ('3', '7') THEN 'news'
+                            ELSE 'other' END AS domain,
+               coalesce(lang, '') AS lang, coalesce(source, '') AS source, n_tokens
+        FROM (SELECT *, regexp_extract(source, '([0-9])$', 1) AS digit,
+                     coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens
+              FROM documents)),
+    leaf AS (
+        SELECT domain, lang, source, sum(n_tokens) AS tokens FROM tokens GROUP BY ALL HAVING sum(n_tokens) > 0),
+    {",".join(_share(d) for d in range(3))},
+    plan AS (
+        SELECT domain, lang, source, given // tokens AS whole, given % tokens AS over
+        FROM leaf JOIN share2 USING (domain, lang, source)),
+    keyed AS (
+        SELECT *, md5(concat_ws(':', '11', (whole + 1)::VARCHAR, doc_id::VARCHAR)) AS key
+        FROM tokens JOIN plan USING (domain, lang, source)),
+    running AS (
+        SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key) AS upto FROM keyed)
+    SELECT doc_id, domain, lang, source, CAST(n_tokens AS BIGINT) AS n_tokens,
+           CAST(unnest(range(1, 1 + (whole + (over > 0 AND upto <= over)::INT)::BIGINT)) AS INT) AS epoch
+    FROM running
+    """
+)
+def op2_hierarchical_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents chosen to the weights of the domain, language and source tree, a row for each pass."""
+    mixed = mixing.mixed_tokens(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+@query()
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of trusted text, and which are rejected."""
+    return perplexity.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query(
     r"""
     WITH RECURSIVE words AS (
@@ -59,6 +155,25 @@ def op4_t_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: by the fixed rules, else by rules mined from labels."""
+    labels = url_rules.bad_pages(table(spark, sf_dir, "labels"))
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), labels)
+
+
+@query()
+def op6_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_skip_chain_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("redacted")
+
+
 @query(
     """
     WITH words AS (
@@ -88,3 +203,32 @@ def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of passages of 13 words or more that begin in an earlier document, removed."""
     cut = recompress.cut_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the items and their coverage."""
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    """
+    WITH RECURSIVE vectors AS (
+        SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+        ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9),
+    reach AS (
+        SELECT a AS vec_id, b AS other FROM links
+        UNION
+        SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+    degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+    lowest AS (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id)
+    SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+           vec_id <= coalesce(low, vec_id) AS kept
+    FROM vectors LEFT JOIN degree USING (vec_id) LEFT JOIN lowest USING (vec_id)
+    """
+)
+def op10_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9 or more."""
+    return pstable.cosine_groups(table(spark, sf_dir, "embeddings"))
