@@ -11,9 +11,10 @@ Method
     DivideSkip merges the short ones and probes the long ones by binary search for documents that
     have been found often enough, and classes that reach the required overlap are linked.
 
-    Two rounds query one class of each list against the others and join what is linked. Only pairs of
-    one list whose classes are in different components after that are queried as well. So no link
-    between components is lost, and a group of near copies costs queries in proportion to its size.
+    The first round queries the smallest class of each list, its hub, against the other classes of its
+    lists, and joins what is linked. The second queries the classes that are then in another component
+    than their hub against all classes of the hub's lists. Two classes of one list are in one hub's
+    lists, so no link between components is lost, while near copies of a hub cost one query.
 
 Defined cases
     Null, empty and blank texts have no shingles and link with nothing. A component is named by its
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.llm.blocks import (
@@ -187,39 +188,44 @@ def shingle_sets(blocks: DataFrame, size: int, percent: int) -> DataFrame:
     return stage(per_block(known, choose, DOC_SCHEMA))
 
 
-def divide_skip(query: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
-    """Places of the sets whose Jaccard similarity with ``query`` is at least ``percent`` / 100."""
-    least = int(needed(len(query), percent))
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    entries = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    at = np.searchsorted(query, entries)
-    known = at < len(query)
-    known[known] = query[at[known]] == entries[known]
-    lists, owner = at[known], owner[known]
-    # Inverted lists: for each shingle of the query, ascending places of the sets that have it.
-    order = np.argsort(lists, kind="stable")
-    lists, owner = lists[order], owner[order]
-    lengths = np.bincount(lists, minlength=len(query))
-    longest = max(int(lengths.max(initial=1)), 2)
-    n_long = min(int(least / (MU * np.log2(longest) + 1)), max(least - 1, 0))
-    by_length = np.argsort(-lengths, kind="stable")
-    is_long = np.zeros(len(query), bool)
-    is_long[by_length[:n_long]] = True
-    # The short lists are sorted runs; merging them puts the entries of a set side by side.
-    merged = np.sort(owner[~is_long[lists]], kind="stable")
-    found, overlap = np.unique(merged, return_counts=True)
-    enough = overlap >= least - n_long
-    found, overlap = found[enough], overlap[enough].astype(np.int64)
-    ends = np.cumsum(lengths)
-    for k in by_length[:n_long]:
-        run = owner[ends[k] - lengths[k] : ends[k]]
-        if len(run) == 0 or len(found) == 0:
-            break
-        spot = np.minimum(np.searchsorted(run, found), len(run) - 1)
-        overlap += run[spot] == found
-    union = len(query) + sizes[found] - overlap
-    return [int(x) for x in found[100 * overlap >= percent * union]]
+class Inverted:
+    """Inverted lists over sets: for each shingle, ascending places of the sets that have it."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        entries = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        order = np.argsort(entries, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets)), self.sizes)[order]
+        self.names, self.starts, self.lengths = np.unique(entries[order], return_index=True, return_counts=True)
+
+    def divide_skip(self, query: np.ndarray, percent: int) -> np.ndarray:
+        """Places of the sets whose Jaccard similarity with ``query`` is at least ``percent`` / 100."""
+        least = int(needed(len(query), percent))
+        at = np.searchsorted(self.names, query)
+        known = at < len(self.names)
+        known[known] = self.names[at[known]] == query[known]
+        at = at[known]
+        if len(at) < least:
+            return np.zeros(0, np.int64)
+        starts, lengths = self.starts[at], self.lengths[at]
+        n_long = min(int(least / (MU * np.log2(max(int(lengths.max()), 2)) + 1)), least - 1)
+        by_length = np.argsort(lengths, kind="stable")
+        short, long = by_length[: len(at) - n_long], by_length[len(at) - n_long :]
+        # The short lists are sorted runs; merged, the entries of a set stand side by side and are counted.
+        total = lengths[short]
+        begin = np.concatenate([[0], np.cumsum(total)[:-1]]) if len(short) else total
+        merged = np.arange(int(total.sum())) - np.repeat(begin, total) + np.repeat(starts[short], total)
+        counts = np.bincount(self.owner[merged], minlength=len(self.sizes))
+        found = np.flatnonzero((counts > 0) & (counts >= least - n_long))
+        overlap = counts[found]
+        # A set of the short lists may still lack overlap: the long lists are probed for it.
+        for k in long[::-1].tolist():
+            if len(found) == 0:
+                break
+            run = self.owner[starts[k] : starts[k] + lengths[k]]
+            spot = np.minimum(np.searchsorted(run, found), len(run) - 1)
+            overlap = overlap + (run[spot] == found)
+        return found[100 * overlap >= percent * (len(query) + self.sizes[found] - overlap)]
 
 
 def search(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -248,7 +254,7 @@ def search(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
         own = partners.index(asked)
         others = [i for i in range(len(partners)) if i != own]
-        hits = divide_skip(arrays[own], [arrays[i] for i in others], percent)
+        hits = Inverted([arrays[i] for i in others]).divide_skip(arrays[own], percent).tolist()
         kept = table.select(["a", "b"]).take(pa.array([others[h] for h in hits], pa.int64()))
         return kept
 
@@ -256,6 +262,63 @@ def search(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("a", "part").applyInArrow(compare, f"a {node}, b {node}")
 
 
+def search_rest(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among ``members`` (hub, node, root, away) of one hub, where ``away`` marks the queries.
+
+    Every query meets all members of its hub. Members and queries are dealt into parts of bounded size,
+    a task for each pair of parts. A task gives no more links than it joins components.
+    """
+    sets = classes.select("node", F.col("n_shingles").alias("n"), "shingles")
+    sizes = members.join(sets.select("node", "n"), "node").groupBy("hub").agg(
+        *[
+            F.greatest(F.ceil(F.sum(n) / SHINGLES_PER_TASK), F.lit(1)).cast("int").alias(name)
+            for n, name in ((F.col("n"), "parts"), (F.when(F.col("away"), F.col("n")), "turns"))
+        ]
+    )
+    sizes = stage(sizes.where("turns IS NOT NULL"))
+    dealt = members.join(sizes, "hub").withColumn("lot", F.xxhash64("node"))
+    each = "hub", "node", "root"
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    held = dealt.select(
+        *each, F.lit(False).alias("asks"), F.pmod("lot", F.col("parts")).cast("int").alias("part"), every("turns").alias("turn")
+    )
+    asking = dealt.where("away").select(
+        *each, F.lit(True).alias("asks"), every("parts").alias("part"), F.pmod("lot", F.col("turns")).cast("int").alias("turn")
+    )
+    rows = held.union(asking).join(sets.select("node", "shingles"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        asks = table.column("asks").to_numpy()
+        arrays = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("shingles")]
+        roots = [tuple(r.values()) for r in table.column("root").to_pylist()]
+        joined = {r: r for r in roots}
+
+        def top(r: tuple) -> tuple:
+            while joined[r] != r:
+                joined[r] = joined[joined[r]]
+                r = joined[r]
+            return r
+
+        places = np.flatnonzero(~asks)
+        index = Inverted([arrays[i] for i in places])
+        a, b = [], []
+        for q in np.flatnonzero(asks).tolist():
+            for i in places[index.divide_skip(arrays[q], percent)].tolist():
+                x, y = top(roots[q]), top(roots[i])
+                if x != y:
+                    joined[x] = y
+                    a.append(q)
+                    b.append(i)
+        nodes = table.column("node").combine_chunks()
+        return pa.table({"a": nodes.take(pa.array(a, pa.int64())), "b": nodes.take(pa.array(b, pa.int64()))})
+
+    node = classes.schema["node"].dataType.simpleString()
+    return rows.groupBy("hub", "part", "turn").applyInArrow(compare, f"a {node}, b {node}")
+
+
 def grouped(blocks: DataFrame, size: int, percent: int) -> DataFrame:
     """Rows block, place, doc_id, n_shingles and group, null for a document that no other is like.
 
@@ -274,42 +337,23 @@ def grouped(blocks: DataFrame, size: int, percent: int) -> DataFrame:
     entries = classes.select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("shingle"))
     several = entries.groupBy("shingle").agg(F.count("*").alias("k")).where("k > 1").select("shingle")
     entries = stage(entries.join(several, "shingle"))
+    # A list's hub is its smallest class. Two classes of one list are both members of its hub.
+    hubs = entries.groupBy("shingle").agg(F.min(F.struct("node", "n")).alias("hub"))
+    members = stage(
+        entries.join(hubs, "shingle")
+        .select(F.col("hub.node").alias("hub"), F.col("hub.n").alias("m"), "node", "n")
+        .distinct()
+    )
     like = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-
-    def starred(lists: DataFrame) -> DataFrame:
-        """Each list's smallest class against the classes of its other components."""
-        hub = lists.groupBy("shingle").agg(F.min(F.struct("node", "root", "n")).alias("hub"))
-        hub = hub.select(
-            "shingle", F.col("hub.node").alias("a"), F.col("hub.root").alias("of"), F.col("hub.n").alias("m")
-        )
-        met = lists.join(hub, "shingle").where((F.col("root") != F.col("of")) & like)
-        return met.select("a", F.col("node").alias("b")).distinct()
-
-    def split(lists: DataFrame) -> DataFrame:
-        """Lists that still hold more than one component."""
-        apart = lists.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        return lists.join(apart.where("low <> high").select("shingle"), "shingle")
-
-    def labelled(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-        roots = connect(found)
-        lists = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        return roots, stage(split(lists))
-
-    lists = entries.withColumn("root", F.col("node"))
-    tested = stage(starred(lists))
-    links = stage(search(tested, classes, percent))
-    roots, lists = labelled(links)
-    # The second round leaves out the component of the first round's query in each list.
-    low = lists.groupBy("shingle").agg(F.min(F.struct("node", "root")).alias("x"))
-    rest = lists.join(low.select("shingle", F.col("x.root").alias("of")), "shingle").where("root <> of").drop("of")
-    again = stage(starred(rest))
-    links = stage(links.union(search(again, classes, percent)))
-    roots, lists = labelled(links)
-    one = lists.select("shingle", F.col("node").alias("a"), F.col("root").alias("of"), F.col("n").alias("m"))
-    across = one.join(lists, "shingle").where((F.col("a") < F.col("node")) & (F.col("root") != F.col("of")) & like)
-    pairs = across.select("a", F.col("node").alias("b")).distinct()
-    pairs = stage(pairs.join(tested.union(again), ["a", "b"], "left_anti"))
-    roots = connect(links.union(search(pairs, classes, percent)))
+    near = members.where((F.col("hub") != F.col("node")) & like)
+    links = stage(search(near.select(F.col("hub").alias("a"), F.col("node").alias("b")), classes, percent))
+    roots = connect(links)
+    known = members.select("hub", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of_hub = known.where("hub = node").select("hub", F.col("root").alias("of"))
+    known = known.join(of_hub, "hub").withColumn("away", F.col("root") != F.col("of")).drop("of")
+    apart = known.where("away").select("hub").distinct()
+    rest = stage(known.join(apart, "hub"))
+    roots = connect(links.union(search_rest(rest, classes, percent)))
 
     groups = classes.select("node").join(roots, "node", "left").select(
         F.col("node.class").alias("class"), F.coalesce("root", "node").alias("group")

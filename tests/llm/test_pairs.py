@@ -109,8 +109,9 @@ def expected_groups(rows, size, percent):
     return sorted(((i, len(s), lowest.get(find(k))) for k, (i, s) in enumerate(sets)), key=str)
 
 
-@pytest.mark.parametrize(("size", "percent"), [(4, 85), (5, 80), (1, 50)])
-def test_groups_equal_brute_force(spark, corpus, size, percent):
+@pytest.mark.parametrize(("size", "percent", "task"), [(4, 85, 10**6), (5, 80, 300), (1, 50, 500)])
+def test_groups_equal_brute_force(spark, corpus, monkeypatch, size, percent, task):
+    monkeypatch.setattr(jaccard, "SHINGLES_PER_TASK", task)
     rows = corpus + [(None, corpus[70][1]), (None, "quite alone"), (corpus[5][0], "the same id again")]
     got = jaccard.jaccard_groups(frame(spark, rows), size, percent).collect()
     assert sorted((tuple(r) for r in got), key=str) == expected_groups(rows, size, percent)
@@ -136,7 +137,8 @@ def test_divide_skip_equals_counting():
             for _ in range(rng.randint(0, 15)):
                 s ^= {rng.randrange(200)}
             sets.append(sorted(s))
-        got = jaccard.divide_skip(np.array(query, np.uint64), [np.array(s, np.uint64) for s in sets], 80)
+        index = jaccard.Inverted([np.array(s, np.uint64) for s in sets])
+        got = index.divide_skip(np.array(query, np.uint64), 80).tolist()
         want = [k for k, s in enumerate(sets) if s and 100 * len({*s} & {*query}) >= 80 * len({*s} | {*query})]
         assert got == want
 
