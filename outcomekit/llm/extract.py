@@ -49,6 +49,8 @@ BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5"
     " h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: Elements whose opening tag ends an open paragraph.
+ENDS_P = BLOCKS | frozenset("aside dialog footer form menu nav".split())
 #: Elements that an opening tag ends: the key's own kind, up to the nearest of the values.
 ENDS_ITSELF = {
     "li": frozenset({"ul", "ol"}),
@@ -139,7 +141,7 @@ def parse(html: str) -> list[Element]:
             while stack[depth].tag != "head":
                 depth -= 1
             close(depth)
-        if tag in BLOCKS and opened["p"]:
+        if tag in ENDS_P and opened["p"]:
             depth = len(stack) - 1
             while stack[depth].tag != "p":
                 depth -= 1

@@ -1,12 +1,13 @@
 """URLs judged by fixed rules, and elsewhere by association rules mined from labelled URLs.
 
 Method
-    A URL is a set of tokens: scheme, labels of the host and words in them, the end of the host, path
-    segments with digits folded, names of query fields. FP-growth finds combinations of tokens that
-    often occur in labelled URLs together with the label ``bad``. A combination becomes a rule if it
-    has the support and the confidence asked for, and is dropped if a part of it is a rule of at least
-    the same confidence. Rules are filed under their rarest token, an inverted index; a URL looks up
-    its tokens and is blocked if it has all tokens of a rule found.
+    A URL is a set of tokens: scheme, the last two labels of the host, the labels before them, words
+    in those with a hyphen or digits, path segments with digits folded, names of query fields. Tokens
+    of nearly every labelled URL tell nothing and are left out. FP-growth finds combinations of the
+    others that often occur in labelled URLs together with the label ``bad``. A combination becomes a
+    rule if it has the support and the confidence asked for, and is dropped if a part of it is a rule
+    of at least the same confidence. Rules are filed under their rarest token, an inverted index; a URL
+    looks up its tokens and is blocked if it has all tokens of a rule found.
 
     A fixed rule (host, path) fits the host and its subdomains if the path starts with the rule's; the
     longest that fits decides before any mined rule.
@@ -41,6 +42,10 @@ RULES = (
 )
 BAD, GOOD = "=bad", "=good"
 MIN_SUPPORT = 0.0005
+#: Bad URLs that a rule must hold for, however few are labelled.
+MIN_COUNT = 10
+#: Part of the labelled URLs above which a token tells nothing.
+COMMON = 0.9
 MIN_CONFIDENCE = 0.8
 #: Most labelled URLs that the rules are mined from; beyond it a sample by hash of about that many.
 MAX_LABELLED = 2_000_000
@@ -71,12 +76,13 @@ def url_tokens(url: str = "url") -> Column:
         return F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.concat(F.lit(kind), x))
 
     host, path = F.col("host"), F.translate(F.col("path"), UPPER, LOWER)
-    labels = F.split(host, r"\.")
+    before = F.split(F.regexp_replace(host, r"\.?[^.]+\.[^.]+$", ""), r"\.")
+    mixed = F.filter(before, lambda x: x.rlike("[-_0-9]"))
     query = F.regexp_extract_all(F.coalesce(F.col(url), F.lit("")), F.lit(r"[?&]([A-Za-z0-9_.\-]+)="), F.lit(1))
     parts = [
         named("scheme ", F.array(F.coalesce(F.regexp_extract(url, r"(?s)^(.*?)://", 1), F.lit("")))),
-        named("label ", labels),
-        named("word ", F.filter(F.flatten(F.transform(labels, lambda x: F.split(x, "[-_0-9]+"))), lambda x: F.length(x) > 2)),
+        named("label ", before),
+        named("word ", F.filter(F.flatten(F.transform(mixed, lambda x: F.split(x, "[-_0-9]+"))), lambda x: F.length(x) > 2)),
         named("end ", F.array(F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1))),
         named("path ", F.transform(F.split(path, "/"), lambda x: F.regexp_replace(x, "[0-9]+", "0"))),
         named("field ", query),
@@ -103,9 +109,11 @@ def mine_rules(
         return empty
     # A rule's support is the part of URLs with its items and the label, so items rarer than that in bad
     # URLs cannot be in one, and need not be searched.
-    floor = max(1, int(min_support * (kinds.bad + kinds.good)))
-    bad = labelled.where("bad").select(F.explode("tokens").alias("item"))
-    often = bad.groupBy("item").count().where(F.col("count") >= floor).select("item")
+    known = kinds.bad + kinds.good
+    floor = max(MIN_COUNT, int(min_support * known))
+    tokens = labelled.select("bad", F.explode("tokens").alias("item"))
+    often = tokens.groupBy("item").agg(F.count("*").alias("n"), F.count_if("bad").alias("k"))
+    often = often.where((F.col("k") >= floor) & (F.col("n") <= known * COMMON)).select("item")
     rows = labelled.withColumn("id", F.monotonically_increasing_id())
     rows = stage(rows)
     useful = rows.select("id", "bad", F.explode("tokens").alias("item")).join(often, "item")
@@ -126,23 +134,16 @@ def mine_rules(
             F.array_sort("antecedent").alias("items"), "support", "confidence"
         )
     )
-    return stage(_filed(_pruned(found), useful))
+    return stage(_pruned(stage(_filed(found, useful))))
 
 
-def _pruned(found: DataFrame) -> DataFrame:
+def _pruned(rules: DataFrame) -> DataFrame:
     """Rules without those of which a proper part is a rule of at least the same confidence."""
-    part = found.select(F.col("items").alias("part"), F.col("confidence").alias("sure"), F.explode("items").alias("item"))
-    whole = found.select("items", "confidence", F.explode("items").alias("item"))
-    covered = (
-        whole.join(part, "item")
-        .where((F.size("part") < F.size("items")) & (F.col("sure") >= F.col("confidence")))
-        .groupBy("items", "part")
-        .agg(F.count("*").alias("common"))
-        .where(F.col("common") == F.size("part"))
-        .select("items")
-        .distinct()
-    )
-    return found.join(covered, "items", "left_anti")
+    part = rules.select(F.col("items").alias("part"), F.col("confidence").alias("sure"), "key")
+    whole = rules.select("items", "confidence", F.explode("items").alias("key"))
+    inside = (F.size("part") < F.size("items")) & (F.size(F.array_except("part", "items")) == 0)
+    covered = whole.join(part, "key").where(inside & (F.col("sure") >= F.col("confidence"))).select("items").distinct()
+    return rules.join(covered, "items", "left_anti")
 
 
 def _filed(rules: DataFrame, useful: DataFrame) -> DataFrame:
