@@ -2,7 +2,7 @@
 
 Method
     An interpolated modified Kneser-Ney model of four-grams of bytes is trained on all trusted text
-    but a tenth of the documents, which is held out. Counts and requests are joined in shards: a block
+    but a fifth of the documents, which is held out. Counts and requests are joined in shards: a block
     of documents sends its distinct four-grams, with how often its training text has each, to the
     shard of the two bytes before the last. A shard has every count that the orders four and three need
     in such a context: it adds up the blocks' counts, and answers each block with the log-probability
@@ -11,9 +11,10 @@ Method
     every document is scored; three line breaks stand before each text.
 
     A document's perplexity is that per byte. Held-out trusted documents give its quantiles by
-    language, exact to a thousandth of a bit. A document is rejected above the upper or below the lower
+    language, a document counting by its bytes, exact to a thousandth of a bit. A document is rejected above the upper or below the lower
     quantile by more than ``margin`` times the distance of that quantile from the median: text of
-    another kind is less likely than trusted text, endless repetition more.
+    another kind is less likely than trusted text, endless repetition more. Short texts stray further
+    by chance, so both limits give way by ``CHANCE`` over the root of the number of bytes.
 
 Defined cases
     Null and empty texts have no perplexity and are kept. A language (null is one) with fewer than
@@ -51,9 +52,11 @@ from outcomekit.session import stage
 ORDER = 4
 START = 10
 LOW, HIGH, MARGIN = 0.01, 0.99, 2.0
+#: Bits per byte by which a text of one byte may be off by chance; of n bytes, that over the root of n.
+CHANCE = 10.0
 #: Held-out documents without which a language has no quantiles of its own.
-MIN_HELD_OUT = 30
-HELD_OUT_PERCENT = 10
+MIN_HELD_OUT = 20
+HELD_OUT_PERCENT = 20
 #: Blocks whose requests one task answers; more blocks deal a shard's requests over several tasks.
 BLOCKS_PER_TASK = 2_000
 #: Stands for a block's number in the row that holds a shard's counts.
@@ -318,22 +321,23 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
 def thresholds(scored: DataFrame, low: float, high: float, margin: float) -> DataFrame:
     """Rows lang, known (false: for all languages), n, and the least and most steps that are kept."""
     held = scored.where("held_out AND n_bytes > 0").select(
-        "lang", F.floor(F.col("bits") / F.col("n_bytes") * STEPS_PER_BIT).alias("step")
+        "lang", "n_bytes", F.floor(F.col("bits") / F.col("n_bytes") * STEPS_PER_BIT).alias("step")
     )
-    counts = stage(held.groupBy("lang", "step").agg(F.count("*").alias("n")))
-    some = counts.select(F.lit(True).alias("known"), "lang", "step", "n")
-    every = counts.groupBy("step").agg(F.sum("n").alias("n"))
-    every = every.select(F.lit(False).alias("known"), F.lit(None).cast("string").alias("lang"), "step", "n")
+    counts = stage(held.groupBy("lang", "step").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("held")))
+    some = counts.select(F.lit(True).alias("known"), "lang", "step", "n", "held")
+    every = counts.groupBy("step").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
+    every = every.select(F.lit(False).alias("known"), F.lit(None).cast("string").alias("lang"), "step", "n", "held")
     running = some.union(every).selectExpr(
         "known",
         "lang",
         "step",
-        "sum(n) OVER (PARTITION BY known, lang ORDER BY step) AS upto",
+        "sum(held) OVER (PARTITION BY known, lang ORDER BY step) AS upto",
+        "sum(held) OVER (PARTITION BY known, lang) AS every",
         "sum(n) OVER (PARTITION BY known, lang) AS n",
     )
 
     def quantile(q: float) -> Column:
-        return F.min(F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.col("n") * q)), F.col("step")))
+        return F.min(F.when(F.col("upto") >= F.greatest(F.lit(1), F.ceil(F.col("every") * q)), F.col("step")))
 
     rows = running.groupBy("known", "lang", "n").agg(
         quantile(low).alias("low"), quantile(0.5).alias("mid"), quantile(high).alias("high")
@@ -353,16 +357,17 @@ def judge(scored: DataFrame, low: float, high: float, margin: float) -> DataFram
     rest = limits.where("NOT known").first()
     found = scored.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left")
     per_byte = F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes"))
-    step = F.floor(per_byte * STEPS_PER_BIT)
     least, most = (
         F.coalesce(F.col(f"_{k}"), F.lit(rest[k] if rest else None).cast("double")) for k in ("least", "most")
     )
+    chance = F.lit(CHANCE) / F.sqrt(F.col("n_bytes"))
+    least, most = least / STEPS_PER_BIT - chance, most / STEPS_PER_BIT + chance
     return found.select(
         *scored.columns,
         F.pow(F.lit(2.0), per_byte).alias("perplexity"),
-        F.pow(F.lit(2.0), least / STEPS_PER_BIT).alias("least_perplexity"),
-        F.pow(F.lit(2.0), most / STEPS_PER_BIT).alias("most_perplexity"),
-        F.coalesce((step < least) | (step > most), F.lit(False)).alias("rejected"),
+        F.pow(F.lit(2.0), least).alias("least_perplexity"),
+        F.pow(F.lit(2.0), most).alias("most_perplexity"),
+        F.coalesce((per_byte < least) | (per_byte > most), F.lit(False)).alias("rejected"),
     )
 
 

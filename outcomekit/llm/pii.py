@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from outcomekit.llm.text import text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents, by hash, whose base spans the field is trained on.
+#: About so many texts, at most twice as many, train the field.
 MAX_TRAINING_DOCS = 1_000
 SURE = 0.9
 #: Weight of equal labels at both ends of a skip edge before any document is seen.
@@ -294,9 +294,12 @@ def marked(column: pa.Array) -> np.ndarray:
 
 
 def training_graphs(docs: DataFrame, max_docs: int) -> list[Graph]:
-    """Graphs of a bounded number of documents that hold a digit or ``@``, first by hash of the text."""
-    rows = docs.where(F.col("text").rlike("[0-9@]")).select("text").orderBy(F.xxhash64("text"), "text")
-    return [graph(r.text, base_spans(r.text)) for r in rows.limit(max_docs).collect()]
+    """Graphs of about ``max_docs`` distinct texts that hold a digit or ``@``, drawn by hash of the text."""
+    rows = docs.where(F.col("text").rlike("[0-9@]")).select("text")
+    n = max(rows.count(), 1)
+    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < F.lit(max_docs * (1 << 40) // n)
+    chosen = rows.where(drawn).distinct().limit(2 * max_docs).collect()
+    return [graph(r.text, base_spans(r.text)) for r in sorted(chosen)]
 
 
 def find_personal_data(docs: DataFrame, max_training_docs: int = MAX_TRAINING_DOCS) -> DataFrame:
