@@ -360,7 +360,7 @@ def judge(scored: DataFrame, low: float, high: float, margin: float) -> DataFram
     least, most = (
         F.coalesce(F.col(f"_{k}"), F.lit(rest[k] if rest else None).cast("double")) for k in ("least", "most")
     )
-    chance = F.lit(CHANCE) / F.sqrt(F.col("n_bytes"))
+    chance = F.lit(CHANCE) / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))
     least, most = least / STEPS_PER_BIT - chance, most / STEPS_PER_BIT + chance
     return found.select(
         *scored.columns,

@@ -225,7 +225,7 @@ def labelled(spark):
     rng = random.Random(6)
     rows = [(i, prose(rng, rng.randint(20, 60)), "en" if i % 3 else "de", "s", 0) for i in range(900)]
     rows += [(900 + i, prose(rng, 30).upper().replace(" ", "!! "), "en", "s", 0) for i in range(20)]
-    rows += [(920 + i, "the " * 60, "de", "s", 0) for i in range(5)]
+    rows += [(920 + i, "the " * 2000, "de", "s", 0) for i in range(5)]
     rows += [(930, None, "en", "s", 0), (931, "", None, None, 0), (None, prose(rng, 40), None, "s", 0), (7, prose(rng, 40), "en", "s", 0)]
     labels = [(i, 1, 0) for i in range(0, 700)] + [(i, 0, 0) for i in range(900, 910)] + [(5, 0, 0), (6, 1, None), (None, 1, 0)]
     return rows, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
