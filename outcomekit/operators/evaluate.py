@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from outcomekit.functions import bce_loss
 from outcomekit.operators.ranking import BUCKET_ROWS, score_bounds, with_score_bucket
+from outcomekit.session import join_groups
 
 CELLS = ["tn", "fp", "fn", "tp"]
 
@@ -325,13 +326,14 @@ def evaluate(
     prediction: str = "prediction",
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """One metric record per group: confusion cells, rates and ROC AUC, in one job for all groups."""
-    points = score_points(scored, by, label, score, prediction, bucket_rows=bucket_rows)
-    cells = points.groupBy(*by).agg(
-        (F.sum("neg") - F.sum("alarms")).alias("tn"),
-        F.sum("alarms").alias("fp"),
-        (F.sum("pos") - F.sum("hits")).alias("fn"),
-        F.sum("hits").alias("tp"),
-        _auc().alias("roc_auc"),
-    )
-    return add_rates(cells).select(*by, *CELLS, "accuracy", "precision", "recall", "f1", "roc_auc")
+    """One metric record per group: confusion cells, rates and ROC AUC, in one job for all groups.
+
+    Cells count every row with a label and a prediction; the curve has only rows with a score.
+    """
+    cells = confusion(scored, by, label, prediction)
+    areas = score_points(scored, by, label, score, bucket_rows=bucket_rows).groupBy(*by).agg(_auc().alias("roc_auc"))
+    if by:
+        joined = join_groups(cells, areas, list(by), "left")
+    else:
+        joined = cells.withColumn("roc_auc", F.lit(areas.first()["roc_auc"]).cast("double"))
+    return add_rates(joined).select(*by, *CELLS, "accuracy", "precision", "recall", "f1", "roc_auc")

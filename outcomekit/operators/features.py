@@ -136,12 +136,14 @@ def feature_columns(df: DataFrame, label: str, others: Sequence[str] = ()) -> li
 
 def assemble(df: DataFrame, features: Sequence[str], to: str = "features", keep: Sequence[str] = ()) -> DataFrame:
     """Features as one vector column; the names stay in the column's metadata."""
-    safe = df.select(*[F.col(f"`{c}`") for c in keep], *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
-    # The assembler reads dots in a name as field access.
-    plain = {c: c.replace(".", "_") for c in features}
-    safe = safe.withColumnsRenamed({c: p for c, p in plain.items() if c != p})
-    assembler = VectorAssembler(inputCols=list(plain.values()), outputCol=to)
-    return assembler.transform(safe).select(*keep, to)
+    # The assembler reads dots in a name as field access, so columns go in by position.
+    places = [f"_{i}" for i in range(len(features))]
+    kept = [F.col(f"`{c}`").alias(f"_kept_{i}") for i, c in enumerate(keep)]
+    values = [F.col(f"`{c}`").cast("double").alias(p) for c, p in zip(features, places, strict=True)]
+    rows = VectorAssembler(inputCols=places, outputCol="_vector").transform(df.select(*kept, *values))
+    named = [{"idx": i, "name": c} for i, c in enumerate(features)]
+    about = {"ml_attr": {"attrs": {"numeric": named}, "num_attrs": len(named)}}
+    return rows.select(*[F.col(f"_kept_{i}").alias(c) for i, c in enumerate(keep)], F.col("_vector").alias(to, metadata=about))
 
 
 @dataclass(frozen=True)

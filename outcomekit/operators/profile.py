@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomekit.operators.quantiles import exact_medians
-from outcomekit.session import join_groups, small_table
+from outcomekit.session import join_groups, small_table, stage
 
 
 def _long(row_df: DataFrame, names: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -70,13 +70,14 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
 
 def value_shares(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """Value counts with the share of the group's rows that are not null."""
-    counts = value_counts(df, column, by)
+    counts = stage(value_counts(df, column, by))
     totals = counts.groupBy(*by).agg(F.sum("n").alias("group_n"))
     if by:
         joined = join_groups(counts, small_table(totals), by)
     else:
         joined = counts.withColumn("group_n", F.lit(totals.first()["group_n"]))
-    return joined.withColumn("share", F.col("n") / F.col("group_n"))
+    shares = joined.withColumn("share", F.col("n") / F.col("group_n"))
+    return shares.orderBy(*by, F.desc("n"), "value")
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -120,14 +121,15 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return _long(df.agg(*aggs), cols, ["n", "mean", "median", "min", "max"])
 
 
-def class_rate(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
-    """Rows, positives, negatives and positive rate, per group if asked."""
+def class_rate(df: DataFrame, label: str, by: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
+    """Rows, positives, negatives and positive rate, per group if asked; ``more`` aggregates go along."""
     y = F.col(label)
     return df.groupBy(*by).agg(
         F.count(y).alias("n_rows"),
         F.count_if(y == 1).alias("positives"),
         F.count_if(y == 0).alias("negatives"),
         F.avg(y.cast("double")).alias("rate"),
+        *more,
     )
 
 
@@ -140,10 +142,17 @@ def split_profile(df: DataFrame, label: str, split: str = "split") -> DataFrame:
 
 
 def dense_class_counts(df: DataFrame, label: str) -> DataFrame:
-    """Rows per class for every whole number from 0 to the highest label."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("bigint").alias("label"))
-    counts = counts.agg(F.count("*").alias("n"))
-    highest = counts.agg(F.max("label")).first()[0]
+    """Rows per class for every whole number from 0 to the highest label.
+
+    Raises on negative and fractional labels, which have no place on that ladder.
+    """
+    y = F.col(label)
+    counts = df.where(y.isNotNull()).groupBy(y.cast("bigint").alias("label"))
+    counts = stage(counts.agg(F.count("*").alias("n"), F.max(y.cast("double") != F.floor(y.cast("double"))).alias("odd")))
+    lowest, highest, odd = counts.agg(F.min("label"), F.max("label"), F.max("odd")).first()
+    if odd or (lowest is not None and lowest < 0):
+        raise ValueError(f"labels of {label} must be whole numbers from 0")
+    counts = counts.select("label", "n")
     ladder = df.sparkSession.range(0, 0 if highest is None else highest + 1).withColumnRenamed("id", "label")
     return ladder.join(counts, "label", "left").select("label", F.coalesce("n", F.lit(0)).alias("n"))
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -32,11 +34,16 @@ def smote(
 
     A synthetic row lies between a drawn row of the class and one of its ``k``
     nearest neighbors in the class. Returns key, label, features and
-    ``is_synthetic``; synthetic rows have no key. Pass training rows only.
+    ``is_synthetic``; synthetic rows have no key. Pass training rows only. Raises on
+    features without a number, which have no neighbors.
     """
     features = list(features)
     base = stage(df.select(key, label, *[F.col(f"`{c}`").cast("double").alias(c) for c in features]))
-    counts = base.groupBy(label).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
+    unknown = reduce(or_, [F.col(f"`{c}`").isNull() | F.isnan(f"`{c}`") for c in features], F.lit(False))
+    counts = base.groupBy(label).agg(F.count("*").alias("n"), F.count_if(unknown).alias("bad"))
+    counts = counts.limit(MAX_CLASSES + 1).collect()
+    if any(r["bad"] for r in counts):
+        raise ValueError("features hold nulls or NaN: fill or drop them first")
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
     largest = max((r["n"] for r in counts), default=0)

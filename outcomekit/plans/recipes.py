@@ -21,10 +21,13 @@ from outcomekit.operators.resample import smote
 from outcomekit.operators.split import HashSplit
 from outcomekit.session import stage
 
+#: Iterations of one step of a fit that may stop early.
+STEP = 5
+
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A classifier and the training rows it gets."""
+    """A classifier and the training rows it gets; ``patience`` counts iterations."""
 
     name: str
     kind: str  # "logistic", "forest" or "perceptron"
@@ -135,13 +138,18 @@ def lenient_rows(df: DataFrame, recipe: Recipe, lay: Layout) -> DataFrame:
     return rows.select(*kept, *recipe.extra_categories)
 
 
-def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe) -> Model:
+def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe, save_best_to: str | None = None) -> Model:
+    """Fit one model; with ``balance`` "weights" or "both" every model has its classes weighted.
+
+    A fit that may stop early keeps its best model in a folder of ``save_best_to`` named by the model.
+    """
     rows = prepared.resampled if spec.resampled else prepared.train
     weight = None
-    if spec.weighted and spec.kind != "perceptron":
+    weighted = spec.weighted or recipe.balance in ("weights", "both")
+    if weighted and spec.kind != "perceptron":
         rows = fe.ClassWeights.fit(rows, "label").transform(rows, "label")
         weight = "weight"
-    elif spec.weighted:
+    elif weighted:
         rows = models.replicate_by_class(rows)
     fit_on = models.spread(stage(prepared.vectors(rows, keep=["label", *([weight] if weight else [])])))
     if spec.kind == "logistic":
@@ -152,26 +160,29 @@ def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe) -> Model:
     if spec.early_stop:
         held = stage(prepared.vectors(prepared.part("validation")))
         return models.fit_early_stopping(
-            fit_on, held, width, spec.hidden, max_steps=max(1, spec.iterations // 5), patience=spec.patience,
-            restore_best=spec.restore_best, monitor=spec.monitor, seed=recipe.seed,
+            fit_on, held, width, spec.hidden, step_iter=STEP, max_steps=-(-spec.iterations // STEP),
+            patience=-(-spec.patience // STEP), restore_best=spec.restore_best, monitor=spec.monitor, seed=recipe.seed,
+            save_best_to=f"{save_best_to.rstrip('/')}/{spec.name}" if save_best_to else None,
         ).model
     return models.fit_perceptron(fit_on, width, spec.hidden, max_iter=spec.iterations, seed=recipe.seed)
 
 
-def run(df: DataFrame, recipe: Recipe, layout: Layout | None = None, part: str = "test") -> DataFrame:
+def run(
+    df: DataFrame, recipe: Recipe, layout: Layout | None = None, part: str = "test", save_best_to: str | None = None
+) -> DataFrame:
     """Prepare, train every model, and evaluate them all on one part in one job."""
     prepared = prepare(df, recipe, layout)
     held = stage(prepared.vectors(prepared.part(part)))
-    fitted = [(spec, train(prepared, spec, recipe)) for spec in recipe.models]
+    fitted = [(spec, train(prepared, spec, recipe, save_best_to)) for spec in recipe.models]
     scored = reduce(DataFrame.unionByName, [models.score(m, held, spec.name) for spec, m in fitted])
     if recipe.inclusive:
         scored = scored.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
     return evaluate(scored, ["model"])
 
 
-_TWO_WAY = {"test": 0.2}
 # Held-out rows for early stopping come from the original rows, before any are made up.
 _TWO_WAY_TAIL = {"test": 0.2, "validation": 0.08}
+_TWO_WAY_FIFTH = {"test": 0.2, "validation": 0.16}
 _SIXTY = {"test": 0.2, "validation": 0.2}
 
 
@@ -193,8 +204,8 @@ RECIPES: dict[str, Recipe] = {
         ),
         Recipe(
             "net_on_all_scaled",
-            (_net((128, 64), 100, early_stop=True, patience=10, monitor="val_auc"),),
-            extra_categories=("senior",), parts=_TWO_WAY_TAIL, scale="all", balance="smote",
+            (_net((64, 32), 100, early_stop=True, patience=15),),
+            extra_categories=("senior",), parts=_TWO_WAY_FIFTH, scale="all", balance="smote",
         ),
         Recipe(
             "auto_encoded_net_and_logistic",
@@ -208,22 +219,22 @@ RECIPES: dict[str, Recipe] = {
         Recipe(
             "weighted_small_net",
             (_net((16, 8), 50, weighted=True),),
-            null_policy="drop", parts=_TWO_WAY, stratify=False, scale="all", balance="weights",
+            null_policy="drop", parts=_TWO_WAY_FIFTH, stratify=False, scale="all", balance="weights",
         ),
         Recipe("plain_net_three_way", (_net((64, 32), 200),), parts=_SIXTY, scale="all"),
         Recipe(
             "auto_encoded_net_vs_logistic",
             (
-                _net((128, 64), 100, early_stop=True, patience=15),
+                _net((128, 64), 100, early_stop=True, patience=10),
                 ModelSpec("logistic", "logistic", iterations=2000, weighted=True, resampled=False),
             ),
-            replace=True, encode="auto", fill_scope="all", parts=_TWO_WAY_TAIL, scale_scope="all",
+            replace=True, encode="auto", fill_scope="all", parts=_TWO_WAY_FIFTH, scale_scope="all",
             balance="smote", inclusive=True,
         ),
         Recipe(
             "resample_then_scale",
-            (ModelSpec("logistic", "logistic", iterations=1000), _net((64, 32), 50)),
-            null_policy="drop", trim=True, parts=_TWO_WAY, scale="all", scale_scope="resampled",
+            (ModelSpec("logistic", "logistic", iterations=1000), _net((64, 32), 100, early_stop=True, patience=10)),
+            null_policy="drop", trim=True, parts=_TWO_WAY_FIFTH, scale="all", scale_scope="resampled",
             balance="smote", inclusive=True,
         ),
         Recipe(
@@ -232,7 +243,7 @@ RECIPES: dict[str, Recipe] = {
                 ModelSpec("logistic", "logistic", iterations=1000),
                 _net((64, 32), 50, early_stop=True, patience=10, restore_best=False),
             ),
-            null_policy="drop", parts=_TWO_WAY_TAIL, stratify=False, scale="all", scale_scope="resampled",
+            null_policy="drop", parts=_TWO_WAY_FIFTH, stratify=False, scale="all", scale_scope="resampled",
             balance="smote",
         ),
         Recipe(

@@ -222,9 +222,8 @@ def describe(spark, sf):
 def target_rate(spark, sf):
     df = stage(labeled(spark, sf).select("segment", "label", "total_charges"))
     df = MedianFill.fit(df, ["total_charges"]).transform(df)
-    rates = profile.class_rate(df, "label", by=["segment"])
-    charges = df.groupBy("segment").agg(F.sum(F.col("total_charges").cast("decimal(18,2)")).alias("charges"))
-    return rounded(rates, "rate").join(charges, "segment")
+    charges = F.sum(F.col("total_charges").cast("decimal(18,2)")).alias("charges")
+    return rounded(profile.class_rate(df, "label", ["segment"], [charges]), "rate")
 
 
 @query(

@@ -63,3 +63,65 @@ def test_run_gives_a_record_per_model(rows):
     assert set(out) == {"perceptron", "logistic", "weighted net"}
     sizes = {r.tn + r.fp + r.fn + r.tp for r in out.values()}
     assert len(sizes) == 1
+
+
+#: What each recipe's early stopping watches, waits for and holds out, and its class balance.
+EARLY = {
+    "three_models": [(20, "val_loss", 15, True)],
+    "net_on_all_scaled": [(100, "val_loss", 15, True)],
+    "auto_encoded_net_and_logistic": [(100, "val_loss", 10, True)],
+    "auto_encoded_net_vs_logistic": [(100, "val_loss", 10, True)],
+    "resample_then_scale": [(100, "val_loss", 10, True)],
+    "resample_then_scale_unstratified": [(50, "val_loss", 10, False)],
+}
+HELD_OUT = {
+    "net_on_all_scaled": 0.16,
+    "weighted_small_net": 0.16,
+    "auto_encoded_net_vs_logistic": 0.16,
+    "resample_then_scale": 0.16,
+    "resample_then_scale_unstratified": 0.16,
+}
+HIDDEN = {"net_on_all_scaled": (64, 32), "weighted_small_net": (16, 8), "auto_encoded_net_vs_logistic": (128, 64)}
+
+
+@pytest.mark.parametrize("name", list(RECIPES))
+def test_settings(name):
+    recipe = RECIPES[name]
+    early = [(m.iterations, m.monitor, m.patience, m.restore_best) for m in recipe.models if m.early_stop]
+    assert early == EARLY.get(name, [])
+    if name in HELD_OUT:
+        assert recipe.parts["validation"] == HELD_OUT[name]
+    if name in HIDDEN:
+        assert [m.hidden for m in recipe.models if m.kind == "perceptron"] == [HIDDEN[name]]
+
+
+def test_early_stopping_fires_and_saves_the_best(rows, tmp_path, monkeypatch):
+    recipe = replace(
+        RECIPES["net_on_all_scaled"], models=(ModelSpec("net", "perceptron", (3,), 400, early_stop=True, patience=10),)
+    )
+    seen = []
+    fit = recipes.models.fit_early_stopping
+
+    def watched(*args, **options):
+        seen.append(fit(*args, **options))
+        return seen[-1]
+
+    monkeypatch.setattr(recipes.models, "fit_early_stopping", watched)
+    assert recipes.run(rows, recipe, save_best_to=str(tmp_path)).count() == 1
+    assert seen[0].steps_run < 400 // recipes.STEP and (tmp_path / "net" / "metadata").exists()
+
+
+def test_balance_by_weights_is_effective(rows, monkeypatch):
+    plain = replace(RECIPES["weighted_small_net"], balance="none", models=(ModelSpec("l", "logistic", iterations=50),))
+    prepared = prepare(rows, plain)
+    weights = []
+    fit = recipes.models.fit_logistic
+
+    def watched(train, weight=None, **options):
+        weights.append(weight)
+        return fit(train, weight=weight, **options)
+
+    monkeypatch.setattr(recipes.models, "fit_logistic", watched)
+    for balance in ("none", "weights", "both"):
+        recipes.train(prepared, plain.models[0], replace(plain, balance=balance))
+    assert weights == [None, "weight", "weight"]

@@ -43,3 +43,8 @@ def test_other_queries_give_rows(spark, name):
 
 def test_tables_are_there():
     assert len(glob.glob(os.path.join(SF, "*.parquet"))) == 14 and duckdb.__version__
+
+
+@pytest.mark.parametrize("name", SLOW)
+def test_long_runs_give_rows(spark, name):
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
