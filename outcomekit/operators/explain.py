@@ -1,10 +1,10 @@
 """Permutation importance.
 
-Rows are put in a hash order and parted into blocks of that order. Within a block
-a feature is permuted by rotating its column by a drawn number of places: in a
-random order that gives every row the value of a random other row, the whole is a
-permutation of the column, and no row leaves its block. So the table is shuffled
-once, whatever the number of features and repeats.
+Rows are ranked in a hash order. A feature is permuted by rotating its column by a
+drawn number of places: in a random order that gives every row the value of a
+random other row, and the whole is a permutation of the table's column. Ranks are
+kept in blocks; a block sends each rotated column to the one or two blocks that its
+values move to, so the figures do not depend on the size of a block.
 """
 
 from __future__ import annotations
@@ -21,9 +21,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomekit.functions import DRAW_SPAN, draw
-from outcomekit.operators.ranking import bucket_bits, draw_bucket
+from outcomekit.operators.ranking import with_rank
+from outcomekit.session import stage
 
-BLOCK_ROWS = 50_000
+BLOCK_ROWS = 20_000
+# Rows of a block are made anew for every feature and repeat before a model scores them.
+SCORED_BLOCK_ROWS = 2_000
 
 
 def rotation(feature: str, repeat: int, seed: int, rows: int) -> int:
@@ -32,15 +35,63 @@ def rotation(feature: str, repeat: int, seed: int, rows: int) -> int:
     return 1 + int(int(digest[:8], 16) / DRAW_SPAN * (rows - 1)) if rows > 1 else 0
 
 
-def _blocks(df: DataFrame, key: str, label: str, features: Sequence[str], seed: int, block_rows: int) -> DataFrame:
-    bits = bucket_bits(df.count(), block_rows, max_bits=32)
-    rows = df.select(
-        F.col(key).alias("k"),
-        F.col(label).cast("int").alias("y"),
-        draw(key, seed, "permute").alias("u"),
-        F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("x"),
+def _blocks(
+    df: DataFrame, key: str, label: str, features: Sequence[str], seed: int, block_rows: int
+) -> tuple[DataFrame, int]:
+    """Staged rows (block, y, x): the labels and the features of the ranks of a block; and the number of rows."""
+    rows = stage(
+        df.select(
+            F.col(key).alias("k"),
+            F.col(label).cast("int").alias("y"),
+            draw(key, seed, "permute").alias("u"),
+            F.array(*[F.col(f"`{c}`").cast("double") for c in features]).alias("x"),
+        )
     )
-    return rows.withColumn("block", draw_bucket(F.col("u"), bits))
+    n = rows.count()
+    ranked = with_rank(rows, "u", "k", n).withColumn("block", F.expr(f"rank DIV {block_rows}"))
+
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("rank")
+        y = (part["y"] == 1).to_numpy()
+        x = np.stack(part["x"].to_numpy()).astype(np.float64)
+        return pd.DataFrame({"block": [part["block"].iloc[0]], "y": [y.tobytes()], "x": [x.tobytes()]})
+
+    packed = ranked.select("block", "rank", "y", "x").groupBy("block").applyInPandas(pack, "block long, y binary, x binary")
+    return stage(packed), n
+
+
+def _with_donors(
+    blocks: DataFrame, n: int, names: Sequence[str], repeats: int, seed: int, block_rows: int, work, schema: str
+) -> DataFrame:
+    """Rows that ``work`` makes of a block's labels, features and rotated columns, by feature and repeat."""
+    shifts = [(j, r, rotation(name, r, seed, n)) for j, name in enumerate(names) for r in range(repeats)]
+    width = len(names)
+
+    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block, data in zip(batch["block"], batch["x"], strict=True):
+                x = np.frombuffer(data).reshape(-1, width)
+                out = []
+                for j, r, shift in shifts:
+                    to = (block * block_rows - shift + np.arange(len(x))) % n
+                    # Runs of places of one block; the last place is followed by the first.
+                    heads = np.flatnonzero((np.diff(to, prepend=to[0]) != 1) | (to % block_rows == 0))
+                    for a, b in zip(heads, [*heads[1:], len(x)], strict=True):
+                        out.append((to[a] // block_rows, j, r, int(to[a] % block_rows), x[a:b, j].tobytes()))
+                yield pd.DataFrame(out, columns=["block", "feature", "repeat", "place", "values"])
+
+    pieces = blocks.select("block", "x").mapInPandas(send, "block long, feature int, repeat int, place int, values binary")
+
+    def meet(own: pd.DataFrame, sent: pd.DataFrame) -> pd.DataFrame:
+        y = np.frombuffer(own["y"].iloc[0], dtype=bool)
+        x = np.frombuffer(own["x"].iloc[0]).reshape(-1, width)
+        donors = np.empty((width, repeats, len(y)))
+        for j, r, place, values in zip(sent["feature"], sent["repeat"], sent["place"], sent["values"], strict=True):
+            part = np.frombuffer(values)
+            donors[j, r, place : place + len(part)] = part
+        return work(y, x, donors, own["block"].iloc[0])
+
+    return blocks.groupBy("block").cogroup(pieces.groupBy("block")).applyInPandas(meet, schema)
 
 
 def _drops(totals: DataFrame) -> DataFrame:
@@ -72,24 +123,22 @@ def linear_permutation_importance(
     row is scored again.
     """
     names, w = list(weights), [float(v) for v in weights.values()]
-    rows = _blocks(df, key, label, names, seed, block_rows)
+    blocks, n = _blocks(df, key, label, names, seed, block_rows)
 
-    def block(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["u", "k"], ignore_index=True)
-        x = np.stack(part["x"].to_numpy())
-        y = part["y"].to_numpy() == 1
-        margin = np.full(len(part), intercept)
+    def hits(y: np.ndarray, x: np.ndarray, donors: np.ndarray, block: int) -> pd.DataFrame:
+        margin = np.full(len(y), intercept)
         for j, weight in enumerate(w):
             margin = margin + weight * x[:, j]
-        out = [("", 0, int(((margin > 0) == y).sum()), len(part))]
+        out = [("", 0, int(((margin > 0) == y).sum()), len(y))]
         for j, name in enumerate(names):
             for r in range(repeats):
-                donor = np.roll(x[:, j], -rotation(name, r, seed, len(part)))
-                moved = margin - w[j] * x[:, j] + w[j] * donor
-                out.append((name, r, int(((moved > 0) == y).sum()), len(part)))
+                moved = margin - w[j] * x[:, j] + w[j] * donors[j, r]
+                out.append((name, r, int(((moved > 0) == y).sum()), len(y)))
         return pd.DataFrame(out, columns=["feature", "repeat", "hits", "n"])
 
-    counts = rows.groupBy("block").applyInPandas(block, "feature string, repeat int, hits bigint, n bigint")
+    counts = _with_donors(
+        blocks, n, names, repeats, seed, block_rows, hits, "feature string, repeat int, hits bigint, n bigint"
+    )
     totals = counts.groupBy("feature", "repeat").agg(F.sum("hits").alias("hits"), F.sum("n").alias("n"))
     return _drops(totals)
 
@@ -103,40 +152,28 @@ def permutation_importance(
     vector: str = "features",
     repeats: int = 10,
     seed: int = 42,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = SCORED_BLOCK_ROWS,
 ) -> DataFrame:
     """Mean drop in accuracy per feature of any classifier that reads a feature vector.
 
-    Rows with a permuted feature are made block by block and scored as they stream
-    by; only hits per feature and repeat are shuffled.
+    Rows with a permuted feature are made block by block and scored; of them only hits
+    per feature and repeat are shuffled.
     """
-    names, width = list(features), len(features)
-    rows = _blocks(df, key, label, names, seed, block_rows)
-
-    def permuted(part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        part = part.sort_values(["u", "k"], ignore_index=True)
-        x = np.stack(part["x"].to_numpy())
-        y = part["y"].to_numpy()
-        yield pd.DataFrame({"feature": "", "repeat": 0, "y": y, "x": list(x)})
-        for j in range(width):
+    names = list(features)
+    blocks, n = _blocks(df, key, label, names, seed, block_rows)
+
+    def permuted(y: np.ndarray, x: np.ndarray, donors: np.ndarray, block: int) -> pd.DataFrame:
+        parts = [pd.DataFrame({"feature": "", "repeat": 0, "y": y.astype(int), "x": list(x)})]
+        for j, name in enumerate(names):
             for r in range(repeats):
                 moved = x.copy()
-                moved[:, j] = np.roll(x[:, j], -rotation(names[j], r, seed, len(part)))
-                yield pd.DataFrame({"feature": names[j], "repeat": r, "y": y, "x": list(moved)})
+                moved[:, j] = donors[j, r]
+                parts.append(pd.DataFrame({"feature": name, "repeat": r, "y": y.astype(int), "x": list(moved)}))
+        return pd.concat(parts)
 
-    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for batch in batches:
-            for number, part in batch.groupby("block", sort=False):
-                if held and held[0]["block"].iloc[0] != number:
-                    yield from permuted(pd.concat(held))
-                    held = []
-                held.append(part)
-        if held:
-            yield from permuted(pd.concat(held))
-
-    grouped = rows.repartition("block").sortWithinPartitions("block")
-    made = grouped.mapInPandas(stream, "feature string, repeat int, y int, x array<double>")
+    made = _with_donors(
+        blocks, n, names, repeats, seed, block_rows, permuted, "feature string, repeat int, y int, x array<double>"
+    )
     scored = model.transform(made.withColumn(vector, array_to_vector("x")))
     hit = F.col("prediction").cast("int") == F.col("y")
     totals = scored.groupBy("feature", "repeat").agg(F.count_if(hit).alias("hits"), F.count("*").alias("n"))

@@ -12,7 +12,9 @@ into chunks, so that a task holds one tile and one chunk, whatever the data.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,46 +26,89 @@ from outcomekit.functions import draw
 from outcomekit.session import stage
 
 LEAF_ROWS = 4_096
-MAX_LEAVES = 4_096
+# Cells beyond this are only filled more: the driver holds the tree, a sample for it, and the boxes.
+MAX_LEAVES = 16_384
 TILE_ROWS = 4_096
 SAMPLE_PER_LEAF = 32
 BLOCK_ROWS = 512
 
 
-def space_partition(sample: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
-    """Split dimension and threshold of each inner node of a complete binary tree."""
-    dims = np.zeros(max(leaves - 1, 1), dtype=np.int64)
-    cuts = np.zeros(max(leaves - 1, 1))
-    held = {0: sample}
-    for node in range(leaves - 1):
-        rows = held.pop(node)
-        if len(rows):
-            dims[node] = int(np.argmax(rows.max(axis=0) - rows.min(axis=0)))
-            cuts[node] = np.median(rows[:, dims[node]])
-        right = rows[:, dims[node]] > cuts[node]
-        held[2 * node + 1], held[2 * node + 2] = rows[~right], rows[right]
-    return dims, cuts
+class Partition(NamedTuple):
+    """A binary tree over space: cut of each node, its children, and the cell of each leaf (-1 inside)."""
 
+    dims: np.ndarray
+    cuts: np.ndarray
+    below: np.ndarray
+    above: np.ndarray
+    cells: np.ndarray
 
-def cell_of(vectors: np.ndarray, dims: np.ndarray, cuts: np.ndarray, leaves: int) -> np.ndarray:
+    @property
+    def leaves(self) -> int:
+        return int((self.cells >= 0).sum())
+
+
+def separating_cut(rows: np.ndarray) -> tuple[int, float] | None:
+    """Dimension and threshold that part ``rows`` best: wide and even. None if all rows are equal.
+
+    A threshold lies midway between two distinct values, next to the median, so both sides get rows
+    whatever share of them has one value.
+    """
+    best, best_worth = None, 0.0
+    for d in range(rows.shape[1]):
+        values = np.sort(rows[:, d])
+        if values[0] == values[-1]:
+            continue
+        middle = values[len(values) // 2]
+        first, last = np.searchsorted(values, middle, "left"), np.searchsorted(values, middle, "right")
+        at = min((k for k in (first, last) if 0 < k < len(values)), key=lambda k: abs(2 * k - len(values)))
+        worth = (values[-1] - values[0]) * min(at, len(values) - at) / len(values)
+        if worth > best_worth:
+            cut = values[at - 1] + (values[at] - values[at - 1]) / 2
+            best, best_worth = (d, float(min(cut, np.nextafter(values[at], -np.inf)))), worth
+    return best
+
+
+def space_partition(sample: np.ndarray, leaves: int) -> Partition:
+    """Cut the cell with most sampled rows, again and again, until there are ``leaves`` cells."""
+    nodes: list[list] = [[0, 0.0, -1, -1]]
+    open_cells = [(-len(sample), 0, sample)]
+    done: list[int] = []
+    while open_cells and len(open_cells) + len(done) < leaves:
+        _, node, rows = heapq.heappop(open_cells)
+        cut = separating_cut(rows) if len(rows) > 1 else None
+        if cut is None:
+            done.append(node)
+            continue
+        right = rows[:, cut[0]] > cut[1]
+        nodes[node] = [*cut, len(nodes), len(nodes) + 1]
+        for side in (rows[~right], rows[right]):
+            heapq.heappush(open_cells, (-len(side), len(nodes), side))
+            nodes.append([0, 0.0, -1, -1])
+    table = np.array(nodes, dtype=np.float64)
+    below = table[:, 2].astype(np.int64)
+    cells = np.where(below < 0, np.cumsum(below < 0) - 1, -1)
+    return Partition(table[:, 0].astype(np.int64), table[:, 1], below, table[:, 3].astype(np.int64), cells)
+
+
+def cell_of(vectors: np.ndarray, tree: Partition) -> np.ndarray:
     node = np.zeros(len(vectors), dtype=np.int64)
-    rows = np.arange(len(vectors))
-    for _ in range(leaves.bit_length() - 1):
-        node = 2 * node + 1 + (vectors[rows, dims[node]] > cuts[node])
-    return (node - (leaves - 1)).astype(np.int32)
+    inside = np.flatnonzero(tree.cells[node] < 0)
+    while len(inside):
+        at = node[inside]
+        right = vectors[inside, tree.dims[at]] > tree.cuts[at]
+        node[inside] = np.where(right, tree.above[at], tree.below[at])
+        inside = inside[tree.cells[node[inside]] < 0]
+    return tree.cells[node].astype(np.int32)
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.empty((0, width))
 
 
-def _with_cell(df: DataFrame, dims: np.ndarray, cuts: np.ndarray, leaves: int, width: int) -> DataFrame:
-    if leaves == 1:
-        return df.withColumn("cell", F.lit(0))
-
+def _with_cell(df: DataFrame, tree: Partition, width: int) -> DataFrame:
     @F.pandas_udf("int")
     def cell(vec: pd.Series) -> pd.Series:
-        return pd.Series(cell_of(_matrix(vec, width), dims, cuts, leaves))
+        return pd.Series(cell_of(_matrix(vec, width), tree))
 
     return df.withColumn("cell", cell("vec"))
 
@@ -177,9 +222,7 @@ def nearest_neighbors(
     order.
     """
     n = points.count() if at_most is None else at_most
-    leaves = 1
-    while leaves < MAX_LEAVES and n > leaves * leaf_rows:
-        leaves *= 2
+    leaves = min(MAX_LEAVES, max(1, -(-n // leaf_rows)))
     far = F.lit(float("inf"))
     home = queries.select("id", "vec").withColumn("bound", far)
     if leaves == 1:
@@ -188,12 +231,12 @@ def nearest_neighbors(
         asked = _tile_counts(home) if at_most is None else one
         return _as_arrays(_closest(_probe(home, points, one, asked, k, width), k))
     sample = points.orderBy(draw("id", seed, "sample"), "id").select("vec").limit(leaves * SAMPLE_PER_LEAF)
-    dims, cuts = space_partition(_matrix(sample.toPandas()["vec"], width), leaves)
-    points = stage(_with_cell(points, dims, cuts, leaves, width))
+    tree = space_partition(_matrix(sample.toPandas()["vec"], width), leaves)
+    points = stage(_with_cell(points, tree, width))
     edges = [f(F.col("vec")[d]).alias(f"{name}{d}") for d in range(width) for name, f in (("lo", F.min), ("hi", F.max))]
     boxes = points.groupBy("cell").agg(F.count("*").alias("n"), *edges).orderBy("cell").toPandas()
     tiles = {int(c): int(-(-m // TILE_ROWS)) for c, m in zip(boxes["cell"], boxes["n"])}
-    home = stage(_with_cell(home, dims, cuts, leaves, width))
+    home = stage(_with_cell(home, tree, width))
     first = stage(_closest(_probe(home, points, tiles, _tile_counts(home), k, width), k).drop("rk"))
     reach = first.groupBy("id").agg(F.max("distance").alias("far"), F.count("*").alias("n"))
     reach = reach.where(F.col("n") >= k).select("id", "far")

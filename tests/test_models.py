@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from outcomekit.functions import draw
 from outcomekit.operators import evaluate as ev, explain, features, models, topk
 
 
@@ -138,8 +139,6 @@ def brute_importance(x, y, weights, intercept, names, order, repeats, seed=42):
 
 
 def test_linear_importance_equals_brute_force(table, spark):
-    from outcomekit.functions import draw
-
     df, x, y = table
     weights = {"a": 2.0, "b": -1.0, "c": 0.0}
     order = [r.k for r in df.orderBy(draw("k", 42, "permute"), "k").collect()]
@@ -170,3 +169,27 @@ def test_rotation_never_stays_in_place():
     assert all(1 <= explain.rotation("f", r, 42, 10) <= 9 for r in range(200))
     assert explain.rotation("f", 0, 42, 1) == 0
     assert Vectors.dense([1.0]).size == 1
+
+
+@pytest.mark.parametrize("block_rows", [1, 7, 64, 300, 1000])
+def test_permutation_does_not_depend_on_blocks(spark, block_rows):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(301, 2))
+    y = (x[:, 0] + 0.2 * x[:, 1] > 0).astype(int)
+    rows = [(i, int(c), float(a), float(b)) for i, (c, (a, b)) in enumerate(zip(y, x, strict=True))]
+    df = spark.createDataFrame(rows, "k long, y int, a double, b double")
+    weights = {"a": 1.0, "b": 0.2}
+    order = [r.k for r in df.orderBy(draw("k", 42, "permute"), "k").select("k").collect()]
+    x, y = x[order], y[order] == 1
+    base = (x @ [1.0, 0.2] > 0) == y
+    want = {}
+    for j, name in enumerate(weights):
+        drops = []
+        for r in range(10):
+            moved = x.copy()
+            moved[:, j] = np.roll(x[:, j], -explain.rotation(name, r, 42, len(x)))
+            drops.append(base.mean() - (((moved @ [1.0, 0.2]) > 0) == y).mean())
+        want[name] = (np.mean(drops), np.std(drops))
+    got = explain.linear_permutation_importance(df, "k", "y", weights, block_rows=block_rows).collect()
+    for r in got:
+        assert (r.importance, r.importance_std) == pytest.approx(want[r.feature])

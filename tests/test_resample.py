@@ -117,3 +117,25 @@ def test_three_classes_all_grow(spark):
     rows = [(i, 0 if i < 30 else (1 if i < 40 else 2), float(i), float(i % 7)) for i in range(46)]
     df = spark.createDataFrame(rows, "k bigint, y int, a double, b double")
     assert {r.y: r["count"] for r in smote(df, "k", "y", ["a", "b"]).groupBy("y").count().collect()} == {0: 30, 1: 30, 2: 30}
+
+
+def test_flags_are_parted(spark):
+    """Flags that are mostly one, where a median separates nothing."""
+    rng = np.random.default_rng(3)
+    vectors = (rng.random((20_000, 20)) < rng.uniform(0.55, 0.9, 20)).astype(float)
+    tree = neighbors.space_partition(vectors[rng.permutation(20_000)[:2_000]], 64)
+    counts = np.bincount(neighbors.cell_of(vectors, tree), minlength=tree.leaves)
+    assert tree.leaves == 64 and counts.min() > 0 and counts.max() <= 4 * 20_000 / 64
+    few = vectors[:400]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(few)], "id long, vec array<double>")
+    got = {r.id: [n.distance for n in r.neighbors] for r in nearest_neighbors(df, df, 3, 20, leaf_rows=16).collect()}
+    for i, v in enumerate(few):
+        gaps = np.sort(((np.delete(few, i, axis=0) - v) ** 2).sum(axis=1))[:3]
+        assert got[i] == gaps.tolist()
+
+
+def test_equal_vectors_stay_in_one_cell():
+    tree = neighbors.space_partition(np.ones((50, 3)), 8)
+    assert tree.leaves == 1 and set(neighbors.cell_of(np.ones((5, 3)), tree)) == {0}
+    tree = neighbors.space_partition(np.array([[1.0, 1.0], [np.nextafter(1.0, 2.0), 1.0]]), 4)
+    assert tree.leaves == 2
