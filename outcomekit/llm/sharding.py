@@ -79,25 +79,23 @@ def split_line(keyed: DataFrame, total: int, n: int, seed: int) -> tuple[list[in
     """Splitters between which no range is overfull unless it is one key, and the sizes of the ranges."""
     limit = max(total * TOLERANCE / n, 1)
     splitters = sampled(keyed, total, n * RANGES_PER_SHARD, seed)
-    single: set[int] = set()
+    # Keys that alone hold more than the limit: at most n / TOLERANCE.
+    heavy: set[int] = set()
     while True:
         sizes = range_sizes(keyed, splitters)
-        over = [i for i, s in enumerate(sizes) if s > limit and i not in single]
+        done = {bisect.bisect_right(splitters, k) for k in heavy}
+        over = [i for i, s in enumerate(sizes) if s > limit and i not in done]
         if not over:
             return splitters, sizes
         seed += 1
-        inside = stage(
-            keyed.withColumn("r", in_ranges(F.col("key"), splitters)).where(F.col("r").isin(over))
-        )
-        bounds = {r.r: (r.low, r.high) for r in inside.groupBy("r").agg(F.min("key").alias("low"), F.max("key").alias("high")).collect()}
-        held = sum(sizes[i] for i in over)
-        wanted = int(4 * held / limit) + 4 * len(over)
-        drawn = sampled(inside.drop("r"), held, wanted, seed)
+        inside = stage(keyed.withColumn("r", in_ranges(F.col("key"), splitters)).where(F.col("r").isin(over)))
+        ends = inside.groupBy("r").agg(F.min("key").alias("low"), F.max("key").alias("high")).collect()
+        heavy |= {r.low for r in ends if r.low == r.high}
+        wide = [r for r in ends if r.low < r.high]
+        held = sum(sizes[r.r] for r in wide)
+        drawn = sampled(inside.drop("r"), held, int(4 * held / limit) + 4 * len(wide), seed) if wide else []
         # The ends of an overfull range are splitters as well, so that every round divides it.
-        drawn += [k for i in over for low, high in [bounds[i]] for k in (low, low + 1, high) if low < high]
-        single = {k for low, high in bounds.values() if low == high for k in (low,)}
-        splitters = sorted({*splitters, *drawn})
-        single = {bisect.bisect_right(splitters, k) for k in single}
+        splitters = sorted({*splitters, *drawn, *[k for r in wide for k in (r.low, r.low + 1, r.high)]})
 
 
 def place_groups(groups: list[tuple[int, int]], share: float, n: int) -> tuple[dict[int, int], list[int]]:

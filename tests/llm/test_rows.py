@@ -90,6 +90,12 @@ def test_overfull_ranges_are_divided(spark):
     assert all(abs(s - share) <= 0.1 * share for s in sizes.values())
 
 
+def test_rows_larger_than_a_range_end_the_division(spark):
+    rows = [(k, "x" * 10 ** (k % 5), "en", "s", 0) for k in range(12)] + [(k, f"{k} " * 3000, "en", "s", 0) for k in range(12, 30)]
+    got = sharding.shard_documents(documents(spark, rows), 6).collect()
+    assert len(got) == 30 and {r.shard for r in got} <= set(range(6))
+
+
 def test_no_rows_to_shard(spark):
     assert sharding.shard_documents(documents(spark, [])).collect() == []
 
