@@ -19,7 +19,7 @@ from outcomekit.operators import clean, features as fe, models
 from outcomekit.operators.evaluate import evaluate
 from outcomekit.operators.resample import smote
 from outcomekit.operators.split import HashSplit
-from outcomekit.session import stage
+from outcomekit.session import stage, staged_run
 
 #: Iterations of one step of a fit that may stop early.
 STEP = 5
@@ -170,14 +170,23 @@ def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe, save_best_to: str
 def run(
     df: DataFrame, recipe: Recipe, layout: Layout | None = None, part: str = "test", save_best_to: str | None = None
 ) -> DataFrame:
-    """Prepare, train every model, and evaluate them all on one part in one job."""
-    prepared = prepare(df, recipe, layout)
-    held = stage(prepared.vectors(prepared.part(part)))
-    fitted = [(spec, train(prepared, spec, recipe, save_best_to)) for spec in recipe.models]
-    scored = reduce(DataFrame.unionByName, [models.score(m, held, spec.name) for spec, m in fitted])
-    if recipe.inclusive:
-        scored = scored.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
-    return evaluate(scored, ["model"])
+    """Prepare, train every model, and evaluate them all on one part in one job.
+
+    The metric records, one per model, are read before the tables staged on the way are deleted.
+    """
+    spark = df.sparkSession
+    with staged_run(spark) as release:
+        try:
+            prepared = prepare(df, recipe, layout)
+            held = stage(prepared.vectors(prepared.part(part)))
+            fitted = [(spec, train(prepared, spec, recipe, save_best_to)) for spec in recipe.models]
+            scored = reduce(DataFrame.unionByName, [models.score(m, held, spec.name) for spec, m in fitted])
+            if recipe.inclusive:
+                scored = scored.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+            records = evaluate(scored, ["model"])
+            return spark.createDataFrame(records.collect(), records.schema)
+        finally:
+            release()
 
 
 # Held-out rows for early stopping come from the original rows, before any are made up.

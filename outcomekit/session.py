@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 
@@ -14,7 +16,8 @@ from pyspark.sql import functions as F
 STAGE_FOLDER = "outcomekit-stage"
 SMALL_ROWS = 50_000
 
-_local_scratch: dict[str, str] = {}
+_local_folders: set[str] = set()
+_runs: list[list[str]] = []
 
 
 def build_session(app: str = "outcomekit", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,24 +44,27 @@ def build_session(app: str = "outcomekit", master: str | None = None, **conf: st
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Shared folder for staged tables, as the session names it.
+    """Shared folder for staged tables: as ``spark.checkpoint.dir`` names it, else in the warehouse.
 
-    Without ``spark.checkpoint.dir`` only a local session may go on, with a
-    temporary folder of its own: executors of a cluster would not share it.
+    Executors share both. A local session without the setting has its folder of the warehouse deleted
+    when the process ends.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    context = spark.sparkContext
-    named = context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="outcomekit-")
-    return _local_scratch[app]
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{STAGE_FOLDER}-{spark.sparkContext.applicationId}"
+    if spark.sparkContext.master.startswith("local") and folder not in _local_folders:
+        _local_folders.add(folder)
+        atexit.register(shutil.rmtree, folder.removeprefix("file:"), ignore_errors=True)
+    return folder
+
+
+def new_stage(spark: SparkSession) -> str:
+    """Path of a staged table that does not exist yet; the innermost open run deletes it."""
+    path = f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{uuid.uuid4().hex}"
+    if _runs:
+        _runs[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -68,15 +74,37 @@ def stage(df: DataFrame) -> DataFrame:
     loss of executors, and later scans still prune columns and push filters.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{uuid.uuid4().hex}"
+    path = new_stage(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_run(spark: SparkSession) -> Iterator[Callable[[], None]]:
+    """Collect what is staged inside; the value deletes it, once nothing reads it any more."""
+    paths: list[str] = []
+    _runs.append(paths)
+
+    def release() -> None:
+        while paths:
+            _delete(spark, paths.pop())
+
+    try:
+        yield release
+    finally:
+        _runs.remove(paths)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    # A session that has ended leaves its folder to whoever owns it.
+    if spark.sparkContext._jsc is not None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def release_stages(spark: SparkSession) -> None:
     """Delete all staged tables of this folder; tables still read from them are lost."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}")
 
 
 def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:

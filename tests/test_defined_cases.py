@@ -63,3 +63,18 @@ print("ROWS", linear_permutation_importance(df, "id", "y", {{"x": 1.0}}).count()
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 1" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_recipe_leaves_nothing_staged(spark, tmp_path):
+    from registry.core import customers
+
+    from outcomekit.plans import recipes
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        recipe = recipes.Recipe("small", (recipes.ModelSpec("l", "logistic", iterations=5),), balance="smote")
+        assert recipes.run(customers(spark, "/root/testdata/sf0.001").cache(), recipe).count() == 1
+        assert [p for p in tmp_path.rglob("*.parquet")] == []
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
