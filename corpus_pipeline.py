@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from outcomekit.llm import jaccard, mixing, perplexity, sharding, tiling
-from outcomekit.session import scratch_dir
+from outcomekit.session import scratch_dir, staged_run
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +45,6 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(docs)
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-
 STAGES: list[tuple[str, Stage]] = [
     ("quality_classifier", quality),
     ("ngram_jaccard_join", near_duplicates),
@@ -55,11 +55,16 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the last stage; every other one is written to the shared folder and read again."""
+    """Rows of the last stage; every other one is written to the shared folder and read again.
+
+    What a stage stages on the way is deleted when its rows are written.
+    """
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         path = f"{scratch_dir(spark).rstrip('/')}/corpus-pipeline/{uuid.uuid4().hex}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with staged_run(spark) as release:
+            stage(spark, docs, sf_dir).write.parquet(path)
+            release()
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
 

@@ -14,7 +14,6 @@ by block number, and joins with answers move only the answers.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from outcomekit.llm.text import find_words, text_bytes
-from outcomekit.session import scratch_dir
+from outcomekit.session import new_stage
 
 BLOCK_BYTES = 8 << 20
 HASHES_PER_BUCKET = 2_000_000
@@ -115,8 +114,8 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: int | No
         if held:
             yield emit()
 
-    name = f"blocks_{uuid.uuid4().hex}"
-    path = f"{scratch_dir(spark).rstrip('/')}/outcomekit-stage/{name}"
+    path = new_stage(spark)
+    name = f"blocks_{path.rpartition('/')[2]}"
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = docs.mapInArrow(cut, BLOCK_SCHEMA)
     blocks.write.bucketBy(n, "block").option("path", path).saveAsTable(name)
