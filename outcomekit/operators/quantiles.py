@@ -24,22 +24,18 @@ Bounds = dict[str, tuple]
 def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """Median of each numeric column; nulls and NaN do not count, a middle pair is averaged.
 
-    All columns share the scans. Columns of at most ``BRACKET_VALUES`` values take
-    two, longer ones three, plus two for each time a bracket must be narrowed.
+    All columns share the scans: three, plus two for each time a bracket must be
+    narrowed to at most ``BRACKET_VALUES`` values.
     """
     cols = list(dict.fromkeys(cols))
     value = lambda c: F.col(f"`{c}`").cast("double")
     typed = df.select(*[F.when(~F.isnan(value(c)), value(c)).alias(c) for c in cols])
     total, bounds = _sketch(typed, {c: 0.5 for c in cols}, {})
     out: dict[str, float | None] = {c: None for c in cols if total[c] == 0}
-    short = [c for c in cols if 0 < total[c] <= BRACKET_VALUES]
-    if short:
-        row = typed.agg(*[F.median(c).alias(c) for c in short]).first()
-        out.update({c: row[c] for c in short})
-    longer = [c for c in cols if total[c] > BRACKET_VALUES]
-    ranks = {c: {(total[c] - 1) // 2, total[c] // 2} for c in longer}
-    for c, found in _select(typed, ranks, total, {c: bounds[c] for c in longer}).items():
-        out[c] = (found[0] + found[-1]) / 2.0
+    ranks = {c: {(total[c] - 1) // 2, total[c] // 2} for c in cols if total[c]}
+    if ranks:
+        for c, found in _select(typed, ranks, total, bounds).items():
+            out[c] = (found[0] + found[-1]) / 2.0
     return out
 
 
@@ -70,13 +66,18 @@ def _select(df: DataFrame, ranks: Mapping[str, set[int]], total: Mapping[str, in
     out: dict[str, list] = {}
     bounds = dict(bounds)
     todo = list(ranks)
+    # A bracket that missed its ranks is opened on that side and not narrowed again, so the rounds end.
+    settled: set[str] = set()
     while todo:
         counts = _counts(df, todo, bounds)
         missed = _widened(todo, ranks, counts, bounds)
         if missed:
             bounds.update(missed)
+            settled.update(missed)
             continue
-        wide = [c for c in todo if counts[c][1] > BRACKET_VALUES and bounds[c][0] < bounds[c][1]]
+        wide = [
+            c for c in todo if counts[c][1] > BRACKET_VALUES and bounds[c][0] < bounds[c][1] and c not in settled
+        ]
         narrower: Bounds = {}
         if wide:
             targets = {c: (min(ranks[c]) - counts[c][0]) / (counts[c][1] - 1) for c in wide}
@@ -117,14 +118,18 @@ def _counts(df: DataFrame, cols: Sequence[str], bounds: Bounds) -> dict[str, tup
 
 
 def _pick(df: DataFrame, cols: Sequence[str], ranks, bounds: Bounds, counts) -> dict[str, list]:
-    """Read the wanted ranks off the values inside the brackets, counted once each."""
-    out = {}
+    """Read the wanted ranks off the values inside the brackets, counted once each, in one scan of all columns."""
+    held = [
+        F.struct(F.lit(c).alias("c"), F.when(F.col(c).between(*bounds[c]), F.col(c)).alias("value")) for c in cols
+    ]
+    long = df.select(F.inline(F.array(*held))).where(F.col("value").isNotNull())
+    values = long.groupBy("c", "value").agg(F.count("*").alias("n"))
+    # One task per column, but over the distinct values of one narrow bracket.
+    upto = F.sum("n").over(W.partitionBy("c").orderBy("value"))
+    wanted = F.array().cast("array<bigint>")
     for c in cols:
-        values = df.where(F.col(c).between(*bounds[c])).groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
-        # One task, but over the distinct values of one narrow bracket.
-        upto = F.sum("n").over(W.partitionBy(F.lit(1)).orderBy("value"))
-        wanted = F.array(*[F.lit(r - counts[c][0]) for r in sorted(ranks[c])])
-        hit = F.exists(wanted, lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
-        rows = values.withColumn("upto", upto).where(hit).select("value").collect()
-        out[c] = sorted(r["value"] for r in rows)
-    return out
+        places = F.array(*[F.lit(r - counts[c][0]).cast("bigint") for r in sorted(ranks[c])])
+        wanted = F.when(F.col("c") == c, places).otherwise(wanted)
+    hit = F.exists("wanted", lambda r: (F.col("upto") > r) & (F.col("upto") - F.col("n") <= r))
+    rows = values.withColumns({"upto": upto, "wanted": wanted}).where(hit).select("c", "value").collect()
+    return {c: sorted(r["value"] for r in rows if r["c"] == c) for c in cols}

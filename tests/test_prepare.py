@@ -142,4 +142,4 @@ def test_assemble_keeps_names(spark):
     out = features.assemble(df, names, keep=["k", "label"])
     assert out.first().features.toArray().tolist() == [2.0, 3.0]
     attrs = out.schema["features"].metadata["ml_attr"]["attrs"]["numeric"]
-    assert [a["name"] for a in attrs] == ["a_b", "c"]
+    assert [a["name"] for a in attrs] == ["a.b", "c"]
