@@ -7,6 +7,7 @@ separators cut texts exactly where a pattern over characters would.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -55,6 +56,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def parts(column: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of at most ``most`` bytes of text each, or of one row."""
+    _, offsets = text_bytes(column)
+    at = 0
+    while at < len(column):
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
+        yield at, upto
+        at = upto
+
+
 def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> Words:
     solid = np.zeros(len(data) + 2, dtype=bool)
     solid[1:-1] = ~separators[data]

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcomekit.llm.text import LOWER, find_words, text_bytes, window_starts, windows, word_hashes
+from outcomekit.llm.text import LOWER, find_words, parts, text_bytes, window_starts, windows, word_hashes
 from outcomekit.session import stage
 
 MIN_MATCH = 5
@@ -114,8 +114,16 @@ def tile(
     return tiles
 
 
-def search(words: np.ndarray, first: np.ndarray, items: Items, coverage: float) -> list[tuple]:
+def search(column: pa.Array, items: Items, coverage: float) -> list[tuple]:
     """Rows (text, item, covered words, tiles) of a batch where the tiles cover enough."""
+    out = []
+    for a, b in parts(column):
+        words, first = batch_words(column.slice(a, b - a))
+        out += [(a + d, *found) for d, *found in search_part(words, first, items, coverage)]
+    return out
+
+
+def search_part(words: np.ndarray, first: np.ndarray, items: Items, coverage: float) -> list[tuple]:
     begins = window_starts(first, items.min_match)
     if len(begins) == 0 or len(items.seeds) == 0:
         return []
@@ -149,7 +157,7 @@ def search(words: np.ndarray, first: np.ndarray, items: Items, coverage: float)
     return out
 
 
-def benchmark_parts(benchmark: DataFrame, min_match: int) -> list[Items]:
+def benchmark_parts(benchmark: DataFrame, min_match: int) -> Iterator[Items]:
     """The benchmark's distinct items, in parts of about PART_WORDS words; one part at a time is in use."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,9 +172,9 @@ def benchmark_parts(benchmark: DataFrame, min_match: int) -> list[Items]:
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
     rows = stage(rows.mapInArrow(convert, ITEM_SCHEMA).where(F.col("n") >= min_match).distinct())
     total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // PART_WORDS))
-    for k in range(parts):
-        held = rows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(parts)) == k).orderBy("item_id", "words").collect()
+    n_parts = max(1, -(-total // PART_WORDS))
+    for k in range(n_parts):
+        held = rows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(n_parts)) == k).orderBy("item_id", "words").collect()
         yield Items([r.item_id for r in held], [np.frombuffer(r.words, np.uint64) for r in held], min_match)
 
 
@@ -179,8 +187,7 @@ def leaks(
     def against(items: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                words, first = batch_words(batch.column("text"))
-                rows = search(words, first, items, coverage)
+                rows = search(batch.column("text"), items, coverage)
                 sizes = [len(items.words[k]) for _, k, _, _ in rows]
                 covered = [c for _, _, c, _ in rows]
                 yield pa.record_batch(
@@ -212,9 +219,9 @@ def without_leaks(
     def against(rest: DataFrame, items: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                words, first = batch_words(batch.column(batch.schema.get_field_index("text")))
+                texts = batch.column(batch.schema.get_field_index("text"))
                 keep = np.ones(batch.num_rows, bool)
-                keep[[d for d, _, _, _ in search(words, first, items, coverage)]] = False
+                keep[[d for d, _, _, _ in search(texts, items, coverage)]] = False
                 yield batch.filter(pa.array(keep))
 
         return rest.mapInArrow(run, docs.schema)
