@@ -71,22 +71,18 @@ def _marks_table(df: DataFrame, marks: list[dict], rows: DataFrame) -> DataFrame
     return F.broadcast(df.sparkSession.createDataFrame(cells, f"g {kind}, part string, r bigint, b bigint, base bigint"))
 
 
-def _finer_marks(rows: DataFrame, marks: list[dict], bits: int) -> tuple[list[dict], int]:
+def _finer_marks(df: DataFrame, rows: DataFrame, marks: list[dict], bits: int) -> tuple[list[dict], int]:
     """Place the marks within buckets of more leading bits, from counts inside their present ones."""
     finer = min(32, bits + STEP_BITS)
-    buckets = sorted({m["b"] for m in marks})
-    inside = rows.where(draw_bucket(F.col("u"), bits).isin(buckets))
-    counts = inside.groupBy("g", draw_bucket(F.col("u"), finer).alias("b")).agg(F.count("*").alias("n")).collect()
-    out = []
-    for mark in marks:
-        base = mark["base"]
-        mine = sorted((c["b"], c["n"]) for c in counts if c["g"] == mark["g"] and c["b"] >> (finer - bits) == mark["b"])
-        for b, n in mine:
-            if mark["r"] <= base + n:
-                out.append({**mark, "b": b, "n": n, "base": base})
-                break
-            base += n
-    return out, finer
+    inside = rows.withColumn("b", draw_bucket(F.col("u"), bits)).alias("x").join(
+        _marks_table(df, marks, rows).alias("w"), F.expr("x.g <=> w.g AND x.b = w.b")
+    )
+    counts = inside.groupBy("w.g", "w.part", "w.r", "w.base", draw_bucket(F.col("x.u"), finer).alias("b"))
+    # A mark has at most 2^STEP_BITS counts; only the one its rank falls into is read.
+    upto = F.col("base") + F.sum("n").over(W.partitionBy("g", "part").orderBy("b"))
+    placed = counts.agg(F.count("*").alias("n")).withColumn("upto", upto)
+    hit = placed.where("r <= upto AND r > upto - n").select("g", "part", "r", "b", "n", F.expr("upto - n").alias("base"))
+    return [r.asDict() for r in hit.collect()], finer
 
 
 @dataclass(frozen=True)
@@ -118,7 +114,7 @@ class HashSplit:
             return cls(key, seed, stratum, tuple(fractions), rest, ())
         bits = STEP_BITS
         while bits < 32 and max(m["n"] for m in marks) > RANKED_ROWS:
-            marks, bits = _finer_marks(rows, marks, bits)
+            marks, bits = _finer_marks(df, rows, marks, bits)
         buckets = sorted({m["b"] for m in marks})
         # One bucket of one class per task, of about RANKED_ROWS rows at most.
         inside = F.row_number().over(W.partitionBy("g", "b").orderBy("u", "k"))
