@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 from outcomekit.llm.text import find_words, text_bytes
 from outcomekit.session import new_stage
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 HASHES_PER_BUCKET = 2_000_000
 
 BLOCK_SCHEMA = "block long, n_docs long, n_words long, payload binary"

@@ -76,11 +76,12 @@ class Grams:
         self.sizes = np.diff(offsets)
         pad = ORDER - 1
         padded = np.full(len(data) + pad * len(self.sizes), START, np.uint32)
-        owner = np.repeat(np.arange(1, len(self.sizes) + 1), self.sizes)
-        at = np.arange(len(data)) + pad * owner
+        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
+        at = np.arange(pad, len(data) + pad, dtype=np.int32) + pad * self.owner
         padded[at] = data
-        self.keys = padded[at - 2] << 24 | padded[at - 1] << 16 | padded[at - 3] << 8 | padded[at]
-        self.owner = owner - 1
+        self.keys = padded[at]
+        for back, shift in ((3, 8), (1, 16), (2, 24)):
+            self.keys |= padded[at - back] << np.uint32(shift)
         self.names = np.unique(self.keys)
 
     def column(self, name: str) -> pa.Array:

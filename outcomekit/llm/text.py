@@ -80,11 +80,14 @@ def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
     """64-bit hash of each word's bytes."""
     if len(words.starts) == 0:
         return np.zeros(0, np.uint64)
-    lengths = words.ends - words.starts
-    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    within = np.arange(int(lengths.sum())) - np.repeat(begin, lengths)
+    lengths = (words.ends - words.starts).astype(np.int32)
+    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int32)
+    within = np.arange(int(lengths.sum()), dtype=np.int32)
+    letters = data[within + np.repeat(words.starts.astype(np.int32) - begin, lengths)]
+    within -= np.repeat(begin, lengths)
     powers = np.multiply.accumulate(np.full(int(lengths.max()), STEP))
-    values = _LETTERS[data[within + np.repeat(words.starts, lengths)]] * powers[within]
+    values = _LETTERS[letters]
+    values *= powers[within]
     return mix(np.add.reduceat(values, begin) + lengths.astype(np.uint64))
 
 
