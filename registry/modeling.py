@@ -306,6 +306,58 @@ def importance_total(spark, sf):
     )
 
 
+# Whether a customer is a senior is a rule that every model can learn; one that learns nothing fails.
+RULE_SQL = f"""WITH {FILLED_SQL} SELECT customer_id, CAST(senior AS INT) AS prediction FROM filled"""
+
+
+def ruled_vectors(df, part: str) -> DataFrame:
+    rows = df.where(F.col("split") == part).withColumn("label", F.col("senior").cast("int"))
+    return models.spread(features.assemble(rows, LINEAR, keep=["label"]))
+
+
+def predictions(model, df) -> DataFrame:
+    rows = features.assemble(df, LINEAR, keep=["customer_id"])
+    return models.score(model, rows, keep=["customer_id"]).select("customer_id", "prediction")
+
+
+@query("m03_forest_rule", RULE_SQL)
+def forest_rule(spark, sf):
+    df = linear_data(spark, sf)
+    return predictions(models.fit_forest(ruled_vectors(df, "train")), df)
+
+
+@query("m04_network_rule", RULE_SQL)
+def network_rule(spark, sf):
+    df = linear_data(spark, sf)
+    return predictions(models.fit_perceptron(ruled_vectors(df, "train"), len(LINEAR), (64, 32), max_iter=100), df)
+
+
+@query("m05_perceptron_rule", RULE_SQL)
+def perceptron_rule(spark, sf):
+    df = linear_data(spark, sf)
+    return predictions(models.fit_perceptron(ruled_vectors(df, "train"), len(LINEAR), (64, 32), max_iter=200), df)
+
+
+@query("m06_stopped_rule", RULE_SQL)
+def stopped_rule(spark, sf):
+    df = linear_data(spark, sf)
+    held = ruled_vectors(df, "validation")
+    stop = models.fit_early_stopping(ruled_vectors(df, "train"), held, len(LINEAR), (8, 4), max_steps=20, patience=4)
+    return predictions(stop.best, df)
+
+
+@query(
+    "m11_importance_rule",
+    f"""WITH {FILLED_SQL}, strength AS (
+          SELECT unnest(['senior', 'months']) AS feature,
+                 unnest([abs(corr(senior, senior)), abs(corr(tenure, senior))]) AS r FROM filled)
+        SELECT arg_max(feature, r) AS feature FROM strength""",
+)
+def importance_rule(spark, sf):
+    model = models.fit_forest(ruled_vectors(linear_data(spark, sf), "train"))
+    return topk.top_k(models.importance_table(model, LINEAR, spark), "feature", "importance", 1).select("feature")
+
+
 @query(
     "s06_reloaded_scores",
     f"""WITH RECURSIVE {FILLED_SQL} {newton_sql('1.0::DOUBLE')}
