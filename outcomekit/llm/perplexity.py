@@ -38,6 +38,7 @@ from outcomekit.llm.blocks import (
     ASK_SCHEMA,
     ask,
     by_bucket,
+    deflate,
     kept_rows,
     open_payload,
     pack,
@@ -134,6 +135,23 @@ def backed_off(count: np.ndarray, context: np.ndarray, lower: np.ndarray, discou
     return np.where(seen, (np.maximum(count - discount.of(count), 0) + held * lower) / safe, lower)
 
 
+def pack_counts(names: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ascending four-grams as compressed steps, and their counts."""
+    steps = np.diff(names, prepend=np.uint32(0)).astype(np.uint32)
+    size = np.array([len(names)], np.int64)
+    return pack({"n": size, "names": deflate(steps), "counts": deflate(counts.astype(np.int64))})
+
+
+def unpack_counts(data: bytes) -> dict[str, np.ndarray]:
+    part = unpack(data)
+    n = int(part["n"][0])
+    if n == 0:
+        return {"names": np.zeros(0, np.uint32), "counts": np.zeros(0, np.int64)}
+    steps = np.frombuffer(pa.decompress(part["names"], 4 * n, codec="zstd"), np.uint32)
+    counts = np.frombuffer(pa.decompress(part["counts"], 8 * n, codec="zstd"), np.int64)
+    return {"names": np.cumsum(steps, dtype=np.uint32), "counts": counts}
+
+
 def summed(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     """All four-grams of some parts of a shard, and their counts added up."""
     every = np.unique(np.concatenate([p["names"] for p in parts]))
@@ -148,9 +166,9 @@ def add_counts(asks: DataFrame, key: str) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        every, counts = summed([unpack(x.as_py()) for x in table.column("ask")])
+        every, counts = summed([unpack_counts(x.as_py()) for x in table.column("ask")])
         seen = counts > 0
-        one = pack({"names": every[seen], "counts": counts[seen]})
+        one = pack_counts(every[seen], counts[seen])
         return pa.table({"bucket": table.column(key).slice(0, 1), "block": pa.array([MODEL]), "ask": pa.array([one])})
 
     return asks.groupBy(key).applyInArrow(run, ASK_SCHEMA)
@@ -192,7 +210,7 @@ def fit(counted: DataFrame) -> Model:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column("ask"):
-                yield shard_statistics(unpack(x.as_py()))
+                yield shard_statistics(unpack_counts(x.as_py()))
 
     rows = counted.select("ask").mapInArrow(run, STAT_SCHEMA)
     rows = rows.groupBy("kind", "entry").agg(F.sum("n").alias("n")).collect()
@@ -210,9 +228,9 @@ def fit(counted: DataFrame) -> Model:
 
 def shard_bits(counted: bytes, asks: list[bytes], model: Model) -> list[bytes]:
     """Bits (negative binary logarithms) of every asked four-gram, in the order asked."""
-    names = [unpack(a)["names"] for a in asks]
+    names = [unpack_counts(a)["names"] for a in asks]
     empty = [{"names": n, "counts": np.zeros(len(n), np.int64)} for n in names]
-    every, counts = summed([unpack(counted), *empty])
+    every, counts = summed([unpack_counts(counted), *empty])
     three, of_three = np.unique(trigrams(every), return_inverse=True)
     before = np.bincount(of_three, weights=counts > 0, minlength=len(three))
     _, context = np.unique(three >> np.uint64(8), return_inverse=True)
@@ -235,7 +253,7 @@ def answer_bits(asks: DataFrame, counted: DataFrame, model: Model, salts: int) -
         given = table.column("block").to_numpy()
         own = table.column("ask").filter(pa.array(given == MODEL))
         asked = table.filter(pa.array(given != MODEL))
-        none = pack({"names": np.zeros(0, np.uint32), "counts": np.zeros(0, np.int64)})
+        none = pack_counts(np.zeros(0, np.uint32), np.zeros(0, np.int64))
         bits = shard_bits(own[0].as_py() if len(own) else none, [x.as_py() for x in asked.column("ask")], model)
         return pa.table(
             {"bucket": asked.column("bucket"), "block": asked.column("block"), "answer": pa.array(bits, pa.binary())}
@@ -284,7 +302,7 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         for k in np.flatnonzero(np.diff(bounds)):
             part = order[bounds[k] : bounds[k + 1]]
             salt = row["block"] % salts
-            yield int(k) * salts + salt, pack({"names": grams.names[part], "counts": counts[part].astype(np.uint32)})
+            yield int(k) * salts + salt, pack_counts(grams.names[part], counts[part])
 
     def add_up(row: dict) -> Iterator[pa.RecordBatch]:
         grams = Grams(row["payload"])
