@@ -2,9 +2,12 @@
 
 Method
     A page becomes a tree of elements; an unclosed paragraph or list item ends where the next begins.
-    Parts that are never the article go first: scripts, styles, forms, menus, headers and footers of
-    the page, asides, and elements whose class, id or role names an advert, notice, menu, sidebar or
-    comments. Every paragraph passes points for its length and commas to its parent, half of them to
+    Parts that are never the article go first: scripts, styles, menus, headers and footers of the page,
+    asides and hidden elements. Forms and elements with a class, id or role that names an advert,
+    notice, menu, sidebar or comments go too, unless they hold the article: an ``article`` or ``main``
+    element not so named itself or, on a page without one elsewhere, more than half of the paragraphs'
+    points. A name counts as a whole: ``sidebar``, or ``left-sidebar`` of parts that are all such words
+    or their usual companions, but not ``has-sidebar``. Every paragraph passes points for its length and commas to its parent, half of them to
     its grandparent and less to those above. An element's points are discounted by its link density,
     the part of its text that lies in links. The element with most points is the container; siblings
     with a fair part of its points, and sibling paragraphs of plain text, are kept with it. A container
@@ -44,7 +47,7 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 DROPPED = frozenset(
     "script style noscript template nav footer aside form button select textarea input iframe object svg canvas"
     " head title menu dialog audio video map".split()
-)
+) - {"form"}
 BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5"
     " h6 header hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -70,7 +73,16 @@ UNLIKELY = frozenset(
     " subscription signup login share sharing social related recommended recommendations widget pagination pager"
     " skip hidden".split()
 )
+#: Words beside them in a name that leave its meaning.
+COMPANIONS = frozenset(
+    "site page global main primary secondary left right top bottom inner outer sticky fixed floating post article entry"
+    " blog google wp js the box boxes container wrapper wrap area block blocks list item items section slot unit units"
+    " link links bar bars button buttons form body header text message title content posts stories articles icons"
+    " visually label policy".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
+#: Elements that are the article, or hold it, whatever their names.
+HOLDERS = frozenset({"article", "main"})
 IN_HEAD = frozenset("title meta link style script base noscript template".split())
 #: Points that elements above a paragraph get, nearest first, as parts of the paragraph's.
 FALL = (1.0, 0.5, 1 / 6, 1 / 9, 1 / 12, 1 / 15)
@@ -79,32 +91,40 @@ SIBLING_LEAST = 10.0
 
 
 class Element:
-    __slots__ = ("tag", "parent", "children", "dropped", "points", "text_len", "link_len", "links", "in_link")
+    __slots__ = ("tag", "parent", "children", "dropped", "unlikely", "points", "text_len", "link_len", "links", "in_link")
 
-    def __init__(self, tag: str, parent: Element | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Element | None, dropped: bool, unlikely: bool = False) -> None:
+        self.tag, self.parent, self.dropped, self.unlikely = tag, parent, dropped, unlikely
         self.children: list[Element | str] = []
         self.points = 0.0
         self.text_len = self.link_len = self.links = 0
         self.in_link = tag == "a" or (parent is not None and parent.in_link)
 
 
-def is_unlikely(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element is one of the parts that are never the article."""
-    if tag in DROPPED or tag == "header" and not in_article:
-        return True
-    if not attrs or tag in ("html", "body", "article", "main"):
-        return False
+def names_other(name: str) -> bool:
+    """Whether a class or id, as a whole, names something other than the article."""
+    parts = re.findall(r"[a-z]+", name)
+    return not UNLIKELY.isdisjoint(parts) and all(p in UNLIKELY or p in COMPANIONS for p in parts)
+
+
+def judged(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether an element is never the article, and whether it is unlikely to be, as its names say."""
+    gone, unlikely = tag in DROPPED or tag == "header" and not in_article, tag == "form"
+    if gone or not attrs or tag in ("html", "body"):
+        return gone, unlikely
     for name, *values in ATTRIBUTE.findall(attrs):
         name, value = name.lower(), "".join(values).lower()
         if name in ("class", "id"):
-            if not UNLIKELY.isdisjoint(re.split(r"[^a-z]+", value)):
-                return True
-        elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            unlikely = unlikely or any(map(names_other, value.split()))
+        elif name == "role":
+            unlikely = unlikely or value in ROLES
+        elif tag in HOLDERS:
+            continue
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
+            gone = True
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            gone = True
+    return gone, unlikely
 
 
 def parse(html: str) -> list[Element]:
@@ -156,8 +176,8 @@ def parse(html: str) -> list[Element]:
                     close(depth)
         parent = stack[-1]
         in_article = bool(opened["article"])
-        gone = parent.dropped or is_unlikely(tag, found["attrs"] or "", in_article)
-        element = Element(tag, parent, gone)
+        gone, unlikely = judged(tag, found["attrs"] or "", in_article)
+        element = Element(tag, parent, parent.dropped or gone, unlikely)
         parent.children.append(element)
         elements.append(element)
         if tag in RAW:
@@ -187,9 +207,10 @@ def own_text(element: Element) -> str:
     return plain("".join(out))
 
 
-def score(elements: list[Element]) -> Element | None:
-    """Give points and lengths to all elements; the best container, or none without text."""
+def measure(elements: list[Element]) -> None:
+    """Give lengths of text and links to all elements."""
     for element in elements:
+        element.text_len = element.link_len = element.links = 0
         if element.dropped:
             continue
         if element.tag == "a":
@@ -205,13 +226,45 @@ def score(elements: list[Element]) -> Element | None:
             up.text_len += element.text_len
             up.link_len += element.link_len
             up.links += element.links
+
+
+def own_points(element: Element) -> float:
+    """Points of a block for its own text."""
+    if element.dropped or element.tag not in BLOCKS and element.tag:
+        return 0.0
+    text = own_text(element)
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - density(element)) if text else 0.0
+
+
+def drop_unlikely(elements: list[Element]) -> None:
+    """Leave out elements that are unlikely to be the article, but not those that hold it."""
+    if not any(e.unlikely and not e.dropped and e.tag not in HOLDERS for e in elements):
+        return
+    measure(elements)
+    points = {id(e): own_points(e) for e in elements}
+    holders = {id(e): int(e.tag in HOLDERS and e.text_len > 0 and not e.dropped and not e.unlikely) for e in elements}
+    above = {id(elements[0]): 0}
+    for element in elements[1:]:
+        above[id(element)] = above[id(element.parent)] + holders[id(element.parent)]
+    for element in reversed(elements[1:]):
+        points[id(element.parent)] += points[id(element)]
+        holders[id(element.parent)] += holders[id(element)]
+    page = id(elements[0])
+    for element in elements[1:]:
+        if element.parent.dropped:
+            element.dropped = True
+        elif element.unlikely and element.tag not in HOLDERS and not holders[id(element)]:
+            elsewhere = holders[page] > above[id(element)]
+            element.dropped = elsewhere or points[id(element)] <= points[page] / 2
+
+
+def score(elements: list[Element]) -> Element | None:
+    """Give points and lengths to all elements; the best container, or none without text."""
+    measure(elements)
     for element in elements:
-        if element.dropped or element.tag not in BLOCKS and element.tag:
-            continue
-        text = own_text(element)
-        if not text:
+        points = own_points(element)
+        if not points:
             continue
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - density(element))
         above = element.parent if element.tag in PARAGRAPHS else element
         for part in FALL:
             if above is None:
@@ -297,7 +350,9 @@ def blocks(kept: list[Element]) -> list[str]:
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    best = score(parse(html))
+    elements = parse(html)
+    drop_unlikely(elements)
+    best = score(elements)
     return "\n\n".join(blocks(kept_elements(best))) if best is not None else ""
 
 

@@ -367,6 +367,33 @@ def test_articles_without_the_rest(page):
     assert extract.main_text(page.format(*EXTRAS, body=BODY)) == "\n\n".join(ARTICLE)
 
 
+@pytest.mark.parametrize(
+    "name",
+    "content has-sidebar|page-no-comments|overflow-hidden|with-banner|social-story|no-ads|widget|related main-social".split("|"),
+)
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body>{0}{1}<div class='{name}'><article><h1>A title of the piece</h1>{body}</article></div>{2}{5}{6}",
+        "<body>{0}{1}<div id=page class='{name}'><h1>A title of the piece</h1>{body}{3}</div>{2}{5}{6}",
+        "<body>{0}<main><div class='{name}'><h1>A title of the piece</h1>{body}</div>{5}</main>{6}",
+    ],
+)
+def test_wrappers_keep_the_article(page, name):
+    assert extract.main_text(page.format(*EXTRAS, body=BODY, name=name)) == "\n\n".join(ARTICLE)
+
+
+@pytest.mark.parametrize("name", "comments|comment-list|post-comments|left-sidebar|ad_2|ad-slot|site-footer|x related-posts".split("|"))
+def test_named_parts_are_left_out(name):
+    other = "<p>Other text, of some length, with commas, too, that is not part of it.</p>"
+    comment = f"<article class='comment-body'>{other}</article>"
+    for extra in (other, other * 9, comment):
+        page = f"<body><article><h1>A title of the piece</h1>{BODY}</article><div class='{name}'>{extra}</div>"
+        assert extract.main_text(page) == "\n\n".join(ARTICLE)
+        page = f"<body><div><h1>A title of the piece</h1>{BODY}<div class='{name}'>{other}</div></div>"
+        assert extract.main_text(page) == "\n\n".join(ARTICLE)
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 20_000 + "<p>deep, down" + "</div>" * 20_000
     cases = [
