@@ -10,7 +10,19 @@ Method
     Orders two and one have at most 65,536 and 256 entries and are summed up before. Every byte of
     every document is scored; three line breaks stand before each text.
 
-    A document's perplexity is that per byte. Held-out trusted documents give its quantiles by
+    Bytes do not see the order of words, so the same texts also train an interpolated modified
+    Kneser-Ney model of word pairs; a word is a run of bytes without white space. Pairs go to the shard
+    of their first word, which answers with the discounted share of each pair and what each first word
+    leaves to the order below; the order below is the share of first words a word follows, from the
+    shards of the second words, and leaves the rest to the bytes' model of the word and the white space
+    after it. Words are compared by 36 bits of hash as the owner of a shard's entry, by 28 bits below it.
+
+    Neither says much of a word repeated again and again, as each pair is unseen once and for all. So a
+    document's own earlier pairs are mixed in with weight ``OWN``, as a cache model: what they save,
+    in bits, is its repetition. Copies of other documents save little, as the pairs are known already.
+
+    A document's perplexities are those per byte, by bytes and by words; repetition is per byte, too,
+    and as a power of two. Each has its limits, repetition only an upper one, and each rejects. Held-out trusted documents give its quantiles by
     language, a document counting by its bytes, exact to a thousandth of a bit. A document is rejected above the upper or below the lower
     quantile by more than ``margin`` times the distance of that quantile from the median: text of
     another kind is less likely than trusted text, endless repetition more. Short texts stray further
@@ -25,7 +37,7 @@ Defined cases
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -47,7 +59,7 @@ from outcomekit.llm.blocks import (
     unpack,
     with_answers,
 )
-from outcomekit.llm.text import mix, text_bytes
+from outcomekit.llm.text import find_words, mix, text_bytes, word_hashes
 from outcomekit.session import stage
 
 ORDER = 4
@@ -65,7 +77,13 @@ MODEL = -1
 #: Bits per byte are kept as whole thousandths, so quantiles come from counts.
 STEPS_PER_BIT = 1000
 STAT_SCHEMA = "kind string, entry long, n long"
-SCORE_SCHEMA = "block long, place long, doc_id long, lang string, n_bytes long, bits double"
+SCORE_SCHEMA = "block long, place long, doc_id long, lang string, n_bytes long, bits double, word_bits double, saved_bits double"
+#: Weight of a document's own earlier pairs.
+OWN = 0.1
+#: Bits of a pair's number that hold the word other than its owner.
+OTHER = np.uint64(28)
+#: Stands for the word before the first.
+NO_WORD = np.uint64(0x5DEECE66D1234567)
 
 
 class Grams:
@@ -94,9 +112,55 @@ class Grams:
         return np.bincount(np.searchsorted(self.names, keys), minlength=len(self.names))
 
 
-def shards(names: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of ascending four-grams by shard, and where each shard begins in it."""
-    shard = mix((names >> 16).astype(np.uint64)) % np.uint64(n)
+class Pairs:
+    """Words of a block with the word before each, as numbers whose upper part owns a shard's entry."""
+
+    def __init__(self, payload: bytes) -> None:
+        batch = open_payload(payload)
+        data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
+        words = find_words(data, offsets)
+        hashes = word_hashes(data, words)
+        self.starts, self.owner = words.starts, words.owners()
+        before = np.full(len(hashes), NO_WORD)
+        before[1:] = hashes[:-1]
+        before[words.first[:-1][np.diff(words.first) > 0]] = NO_WORD
+        self.ahead = before >> OTHER << OTHER | hashes >> (np.uint64(64) - OTHER)
+        self.back = hashes >> OTHER << OTHER | before >> (np.uint64(64) - OTHER)
+
+    def counted(self, keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct pairs of the marked documents, and how often they have each."""
+        return np.unique(keys[docs[self.owner]], return_counts=True)
+
+
+def earlier(keys: np.ndarray) -> np.ndarray:
+    """How often each key stands at an earlier place."""
+    order = np.argsort(keys, kind="stable")
+    sorted_keys = keys[order]
+    begins = np.searchsorted(sorted_keys, sorted_keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.arange(len(keys)) - begins
+    return out
+
+
+def saved_bits(pairs: Pairs, p: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Bits that each word costs less with the pairs earlier in its document mixed in."""
+    doc = mix(pairs.owner.astype(np.uint64) + np.uint64(1))
+    same = earlier(mix(pairs.ahead ^ doc))
+    first = earlier(mix((pairs.ahead >> OTHER) ^ doc))
+    mixed = (1 - OWN) * p + OWN * same / np.maximum(first, 1)
+    cost = np.where(mixed > 1e-290, -np.log2(np.maximum(mixed, 1e-290)), bits - np.log2(1 - OWN))
+    return np.where(first > 0, bits - cost, 0.0)
+
+
+def owners(pairs: np.ndarray) -> np.ndarray:
+    """Place of each ascending pair's owner among the distinct owners."""
+    own = pairs >> OTHER
+    return np.cumsum(np.diff(own, prepend=own[:1]) != 0)
+
+
+def shards(names: np.ndarray, n: int, bits: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Order of ascending numbers by shard of what is above ``bits``, and where each shard begins in it."""
+    shard = mix((names >> names.dtype.type(bits)).astype(np.uint64)) % np.uint64(n)
     order = np.argsort(shard, kind="stable")
     return order, np.searchsorted(shard[order], np.arange(n + 1, dtype=np.uint64))
 
@@ -136,24 +200,27 @@ def backed_off(count: np.ndarray, context: np.ndarray, lower: np.ndarray, discou
 
 
 def pack_counts(names: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending four-grams as compressed steps, and their counts."""
-    steps = np.diff(names, prepend=np.uint32(0)).astype(np.uint32)
-    size = np.array([len(names)], np.int64)
-    return pack({"n": size, "names": deflate(steps), "counts": deflate(counts.astype(np.int64))})
+    """Ascending numbers as compressed steps, and their counts."""
+    steps = np.diff(names, prepend=names.dtype.type(0))
+    size = np.array([len(names), names.itemsize], np.int64)
+    columns = steps.view(np.uint8).reshape(-1, names.itemsize).T
+    return pack({"n": size, "names": deflate(columns), "counts": deflate(counts.astype(np.int64))})
 
 
 def unpack_counts(data: bytes) -> dict[str, np.ndarray]:
     part = unpack(data)
-    n = int(part["n"][0])
+    n, width = map(int, part["n"])
+    kind = np.dtype(f"u{width}")
     if n == 0:
-        return {"names": np.zeros(0, np.uint32), "counts": np.zeros(0, np.int64)}
-    steps = np.frombuffer(pa.decompress(part["names"], 4 * n, codec="zstd"), np.uint32)
+        return {"names": np.zeros(0, kind), "counts": np.zeros(0, np.int64)}
+    columns = np.frombuffer(pa.decompress(part["names"], width * n, codec="zstd"), np.uint8)
+    steps = np.ascontiguousarray(columns.reshape(width, n).T).view(kind).ravel()
     counts = np.frombuffer(pa.decompress(part["counts"], 8 * n, codec="zstd"), np.int64)
-    return {"names": np.cumsum(steps, dtype=np.uint32), "counts": counts}
+    return {"names": np.cumsum(steps, dtype=kind), "counts": counts}
 
 
 def summed(parts: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """All four-grams of some parts of a shard, and their counts added up."""
+    """All numbers of some parts of a shard, and their counts added up."""
     every = np.unique(np.concatenate([p["names"] for p in parts]))
     counts = np.zeros(len(every), np.int64)
     for p in parts:
@@ -242,7 +309,78 @@ def shard_bits(counted: bytes, asks: list[bytes], model: Model) -> list[bytes]:
     return [pa.compress(bits[np.searchsorted(every, n)].tobytes(), codec="zstd", asbytes=True) for n in names]
 
 
-def answer_bits(asks: DataFrame, counted: DataFrame, model: Model, salts: int) -> DataFrame:
+def followers(part: dict) -> np.ndarray:
+    """Of how many distinct pairs each owner of a shard's pairs has one."""
+    return np.bincount(owners(part["names"])) if len(part["names"]) else np.zeros(0, np.int64)
+
+
+class WordModel(NamedTuple):
+    """Discounts of pairs and of words, and how many distinct pairs and words there are by count."""
+
+    two: Level
+    one: Level
+    pairs: int
+    left: float
+
+
+def fit_words(ahead: DataFrame, back: DataFrame) -> WordModel:
+    """Sum up how many pairs, and how many words, have counts of one to four, and all pairs."""
+
+    def of(counted: DataFrame, values: Callable[[dict], np.ndarray]) -> tuple[dict[int, int], int]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for x in batch.column("ask"):
+                    n = values(unpack_counts(x.as_py()))
+                    sizes = [*np.bincount(np.minimum(n, 5), minlength=6)[1:], n.sum()]
+                    yield pa.record_batch({"entry": pa.array(range(1, 7), pa.int64()), "n": pa.array(sizes, pa.int64())})
+
+        rows = counted.select("ask").mapInArrow(run, "entry long, n long")
+        got = {r.entry: r.n for r in rows.groupBy("entry").agg(F.sum("n").alias("n")).collect()}
+        return got, got.get(6, 0)
+
+    two, _ = of(ahead, lambda part: part["counts"])
+    one, pairs = of(back, followers)
+    first, second = level(two), level(one)
+    held = second.one * one.get(1, 0) + second.two * one.get(2, 0)
+    held += second.more * sum(one.get(k, 0) for k in (3, 4, 5))
+    return WordModel(first, second, pairs, held / pairs if pairs else 1.0)
+
+
+def pair_shares(counted: bytes, asks: list[bytes], model: WordModel) -> list[bytes]:
+    """Discounted share of every asked pair among its first word's, then what each first word leaves."""
+    names = [unpack_counts(a)["names"] for a in asks]
+    empty = [{"names": n, "counts": np.zeros(len(n), np.int64)} for n in names]
+    every, counts = summed([unpack_counts(counted), *empty])
+    first, zero = owners(every), np.zeros(len(every))
+    share = backed_off(counts.astype(float), first, zero, model.two)
+    total = np.bincount(first, weights=counts)
+    held = np.bincount(first, weights=model.two.of(counts))
+    left = np.where(total > 0, held / np.maximum(total, 1), 1.0)[first]
+    out = []
+    for n in names:
+        at = np.searchsorted(every, n)
+        begins = np.flatnonzero(np.diff(n >> OTHER, prepend=~n[:1] >> OTHER))
+        out.append(deflate(np.concatenate([share[at], left[at[begins]]]).astype(np.float32)))
+    return out
+
+
+def word_shares(counted: bytes, asks: list[bytes], model: WordModel) -> list[bytes]:
+    """Discounted share of every asked word: of the distinct pairs, how many end with it."""
+    part = unpack_counts(counted)
+    known, n = np.unique(part["names"] >> OTHER), followers(part)
+    share = np.append(np.maximum(n - model.one.of(n), 0) / max(model.pairs, 1), 0.0).astype(np.float32)
+    out = []
+    for a in asks:
+        words = unpack_counts(a)["names"] >> OTHER
+        at = np.searchsorted(known, words)
+        at[np.append(known, np.uint64(0))[at] != words] = len(known)
+        out.append(deflate(share[at]))
+    return out
+
+
+def answer_bits(
+    asks: DataFrame, counted: DataFrame, reply: Callable[[bytes, list[bytes]], list[bytes]], salts: int, kind: type
+) -> DataFrame:
     """Rows (bucket, block, answer): the asks of a bucket with the counts of its shard beside them."""
     spread = counted.select(
         F.explode(F.expr(f"sequence(bucket * {salts}, bucket * {salts} + {salts - 1})")).alias("bucket"), "block", "ask"
@@ -253,8 +391,8 @@ def answer_bits(asks: DataFrame, counted: DataFrame, model: Model, salts: int) -
         given = table.column("block").to_numpy()
         own = table.column("ask").filter(pa.array(given == MODEL))
         asked = table.filter(pa.array(given != MODEL))
-        none = pack_counts(np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        bits = shard_bits(own[0].as_py() if len(own) else none, [x.as_py() for x in asked.column("ask")], model)
+        none = pack_counts(np.zeros(0, kind), np.zeros(0, np.int64))
+        bits = reply(own[0].as_py() if len(own) else none, [x.as_py() for x in asked.column("ask")])
         return pa.table(
             {"bucket": asked.column("bucket"), "block": asked.column("block"), "answer": pa.array(bits, pa.binary())}
         )
@@ -304,6 +442,62 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             salt = row["block"] % salts
             yield int(k) * salts + salt, pack_counts(grams.names[part], counts[part])
 
+    def count_pairs(side: str) -> Callable[[dict], Iterator[tuple[int, bytes]]]:
+        def run(row: dict) -> Iterator[tuple[int, bytes]]:
+            pairs = Pairs(row["payload"])
+            marked = np.zeros(len(open_payload(row["payload"]).column(0)), bool)
+            marked[row["training"] or []] = True
+            names, counts = pairs.counted(getattr(pairs, side), marked)
+            for k, part in dealt(names):
+                yield k * salts + row["block"] % salts, pack_counts(names[part], counts[part])
+
+        return run
+
+    def dealt(names: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        order, bounds = shards(names, n, int(OTHER))
+        return [(int(k), order[bounds[k] : bounds[k + 1]]) for k in np.flatnonzero(np.diff(bounds))]
+
+    def ask_pairs(row: dict) -> Iterator[tuple[int, bytes]]:
+        names = np.unique(Pairs(row["payload"]).ahead)
+        for k, part in dealt(names):
+            yield k * salts + row["block"] % salts, pack_counts(names[part], np.zeros(len(part), np.int64))
+
+    def ask_words(row: dict) -> Iterator[tuple[int, bytes]]:
+        names = np.unique(Pairs(row["payload"]).back >> OTHER) << OTHER
+        for k, part in dealt(names):
+            yield k * salts + row["block"] % salts, pack_counts(names[part], np.zeros(len(part), np.int64))
+
+    def by_words(row: dict, each: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each document by words, and those saved; ``each`` has the bits of each byte."""
+        pairs = Pairs(row["payload"])
+        if not len(pairs.starts):
+            size = len(open_payload(row["payload"]).column(0))
+            return np.bincount(owner, weights=each, minlength=size), np.zeros(size)
+        names = np.unique(pairs.ahead)
+        share, left = np.zeros(len(names)), np.zeros(len(names))
+        for (_, part), given in zip(dealt(names), by_bucket(row["ahead"]), strict=True):
+            place = owners(names[part])
+            raw = np.frombuffer(pa.decompress(given, 4 * (len(part) + int(place[-1]) + 1), codec="zstd"), np.float32)
+            share[part], left[part] = raw[: len(part)], raw[len(part) :][place]
+        words = np.unique(pairs.back >> OTHER)
+        lower = np.zeros(len(words))
+        for (_, part), given in zip(dealt(words << OTHER), by_bucket(row["back"]), strict=True):
+            lower[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
+        # A word's spelling reaches to the next word or the end of its text; white space before the first has its own bits.
+        number = np.searchsorted(pairs.starts, np.arange(len(each)), "right") - 1
+        spelled = (number >= 0) & (owner == pairs.owner[np.maximum(number, 0)])
+        spelling = np.bincount(number[spelled], weights=each[spelled], minlength=len(pairs.starts))
+        one = lower[np.searchsorted(words, pairs.back >> OTHER)] + words_model.left * np.exp2(-spelling)
+        at = np.searchsorted(names, pairs.ahead)
+        p = share[at] + left[at] * one
+        # Spellings of very long words are below the least float.
+        least = spelling - np.log2(words_model.left) - np.log2(np.maximum(left[at], 1e-30))
+        bits = np.where(p > 1e-290, -np.log2(np.maximum(p, 1e-290)), least)
+        size = len(open_payload(row["payload"]).column(0))
+        saved = np.bincount(pairs.owner, weights=saved_bits(pairs, p, bits), minlength=size)
+        total = np.bincount(pairs.owner, weights=bits, minlength=size)
+        return total + np.bincount(owner[~spelled], weights=each[~spelled], minlength=size), saved
+
     def add_up(row: dict) -> Iterator[pa.RecordBatch]:
         grams = Grams(row["payload"])
         order, bounds = shards(grams.names, n)
@@ -313,6 +507,7 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             part = order[bounds[k] : bounds[k + 1]]
             bits[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
         each = bits[np.searchsorted(grams.names, grams.keys)]
+        word_bits, saved = by_words(row, each, grams.owner)
         total = np.bincount(grams.owner, weights=each, minlength=len(grams.sizes))
         at = np.arange(len(grams.sizes))
         yield pa.record_batch(
@@ -323,24 +518,37 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
                 grams.column("lang").cast(pa.string()),
                 pa.array(grams.sizes, pa.int64()),
                 pa.array(total),
+                pa.array(word_bits.astype(float)),
+                pa.array(saved.astype(float)),
             ],
-            names=["block", "place", "doc_id", "lang", "n_bytes", "bits"],
+            names=["block", "place", "doc_id", "lang", "n_bytes", "bits", "word_bits", "saved_bits"],
         )
 
     asks = stage(ask(known, ask_bits))
-    counted = add_counts(asks, "bucket").withColumn("bucket", F.expr(f"bucket DIV {salts}"))
-    counted = stage(add_counts(counted, "bucket"))
+
+    def whole(asks: DataFrame) -> DataFrame:
+        counted = add_counts(asks, "bucket").withColumn("bucket", F.expr(f"bucket DIV {salts}"))
+        return stage(add_counts(counted, "bucket"))
+
+    counted = whole(asks)
     model = fit(counted)
-    bits = with_answers(fields, answer_bits(asks, counted, model, salts), "bits")
-    scored = per_block(bits, add_up, SCORE_SCHEMA)
+    ahead, back = whole(ask(known, count_pairs("ahead"))), whole(ask(known, count_pairs("back")))
+    words_model = fit_words(ahead, back)
+    answers = answer_bits(asks, counted, lambda c, a: shard_bits(c, a, model), salts, np.uint32)
+    given = with_answers(fields, answers, "bits")
+    answers = answer_bits(ask(fields, ask_pairs), ahead, lambda c, a: pair_shares(c, a, words_model), salts, np.uint64)
+    given = with_answers(given, answers, "ahead")
+    answers = answer_bits(ask(fields, ask_words), back, lambda c, a: word_shares(c, a, words_model), salts, np.uint64)
+    given = with_answers(given, answers, "back")
+    scored = per_block(given, add_up, SCORE_SCHEMA)
     marks = places.select("block", "place", "held_out")
     return blocks, stage(scored.join(marks, ["block", "place"], "left"))
 
 
-def thresholds(scored: DataFrame, low: float, high: float, margin: float) -> DataFrame:
+def thresholds(scored: DataFrame, bits: str, low: float, high: float, margin: float) -> DataFrame:
     """Rows lang, known (false: for all languages), n, and the least and most steps that are kept."""
     held = scored.where("held_out AND n_bytes > 0").select(
-        "lang", "n_bytes", F.floor(F.col("bits") / F.col("n_bytes") * STEPS_PER_BIT).alias("step")
+        "lang", "n_bytes", F.floor(F.col(bits) / F.col("n_bytes") * STEPS_PER_BIT).alias("step")
     )
     counts = stage(held.groupBy("lang", "step").agg(F.count("*").alias("n"), F.sum("n_bytes").alias("held")))
     some = counts.select(F.lit(True).alias("known"), "lang", "step", "n", "held")
@@ -369,13 +577,13 @@ def thresholds(scored: DataFrame, low: float, high: float, margin: float) -> Dat
     )
 
 
-def judge(scored: DataFrame, low: float, high: float, margin: float) -> DataFrame:
-    """``scored`` with perplexity, least_perplexity, most_perplexity and rejected."""
-    limits = stage(thresholds(scored, low, high, margin))
+def judge_by(scored: DataFrame, bits: str, name: str, low: float, high: float, margin: float) -> DataFrame:
+    """``scored`` with ``name``, least and most of it, and whether it is beyond these."""
+    limits = stage(thresholds(scored, bits, low, high, margin))
     own = limits.where("known").select(F.col("lang").alias("_lang"), F.col("least").alias("_least"), F.col("most").alias("_most"))
     rest = limits.where("NOT known").first()
     found = scored.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left")
-    per_byte = F.when(F.col("n_bytes") > 0, F.col("bits") / F.col("n_bytes"))
+    per_byte = F.when(F.col("n_bytes") > 0, F.col(bits) / F.col("n_bytes"))
     least, most = (
         F.coalesce(F.col(f"_{k}"), F.lit(rest[k] if rest else None).cast("double")) for k in ("least", "most")
     )
@@ -383,21 +591,30 @@ def judge(scored: DataFrame, low: float, high: float, margin: float) -> DataFram
     least, most = least / STEPS_PER_BIT - chance, most / STEPS_PER_BIT + chance
     return found.select(
         *scored.columns,
-        F.pow(F.lit(2.0), per_byte).alias("perplexity"),
-        F.pow(F.lit(2.0), least).alias("least_perplexity"),
-        F.pow(F.lit(2.0), most).alias("most_perplexity"),
-        F.coalesce((per_byte < least) | (per_byte > most), F.lit(False)).alias("rejected"),
+        F.pow(F.lit(2.0), per_byte).alias(name),
+        F.pow(F.lit(2.0), least).alias(f"least_{name}"),
+        F.pow(F.lit(2.0), most).alias(f"most_{name}"),
+        F.coalesce((per_byte < least) | (per_byte > most), F.lit(False)).alias(f"odd_{name}"),
     )
 
 
+def judge(scored: DataFrame, low: float, high: float, margin: float) -> DataFrame:
+    """``scored`` with both perplexities and repetition, the least and most of each, and rejected."""
+    by_bytes = judge_by(scored, "bits", "perplexity", low, high, margin)
+    both = judge_by(by_bytes, "word_bits", "word_perplexity", low, high, margin)
+    every = judge_by(both, "saved_bits", "repetition", low, high, margin)
+    repeated = F.coalesce(F.col("repetition") > F.col("most_repetition"), F.lit(False))
+    return every.withColumn("rejected", F.col("odd_perplexity") | F.col("odd_word_perplexity") | repeated)
+
+
 def judge_documents(
     docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, margin: float = MARGIN
 ) -> DataFrame:
-    """Per document: doc_id, lang, n_bytes, perplexity, the limits of its language and rejected."""
+    """Per document: doc_id, lang, n_bytes, both perplexities, the limits of its language and rejected."""
     _, scored = score_blocks(docs.select("doc_id", "lang", "text"), labels)
-    return judge(scored, low, high, margin).select(
-        "doc_id", "lang", "n_bytes", "perplexity", "least_perplexity", "most_perplexity", "rejected"
-    )
+    columns = [f"{k}{name}" for name in ("perplexity", "word_perplexity") for k in ("", "least_", "most_")]
+    columns += ["repetition", "most_repetition"]
+    return judge(scored, low, high, margin).select("doc_id", "lang", "n_bytes", *columns, "rejected")
 
 
 def keep_likely(

@@ -254,6 +254,51 @@ def test_perplexity_equals_brute_force(spark, labelled, monkeypatch, blocks_per_
         assert r.perplexity is None if value is None else abs(r.perplexity / value - 1) < 1e-4
 
 
+def slow_word_bits(texts, spelled):
+    """Interpolated modified Kneser-Ney of word pairs in dictionaries, on bits of words that are ``spelled``."""
+    two = Counter(pair for t in texts for pair in zip([None, *t.split()], t.split()))
+    one = Counter(w for _, w in two)
+    levels = [perplexity.level(Counter(c.values())) for c in (one, two)]
+    followers = defaultdict(list)
+    for (first, _), c in two.items():
+        followers[first].append(c)
+
+    def discount(n, c):
+        return 0.0 if c == 0 else [levels[n].one, levels[n].two][c - 1] if c < 3 else levels[n].more
+
+    left = sum(discount(0, c) for c in one.values()) / len(two)
+
+    def bits(text):
+        total, words = 0.0, list(re.finditer(r"\S+", text))
+        ends = [m.start() for m in words[1:]] + [len(text)]
+        for k, (m, end) in enumerate(zip(words, ends)):
+            first, w = words[k - 1][0] if k else None, m[0]
+            p = (one[w] - discount(0, one[w])) / len(two) + left * 2 ** -(spelled(text[:end]) - spelled(text[: m.start()]))
+            if first in followers:
+                c, n = two[first, w], sum(followers[first])
+                p = (c - discount(1, c)) / n + sum(discount(1, x) for x in followers[first]) / n * p
+            total -= math.log2(p)
+        return total
+
+    return bits
+
+
+def test_word_pairs_equal_brute_force_and_repetition_is_rejected(spark, labelled):
+    rows, labels = labelled
+    rng = random.Random(8)
+    rows = rows + [(1000 + k, " ".join(f"{w} " * 30 for w in prose(rng, 6).split()), "en", "s", 0) for k in range(20)]
+    ids = spark.range(700).select(F.col("id").alias("doc_id"), perplexity.held_out().alias("h")).collect()
+    held = {r.doc_id for r in ids if r.h}
+    training = [t for i, t, *_ in rows if i in set(range(700)) - {5, 6} - held]
+    model = slow_model(training)
+    want = slow_word_bits(training, lambda t: len(t.encode()) * math.log2(model(t)) if t else 0.0)
+    got = {r.doc_id: r for r in perplexity.judge_documents(documents(spark, rows), labels).collect()}
+    for i, t, *_ in [*rows[:25:5], *rows[690:720:5], *rows[900:903]]:
+        if i != 7:
+            assert abs(math.log2(got[i].word_perplexity) * got[i].n_bytes / want(t) - 1) < 1e-4, i
+    assert {i for i in got if got[i].rejected} == set(range(900, 925)) | set(range(1000, 1020))
+
+
 def test_junk_is_rejected_and_prose_kept(spark, labelled):
     rows, labels = labelled
     docs = documents(spark, rows)
