@@ -10,11 +10,14 @@ from outcomekit.llm import (
     extract,
     jaccard,
     mixing,
+    multiset,
     perplexity,
     pii,
+    prefix_trie,
     pstable,
     recompress,
     sharding,
+    spelling,
     tiling,
     url_rules,
 )
@@ -232,3 +235,104 @@ def op9_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.9 or more."""
     return pstable.cosine_groups(table(spark, sf_dir, "embeddings"))
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of a text of code points below 256, as UTF-8: eight shifts a byte."""
+    code = f"flatten(list_transform(string_split({text}, ''), lambda s: CASE WHEN ord(s) < 128 THEN [ord(s)::BIGINT] ELSE [192 + (ord(s) >> 6)::BIGINT, 128 + (ord(s) & 63)::BIGINT] END))"
+    shifts = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {code}), lambda c, b: {shifts}), 4294967295)"
+
+
+@query(
+    f"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                   md5(concat(strlen(coalesce(role, '')), ':', role, text))) AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+        SELECT conv_id, conv_id - conv_id % 100 AS lead, {_crc32("conv_id::VARCHAR")} % 6 AS h
+        FROM (SELECT DISTINCT conv_id FROM turns)),
+    heads AS (
+        SELECT c.conv_id, h, place, role, text FROM convs c JOIN turns t ON t.conv_id = lead AND place <= h),
+    rebuilt AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS d, role, text
+        FROM (SELECT conv_id, false AS own, place, role, text FROM heads
+              UNION ALL
+              SELECT conv_id, true, place, role, text FROM turns JOIN convs USING (conv_id) WHERE place > h)),
+    prefixes AS (
+        SELECT conv_id, d, length(text) AS chars,
+               md5(string_agg(md5(concat(strlen(role), ':', role, text)), ',') OVER (
+                   PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING)) AS name
+        FROM rebuilt
+        UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+    nodes AS (
+        SELECT name, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM prefixes GROUP BY name, d),
+    last AS (SELECT conv_id, max(d) AS d FROM prefixes GROUP BY conv_id),
+    ends AS (
+        SELECT name, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+        FROM last JOIN prefixes USING (conv_id, d) GROUP BY name),
+    above AS (SELECT n.conv_id, n.d, p.name, p.d AS up FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.d <= n.d),
+    parents AS (
+        SELECT a.conv_id, a.d, n.name AS up_name, n.conv_id AS parent
+        FROM above a JOIN nodes n ON n.name = a.name WHERE a.up = a.d - 1),
+    kids AS (SELECT up_name AS name, count(*) AS n FROM parents GROUP BY up_name),
+    sums AS (
+        SELECT a.name, sum((k.n IS NULL)::INT) AS leaves, sum((m.n_convs - 1) * m.chars) AS saved
+        FROM above a JOIN nodes m USING (conv_id, d) LEFT JOIN kids k ON k.name = m.name GROUP BY a.name)
+    SELECT n.conv_id, n.d AS depth, p.parent AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+           s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+    FROM nodes n JOIN sums s USING (name) LEFT JOIN parents p USING (conv_id, d) LEFT JOIN kids k ON k.name = n.name
+    LEFT JOIN ends e ON e.name = n.name
+    """
+)
+def op11_tree_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of conversations that share their first turns, with its subtree's totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    rf"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+        FROM documents),
+    counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+    drawn AS (SELECT *, {_crc32("concat(doc_id, ':', run)")} AS h FROM counted),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM (
+            SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                           ELSE run END AS word
+            FROM drawn)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    cuts AS (
+        SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+    pairs AS (
+        SELECT c.word AS a, w.word AS b FROM cuts c JOIN words w ON c.rest = w.word
+        UNION SELECT w.word, c.word FROM cuts c JOIN words w ON c.rest = w.word
+        UNION SELECT c.word, d.word FROM cuts c JOIN cuts d ON c.rest = d.rest AND c.i = d.i AND c.word <> d.word),
+    near AS (
+        SELECT a AS word, count(*) AS n_near, first(b ORDER BY n DESC, b) AS best, max(n) AS best_n
+        FROM pairs JOIN words ON b = words.word GROUP BY a),
+    forms AS (
+        SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+               CASE WHEN best_n >= 10 * n THEN best_n END AS form_n
+        FROM words LEFT JOIN near USING (word)),
+    path AS (
+        SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM forms
+        UNION ALL
+        SELECT p.word, coalesce(f.form, p.root), f.form IS NULL FROM path p JOIN forms f ON f.word = p.root WHERE NOT p.done)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN path USING (word) WHERE done
+    """
+)
+def op12_sorted_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents with the near words they are variants of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike it is to this and to the next document."""
+    return multiset.compared(table(spark, sf_dir, "documents"))
