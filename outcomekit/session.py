@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAGE_FOLDER = "outcomekit-stage"
+#: Deletes the shuffle files of an execution at its end; earlier versions of Spark do not know it.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SMALL_ROWS = 50_000
 
 _local_folders: set[str] = set()
@@ -67,6 +69,23 @@ def new_stage(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go as soon as it is written, not when the driver collects garbage.
+
+    Only for results that are read from where they were written.
+    """
+    known = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if known is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, known)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -75,7 +94,8 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_stage(spark)
-    df.write.parquet(path)
+    with freed_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
