@@ -11,11 +11,10 @@ Method
     every document is scored; three line breaks stand before each text.
 
     Bytes do not see the order of words, so the same texts also train an interpolated modified
-    Kneser-Ney model of word pairs; a word is a run of bytes without white space. Pairs go to the shard
-    of their first word, which answers with the discounted share of each pair and what each first word
-    leaves to the order below; the order below is the share of first words a word follows, from the
-    shards of the second words, and leaves the rest to the bytes' model of the word and the white space
-    after it. Words are compared by 36 bits of hash as the owner of a shard's entry, by 28 bits below it.
+    Kneser-Ney model of word pairs; a word is a run of bytes without white space. One shuffle answers
+    blocks with the training counts of their pairs, and a smaller one with what is known of their words:
+    see ``word_pairs``. The order below pairs is the share of distinct pairs that a word ends, and leaves the
+    rest to the bytes' model of the word and the white space after it.
 
     Neither says much of a word repeated again and again, as each pair is unseen once and for all. So a
     document's own earlier pairs are mixed in with weight ``OWN``, as a cache model: what they save,
@@ -45,6 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from outcomekit.llm import word_pairs
 from outcomekit.llm.blocks import (
     ANSWER_SCHEMA,
     ASK_SCHEMA,
@@ -59,7 +59,8 @@ from outcomekit.llm.blocks import (
     unpack,
     with_answers,
 )
-from outcomekit.llm.text import find_words, mix, text_bytes, word_hashes
+from outcomekit.llm.text import mix, text_bytes
+from outcomekit.llm.word_pairs import MODEL, Pairs
 from outcomekit.session import stage
 
 ORDER = 4
@@ -72,18 +73,14 @@ MIN_HELD_OUT = 20
 HELD_OUT_PERCENT = 20
 #: Blocks whose requests one task answers; more blocks deal a shard's requests over several tasks.
 BLOCKS_PER_TASK = 2_000
-#: Stands for a block's number in the row that holds a shard's counts.
-MODEL = -1
 #: Bits per byte are kept as whole thousandths, so quantiles come from counts.
 STEPS_PER_BIT = 1000
 STAT_SCHEMA = "kind string, entry long, n long"
 SCORE_SCHEMA = "block long, place long, doc_id long, lang string, n_bytes long, bits double, word_bits double, saved_bits double"
+#: Cells of a table that finds places of four-grams; beyond it they are searched for.
+TABLE_CELLS = 1 << 24
 #: Weight of a document's own earlier pairs.
 OWN = 0.1
-#: Bits of a pair's number that hold the word other than its owner.
-OTHER = np.uint64(28)
-#: Stands for the word before the first.
-NO_WORD = np.uint64(0x5DEECE66D1234567)
 
 
 class Grams:
@@ -106,30 +103,22 @@ class Grams:
     def column(self, name: str) -> pa.Array:
         return self.batch.column(self.batch.schema.get_field_index(name))
 
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key among the distinct four-grams, by a table of halves where that is small."""
+        half = np.uint32(16)
+        halves = [np.unique(self.names >> half), np.unique(self.names & np.uint32(0xFFFF))]
+        if len(halves[0]) * len(halves[1]) > TABLE_CELLS:
+            return np.searchsorted(self.names, keys)
+        first, last = (np.zeros(1 << 16, np.int32) for _ in range(2))
+        first[halves[0]] = np.arange(len(halves[0]), dtype=np.int32) * len(halves[1])
+        last[halves[1]] = np.arange(len(halves[1]), dtype=np.int32)
+        table = np.zeros(len(halves[0]) * len(halves[1]), np.int32)
+        table[first[self.names >> half] + last[self.names & np.uint32(0xFFFF)]] = np.arange(len(self.names))
+        return table[first[keys >> half] + last[keys & np.uint32(0xFFFF)]]
+
     def counts(self, docs: np.ndarray) -> np.ndarray:
         """How often the marked documents have each distinct four-gram."""
-        keys = self.keys[docs[self.owner]]
-        return np.bincount(np.searchsorted(self.names, keys), minlength=len(self.names))
-
-
-class Pairs:
-    """Words of a block with the word before each, as numbers whose upper part owns a shard's entry."""
-
-    def __init__(self, payload: bytes) -> None:
-        batch = open_payload(payload)
-        data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
-        words = find_words(data, offsets)
-        hashes = word_hashes(data, words)
-        self.starts, self.owner = words.starts, words.owners()
-        before = np.full(len(hashes), NO_WORD)
-        before[1:] = hashes[:-1]
-        before[words.first[:-1][np.diff(words.first) > 0]] = NO_WORD
-        self.ahead = before >> OTHER << OTHER | hashes >> (np.uint64(64) - OTHER)
-        self.back = hashes >> OTHER << OTHER | before >> (np.uint64(64) - OTHER)
-
-    def counted(self, keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct pairs of the marked documents, and how often they have each."""
-        return np.unique(keys[docs[self.owner]], return_counts=True)
+        return np.bincount(self.places(self.keys[docs[self.owner]]), minlength=len(self.names))
 
 
 def earlier(keys: np.ndarray) -> np.ndarray:
@@ -144,23 +133,16 @@ def earlier(keys: np.ndarray) -> np.ndarray:
 
 def saved_bits(pairs: Pairs, p: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Bits that each word costs less with the pairs earlier in its document mixed in."""
-    doc = mix(pairs.owner.astype(np.uint64) + np.uint64(1))
-    same = earlier(mix(pairs.ahead ^ doc))
-    first = earlier(mix((pairs.ahead >> OTHER) ^ doc))
+    same = earlier(pairs.owner * len(pairs.ahead) + pairs.of)
+    first = earlier(pairs.owner * len(pairs.names) + pairs.ahead[pairs.of])
     mixed = (1 - OWN) * p + OWN * same / np.maximum(first, 1)
     cost = np.where(mixed > 1e-290, -np.log2(np.maximum(mixed, 1e-290)), bits - np.log2(1 - OWN))
     return np.where(first > 0, bits - cost, 0.0)
 
 
-def owners(pairs: np.ndarray) -> np.ndarray:
-    """Place of each ascending pair's owner among the distinct owners."""
-    own = pairs >> OTHER
-    return np.cumsum(np.diff(own, prepend=own[:1]) != 0)
-
-
-def shards(names: np.ndarray, n: int, bits: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Order of ascending numbers by shard of what is above ``bits``, and where each shard begins in it."""
-    shard = mix((names >> names.dtype.type(bits)).astype(np.uint64)) % np.uint64(n)
+def shards(names: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of ascending numbers by shard of the upper half, and where each shard begins in it."""
+    shard = mix((names >> names.dtype.type(16)).astype(np.uint64)) % np.uint64(n)
     order = np.argsort(shard, kind="stable")
     return order, np.searchsorted(shard[order], np.arange(n + 1, dtype=np.uint64))
 
@@ -309,73 +291,30 @@ def shard_bits(counted: bytes, asks: list[bytes], model: Model) -> list[bytes]:
     return [pa.compress(bits[np.searchsorted(every, n)].tobytes(), codec="zstd", asbytes=True) for n in names]
 
 
-def followers(part: dict) -> np.ndarray:
-    """Of how many distinct pairs each owner of a shard's pairs has one."""
-    return np.bincount(owners(part["names"])) if len(part["names"]) else np.zeros(0, np.int64)
-
-
 class WordModel(NamedTuple):
-    """Discounts of pairs and of words, and how many distinct pairs and words there are by count."""
+    """Discounts of pairs and of words, the number of distinct pairs, and what words leave to their spelling."""
 
     two: Level
     one: Level
     pairs: int
     left: float
 
+    def shares(self, counts: np.ndarray, total: np.ndarray, facts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Discounted share of each pair (``counts``, ``total`` of its first word), then of each word what it
+        leaves to the order below as a first word, and its own share there; ``facts`` as in ``word_pairs``."""
+        share = np.maximum(counts - self.two.of(counts), 0) / np.maximum(total, 1)
+        held = facts[:, 1:4] @ np.array([self.two.one, self.two.two, self.two.more])
+        left = np.where(facts[:, 0] > 0, held / np.maximum(facts[:, 0], 1), 1.0)
+        ends = facts[:, 4]
+        return share, left, np.maximum(ends - self.one.of(ends), 0) / max(self.pairs, 1)
 
-def fit_words(ahead: DataFrame, back: DataFrame) -> WordModel:
-    """Sum up how many pairs, and how many words, have counts of one to four, and all pairs."""
-
-    def of(counted: DataFrame, values: Callable[[dict], np.ndarray]) -> tuple[dict[int, int], int]:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for x in batch.column("ask"):
-                    n = values(unpack_counts(x.as_py()))
-                    sizes = [*np.bincount(np.minimum(n, 5), minlength=6)[1:], n.sum()]
-                    yield pa.record_batch({"entry": pa.array(range(1, 7), pa.int64()), "n": pa.array(sizes, pa.int64())})
 
-        rows = counted.select("ask").mapInArrow(run, "entry long, n long")
-        got = {r.entry: r.n for r in rows.groupBy("entry").agg(F.sum("n").alias("n")).collect()}
-        return got, got.get(6, 0)
-
-    two, _ = of(ahead, lambda part: part["counts"])
-    one, pairs = of(back, followers)
-    first, second = level(two), level(one)
-    held = second.one * one.get(1, 0) + second.two * one.get(2, 0)
-    held += second.more * sum(one.get(k, 0) for k in (3, 4, 5))
-    return WordModel(first, second, pairs, held / pairs if pairs else 1.0)
-
-
-def pair_shares(counted: bytes, asks: list[bytes], model: WordModel) -> list[bytes]:
-    """Discounted share of every asked pair among its first word's, then what each first word leaves."""
-    names = [unpack_counts(a)["names"] for a in asks]
-    empty = [{"names": n, "counts": np.zeros(len(n), np.int64)} for n in names]
-    every, counts = summed([unpack_counts(counted), *empty])
-    first, zero = owners(every), np.zeros(len(every))
-    share = backed_off(counts.astype(float), first, zero, model.two)
-    total = np.bincount(first, weights=counts)
-    held = np.bincount(first, weights=model.two.of(counts))
-    left = np.where(total > 0, held / np.maximum(total, 1), 1.0)[first]
-    out = []
-    for n in names:
-        at = np.searchsorted(every, n)
-        begins = np.flatnonzero(np.diff(n >> OTHER, prepend=~n[:1] >> OTHER))
-        out.append(deflate(np.concatenate([share[at], left[at[begins]]]).astype(np.float32)))
-    return out
-
-
-def word_shares(counted: bytes, asks: list[bytes], model: WordModel) -> list[bytes]:
-    """Discounted share of every asked word: of the distinct pairs, how many end with it."""
-    part = unpack_counts(counted)
-    known, n = np.unique(part["names"] >> OTHER), followers(part)
-    share = np.append(np.maximum(n - model.one.of(n), 0) / max(model.pairs, 1), 0.0).astype(np.float32)
-    out = []
-    for a in asks:
-        words = unpack_counts(a)["names"] >> OTHER
-        at = np.searchsorted(known, words)
-        at[np.append(known, np.uint64(0))[at] != words] = len(known)
-        out.append(deflate(share[at]))
-    return out
+def fit_words(pairs: list[int], words: list[int]) -> WordModel:
+    """From how many pairs, and how many words by distinct pairs, have counts of one to four and more; pairs last."""
+    two, one = (level(dict(enumerate(sizes[:5], 1))) for sizes in (pairs, words))
+    every = words[5]
+    held = one.one * words[0] + one.two * words[1] + one.more * sum(words[2:5])
+    return WordModel(two, one, every, held / every if every else 1.0)
 
 
 def answer_bits(
@@ -442,61 +381,30 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             salt = row["block"] % salts
             yield int(k) * salts + salt, pack_counts(grams.names[part], counts[part])
 
-    def count_pairs(side: str) -> Callable[[dict], Iterator[tuple[int, bytes]]]:
-        def run(row: dict) -> Iterator[tuple[int, bytes]]:
-            pairs = Pairs(row["payload"])
-            marked = np.zeros(len(open_payload(row["payload"]).column(0)), bool)
-            marked[row["training"] or []] = True
-            names, counts = pairs.counted(getattr(pairs, side), marked)
-            for k, part in dealt(names):
-                yield k * salts + row["block"] % salts, pack_counts(names[part], counts[part])
-
-        return run
-
-    def dealt(names: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        order, bounds = shards(names, n, int(OTHER))
-        return [(int(k), order[bounds[k] : bounds[k + 1]]) for k in np.flatnonzero(np.diff(bounds))]
-
-    def ask_pairs(row: dict) -> Iterator[tuple[int, bytes]]:
-        names = np.unique(Pairs(row["payload"]).ahead)
-        for k, part in dealt(names):
-            yield k * salts + row["block"] % salts, pack_counts(names[part], np.zeros(len(part), np.int64))
-
-    def ask_words(row: dict) -> Iterator[tuple[int, bytes]]:
-        names = np.unique(Pairs(row["payload"]).back >> OTHER) << OTHER
-        for k, part in dealt(names):
-            yield k * salts + row["block"] % salts, pack_counts(names[part], np.zeros(len(part), np.int64))
-
-    def by_words(row: dict, each: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def by_words(row: dict, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each document by words, and those saved; ``each`` has the bits of each byte."""
-        pairs = Pairs(row["payload"])
+        pairs = word_pairs.Pairs(row["payload"])
+        spent = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
+        whole = spent[pairs.offsets[1:]] - spent[pairs.offsets[:-1]]
         if not len(pairs.starts):
-            size = len(open_payload(row["payload"]).column(0))
-            return np.bincount(owner, weights=each, minlength=size), np.zeros(size)
-        names = np.unique(pairs.ahead)
-        share, left = np.zeros(len(names)), np.zeros(len(names))
-        for (_, part), given in zip(dealt(names), by_bucket(row["ahead"]), strict=True):
-            place = owners(names[part])
-            raw = np.frombuffer(pa.decompress(given, 4 * (len(part) + int(place[-1]) + 1), codec="zstd"), np.float32)
-            share[part], left[part] = raw[: len(part)], raw[len(part) :][place]
-        words = np.unique(pairs.back >> OTHER)
-        lower = np.zeros(len(words))
-        for (_, part), given in zip(dealt(words << OTHER), by_bucket(row["back"]), strict=True):
-            lower[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
-        # A word's spelling reaches to the next word or the end of its text; white space before the first has its own bits.
-        number = np.searchsorted(pairs.starts, np.arange(len(each)), "right") - 1
-        spelled = (number >= 0) & (owner == pairs.owner[np.maximum(number, 0)])
-        spelling = np.bincount(number[spelled], weights=each[spelled], minlength=len(pairs.starts))
-        one = lower[np.searchsorted(words, pairs.back >> OTHER)] + words_model.left * np.exp2(-spelling)
-        at = np.searchsorted(names, pairs.ahead)
-        p = share[at] + left[at] * one
+            return whole, np.zeros(pairs.n_docs)
+        bounds = word_pairs.range_bounds(pairs.names[pairs.ahead], pairs.names[pairs.back], cuts)
+        counts = word_pairs.answers_of(row["pairs"], np.diff(bounds), 1)[:, 0]
+        facts = word_pairs.answers_of(row["words"], np.diff(word_pairs.word_bounds(pairs.names, n_shards)), word_pairs.FACTS)
+        share, left, lower = words_model.shares(counts, facts[pairs.ahead, 0], facts)
+        # A word's spelling reaches to the next word or the end of its text; what is before the first has its own bits.
+        ends = np.append(pairs.starts[1:], 0)
+        held = np.flatnonzero(np.diff(pairs.first))
+        ends[pairs.first[held + 1] - 1] = pairs.offsets[held + 1]
+        spelling = spent[ends] - spent[pairs.starts]
+        back, ahead = pairs.back[pairs.of], pairs.ahead[pairs.of]
+        p = share[pairs.of] + left[ahead] * (lower[back] + words_model.left * np.exp2(-spelling))
         # Spellings of very long words are below the least float.
-        least = spelling - np.log2(words_model.left) - np.log2(np.maximum(left[at], 1e-30))
+        least = spelling - np.log2(words_model.left) - np.log2(np.maximum(left[ahead], 1e-30))
         bits = np.where(p > 1e-290, -np.log2(np.maximum(p, 1e-290)), least)
-        size = len(open_payload(row["payload"]).column(0))
-        saved = np.bincount(pairs.owner, weights=saved_bits(pairs, p, bits), minlength=size)
-        total = np.bincount(pairs.owner, weights=bits, minlength=size)
-        return total + np.bincount(owner[~spelled], weights=each[~spelled], minlength=size), saved
+        saved = np.bincount(pairs.owner, weights=saved_bits(pairs, p, bits), minlength=pairs.n_docs)
+        total = np.bincount(pairs.owner, weights=bits - spelling, minlength=pairs.n_docs)
+        return total + whole, saved
 
     def add_up(row: dict) -> Iterator[pa.RecordBatch]:
         grams = Grams(row["payload"])
@@ -506,8 +414,8 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         for k, given in zip(asked, by_bucket(row["bits"]), strict=True):
             part = order[bounds[k] : bounds[k + 1]]
             bits[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
-        each = bits[np.searchsorted(grams.names, grams.keys)]
-        word_bits, saved = by_words(row, each, grams.owner)
+        each = bits[grams.places(grams.keys)]
+        word_bits, saved = by_words(row, each)
         total = np.bincount(grams.owner, weights=each, minlength=len(grams.sizes))
         at = np.arange(len(grams.sizes))
         yield pa.record_batch(
@@ -532,14 +440,15 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
 
     counted = whole(asks)
     model = fit(counted)
-    ahead, back = whole(ask(known, count_pairs("ahead"))), whole(ask(known, count_pairs("back")))
-    words_model = fit_words(ahead, back)
+    n_shards = word_pairs.shard_count(blocks)
+    cuts = word_pairs.shard_cuts(fields, n_shards)
+    told = word_pairs.tell_pairs(known, cuts)
+    of_words = word_pairs.tell_words(fields, told, n_shards)
+    words_model = fit_words(word_pairs.totals(told), word_pairs.totals(of_words))
     answers = answer_bits(asks, counted, lambda c, a: shard_bits(c, a, model), salts, np.uint32)
     given = with_answers(fields, answers, "bits")
-    answers = answer_bits(ask(fields, ask_pairs), ahead, lambda c, a: pair_shares(c, a, words_model), salts, np.uint64)
-    given = with_answers(given, answers, "ahead")
-    answers = answer_bits(ask(fields, ask_words), back, lambda c, a: word_shares(c, a, words_model), salts, np.uint64)
-    given = with_answers(given, answers, "back")
+    given = with_answers(given, told.where(F.col("block") != MODEL), "pairs")
+    given = with_answers(given, of_words.where(F.col("block") != MODEL), "words")
     scored = per_block(given, add_up, SCORE_SCHEMA)
     marks = places.select("block", "place", "held_out")
     return blocks, stage(scored.join(marks, ["block", "place"], "left"))
