@@ -90,14 +90,18 @@ class Grams:
         self.batch = open_payload(payload)
         data, offsets = text_bytes(self.column("text"))
         self.sizes = np.diff(offsets)
-        pad = ORDER - 1
-        padded = np.full(len(data) + pad * len(self.sizes), START, np.uint32)
-        self.owner = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
-        at = np.arange(pad, len(data) + pad, dtype=np.int32) + pad * self.owner
-        padded[at] = data
-        self.keys = padded[at]
+        raw, edges = data.tobytes(), offsets.tolist()
+        between = bytes([START]) * (ORDER - 1)
+        texts = between + between.join(raw[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True))
+        padded = np.frombuffer(texts, np.uint8).astype(np.uint32)
+        # A four-gram at every byte but those between texts: the last byte, and before it the context.
+        keys = padded[3:].copy()
         for back, shift in ((3, 8), (1, 16), (2, 24)):
-            self.keys |= padded[at - back] << np.uint32(shift)
+            keys |= padded[3 - back : len(padded) - back] << np.uint32(shift)
+        inside = np.ones(len(keys), bool)
+        starts = (offsets[1:-1] + (ORDER - 1) * np.arange(len(offsets) - 2))[:, None]
+        inside[(starts + np.arange(ORDER - 1)).ravel()] = False
+        self.keys = keys[inside]
         self.names = np.unique(self.keys)
 
     def column(self, name: str) -> pa.Array:
@@ -118,14 +122,15 @@ class Grams:
 
     def counts(self, docs: np.ndarray) -> np.ndarray:
         """How often the marked documents have each distinct four-gram."""
-        return np.bincount(self.places(self.keys[docs[self.owner]]), minlength=len(self.names))
+        return np.bincount(self.places(self.keys[np.repeat(docs, self.sizes)]), minlength=len(self.names))
 
 
 def earlier(keys: np.ndarray) -> np.ndarray:
     """How often each key stands at an earlier place."""
     order = np.argsort(keys, kind="stable")
     sorted_keys = keys[order]
-    begins = np.searchsorted(sorted_keys, sorted_keys)
+    new = np.diff(sorted_keys, prepend=sorted_keys[:1]) != 0
+    begins = np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
     out = np.empty(len(keys), np.int64)
     out[order] = np.arange(len(keys)) - begins
     return out
@@ -368,9 +373,13 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
     training = places.where("NOT held_out").groupBy("block").agg(F.sort_array(F.collect_list("place")).alias("training"))
     known = fields.join(training.hint("shuffle_hash"), "block", "left")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_shards, bits = word_pairs.shards_and_bits(blocks)
+    cuts = word_pairs.shard_cuts(fields, n_shards, bits)
     salts = max(1, -(-blocks.count() // BLOCKS_PER_TASK))
 
-    def ask_bits(row: dict) -> Iterator[tuple[int, bytes]]:
+    def questions(row: dict) -> Iterator[tuple[int, bytes]]:
+        for k, words in word_pairs.ask_words(row["payload"], n_shards, bits):
+            yield -1 - k, words
         grams = Grams(row["payload"])
         marked = np.zeros(len(grams.sizes), bool)
         marked[row["training"] or []] = True
@@ -381,16 +390,14 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             salt = row["block"] % salts
             yield int(k) * salts + salt, pack_counts(grams.names[part], counts[part])
 
-    def by_words(row: dict, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bits of each document by words, and those saved; ``each`` has the bits of each byte."""
-        pairs = word_pairs.Pairs(row["payload"])
-        spent = np.concatenate([[0.0], np.cumsum(each, dtype=np.float64)])
-        whole = spent[pairs.offsets[1:]] - spent[pairs.offsets[:-1]]
+    def by_words(row: dict, spent: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of each document by words, and those saved, from the running and ``whole`` bits by bytes."""
+        pairs = Pairs(row["payload"], bits)
         if not len(pairs.starts):
             return whole, np.zeros(pairs.n_docs)
         bounds = word_pairs.range_bounds(pairs.names[pairs.ahead], pairs.names[pairs.back], cuts)
         counts = word_pairs.answers_of(row["pairs"], np.diff(bounds), 1)[:, 0]
-        facts = word_pairs.answers_of(row["words"], np.diff(word_pairs.word_bounds(pairs.names, n_shards)), word_pairs.FACTS)
+        facts = word_pairs.answers_of(row["words"], np.diff(word_pairs.word_bounds(pairs.names, n_shards, bits)), word_pairs.FACTS)
         share, left, lower = words_model.shares(counts, facts[pairs.ahead, 0], facts)
         # A word's spelling reaches to the next word or the end of its text; what is before the first has its own bits.
         ends = np.append(pairs.starts[1:], 0)
@@ -401,22 +408,23 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         p = share[pairs.of] + left[ahead] * (lower[back] + words_model.left * np.exp2(-spelling))
         # Spellings of very long words are below the least float.
         least = spelling - np.log2(words_model.left) - np.log2(np.maximum(left[ahead], 1e-30))
-        bits = np.where(p > 1e-290, -np.log2(np.maximum(p, 1e-290)), least)
-        saved = np.bincount(pairs.owner, weights=saved_bits(pairs, p, bits), minlength=pairs.n_docs)
-        total = np.bincount(pairs.owner, weights=bits - spelling, minlength=pairs.n_docs)
+        cost = np.where(p > 1e-290, -np.log2(np.maximum(p, 1e-290)), least)
+        saved = np.bincount(pairs.owner, weights=saved_bits(pairs, p, cost), minlength=pairs.n_docs)
+        total = np.bincount(pairs.owner, weights=cost - spelling, minlength=pairs.n_docs)
         return total + whole, saved
 
     def add_up(row: dict) -> Iterator[pa.RecordBatch]:
         grams = Grams(row["payload"])
         order, bounds = shards(grams.names, n)
-        bits = np.zeros(len(grams.names), np.float32)
-        asked = [k for k in np.flatnonzero(np.diff(bounds))]
-        for k, given in zip(asked, by_bucket(row["bits"]), strict=True):
+        of_names = np.zeros(len(grams.names), np.float32)
+        held = np.flatnonzero(np.diff(bounds))
+        for k, given in zip(held, by_bucket(row["bits"]), strict=True):
             part = order[bounds[k] : bounds[k + 1]]
-            bits[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
-        each = bits[grams.places(grams.keys)]
-        word_bits, saved = by_words(row, each)
-        total = np.bincount(grams.owner, weights=each, minlength=len(grams.sizes))
+            of_names[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
+        spent = np.concatenate([[0.0], np.cumsum(of_names[grams.places(grams.keys)], dtype=np.float64)])
+        ends = np.cumsum(grams.sizes)
+        total = spent[ends] - spent[ends - grams.sizes]
+        word_bits, saved = by_words(row, spent, total)
         at = np.arange(len(grams.sizes))
         yield pa.record_batch(
             [
@@ -432,7 +440,10 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             names=["block", "place", "doc_id", "lang", "n_bytes", "bits", "word_bits", "saved_bits"],
         )
 
-    asks = stage(ask(known, ask_bits))
+    asked = stage(ask(known, questions))
+    # Questions about words have buckets below zero.
+    asks = asked.where("bucket >= 0")
+    about_words = asked.where("bucket < 0").withColumn("bucket", -1 - F.col("bucket"))
 
     def whole(asks: DataFrame) -> DataFrame:
         counted = add_counts(asks, "bucket").withColumn("bucket", F.expr(f"bucket DIV {salts}"))
@@ -440,10 +451,8 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
 
     counted = whole(asks)
     model = fit(counted)
-    n_shards = word_pairs.shard_count(blocks)
-    cuts = word_pairs.shard_cuts(fields, n_shards)
-    told = word_pairs.tell_pairs(known, cuts)
-    of_words = word_pairs.tell_words(fields, told, n_shards)
+    told = word_pairs.tell_pairs(known, cuts, bits)
+    of_words = word_pairs.tell_words(about_words, told, n_shards, bits)
     words_model = fit_words(word_pairs.totals(told), word_pairs.totals(of_words))
     answers = answer_bits(asks, counted, lambda c, a: shard_bits(c, a, model), salts, np.uint32)
     given = with_answers(fields, answers, "bits")

@@ -11,7 +11,7 @@ how many distinct pairs of one, two and more counts, and how many distinct pairs
 shuffle sums this by ranges of the words and answers each block for its distinct words. So answers are
 counts alone; discounts and probabilities are up to the block, once the few totals over all shards are known.
 
-Words are compared by ``WORD_BITS`` bits of hash.
+Words are compared by ``word_bits`` bits of hash, more in a larger corpus.
 """
 
 from __future__ import annotations
@@ -28,13 +28,12 @@ from outcomekit.llm.blocks import ANSWER_SCHEMA, HASHES_PER_BUCKET, ask, deflate
 from outcomekit.llm.text import STEP, U64, find_words, mix, text_bytes, word_hashes
 from outcomekit.session import stage
 
-WORD_BITS = 36
-#: Bytes that hold a word's hash.
-WIDTH = -(-WORD_BITS // 8)
+#: Least bits of a word's hash, the most that an unsigned sum of steps may need, and bits beyond those of the number of words.
+LEAST_BITS, MOST_BITS, MORE_BITS = 32, 48, 5
 SLICES = 2
 SAMPLE_BLOCKS, SAMPLE_PAIRS = 16, 4_096
 #: Stands for the word before the first.
-START = U64(0x5DEECE66D)
+START = U64(0x5DEECE66D5DEECE6)
 #: Stands for a block's number in the row that holds what a shard says of all text.
 MODEL = -1
 #: What is known of a word: pairs that it begins, distinct ones of count one, two and more, distinct ones that it ends.
@@ -44,15 +43,15 @@ FACTS = 5
 class Pairs:
     """Words of a block with the word before each, as places among its distinct pairs of distinct words."""
 
-    def __init__(self, payload: bytes) -> None:
+    def __init__(self, payload: bytes, bits: int) -> None:
         batch = open_payload(payload)
         self.n_docs = batch.num_rows
         data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
         words = find_words(data, offsets)
         self.starts, self.first, self.offsets = words.starts, words.first, offsets
         self.owner = words.owners()
-        hashes = word_hashes(data, words) >> U64(64 - WORD_BITS)
-        self.names, number = np.unique(np.append(hashes, START), return_inverse=True)
+        hashes = np.append(word_hashes(data, words), START) >> U64(64 - bits)
+        self.names, number = np.unique(hashes, return_inverse=True)
         start, number = number[-1], number[:-1]
         before = np.full(len(number), start)
         before[1:] = number[:-1]
@@ -66,21 +65,28 @@ class Pairs:
         return np.bincount(self.of[docs[self.owner]], minlength=len(self.ahead))
 
 
+def word_names(payload: bytes, bits: int) -> np.ndarray:
+    """The distinct words of a block as ``Pairs`` names them, ascending."""
+    batch = open_payload(payload)
+    data, offsets = text_bytes(batch.column(batch.schema.get_field_index("text")))
+    return np.unique(np.append(word_hashes(data, find_words(data, offsets)), START) >> U64(64 - bits))
+
+
+def word_bits(n_words: int) -> int:
+    return min(max(LEAST_BITS, int(n_words).bit_length() + MORE_BITS), MOST_BITS)
+
+
 def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Numbers of ``WORD_BITS`` bits, a compressed plane a byte."""
-    return deflate(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].T)
+    """Whole numbers as compressed planes of bytes, of which the upper ones are mostly zero."""
+    return deflate(numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : MOST_BITS // 8].T)
 
 
 def unpack_numbers(data: bytes, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :WIDTH] = np.frombuffer(pa.decompress(data, WIDTH * n, codec="zstd"), np.uint8).reshape(WIDTH, n).T
+    out, width = np.zeros((n, 8), np.uint8), MOST_BITS // 8
+    out[:, :width] = np.frombuffer(pa.decompress(data, width * n, codec="zstd"), np.uint8).reshape(width, n).T
     return out.view("<u8").ravel()
 
 
-def inflate(data: bytes, n: int, kind: str) -> np.ndarray:
-    return np.frombuffer(pa.decompress(data, n * np.dtype(kind).itemsize, codec="zstd"), kind)
-
-
 def pack_pairs(ahead: np.ndarray, back: np.ndarray, counts: np.ndarray) -> bytes:
     """Ascending pairs and their counts: steps of the distinct first words, and of the second words of each."""
     new = np.diff(ahead, prepend=~ahead[:1]) != 0
@@ -91,9 +97,9 @@ def pack_pairs(ahead: np.ndarray, back: np.ndarray, counts: np.ndarray) -> bytes
         {
             "n": np.array([len(begins), len(back)], np.int64),
             "ahead": pack_numbers(np.diff(ahead[begins], prepend=U64(0))),
-            "each": deflate(np.diff(np.append(begins, len(back))).astype(np.uint32)),
+            "each": pack_numbers(np.diff(np.append(begins, len(back)))),
             "back": pack_numbers(steps),
-            "counts": deflate(counts.astype(np.uint32)),
+            "counts": pack_numbers(counts),
         }
     )
 
@@ -101,12 +107,12 @@ def pack_pairs(ahead: np.ndarray, back: np.ndarray, counts: np.ndarray) -> bytes
 def unpack_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     part = unpack(data)
     n_first, n = map(int, part["n"])
-    each = inflate(part["each"], n_first, "<u4")
+    each = unpack_numbers(part["each"], n_first).astype(np.int64)
     ahead = np.repeat(np.cumsum(unpack_numbers(part["ahead"], n_first), dtype=np.uint64), each)
     total = np.cumsum(unpack_numbers(part["back"], n), dtype=np.uint64)
     begins = np.cumsum(each) - each
     before = np.concatenate([[U64(0)], total])[begins]
-    return ahead, total - np.repeat(before, each), inflate(part["counts"], n, "<u4").astype(np.int64)
+    return ahead, total - np.repeat(before, each), unpack_numbers(part["counts"], n).astype(np.int64)
 
 
 def range_bounds(ahead: np.ndarray, back: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -116,18 +122,18 @@ def range_bounds(ahead: np.ndarray, back: np.ndarray, cuts: np.ndarray) -> np.nd
     return np.concatenate([[0], at, [len(ahead)]]).astype(np.int64)
 
 
-def word_bounds(names: np.ndarray, n: int) -> np.ndarray:
-    """Where each of ``n`` equal ranges of hashes begins in ascending words."""
-    return np.searchsorted((names * U64(n)) >> U64(WORD_BITS), np.arange(n + 1, dtype=np.uint64))
+def word_bounds(names: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """Where each of ``n`` equal ranges of hashes begins in ascending words, and their end."""
+    return np.searchsorted(names, np.arange(n + 1, dtype=object) * (1 << bits) // n).astype(np.int64)
 
 
-def shard_cuts(blocks: DataFrame, n: int) -> np.ndarray:
+def shard_cuts(blocks: DataFrame, n: int, bits: int) -> np.ndarray:
     """Pairs that cut all into ``n`` shards of about as many, from a sample of each of a few blocks."""
     every = blocks.count()
     few = blocks.where(F.pmod(F.xxhash64("block", F.lit(3)), F.lit(max(every // SAMPLE_BLOCKS, 1))) == 0)
 
     def draw(row: dict) -> Iterator[pa.RecordBatch]:
-        pairs = Pairs(row["payload"])
+        pairs = Pairs(row["payload"], bits)
         at = np.random.default_rng(row["block"]).integers(0, max(len(pairs.ahead), 1), min(SAMPLE_PAIRS, len(pairs.ahead)))
         ahead, back = (pairs.names[x[at]].astype(np.int64) for x in (pairs.ahead, pairs.back))
         yield pa.record_batch({"ahead": pa.array(ahead), "back": pa.array(back)})
@@ -152,7 +158,7 @@ def add_words(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
 def pack_words(names: np.ndarray, facts: np.ndarray | None = None) -> bytes:
     """Ascending words, with facts or as a question."""
     part = {"n": np.array([len(names)], np.int64), "names": pack_numbers(np.diff(names, prepend=U64(0)))}
-    return pack(part if facts is None else {**part, "facts": deflate(facts.T.astype(np.int64))})
+    return pack(part if facts is None else {**part, "facts": pack_numbers(facts.T.ravel())})
 
 
 def unpack_words(part: dict) -> np.ndarray:
@@ -160,7 +166,7 @@ def unpack_words(part: dict) -> np.ndarray:
 
 
 def unpack_facts(data: bytes, n: int) -> np.ndarray:
-    return inflate(data, n * FACTS, "<i8").reshape(FACTS, n).T
+    return unpack_numbers(data, n * FACTS).astype(np.int64).reshape(FACTS, n).T
 
 
 def count_pairs(asks: list[bytes]) -> tuple[list[bytes], bytes]:
@@ -175,7 +181,7 @@ def count_pairs(asks: list[bytes]) -> tuple[list[bytes], bytes]:
     for k in keys:
         spot = np.minimum(np.searchsorted(every, k), max(len(every) - 1, 0))
         found = np.where(every[spot] == k, counts[spot], 0) if len(every) else np.zeros(len(k), np.int64)
-        out.append(deflate(found.astype(np.uint32)))
+        out.append(pack_numbers(found))
     of_first = np.stack([counts, counts == 1, counts == 2, counts > 2, np.zeros(len(every))], axis=1)
     of_second = np.tile([0, 0, 0, 0, 1], (len(every), 1))
     names, facts = add_words([(ahead[first], of_first), (back[first], of_second)])
@@ -202,13 +208,13 @@ def answered(asks: DataFrame, reply: Callable[[np.ndarray, list[bytes]], tuple[l
     return asks.groupBy("bucket").applyInArrow(run, ANSWER_SCHEMA)
 
 
-def tell_pairs(blocks: DataFrame, cuts: np.ndarray) -> DataFrame:
+def tell_pairs(blocks: DataFrame, cuts: np.ndarray, bits: int) -> DataFrame:
     """Staged answers (bucket, block, answer) of all pairs; ``blocks`` has block, payload and training places."""
     upto = np.linspace(0, len(cuts) + 1, SLICES + 1).astype(int)
 
     def slice_of(low: int, high: int) -> DataFrame:
         def run(row: dict) -> Iterator[tuple[int, bytes]]:
-            pairs = Pairs(row["payload"])
+            pairs = Pairs(row["payload"], bits)
             docs = np.zeros(pairs.n_docs, bool)
             docs[row["training"] or []] = True
             counts = pairs.counts(docs)
@@ -224,8 +230,16 @@ def tell_pairs(blocks: DataFrame, cuts: np.ndarray) -> DataFrame:
     return reduce(DataFrame.union, [slice_of(a, b) for a, b in zip(upto[:-1], upto[1:], strict=True) if b > a])
 
 
-def tell_words(blocks: DataFrame, told: DataFrame, n: int) -> DataFrame:
-    """Staged answers (bucket, block, answer) of all words, from what the shards of pairs say of theirs."""
+def ask_words(payload: bytes, n: int, bits: int) -> Iterator[tuple[int, bytes]]:
+    """A block's questions about its distinct words, by range."""
+    names = word_names(payload, bits)
+    bounds = word_bounds(names, n, bits)
+    for k in np.flatnonzero(np.diff(bounds)):
+        yield int(k), pack_words(names[bounds[k] : bounds[k + 1]])
+
+
+def tell_words(asks: DataFrame, told: DataFrame, n: int, bits: int) -> DataFrame:
+    """Staged answers (bucket, block, answer) to ``ask_words``, from what the shards of pairs say of theirs."""
 
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,19 +247,13 @@ def tell_words(blocks: DataFrame, told: DataFrame, n: int) -> DataFrame:
                 part = unpack(unpack(x.as_py())["words"])
                 names = unpack_words(part)
                 facts = unpack_facts(part["facts"], len(names))
-                bounds = word_bounds(names, n)
+                bounds = word_bounds(names, n, bits)
                 held = np.flatnonzero(np.diff(bounds))
-                asks = [pack_words(names[bounds[k] : bounds[k + 1]], facts[bounds[k] : bounds[k + 1]]) for k in held]
+                given = [pack_words(names[bounds[k] : bounds[k + 1]], facts[bounds[k] : bounds[k + 1]]) for k in held]
                 yield pa.record_batch(
-                    [pa.array(held), pa.array(np.full(len(held), MODEL)), pa.array(asks, pa.binary())], names=["bucket", "block", "ask"]
+                    [pa.array(held), pa.array(np.full(len(held), MODEL)), pa.array(given, pa.binary())], names=["bucket", "block", "ask"]
                 )
 
-    def of_block(row: dict) -> Iterator[tuple[int, bytes]]:
-        names = Pairs(row["payload"]).names
-        bounds = word_bounds(names, n)
-        for k in np.flatnonzero(np.diff(bounds)):
-            yield int(k), pack_words(names[bounds[k] : bounds[k + 1]])
-
     def reply(at: np.ndarray, asks: list[bytes]) -> tuple[list[bytes], bytes]:
         parts = [unpack(a) for a in asks]
         known = [(unpack_words(p), unpack_facts(p["facts"], int(p["n"][0]))) for p, b in zip(parts, at, strict=True) if b == MODEL]
@@ -256,13 +264,13 @@ def tell_words(blocks: DataFrame, told: DataFrame, n: int) -> DataFrame:
                 names = unpack_words(p)
                 spot = np.minimum(np.searchsorted(every, names), max(len(every) - 1, 0))
                 found = np.where((every[spot] == names)[:, None], facts[spot], 0) if len(every) else np.zeros((len(names), FACTS))
-                out.append(deflate(found.T.astype(np.uint32)))
+                out.append(pack_numbers(found.T.ravel()))
         ends = facts[:, FACTS - 1]
         sizes = [*np.bincount(np.minimum(ends, 5), minlength=6)[1:], ends.sum()]
         return out, pack({"sizes": np.array(sizes, np.int64)})
 
     said = told.where(F.col("block") == MODEL).select("answer").mapInArrow(of_pairs, "bucket long, block long, ask binary")
-    return stage(answered(ask(blocks.select("block", "payload"), of_block).union(said), reply))
+    return stage(answered(asks.union(said), reply))
 
 
 def totals(told: DataFrame) -> list[int]:
@@ -279,12 +287,15 @@ def totals(told: DataFrame) -> list[int]:
     return [got.get(i, 0) for i in range(6)]
 
 
-def shard_count(blocks: DataFrame) -> int:
+def shards_and_bits(blocks: DataFrame) -> tuple[int, int]:
+    """Number of shards, and bits of a word's hash, for the words of all blocks."""
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
-    return max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(words) // HASHES_PER_BUCKET))
+    n = max(int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(words) // HASHES_PER_BUCKET))
+    return n, word_bits(words)
 
 
 def answers_of(given: list[dict] | None, sizes: np.ndarray, columns: int) -> np.ndarray:
     """The answers of a block's shards, in the order asked, as rows of ``columns`` numbers."""
-    parts = [inflate(x["answer"], int(n) * columns, "<u4").reshape(columns, n).T for x, n in zip(given or [], sizes[sizes > 0], strict=True)]
-    return np.concatenate(parts).astype(np.int64) if parts else np.zeros((0, columns), np.int64)
+    asked = zip(given or [], sizes[sizes > 0], strict=True)
+    parts = [unpack_numbers(x["answer"], int(n) * columns).astype(np.int64).reshape(columns, n).T for x, n in asked]
+    return np.concatenate(parts) if parts else np.zeros((0, columns), np.int64)
