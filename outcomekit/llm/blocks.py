@@ -146,6 +146,7 @@ def ask(blocks: DataFrame, questions: Callable[[dict], Iterator[tuple[int, bytes
             for i in range(batch.num_rows):
                 row = {c: batch.column(k)[i].as_py() for k, c in enumerate(names)}
                 asked = list(questions(row))
+                pa.default_memory_pool().release_unused()
                 yield pa.record_batch(
                     [
                         pa.array([b for b, _ in asked], pa.int64()),
@@ -195,6 +196,7 @@ def per_block(
         for batch in batches:
             for i in range(batch.num_rows):
                 yield from work({c: batch.column(k)[i].as_py() for k, c in enumerate(names)})
+                pa.default_memory_pool().release_unused()
 
     return blocks.mapInArrow(run, schema)
 

@@ -61,7 +61,7 @@ from outcomekit.llm.blocks import (
 )
 from outcomekit.llm.text import mix, text_bytes
 from outcomekit.llm.word_pairs import MODEL, Pairs
-from outcomekit.session import stage
+from outcomekit.session import stage, staged_run
 
 ORDER = 4
 START = 10
@@ -79,6 +79,7 @@ STAT_SCHEMA = "kind string, entry long, n long"
 SCORE_SCHEMA = "block long, place long, doc_id long, lang string, n_bytes long, bits double, word_bits double, saved_bits double"
 #: Cells of a table that finds places of four-grams; beyond it they are searched for.
 TABLE_CELLS = 1 << 24
+KEYS_AT_ONCE = 1 << 18
 #: Weight of a document's own earlier pairs.
 OWN = 0.1
 
@@ -107,22 +108,30 @@ class Grams:
     def column(self, name: str) -> pa.Array:
         return self.batch.column(self.batch.schema.get_field_index(name))
 
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        """Place of each key among the distinct four-grams, by a table of halves where that is small."""
-        half = np.uint32(16)
-        halves = [np.unique(self.names >> half), np.unique(self.names & np.uint32(0xFFFF))]
-        if len(halves[0]) * len(halves[1]) > TABLE_CELLS:
-            return np.searchsorted(self.names, keys)
+    def finder(self) -> Callable[[np.ndarray], np.ndarray]:
+        """What finds the places of keys among the distinct four-grams, by a table of halves where that is small."""
+        half, low = np.uint32(16), np.uint32(0xFFFF)
+        heads, tails = np.unique(self.names >> half), np.unique(self.names & low)
+        if len(heads) * len(tails) > TABLE_CELLS:
+            return lambda keys: np.searchsorted(self.names, keys)
         first, last = (np.zeros(1 << 16, np.int32) for _ in range(2))
-        first[halves[0]] = np.arange(len(halves[0]), dtype=np.int32) * len(halves[1])
-        last[halves[1]] = np.arange(len(halves[1]), dtype=np.int32)
-        table = np.zeros(len(halves[0]) * len(halves[1]), np.int32)
-        table[first[self.names >> half] + last[self.names & np.uint32(0xFFFF)]] = np.arange(len(self.names))
-        return table[first[keys >> half] + last[keys & np.uint32(0xFFFF)]]
+        first[heads] = np.arange(len(heads), dtype=np.int32) * len(tails)
+        last[tails] = np.arange(len(tails), dtype=np.int32)
+        table = np.zeros(len(heads) * len(tails), np.int32)
+        table[first[self.names >> half] + last[self.names & low]] = np.arange(len(self.names))
+        return lambda keys: table[first[keys >> half] + last[keys & low]]
+
+    def running(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the distinct four-grams' values up to each byte of the texts, from 0."""
+        find, out = self.finder(), np.zeros(len(self.keys) + 1)
+        for at in range(0, len(self.keys), KEYS_AT_ONCE):
+            some = values[find(self.keys[at : at + KEYS_AT_ONCE])]
+            out[at + 1 : at + 1 + len(some)] = out[at] + np.cumsum(some, dtype=np.float64)
+        return out
 
     def counts(self, docs: np.ndarray) -> np.ndarray:
         """How often the marked documents have each distinct four-gram."""
-        return np.bincount(self.places(self.keys[np.repeat(docs, self.sizes)]), minlength=len(self.names))
+        return np.bincount(self.finder()(self.keys[np.repeat(docs, self.sizes)]), minlength=len(self.names))
 
 
 def earlier(keys: np.ndarray) -> np.ndarray:
@@ -396,8 +405,9 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         if not len(pairs.starts):
             return whole, np.zeros(pairs.n_docs)
         bounds = word_pairs.range_bounds(pairs.names[pairs.ahead], pairs.names[pairs.back], cuts)
-        counts = word_pairs.answers_of(row["pairs"], np.diff(bounds), 1)[:, 0]
-        facts = word_pairs.answers_of(row["words"], np.diff(word_pairs.word_bounds(pairs.names, n_shards, bits)), word_pairs.FACTS)
+        counts = word_pairs.answers_of(row["pairs"], np.diff(bounds), word_pairs.unpack_numbers).astype(np.int64)
+        asked = np.diff(word_pairs.word_bounds(pairs.names, n_shards, bits))
+        facts = word_pairs.answers_of(row["words"], asked, word_pairs.unpack_facts)
         share, left, lower = words_model.shares(counts, facts[pairs.ahead, 0], facts)
         # A word's spelling reaches to the next word or the end of its text; what is before the first has its own bits.
         ends = np.append(pairs.starts[1:], 0)
@@ -421,7 +431,7 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
         for k, given in zip(held, by_bucket(row["bits"]), strict=True):
             part = order[bounds[k] : bounds[k + 1]]
             of_names[part] = np.frombuffer(pa.decompress(given, 4 * len(part), codec="zstd"), np.float32)
-        spent = np.concatenate([[0.0], np.cumsum(of_names[grams.places(grams.keys)], dtype=np.float64)])
+        spent = grams.running(of_names)
         ends = np.cumsum(grams.sizes)
         total = spent[ends] - spent[ends - grams.sizes]
         word_bits, saved = by_words(row, spent, total)
@@ -440,21 +450,20 @@ def score_blocks(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFra
             names=["block", "place", "doc_id", "lang", "n_bytes", "bits", "word_bits", "saved_bits"],
         )
 
-    asked = stage(ask(known, questions))
+    spark = docs.sparkSession
+    # The largest shuffles come first, and questions are deleted once they are answered: less lies on disk at a time.
+    told = word_pairs.tell_pairs(known, cuts, bits)
+    with staged_run(spark) as forget:
+        asked = stage(ask(known, questions))
     # Questions about words have buckets below zero.
     asks = asked.where("bucket >= 0")
     about_words = asked.where("bucket < 0").withColumn("bucket", -1 - F.col("bucket"))
-
-    def whole(asks: DataFrame) -> DataFrame:
-        counted = add_counts(asks, "bucket").withColumn("bucket", F.expr(f"bucket DIV {salts}"))
-        return stage(add_counts(counted, "bucket"))
-
-    counted = whole(asks)
-    model = fit(counted)
-    told = word_pairs.tell_pairs(known, cuts, bits)
     of_words = word_pairs.tell_words(about_words, told, n_shards, bits)
     words_model = fit_words(word_pairs.totals(told), word_pairs.totals(of_words))
-    answers = answer_bits(asks, counted, lambda c, a: shard_bits(c, a, model), salts, np.uint32)
+    counted = stage(add_counts(add_counts(asks, "bucket").withColumn("bucket", F.expr(f"bucket DIV {salts}")), "bucket"))
+    model = fit(counted)
+    answers = stage(answer_bits(asks, counted, lambda c, a: shard_bits(c, a, model), salts, np.uint32))
+    forget()
     given = with_answers(fields, answers, "bits")
     given = with_answers(given, told.where(F.col("block") != MODEL), "pairs")
     given = with_answers(given, of_words.where(F.col("block") != MODEL), "words")

@@ -18,6 +18,9 @@ U64 = np.uint64
 STEP = U64(0x9E3779B97F4A7C15)
 _LETTERS = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 
+#: Letters that are hashed at once; a longer word is on its own.
+HASHED_LETTERS = 1 << 18
+
 SPACES = np.zeros(256, dtype=bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -77,13 +80,22 @@ def find_words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = S
 
 
 def word_hashes(data: np.ndarray, words: Words) -> np.ndarray:
-    """64-bit hash of each word's bytes."""
-    if len(words.starts) == 0:
-        return np.zeros(0, np.uint64)
-    lengths = (words.ends - words.starts).astype(np.int32)
-    begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int32)
-    within = np.arange(int(lengths.sum()), dtype=np.int32)
-    letters = data[within + np.repeat(words.starts.astype(np.int32) - begin, lengths)]
+    """64-bit hash of each word's bytes, in steps that take a bounded part of memory beside the texts."""
+    out = np.empty(len(words.starts), np.uint64)
+    lengths = words.ends - words.starts
+    total = np.cumsum(lengths)
+    at = 0
+    while at < len(out):
+        upto = max(at + 1, int(np.searchsorted(total, total[at] - lengths[at] + HASHED_LETTERS, "right")))
+        out[at:upto] = _hashes(data, words.starts[at:upto], lengths[at:upto])
+        at = upto
+    return out
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    begin = np.cumsum(lengths) - lengths
+    within = np.arange(int(lengths.sum()))
+    letters = data[within + np.repeat(starts - begin, lengths)]
     within -= np.repeat(begin, lengths)
     powers = np.multiply.accumulate(np.full(int(lengths.max()), STEP))
     values = _LETTERS[letters]

@@ -158,15 +158,24 @@ def add_words(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, n
 def pack_words(names: np.ndarray, facts: np.ndarray | None = None) -> bytes:
     """Ascending words, with facts or as a question."""
     part = {"n": np.array([len(names)], np.int64), "names": pack_numbers(np.diff(names, prepend=U64(0)))}
-    return pack(part if facts is None else {**part, "facts": pack_numbers(facts.T.ravel())})
+    return pack(part if facts is None else {**part, "facts": pack_facts(facts)})
 
 
 def unpack_words(part: dict) -> np.ndarray:
     return np.cumsum(unpack_numbers(part["names"], int(part["n"][0])), dtype=np.uint64)
 
 
+def pack_facts(facts: np.ndarray) -> bytes:
+    """Facts of words less what follows for rare ones: most are small then."""
+    first, one, two, more, ends = facts.T
+    beyond, other = first - one - 2 * two - 3 * more, ends - one - two - more
+    return pack_numbers(np.concatenate([beyond, one, two, more, np.where(other < 0, -2 * other - 1, 2 * other)]))
+
+
 def unpack_facts(data: bytes, n: int) -> np.ndarray:
-    return unpack_numbers(data, n * FACTS).astype(np.int64).reshape(FACTS, n).T
+    beyond, one, two, more, other = unpack_numbers(data, n * FACTS).astype(np.int64).reshape(FACTS, n)
+    other = np.where(other % 2 == 1, -(other + 1) // 2, other // 2)
+    return np.stack([beyond + one + 2 * two + 3 * more, one, two, more, other + one + two + more], axis=1)
 
 
 def count_pairs(asks: list[bytes]) -> tuple[list[bytes], bytes]:
@@ -263,8 +272,8 @@ def tell_words(asks: DataFrame, told: DataFrame, n: int, bits: int) -> DataFrame
             if b != MODEL:
                 names = unpack_words(p)
                 spot = np.minimum(np.searchsorted(every, names), max(len(every) - 1, 0))
-                found = np.where((every[spot] == names)[:, None], facts[spot], 0) if len(every) else np.zeros((len(names), FACTS))
-                out.append(pack_numbers(found.T.ravel()))
+                found = np.where((every[spot] == names)[:, None], facts[spot], 0) if len(every) else np.zeros((len(names), FACTS), np.int64)
+                out.append(pack_facts(found))
         ends = facts[:, FACTS - 1]
         sizes = [*np.bincount(np.minimum(ends, 5), minlength=6)[1:], ends.sum()]
         return out, pack({"sizes": np.array(sizes, np.int64)})
@@ -294,8 +303,7 @@ def shards_and_bits(blocks: DataFrame) -> tuple[int, int]:
     return n, word_bits(words)
 
 
-def answers_of(given: list[dict] | None, sizes: np.ndarray, columns: int) -> np.ndarray:
-    """The answers of a block's shards, in the order asked, as rows of ``columns`` numbers."""
+def answers_of(given: list[dict] | None, sizes: np.ndarray, read: Callable[[bytes, int], np.ndarray]) -> np.ndarray:
+    """The answers of a block's shards, in the order asked."""
     asked = zip(given or [], sizes[sizes > 0], strict=True)
-    parts = [unpack_numbers(x["answer"], int(n) * columns).astype(np.int64).reshape(columns, n).T for x, n in asked]
-    return np.concatenate(parts) if parts else np.zeros((0, columns), np.int64)
+    return np.concatenate([read(x["answer"], int(n)) for x, n in asked])
