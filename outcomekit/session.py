@@ -19,7 +19,7 @@ FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 SMALL_ROWS = 50_000
 
 _local_folders: set[str] = set()
-_runs: list[list[str]] = []
+_runs: list[list[tuple[str, str]]] = []
 
 
 def build_session(app: str = "outcomekit", master: str | None = None, **conf: str) -> SparkSession:
@@ -61,12 +61,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def new_stage(spark: SparkSession) -> str:
-    """Path of a staged table that does not exist yet; the innermost open run deletes it."""
-    path = f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{uuid.uuid4().hex}"
+def new_stage(spark: SparkSession) -> tuple[str, str]:
+    """Path and table name of a staged table that does not exist yet; the innermost open run deletes both.
+
+    The name is for tables that are saved with a layout, as buckets; others have a path alone.
+    """
+    name = uuid.uuid4().hex
+    made = f"{scratch_dir(spark).rstrip('/')}/{STAGE_FOLDER}/{name}", f"stage_{name}"
     if _runs:
-        _runs[-1].append(path)
-    return path
+        _runs[-1].append(made)
+    return made
 
 
 @contextmanager
@@ -93,7 +97,7 @@ def stage(df: DataFrame) -> DataFrame:
     loss of executors, and later scans still prune columns and push filters.
     """
     spark = df.sparkSession
-    path = new_stage(spark)
+    path, _ = new_stage(spark)
     with freed_shuffles(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -102,17 +106,21 @@ def stage(df: DataFrame) -> DataFrame:
 @contextmanager
 def staged_run(spark: SparkSession) -> Iterator[Callable[[], None]]:
     """Collect what is staged inside; the value deletes it, once nothing reads it any more."""
-    paths: list[str] = []
-    _runs.append(paths)
+    made: list[tuple[str, str]] = []
+    _runs.append(made)
 
     def release() -> None:
-        while paths:
-            _delete(spark, paths.pop())
+        while made:
+            path, name = made.pop()
+            if spark.sparkContext._jsc is not None:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+            _delete(spark, path)
 
     try:
         yield release
     finally:
-        _runs.remove(paths)
+        # By identity: lists of equal content are other runs.
+        _runs[:] = [r for r in _runs if r is not made]
 
 
 def _delete(spark: SparkSession, path: str) -> None:

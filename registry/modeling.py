@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from outcomekit.functions import linear_margin, sigmoid, threshold_label
 from outcomekit.operators import evaluate as ev, explain, features, models, topk
 from outcomekit.plans import recipes
+from outcomekit.plans.whole import whole_pipeline
 from outcomekit.session import scratch_dir, stage
 from registry.core import customers, draw_sql, query
 from registry.preparing import FILLED_SQL, filled, split_sql
@@ -116,11 +117,13 @@ def _fit(data, recipe, name, kind, **options):
 LINEAR = ["senior", "months"]
 
 
-def newton_sql(weight: str, where: str = "split = 'train'", steps: int = 25) -> str:
+def newton_sql(
+    weight: str, where: str = "split = 'train'", steps: int = 25, flag: str = "senior::DOUBLE", number: str = "tenure"
+) -> str:
     """CTEs that end in ``fit(b0, b1, b2)``: intercept, senior and scaled months, inverse penalty 1."""
-    return f""", ranged AS (SELECT avg(tenure::DOUBLE) AS mu, stddev_pop(tenure::DOUBLE) AS sd FROM filled WHERE split = 'train'),
+    return f""", ranged AS (SELECT avg({number}::DOUBLE) AS mu, stddev_pop({number}::DOUBLE) AS sd FROM filled WHERE split = 'train'),
       class_n AS (SELECT label AS cl, count(*) AS n_c, sum(count(*)) OVER () AS n_all FROM filled WHERE {where} GROUP BY label),
-      x AS (SELECT customer_id, split, label, senior::DOUBLE AS x1, (tenure - mu) / sd AS x2, {weight} AS w
+      x AS (SELECT customer_id, split, label, {flag} AS x1, ({number} - mu) / sd AS x2, {weight} AS w
             FROM filled, ranged, class_n WHERE cl = label),
       step AS (
         SELECT 0 AS i, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2
@@ -372,6 +375,55 @@ def reloaded_scores(spark, sf):
     return rounded(scored.select("customer_id", "score"), "score", digits=3)
 
 
+def reloaded_pipeline(df, recipe: recipes.Recipe, spec: recipes.ModelSpec, layout: recipes.Layout | None = None):
+    """A pipeline from raw rows to scores, fitted, saved, and loaded again."""
+    spark = df.sparkSession
+    path = os.path.join(scratch_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    models.save_model(whole_pipeline(recipe, spec, layout).fit(df), path)
+    return models.load_model(path, spark)
+
+
+@query(
+    "s06_pipeline_reloaded",
+    f"""WITH RECURSIVE {FILLED_SQL} {newton_sql(
+        "1.0::DOUBLE", flag="CASE WHEN paperless = 'Yes' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END", number="total_charges")}
+        SELECT customer_id, split, round(1 / (1 + exp(-(b0 + b1 * x1 + b2 * x2))), 3) AS score FROM x, fit""",
+)
+def pipeline_reloaded(spark, sf):
+    df = stage(customers(spark, sf).select("customer_id", "total_charges_raw", "paperless", "churn"))
+    recipe = recipes.Recipe("saved", (), encode="auto")
+    fitted = reloaded_pipeline(
+        df, recipe, recipes.ModelSpec("logistic", "logistic", iterations=1000), recipes.Layout(scaled=("total_charges",))
+    )
+    return rounded(models.score(fitted, df, keep=["customer_id", "split"]).drop("prediction"), "score", digits=3)
+
+
+# A rule on two of all encoded features that no single one of them tells.
+PAIRED_SQL = f"""WITH {FILLED_SQL} SELECT customer_id, CAST(has_returns = 'Yes' AND paperless = 'Yes' AS INT) AS prediction FROM filled"""
+
+
+def paired_rows(spark, sf) -> DataFrame:
+    rule = (F.col("has_returns") == "Yes") & (F.col("paperless") == "Yes")
+    return stage(customers(spark, sf).withColumn("churn", F.when(rule, "Yes").otherwise("No")))
+
+
+def paired_predictions(spark, sf, spec: recipes.ModelSpec) -> DataFrame:
+    df = paired_rows(spark, sf)
+    fitted = reloaded_pipeline(df, recipes.Recipe("saved", (), scale="all"), spec)
+    # A new row has no target.
+    return models.score(fitted, df.drop("churn"), keep=["customer_id"]).drop("score")
+
+
+@query("s06_pipeline_reloaded_forest", PAIRED_SQL)
+def pipeline_reloaded_forest(spark, sf):
+    return paired_predictions(spark, sf, recipes.ModelSpec("forest", "forest", weighted=True))
+
+
+@query("s06_pipeline_reloaded_network", PAIRED_SQL)
+def pipeline_reloaded_network(spark, sf):
+    return paired_predictions(spark, sf, recipes.ModelSpec("perceptron", "perceptron", (64, 32), iterations=200))
+
+
 @query("m01_logistic")
 def logistic(spark, sf):
     data, recipe = model_data(spark, sf)
