@@ -114,8 +114,7 @@ def to_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, buckets: int | No
         if held:
             yield emit()
 
-    path = new_stage(spark)
-    name = f"blocks_{path.rpartition('/')[2]}"
+    path, name = new_stage(spark)
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = docs.mapInArrow(cut, BLOCK_SCHEMA)
     blocks.write.bucketBy(n, "block").option("path", path).saveAsTable(name)

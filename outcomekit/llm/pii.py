@@ -50,7 +50,10 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+MARKED = re.compile(r"[0-9@]")
+#: A group of digits of a written number; such words in a row are one token.
+NUMBER = re.compile(r"[+(]?[0-9]{1,4}\)?")
 MARK = np.zeros(256, bool)
 MARK[[*range(ord("0"), ord("9") + 1), ord("@")]] = True
 
@@ -144,8 +147,27 @@ def core(token: str) -> str:
     return "".join(c for c in token.lower() if c.isalnum() or c == "@")
 
 
+def tokens(text: str) -> list[tuple[int, int]]:
+    """Places of the words that hold a digit or ``@``; a number written in groups of digits is one token."""
+    out: list[tuple[int, int]] = []
+    open_number = False
+    for word in WORD.finditer(text):
+        a, b = word.span()
+        if not MARKED.search(text, a, b):
+            open_number = False
+            continue
+        number = NUMBER.fullmatch(text, a, b - (text[b - 1] in ".,;:!?"))
+        if number and open_number and a == out[-1][1] + 1 and text[a] != "+":
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+        # Punctuation at its end closes a number.
+        open_number = bool(number) and number.end() == b
+    return out
+
+
 def graph(text: str, base: list[Span]) -> Graph:
-    found = [(m.start(), m.end()) for m in TOKEN.finditer(text)]
+    found = tokens(text)
     shapes, chain, skip = [], [], []
     last: dict[tuple[str, str], int] = {}
     for i, (a, b) in enumerate(found):

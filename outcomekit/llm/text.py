@@ -104,13 +104,18 @@ def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 def windows(hashes: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
-    """Hash of ``size`` words from each position on; the last ``size - 1`` positions have none."""
+    """Hash of ``size`` words from each position on; the last ``size - 1`` positions have none.
+
+    Another ``seed`` first mixes the words' hashes anew, so windows that agree by chance in one hash
+    do not therefore agree in the other.
+    """
     n = len(hashes) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
+    terms = mix(hashes ^ mix(np.array([seed], np.uint64) * STEP)) if seed else hashes
     out = np.full(n, U64(seed * 2 + 1))
     for j in range(size):
-        out = out * STEP + hashes[j : j + n]
+        out = out * STEP + terms[j : j + n]
     return mix(out)
 
 

@@ -1,6 +1,7 @@
 """Joins and repeats against brute force: recompression, T-occurrence, p-stable hashing, tiling."""
 
 import hashlib
+import os
 import random
 import re
 
@@ -8,7 +9,10 @@ import numpy as np
 import pytest
 
 from outcomekit.llm import jaccard, pstable, recompress, tiling
+from outcomekit.llm.blocks import to_blocks
 from outcomekit.llm.components import connect
+from outcomekit.llm.text import STEP, windows
+from outcomekit.session import staged_run
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -68,6 +72,27 @@ def test_repeats_equal_brute_force(spark, corpus, window):
     assert sorted((tuple(r) for r in got), key=str) == expected_cut(rows, window)
 
 
+def test_the_check_hash_of_a_window_is_another_one():
+    rng = np.random.default_rng(4)
+    one = rng.integers(0, 2**63, 13, dtype=np.uint64)
+    other, d = one.copy(), np.array([12345], np.uint64)
+    other[11:12] -= d
+    other[12:] += d * STEP
+    assert windows(one, 13)[0] == windows(other, 13)[0]
+    assert windows(one, 13, seed=1).astype(np.uint32)[0] != windows(other, 13, seed=1).astype(np.uint32)[0]
+
+
+def test_blocks_leave_nothing_behind(spark, corpus):
+    tables = {t.name for t in spark.catalog.listTables()}
+    with staged_run(spark) as release:
+        blocks = to_blocks(frame(spark, corpus))
+        path = blocks.inputFiles()[0]
+        assert blocks.count() and os.path.exists(path.removeprefix("file:"))
+        release()
+    assert not os.path.exists(path.removeprefix("file:"))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 def test_repeats_of_an_empty_table(spark):
     assert recompress.cut_repeats(frame(spark, [])).collect() == []
 

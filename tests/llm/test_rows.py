@@ -1,13 +1,16 @@
 """Operators on single rows and on the whole table against brute force and planted cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -521,6 +524,49 @@ def test_personal_data_of_a_table(spark):
     assert pii.find_personal_data(docs.where("doc_id = 2")).count() == 1
 
 
+def test_tokens_of_long_words_and_grouped_numbers():
+    started = time.perf_counter()
+    assert pii.tokens("a@b.cc " + "x" * 1_000_000) == [(0, 6)]
+    assert time.perf_counter() - started < 1
+    text = "call +1 555 0100 222, or 12 34 +5 6 (555) 0100 222. 7 8 5551234 99"
+    assert [text[a:b] for a, b in pii.tokens(text)] == ["+1 555 0100 222,", "12 34", "+5 6 (555) 0100 222.", "7 8", "5551234", "99"]
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(3)
+    n = len(pii.KINDS) + 1
+    field = pii.Field(rng.normal(size=(16, n)) / 4, *[(m + m.T) / 2 for m in rng.normal(size=(2, n, n))])
+    chain, skip = np.array([[0, 1]]), np.array([[1, 2], [1, 3]])
+    observed = np.array([False, False, True, False])
+    labels = np.array([0, 0, 3, 0])
+    g = pii.Graph([(0, 1)] * 4, rng.normal(size=(4, 16)), labels, observed, chain, skip)
+    want = np.zeros((4, n))
+    local = g.shapes @ field.shapes
+    for given in itertools.product(range(n), repeat=4):
+        if given[2] == labels[2]:
+            score = sum(local[i, y] for i, y in enumerate(given) if not observed[i])
+            score += sum(field.chain[given[a], given[b]] for a, b in chain) + sum(field.skip[given[a], given[b]] for a, b in skip)
+            for i, y in enumerate(given):
+                want[i, y] += np.exp(score)
+    want /= want.sum(axis=1, keepdims=True)
+    # A tree: messages are exact but for the damping that is left after the rounds.
+    assert np.abs(pii.marginals(g, field) - want).max() < 0.02
+
+
+def test_a_number_written_otherwise_is_found_by_its_skip_edge(spark):
+    rng = random.Random(5)
+    texts = []
+    for i in range(300):
+        number = f"{rng.randint(200, 999)} {rng.randint(1000, 9999)} {rng.randint(100, 999)}"
+        again = number.replace(" ", rng.choice(["-", ".", " "]))
+        texts.append(f"call +1 {number} now or write a{i}@b.org today. It is {again} as said, in {rng.randint(1, 99)} days")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pii.find_personal_data(df).collect()
+    added = [r for r in got if r.spans.count("phone") == 2]
+    wrong = [r for r in got if r.spans.count(",") > 2]
+    assert len(added) > 270 and len(wrong) < 6
+
+
 def test_messages_carry_a_label_over_a_chain_of_skips():
     text = "call +1 (523) 555-1055 now"
     field = pii.train([pii.graph(text, pii.base_spans(text))] * 5 + [pii.graph("Version 2.0. of 1999", [])] * 5)
