@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions import map_values
-from outcomekit.operators.profile import distinct_values
+from outcomekit.operators.profile import distinct_estimates, distinct_values, domain_test
 
 MAX_LEVELS = 2_000
 MAX_VECTOR_LEVELS = 1_000_000
 MAX_CLASSES = 1_000
+#: A sketch that tells so many times as many levels as allowed is beyond its error.
+SURE_EXCESS = 1.2
 
 # Two-valued domains that become 1 and 0.
 YES_NO = {"Yes": 1, "No": 0}
@@ -28,12 +30,17 @@ MALE_FEMALE = {"Male": 1, "Female": 0}
 
 
 def column_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted distinct values of each text column, from one scan.
+    """Sorted distinct values of each text column.
 
-    Levels end up as columns, so a column of more than ``max_levels`` is refused.
+    Levels end up as columns, so a column of more than ``max_levels`` is refused: if sketches tell that it has
+    clearly more, before any of its values are shuffled.
     """
     if not cols:
         return {}
+    about = {r["column"]: r["n"] for r in distinct_estimates(df, cols).collect()}
+    wide = [c for c in cols if (about[c] or 0) > SURE_EXCESS * max_levels]
+    if wide:
+        raise ValueError(f"more than {max_levels} levels in {wide}")
     limit = max_levels * len(cols)
     rows = distinct_values(df, cols).limit(limit + 1).collect()
     levels = {c: sorted(r["value"] for r in rows if r["column"] == c) for c in cols}
@@ -116,14 +123,16 @@ class AutoEncode:
 
     @classmethod
     def fit(cls, df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> AutoEncode:
-        levels = column_levels(df, cols, max_levels)
+        if not cols:
+            return cls({}, OneHot({}))
+        domains = {"yes_no": YES_NO, "male_female": MALE_FEMALE}
         mapped = {}
-        for c in cols:
-            for domain in (YES_NO, MALE_FEMALE):
-                if set(levels[c]) <= set(domain):
-                    mapped[c] = domain
-                    break
-        return cls(mapped, OneHot({c: v for c, v in levels.items() if c not in mapped}))
+        # One row tells which columns need no levels.
+        for r in domain_test(df, cols, {name: list(d) for name, d in domains.items()}).collect():
+            fits = [d for name, d in domains.items() if r[name]]
+            if fits:
+                mapped[r["column"]] = fits[0]
+        return cls(mapped, OneHot(column_levels(df, [c for c in cols if c not in mapped], max_levels)))
 
     def transform(self, df: DataFrame) -> DataFrame:
         coded = df.withColumns({c: map_values(c, d) for c, d in self.mapped.items()}) if self.mapped else df

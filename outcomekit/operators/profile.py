@@ -93,6 +93,15 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.distinct()
 
 
+def distinct_estimates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """About how many distinct values each column has, from mergeable sketches of all columns in one scan.
+
+    Nothing but one sketch a column and task is shuffled; the error is about 2 %, and none for a few values.
+    """
+    sketches = [F.hll_sketch_estimate(F.hll_sketch_agg(F.col(f"`{c}`").cast("string"))).alias(f"n__{c}") for c in cols]
+    return _long(df.agg(*sketches), cols, ["n"])
+
+
 def domain_test(
     df: DataFrame, cols: Sequence[str], domains: Mapping[str, Sequence[str]]
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from outcomekit.functions import DRAW_SPAN, draw
 from outcomekit.operators.features import MAX_CLASSES
 from outcomekit.operators.neighbors import LEAF_ROWS, nearest_neighbors
+from outcomekit.operators.pivots import nearest_by_pivots
 from outcomekit.operators.ranking import BUCKET_ROWS, with_rank
 from outcomekit.session import stage
 
@@ -29,13 +30,15 @@ def smote(
     seed: int = 42,
     leaf_rows: int = LEAF_ROWS,
     bucket_rows: int = BUCKET_ROWS,
+    index: str = "boxes",
 ) -> DataFrame:
     """Grow every class to the size of the largest one.
 
     A synthetic row lies between a drawn row of the class and one of its ``k``
     nearest neighbors in the class. Returns key, label, features and
     ``is_synthetic``; synthetic rows have no key. Pass training rows only. Raises on
-    features without a number, which have no neighbors.
+    features without a number, which have no neighbors. ``index`` is how neighbors are found, with one
+    result: by bounding ``boxes``, or by distances to ``pivots`` where there are many features.
     """
     features = list(features)
     base = stage(df.select(key, label, *[F.col(f"`{c}`").cast("double").alias(c) for c in features]))
@@ -51,12 +54,12 @@ def smote(
     for row in sorted(counts, key=lambda r: r[label]):
         missing = largest - row["n"]
         if missing:
-            made = _synthetic(base, key, label, row[label], row["n"], missing, features, k, seed, leaf_rows, bucket_rows)
+            made = _synthetic(base, key, label, row[label], row["n"], missing, features, k, seed, leaf_rows, bucket_rows, index)
             out = out.unionByName(made)
     return out
 
 
-def _synthetic(base, key, label, value, m, missing, features, k, seed, leaf_rows, bucket_rows) -> DataFrame:
+def _synthetic(base, key, label, value, m, missing, features, k, seed, leaf_rows, bucket_rows, index) -> DataFrame:
     if m < 2:
         raise ValueError(f"class {value} has one row: no neighbor to move towards")
     k, width, spark = min(k, m - 1), len(features), base.sparkSession
@@ -94,7 +97,10 @@ def _synthetic(base, key, label, value, m, missing, features, k, seed, leaf_rows
         few = rows.where("hot").select("id", "vec").withColumn("rk", copy).where(F.col("rk") <= k)
         points = points.unionByName(few.drop("rk"))
     wanted = rows.where(~F.col("hot")).join(drawn.select("rank").distinct(), "rank", "left_semi").select("id", "vec")
-    near = nearest_neighbors(wanted, points, k, width, leaf_rows, seed, at_most=m)
+    if index == "pivots":
+        near = nearest_by_pivots(wanted, points, k, width, seed=seed)
+    else:
+        near = nearest_neighbors(wanted, points, k, width, leaf_rows, seed, at_most=m)
     pairs = (
         drawn.join(rows.select("rank", "id", "vec"), "rank")
         .join(near, "id", "left")

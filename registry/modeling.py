@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions import linear_margin, sigmoid, threshold_label
-from outcomekit.operators import evaluate as ev, explain, features, models, topk
+from outcomekit.operators import evaluate as ev, explain, features, forests, models, topk
 from outcomekit.plans import recipes
 from outcomekit.plans.whole import whole_pipeline
 from outcomekit.session import scratch_dir, stage
@@ -502,6 +502,35 @@ def permutation_any_model(spark, sf):
     return topk.top_k(out, "feature", "importance", 15)
 
 
+@query("m12_permutation_forest")
+def permutation_forest(spark, sf):
+    data, recipe = model_data(spark, sf)
+    model = _fit(data, recipe, "forest", "forest", weighted=True)
+    out = forests.forest_permutation_importance(model, data.part("test"), "customer_id", "label", data.names)
+    return topk.top_k(out, "feature", "importance", 15)
+
+
+# A forest that has learned who is a senior is wrong where the permuted value differs, and only there.
+@query(
+    "m12_permutation_rule",
+    f"""WITH {FILLED_SQL}, test AS (
+          SELECT *, row_number() OVER (ORDER BY {draw_sql('customer_id', "'permute'")}, customer_id) - 1 AS pos, count(*) OVER () AS n
+          FROM filled WHERE split = 'test'),
+        pairs AS (SELECT unnest(['senior', 'months']) AS feature, r FROM (SELECT unnest(range(0, 10)) AS r) t),
+        shifts AS (SELECT feature, r, (1 + CAST(floor({draw_sql("feature || ':' || r", "'shift'")} / 4294967296.0::DOUBLE
+            * ((SELECT any_value(n) FROM test) - 1)) AS BIGINT)) AS shift FROM pairs),
+        drops AS (SELECT feature, r, avg(CASE WHEN feature = 'senior' AND a.senior <> b.senior THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS loss
+          FROM shifts, test a, test b WHERE b.pos = (a.pos + shift) % a.n GROUP BY feature, r)
+        SELECT feature, round(avg(loss), 6) AS importance, round(stddev_pop(loss), 6) AS importance_std FROM drops GROUP BY feature""",
+)
+def permutation_rule(spark, sf):
+    df = linear_data(spark, sf).withColumn("label", F.col("senior").cast("int"))
+    model = models.fit_forest(ruled_vectors(df, "train"))
+    test = df.where(F.col("split") == "test")
+    out = forests.forest_permutation_importance(model, test, "customer_id", "label", LINEAR)
+    return rounded(out, "importance", "importance_std")
+
+
 @query("s06_model_save")
 def model_save(spark, sf):
     data, recipe = model_data(spark, sf)

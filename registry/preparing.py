@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from outcomekit.operators import clean, features, profile
+from outcomekit.operators.levels import LevelTable
 from outcomekit.operators.split import HashSplit, tail_split
 from outcomekit.session import stage
 from registry.core import CUSTOMERS_SQL, customers, draw_sql, query, table
@@ -76,6 +77,27 @@ def one_hot_vector(spark, sf):
     )
 
 
+@query(
+    "f01_level_table",
+    """WITH places AS (
+         SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) - 2 AS name_at, dense_rank() OVER (ORDER BY c_mktsegment) - 2 AS segment_at
+         FROM customer)
+       SELECT c_custkey, nullif(name_at, -1)::INTEGER AS name_at, nullif(segment_at, -1)::INTEGER AS segment_at,
+              (SELECT count(DISTINCT c_name) - 1 FROM customer)::INTEGER AS name_size,
+              (SELECT count(DISTINCT c_mktsegment) - 1 FROM customer)::INTEGER AS segment_size FROM places""",
+)
+def level_table(spark, sf):
+    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    levels = LevelTable.fit(df, ["c_name", "c_mktsegment"])
+    coded = levels.one_hot(levels.one_hot(df, "c_name", "name"), "c_mktsegment", "segment")
+    parts = coded.select("c_custkey", *[F.unwrap_udt(c).alias(c) for c in ("name", "segment")])
+    return parts.select(
+        "c_custkey",
+        *[F.get(f"{c}.indices", F.lit(0)).alias(f"{c}_at") for c in ("name", "segment")],
+        *[F.col(f"{c}.size").alias(f"{c}_size") for c in ("name", "segment")],
+    )
+
+
 @query(
     "f02_auto_encode",
     f"""WITH {CUSTOMERS_SQL} SELECT customer_id, CASE WHEN customer_id % 2 = 0 THEN 1 ELSE 0 END AS gender,

@@ -178,6 +178,18 @@ def distinct_values(spark, sf):
     return profile.distinct_values(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus", "l_partkey"])
 
 
+@query(
+    "a06_estimated_levels",
+    """SELECT 'l_returnflag' AS "column", count(DISTINCT l_returnflag) AS n FROM lineitem
+       UNION ALL SELECT 'l_linestatus', count(DISTINCT l_linestatus) FROM lineitem
+       UNION ALL SELECT 'l_linenumber', count(DISTINCT l_linenumber) FROM lineitem""",
+)
+def estimated_levels(spark, sf):
+    # Sketches are exact for a few values.
+    names = ["l_returnflag", "l_linestatus", "l_linenumber"]
+    return profile.distinct_estimates(table(spark, sf, "lineitem"), names)
+
+
 @query(
     "a07_domain_test",
     f"""WITH {CUSTOMERS_SQL}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from outcomekit.operators import features
+from outcomekit.operators.pivots import nearest_by_pivots
 from outcomekit.operators.resample import smote
-from registry.core import draw_sql, query
+from registry.core import draw_sql, query, table
 from registry.preparing import FILLED_SQL, filled
 from registry.profiling import rounded
 
@@ -70,6 +71,30 @@ def smote_small_cells(spark, sf):
     return resampled_train(prepared(spark, sf), leaf_rows=64)
 
 
+@query("f12_smote_pivots", f"WITH {SMOTE_SQL} SELECT customer_id, label, {_COLUMNS}, is_synthetic FROM resampled")
+def smote_pivots(spark, sf):
+    # The same neighbors, found by distances to pivots.
+    return resampled_train(prepared(spark, sf), index="pivots")
+
+
+@query(
+    "f12_neighbors_pivots",
+    """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+       pairs AS (
+         SELECT a.vec_id, b.vec_id AS near_id,
+                list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS gap
+         FROM v a JOIN v b ON a.vec_id <> b.vec_id),
+       ranked AS (SELECT vec_id, round(gap, 6) AS distance, row_number() OVER (PARTITION BY vec_id ORDER BY gap) AS rk FROM pairs)
+       SELECT vec_id, rk, distance FROM ranked WHERE rk <= 5""",
+)
+def neighbors_pivots(spark, sf):
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    width = F.size("vec")
+    near = nearest_by_pivots(rows, rows, 5, rows.agg(F.max(width)).first()[0] or 0)
+    each = near.select(F.col("id").alias("vec_id"), F.posexplode("neighbors"))
+    return rounded(each.select("vec_id", (F.col("pos") + 1).cast("bigint").alias("rk"), F.col("col.distance").alias("distance")), "distance")
+
+
 @query(
     "f12_smote_counts",
     f"WITH {SMOTE_SQL} SELECT label, is_synthetic, count(*) AS n FROM resampled GROUP BY ALL",
