@@ -4,7 +4,8 @@ Method
     A URL is a set of tokens: scheme, the last two labels of the host, the labels before them, words
     in those with a hyphen or digits, path segments with digits folded, names of query fields. Tokens
     of nearly every labelled URL tell nothing and are left out. FP-growth finds combinations of the
-    others that often occur in labelled URLs together with the label ``bad``. A combination becomes a
+    others that often occur in labelled URLs together with the label ``bad``, of which at most about
+    ``max_labelled`` are used, drawn by hash. A combination becomes a
     rule if it has the support and the confidence asked for, and is dropped if a part of it is a rule
     of at least the same confidence. Rules are filed under their rarest token, an inverted index; a URL
     looks up its tokens and is blocked if it has all tokens of a rule found.
@@ -96,11 +97,16 @@ def mine_rules(
     min_confidence: float = MIN_CONFIDENCE,
     max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
-    """Staged rows (items, key, support, confidence) from rows (tokens, bad); ``key`` is the rarest item."""
-    labelled = stage(labelled.where("bad IS NOT NULL AND size(tokens) > 0").select("tokens", "bad"))
+    """Staged rows (items, key, support, confidence) from rows (tokens, bad); ``key`` is the rarest item.
+
+    Of more than ``max_labelled`` rows about so many are drawn by hash of ``page_id`` and tokens (of the tokens
+    alone if there is no such column), so another run on any partitions mines the same rules.
+    """
+    by = [c for c in ("page_id", "tokens") if c in labelled.columns]
+    labelled = stage(labelled.where("bad IS NOT NULL AND size(tokens) > 0").select(*by, "bad"))
     n = labelled.count()
     if n > max_labelled:
-        share = F.pmod(F.xxhash64("tokens", F.monotonically_increasing_id()), F.lit(1_000_000))
+        share = F.pmod(F.xxhash64(*by), F.lit(1_000_000))
         labelled = stage(labelled.where(share < F.lit(max_labelled * 1_000_000 // n)))
     spark = labelled.sparkSession
     empty = spark.createDataFrame([], "items array<string>, key string, support double, confidence double")
@@ -167,15 +173,16 @@ def judge_urls(
     rules: tuple[tuple[str, str, str], ...] = RULES,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
+    max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
     """Per page: page_id, host, path, rule and verdict.
 
-    ``labels`` has page_id, bad (boolean).
+    ``labels`` has page_id, bad (boolean). Rules are mined from at most about ``max_labelled`` labelled pages.
     """
     parts = pages.select("page_id", "url").withColumns({"host": host_of(), "path": path_of()})
     known = labels.where("bad IS NOT NULL").select("page_id", "bad")
     mined = mine_rules(
-        parts.join(known, "page_id").select(url_tokens().alias("tokens"), "bad"), min_support, min_confidence
+        parts.join(known, "page_id").select("page_id", url_tokens().alias("tokens"), "bad"), min_support, min_confidence, max_labelled
     )
     open_urls = parts.withColumn("fixed", fixed_rule()).where("fixed IS NULL AND host <> ''")
     blocked = matched(

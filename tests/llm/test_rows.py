@@ -365,6 +365,15 @@ def test_mined_rules_equal_brute_force(spark):
     assert all(r.key in r["items"] and counts[r.key] == min(counts[t] for t in r["items"]) for r in got)
 
 
+def test_a_sample_of_labels_does_not_follow_partitions(spark):
+    rows = [(i, [f"t{i % 7}", f"u{i % 3}", "all"], i % 7 == 0) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "page_id long, tokens array<string>, bad boolean")
+    mined = [
+        sorted(tuple(map(str, r)) for r in url_rules.mine_rules(df.repartition(n), max_labelled=1_000).collect()) for n in (1, 6)
+    ]
+    assert mined[0] == mined[1] and mined[0]
+
+
 def test_mined_rules_judge_unlabelled_pages(spark):
     rng = random.Random(5)
     rows = []
