@@ -60,6 +60,9 @@ def test_wide_columns_are_refused_before_their_values_are_collected(spark):
     with pytest.raises(ValueError, match="wide"):
         features.column_levels(df, ["narrow", "wide"], 100)
     assert features.column_levels(df, ["narrow"], 5) == {"narrow": ["0", "1", "2", "3", "4"]}
+    # A column that is named twice is one column.
+    assert list(features.column_levels(df, ["narrow", "narrow"])) == ["narrow"]
+    assert features.AutoEncode.fit(df, ["narrow", "narrow"]).one_hot.levels.keys() == {"narrow"}
     got = {r.column: r.n for r in profile.distinct_estimates(df, ["wide", "narrow"]).collect()}
     assert got["narrow"] == 5 and abs(got["wide"] / 30_000 - 1) < 0.05
 
