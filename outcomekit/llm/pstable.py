@@ -9,7 +9,8 @@ Method
 
     Equal vectors are one class with a multiplicity. Vectors of one bucket are compared in blocks of
     bounded size: a bucket larger than a block is dealt into parts, and each pair of parts is a task's
-    work. A pair is compared in the first table in which it shares a bucket, so each link comes once.
+    work. A pair counts in the first table in which it shares a bucket, so each link counts once. Links
+    are not written: a task gives each vector its number of links and one vector that it is joined to.
 
 Defined cases
     Null, empty, zero and non-finite vectors, and those with a null component, link with nothing.
@@ -99,7 +100,7 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
 
 
 def bucket_rows(classes: DataFrame, k: int, tables: int, width: float, seed: int) -> DataFrame:
-    """Rows (table, bucket, node, vector, signature): a class in each of its buckets."""
+    """Rows (table, bucket, node, vector, copies, signature): a class in each of its buckets."""
     kind = classes.schema["node"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,13 +118,14 @@ def bucket_rows(classes: DataFrame, k: int, tables: int, width: float, seed: int
                             pa.array(signs.ravel().view(np.int64)),
                             batch.column("node").take(rows),
                             batch.column("vector").take(rows),
+                            batch.column("copies").take(rows),
                             signatures.take(pa.array(np.repeat(np.arange(len(at)), tables))),
                         ],
-                        names=["table", "bucket", "node", "vector", "signature"],
+                        names=["table", "bucket", "node", "vector", "copies", "signature"],
                     )
 
-    return classes.select("node", "vector").mapInArrow(
-        run, f"table int, bucket long, node {kind}, vector binary, signature binary"
+    return classes.select("node", "vector", "copies").mapInArrow(
+        run, f"table int, bucket long, node {kind}, vector binary, copies long, signature binary"
     )
 
 
@@ -132,7 +134,12 @@ def _pieces(at: np.ndarray) -> tuple[np.ndarray, int]:
 
 
 def compare(table: pa.Table, threshold: float) -> pa.Table:
-    """Links between the parts ``low`` and ``high`` of a bucket, or within the one part that it has."""
+    """What the parts ``low`` and ``high`` of a bucket, or the one part that it has, tell of their classes' links.
+
+    Rows (node, others, root): for each class with new links how many vectors these lead to, and a class of
+    this task that it is joined to, directly or by others. So a group of many near vectors gives a row for each
+    of them, not for each pair.
+    """
     table = table.combine_chunks()
     first = table.column("table")[0].as_py()
     data = [x.as_py() for x in table.column("vector")]
@@ -159,12 +166,37 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
         b.append(j[new])
     i = np.concatenate(a) if a else np.zeros(0, np.int64)
     j = np.concatenate(b) if b else np.zeros(0, np.int64)
+    copies = table.column("copies").to_numpy()
+    n = len(data)
+    others = np.bincount(i, weights=copies[j], minlength=n) + np.bincount(j, weights=copies[i], minlength=n)
+    root = joined(i, j, n)
+    at = np.flatnonzero(others)
     nodes = table.column("node")
-    return pa.table({"a": nodes.take(pa.array(i)), "b": nodes.take(pa.array(j))})
+    return pa.table(
+        {
+            "node": nodes.take(pa.array(at)),
+            "others": pa.array(others[at].astype(np.int64)),
+            "root": nodes.take(pa.array(root[at])),
+        }
+    )
+
+
+def joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` places the least one that the pairs (a, b) join it to."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = np.minimum(new, new[new])
+        if (new == root).all():
+            return root
+        root = new
 
 
 def links(classes: DataFrame, k: int, tables: int, threshold: float, width: float, seed: int) -> DataFrame:
-    """Linked pairs (a, b) of different classes, each once."""
+    """Rows (node, others, root) as :func:`compare` gives them; a pair of classes counts in one of them only."""
     rows = bucket_rows(classes, k, tables, width, seed)
     counted = rows.groupBy("table", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
@@ -181,11 +213,12 @@ def links(classes: DataFrame, k: int, tables: int, threshold: float, width: floa
         "part",
         "node",
         "vector",
+        "copies",
         "signature",
     )
     kind = classes.schema["node"].dataType.simpleString()
     return dealt.groupBy("table", "bucket", "low", "high").applyInArrow(
-        lambda t: compare(t, threshold), f"a {kind}, b {kind}"
+        lambda t: compare(t, threshold), f"node {kind}, others long, root {kind}"
     )
 
 
@@ -203,13 +236,11 @@ def cosine_groups(
     )
     k, tables = plan(classes.count(), threshold, width, recall)
     found = stage(links(classes, k, tables, threshold, width, seed))
-    ends = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = classes.select(F.col("node").alias("b"), "copies")
-    degree = ends.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    degree = found.groupBy("node").agg(F.sum("others").alias("others"))
     known = (
         classes.select("node", "copies")
         .join(degree, "node", "left")
-        .join(connect(found), "node", "left")
+        .join(connect(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "node", "left")
         .select(
             F.col("node.class").alias("class"),
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -290,3 +290,14 @@ def test_leaks_are_found_in_any_order(spark, monkeypatch):
         assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 8]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert tiling.leaks(frame_docs, empty).count() == 0 and tiling.without_leaks(frame_docs, empty).count() == len(docs)
+
+
+def test_places_are_joined_to_the_least_one():
+    rng = np.random.default_rng(9)
+    for n, m in ((1, 0), (50, 20), (300, 290), (200, 199)):
+        a, b = (rng.integers(0, n, m), rng.integers(0, n, m)) if m != 199 else (np.arange(199), np.arange(1, 200))
+        root = list(range(n))
+        for _ in range(n):
+            for x, y in zip(a, b, strict=True):
+                root[x] = root[y] = min(root[x], root[y])
+        assert pstable.joined(a, b, n).tolist() == root
