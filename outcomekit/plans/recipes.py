@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from outcomekit.functions import lenient_double, map_values
 from outcomekit.operators import clean, features as fe, models
+from outcomekit.operators.bootstrap import fit_bootstrap_forest
 from outcomekit.operators.evaluate import evaluate
 from outcomekit.operators.resample import smote
 from outcomekit.operators.split import HashSplit
@@ -27,13 +28,17 @@ STEP = 5
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A classifier and the training rows it gets; ``patience`` counts iterations."""
+    """A classifier and the training rows it gets; ``patience`` counts iterations.
+
+    A forest with ``per_bootstrap`` weights the classes in the sample of every tree, not once for all.
+    """
 
     name: str
     kind: str  # "logistic", "forest" or "perceptron"
     hidden: tuple[int, ...] = (64, 32)
     iterations: int = 100
     weighted: bool = False
+    per_bootstrap: bool = False
     resampled: bool = True
     early_stop: bool = False
     patience: int = 15
@@ -144,6 +149,9 @@ def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe, save_best_to: str
     A fit that may stop early keeps its best model in a folder of ``save_best_to`` named by the model.
     """
     rows = prepared.resampled if spec.resampled else prepared.train
+    if spec.kind == "forest" and spec.per_bootstrap:
+        key = prepared.layout.key
+        return fit_bootstrap_forest(stage(prepared.vectors(rows, keep=[key, "label"])), key, seed=recipe.seed)
     weight = None
     weighted = spec.weighted or recipe.balance in ("weights", "both")
     if weighted and spec.kind != "perceptron":

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions import linear_margin, sigmoid, threshold_label
-from outcomekit.operators import evaluate as ev, explain, features, forests, models, topk
+from outcomekit.operators import bootstrap, evaluate as ev, explain, features, forests, models, topk
 from outcomekit.plans import recipes
 from outcomekit.plans.whole import whole_pipeline
 from outcomekit.session import scratch_dir, stage
 from registry.core import customers, draw_sql, query
-from registry.preparing import FILLED_SQL, filled, split_sql
+from registry.preparing import FIGURES_SQL, FILLED_SQL, FLAGS_SQL, LEVELS_SQL, NUMBERS, filled, split_sql
 from registry.profiling import LABELED_SQL, rounded
 
 # A scorecard over the customer columns.
@@ -246,10 +246,9 @@ def permutation_fitted(spark, sf):
     return rounded(out, "importance", "importance_std")
 
 
-def sound_scores(model, df) -> DataFrame:
+def sound_scores(model, data: recipes.Prepared) -> DataFrame:
     """Rows and positives of each part, and how many scores or labels break the rules."""
-    rows = features.assemble(df, LINEAR, keep=["label", "split"])
-    scored = models.score(model, rows, keep=["label", "split"])
+    scored = models.score(model, data.vectors(data.table, ["label", "split"]), keep=["label", "split"])
     s = F.col("score")
     return scored.groupBy("split").agg(
         F.count("*").alias("n_rows"),
@@ -263,42 +262,43 @@ SOUND_SQL = f"""WITH {FILLED_SQL} SELECT split, count(*) AS n_rows, count(*) FIL
         0::BIGINT AS outside, 0::BIGINT AS disagreeing FROM filled GROUP BY split"""
 
 
-def training_vectors(df, replicate=False) -> DataFrame:
-    rows = df.where(F.col("split") == "train")
-    rows = models.replicate_by_class(rows) if replicate else rows
-    return models.spread(features.assemble(rows, LINEAR, keep=["label"]))
-
-
 @query("m03_forest_scores", SOUND_SQL)
 def forest_scores(spark, sf):
-    df = linear_data(spark, sf)
-    return sound_scores(models.fit_forest(training_vectors(df)), df)
+    data, recipe = model_data(spark, sf)
+    return sound_scores(_fit(data, recipe, "forest", "forest", weighted=True), data)
 
 
 @query("m04_network_scores", SOUND_SQL)
 def network_scores(spark, sf):
-    df = linear_data(spark, sf)
-    return sound_scores(models.fit_perceptron(training_vectors(df, True), len(LINEAR), (16, 8), max_iter=20), df)
+    data, recipe = model_data(spark, sf)
+    net = _fit(data, recipe, "network", "perceptron", hidden=(64, 32), iterations=100, weighted=True)
+    return sound_scores(net, data)
 
 
 @query("m05_perceptron_scores", SOUND_SQL)
 def perceptron_scores(spark, sf):
-    df = linear_data(spark, sf)
-    return sound_scores(models.fit_perceptron(training_vectors(df), len(LINEAR), (64, 32), max_iter=30), df)
+    data, recipe = model_data(spark, sf)
+    return sound_scores(_fit(data, recipe, "perceptron", "perceptron", hidden=(64, 32), iterations=200), data)
+
+
+def _stopped(data, recipe):
+    return _fit(data, recipe, "stopped", "perceptron", hidden=(64, 32), iterations=100, early_stop=True, patience=15)
 
 
 @query("m06_stopped_scores", SOUND_SQL)
 def stopped_scores(spark, sf):
-    df = linear_data(spark, sf)
-    held = features.assemble(df.where(F.col("split") == "validation"), LINEAR, keep=["label"])
-    stop = models.fit_early_stopping(training_vectors(df), held, len(LINEAR), (8, 4), max_steps=4, patience=2)
-    return sound_scores(stop.model, df)
+    data, recipe = model_data(spark, sf)
+    return sound_scores(_stopped(data, recipe), data)
 
 
-@query("m11_importance_total", "SELECT 2::BIGINT AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS negative")
+@query(
+    "m11_importance_total",
+    f"""WITH {FILLED_SQL}, {LEVELS_SQL}
+        SELECT count(*) + {1 + len(NUMBERS)} AS n_features, 1.0::DOUBLE AS total, 0::BIGINT AS negative FROM levels""",
+)
 def importance_total(spark, sf):
-    model = models.fit_forest(training_vectors(linear_data(spark, sf)))
-    table = models.importance_table(model, LINEAR, spark)
+    data, recipe = model_data(spark, sf)
+    table = models.importance_table(_fit(data, recipe, "forest", "forest", weighted=True), data.names, spark)
     return rounded(
         table.agg(
             F.count("*").alias("n_features"),
@@ -309,56 +309,103 @@ def importance_total(spark, sf):
     )
 
 
-# Whether a customer is a senior is a rule that every model can learn; one that learns nothing fails.
-RULE_SQL = f"""WITH {FILLED_SQL} SELECT customer_id, CAST(senior AS INT) AS prediction FROM filled"""
+# A rule on two of all encoded features that no single one of them tells; a model that learns nothing fails.
+PAIRED_RULE = "has_returns = 'Yes' AND paperless = 'Yes'"
+PAIRED_SQL = f"WITH {FILLED_SQL} SELECT customer_id, CAST({PAIRED_RULE} AS INT) AS prediction FROM filled"
+
 
+def paired_rows(spark, sf, rule=PAIRED_RULE) -> DataFrame:
+    return stage(customers(spark, sf).withColumn("churn", F.when(F.expr(rule), "Yes").otherwise("No")))
 
-def ruled_vectors(df, part: str) -> DataFrame:
-    rows = df.where(F.col("split") == part).withColumn("label", F.col("senior").cast("int"))
-    return models.spread(features.assemble(rows, LINEAR, keep=["label"]))
 
+def paired_data(spark, sf, rule=PAIRED_RULE):
+    """The rule as outcome, with all features of the recipes."""
+    recipe = changed(recipes.RECIPES["three_models"], balance="none", scale="all")
+    return recipes.prepare(paired_rows(spark, sf, rule), recipe), recipe
 
-def predictions(model, df) -> DataFrame:
-    rows = features.assemble(df, LINEAR, keep=["customer_id"])
-    return models.score(model, rows, keep=["customer_id"]).select("customer_id", "prediction")
 
+def predictions(model, data: recipes.Prepared) -> DataFrame:
+    scored = models.score(model, data.vectors(data.table, ["customer_id"]), keep=["customer_id"])
+    return scored.select("customer_id", "prediction")
 
-@query("m03_forest_rule", RULE_SQL)
+
+@query("m03_forest_rule", PAIRED_SQL)
 def forest_rule(spark, sf):
-    df = linear_data(spark, sf)
-    return predictions(models.fit_forest(ruled_vectors(df, "train")), df)
+    data, recipe = paired_data(spark, sf)
+    return predictions(_fit(data, recipe, "forest", "forest", weighted=True), data)
 
 
-@query("m04_network_rule", RULE_SQL)
+@query("m03_forest_bootstrap_rule", PAIRED_SQL)
+def forest_bootstrap_rule(spark, sf):
+    data, recipe = paired_data(spark, sf)
+    return predictions(_fit(data, recipe, "forest", "forest", per_bootstrap=True), data)
+
+
+@query("m04_network_rule", PAIRED_SQL)
 def network_rule(spark, sf):
-    df = linear_data(spark, sf)
-    return predictions(models.fit_perceptron(ruled_vectors(df, "train"), len(LINEAR), (64, 32), max_iter=100), df)
+    data, recipe = paired_data(spark, sf)
+    net = _fit(data, recipe, "network", "perceptron", hidden=(64, 32), iterations=100, weighted=True)
+    return predictions(net, data)
 
 
-@query("m05_perceptron_rule", RULE_SQL)
+@query("m05_perceptron_rule", PAIRED_SQL)
 def perceptron_rule(spark, sf):
-    df = linear_data(spark, sf)
-    return predictions(models.fit_perceptron(ruled_vectors(df, "train"), len(LINEAR), (64, 32), max_iter=200), df)
+    data, recipe = paired_data(spark, sf)
+    return predictions(_fit(data, recipe, "perceptron", "perceptron", hidden=(64, 32), iterations=200), data)
 
 
-@query("m06_stopped_rule", RULE_SQL)
+@query("m06_stopped_rule", PAIRED_SQL)
 def stopped_rule(spark, sf):
-    df = linear_data(spark, sf)
-    held = ruled_vectors(df, "validation")
-    stop = models.fit_early_stopping(ruled_vectors(df, "train"), held, len(LINEAR), (8, 4), max_steps=20, patience=4)
-    return predictions(stop.best, df)
+    data, recipe = paired_data(spark, sf)
+    return predictions(_stopped(data, recipe), data)
+
+
+# Segment and region go with no other column, so none stands in for them.
+PLACE_RULE = "segment = 'BUILDING' OR region = 'ASIA'"
 
 
 @query(
     "m11_importance_rule",
-    f"""WITH {FILLED_SQL}, strength AS (
-          SELECT unnest(['senior', 'months']) AS feature,
-                 unnest([abs(corr(senior, senior)), abs(corr(tenure, senior))]) AS r FROM filled)
-        SELECT arg_max(feature, r) AS feature FROM strength""",
+    f"""WITH {FILLED_SQL}, {LEVELS_SQL}, {FLAGS_SQL}, {FIGURES_SQL}, strength AS (
+          SELECT feature, abs(corr(value, CAST({PLACE_RULE} AS INT)::DOUBLE)) AS r
+          FROM figures JOIN filled USING (customer_id) GROUP BY feature)
+        SELECT feature FROM strength ORDER BY r DESC, feature LIMIT 2""",
 )
 def importance_rule(spark, sf):
-    model = models.fit_forest(ruled_vectors(linear_data(spark, sf), "train"))
-    return topk.top_k(models.importance_table(model, LINEAR, spark), "feature", "importance", 1).select("feature")
+    data, recipe = paired_data(spark, sf, PLACE_RULE)
+    model = _fit(data, recipe, "forest", "forest", weighted=True)
+    return topk.top_k(models.importance_table(model, data.names, spark), "feature", "importance", 2).select("feature")
+
+
+# Trees of one split on 0/1 features, each on its own bootstrap sample with the class weights of that sample.
+STUMP_FEATURES = ["senior", "paperless_Yes", "has_returns_Yes", "region_ASIA"]
+STUMP_TREES = 5
+STUMPS_SQL = f"""WITH {FILLED_SQL}, flagged AS (SELECT customer_id, split, label, senior::DOUBLE AS senior,
+          CASE WHEN paperless = 'Yes' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS paperless_Yes,
+          CASE WHEN has_returns = 'Yes' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS has_returns_Yes,
+          CASE WHEN region = 'ASIA' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS region_ASIA FROM filled),
+      tall AS (SELECT * FROM flagged UNPIVOT (value FOR feature IN ({", ".join(STUMP_FEATURES)}))),
+      drawn AS (SELECT customer_id, label, t, {draw_sql("customer_id", "'tree ' || t")} AS d
+        FROM filled, (SELECT unnest(range({STUMP_TREES})) AS t) n WHERE split = 'train'),
+      samples AS (SELECT customer_id, label, t,
+          {" + ".join(f"CAST(d >= {c} AS INT)" for c in bootstrap.poisson_cuts())} AS copies FROM drawn),
+      weights AS (SELECT t, label, floor(sum(sum(copies)) OVER (PARTITION BY t) / (2.0::DOUBLE * sum(copies)) * 1048576.0::DOUBLE + 0.5)
+          / 1048576.0::DOUBLE AS w FROM samples GROUP BY t, label),
+      sides AS (SELECT t, feature, value, sum(copies * w * s.label) AS w1, sum(copies * w) AS w_all
+        FROM samples s JOIN weights USING (t, label) JOIN tall USING (customer_id) GROUP BY t, feature, value),
+      impure AS (SELECT t, feature, sum(w_all * 2 * (w1 / w_all) * (1 - w1 / w_all)) AS left_over FROM sides WHERE w_all > 0 GROUP BY t, feature),
+      best AS (SELECT t, arg_min(feature, left_over) AS feature FROM impure GROUP BY t)
+      SELECT customer_id, round(avg(w1 / w_all), 6) AS score
+      FROM best JOIN tall USING (feature) JOIN sides USING (t, feature, value) GROUP BY customer_id"""
+
+
+@query("m03_forest_bootstrap_stumps", STUMPS_SQL)
+def forest_bootstrap_stumps(spark, sf):
+    df = features.OneHot.fit(filled(spark, sf), ["paperless", "has_returns", "region"]).transform(filled(spark, sf))
+    train = features.assemble(df.where(F.col("split") == "train"), STUMP_FEATURES, keep=["customer_id", "label"])
+    model = bootstrap.fit_bootstrap_forest(train, "customer_id", trees=STUMP_TREES, depth=1, subset="all")
+    scored = models.score(model, features.assemble(df, STUMP_FEATURES, keep=["customer_id"]), keep=["customer_id"])
+    return rounded(scored.drop("prediction"), "score")
 
 
 @query(
@@ -398,15 +445,6 @@ def pipeline_reloaded(spark, sf):
     return rounded(models.score(fitted, df, keep=["customer_id", "split"]).drop("prediction"), "score", digits=3)
 
 
-# A rule on two of all encoded features that no single one of them tells.
-PAIRED_SQL = f"""WITH {FILLED_SQL} SELECT customer_id, CAST(has_returns = 'Yes' AND paperless = 'Yes' AS INT) AS prediction FROM filled"""
-
-
-def paired_rows(spark, sf) -> DataFrame:
-    rule = (F.col("has_returns") == "Yes") & (F.col("paperless") == "Yes")
-    return stage(customers(spark, sf).withColumn("churn", F.when(rule, "Yes").otherwise("No")))
-
-
 def paired_predictions(spark, sf, spec: recipes.ModelSpec) -> DataFrame:
     df = paired_rows(spark, sf)
     fitted = reloaded_pipeline(df, recipes.Recipe("saved", (), scale="all"), spec)
@@ -525,7 +563,8 @@ def permutation_forest(spark, sf):
 )
 def permutation_rule(spark, sf):
     df = linear_data(spark, sf).withColumn("label", F.col("senior").cast("int"))
-    model = models.fit_forest(ruled_vectors(df, "train"))
+    ruled = features.assemble(df.where(F.col("split") == "train"), LINEAR, keep=["label"])
+    model = models.fit_forest(models.spread(ruled))
     test = df.where(F.col("split") == "test")
     out = forests.forest_permutation_importance(model, test, "customer_id", "label", LINEAR)
     return rounded(out, "importance", "importance_std")

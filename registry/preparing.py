@@ -227,21 +227,36 @@ def standardize(spark, sf):
     return rounded(features.Standardize.fit(df, NUMBERS, F.col("split") == "train").transform(df), *NUMBERS)
 
 
-ALL_FEATURES = ["senior", *NUMBERS, "paperless_Yes", "region_ASIA"]
-ENCODED_SQL = (
-    FILLED_SQL
-    + """, encoded AS (SELECT *, CASE WHEN paperless = 'Yes' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS paperless_Yes,
-                       CASE WHEN region = 'ASIA' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS region_ASIA FROM filled)"""
-)
+# All encoded features: one row per customer and 0/1 column; the first level of a text column has none.
+TEXTS = ["segment", "region", "contract", "paperless", "has_returns"]
+LEVELS_SQL = "levels AS (" + " UNION ALL ".join(
+    f"SELECT DISTINCT '{c}' AS col, {c} AS level FROM filled WHERE {c} > (SELECT min({c}) FROM filled)" for c in TEXTS
+) + ")"
+FLAGS_SQL = "flags AS (" + " UNION ALL ".join(
+    f"""SELECT customer_id, split, label, '{c}_' || level AS feature,
+          CASE WHEN {c} = level THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value FROM filled, levels WHERE col = '{c}'"""
+    for c in TEXTS
+) + ")"
+FIGURES_SQL = "figures AS (SELECT * FROM flags" + "".join(
+    f" UNION ALL SELECT customer_id, split, label, '{c}', {c}::DOUBLE FROM filled" for c in ["senior", *NUMBERS]
+) + ")"
 
 
-@query("f05_standardize_all", f"WITH {ENCODED_SQL} " + scaled_sql(ALL_FEATURES, "encoded"))
+@query(
+    "f05_standardize_all",
+    f"""WITH {FILLED_SQL}, {LEVELS_SQL}, {FLAGS_SQL}, {FIGURES_SQL}, scales AS (
+          SELECT feature, avg(value) AS m, coalesce(nullif(stddev_pop(value), 0), 1) AS s
+          FROM figures WHERE split = 'train' GROUP BY feature)
+        SELECT customer_id, split, feature, round((value - m) / s, 6) AS value FROM figures JOIN scales USING (feature)""",
+)
 def standardize_all(spark, sf):
-    df = filled(spark, sf).select("customer_id", "split", "senior", *NUMBERS, "paperless", "region")
-    df = features.OneHot.fit(df, ["paperless", "region"]).transform(df)
-    df = df.select("customer_id", "split", *ALL_FEATURES)
-    scaled = features.Standardize.fit(df, ALL_FEATURES, F.col("split") == "train").transform(df)
-    return rounded(scaled, *ALL_FEATURES)
+    df = filled(spark, sf).drop("label")
+    df = features.OneHot.fit(df, TEXTS).transform(df)
+    names = features.feature_columns(df, "label", others=["customer_id", "split"])
+    df = df.select("customer_id", "split", *[F.col(f"`{c}`").cast("double").alias(c) for c in names])
+    scaled = features.Standardize.fit(df, names, F.col("split") == "train").transform(df)
+    tall = scaled.unpivot(["customer_id", "split"], [F.col(f"`{c}`") for c in names], "feature", "value")
+    return rounded(tall, "value")
 
 
 @query("f06_standardize_full", f"WITH {FILLED_SQL} " + scaled_sql(NUMBERS, fit_where="true"))
