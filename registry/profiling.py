@@ -12,6 +12,7 @@ from outcomekit.operators import profile, topk
 from outcomekit.operators.clean import MedianFill
 from outcomekit.session import scratch_dir, stage
 from outcomekit.sources import CUSTOMER_SCHEMA, read_csv, write_csv
+from outcomekit.sources.checked import read_csv_checked
 from registry.core import CUSTOMERS_SQL, customers, query, table
 
 YES_NO = {"Yes": 1, "No": 0}
@@ -56,6 +57,27 @@ def csv_scan(spark, sf):
     )
 
 
+@query(
+    "s01_checked_scan",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_custkey + 0.5::DOUBLE ELSE o_custkey::DOUBLE END AS o_custkey,
+          CASE WHEN o_orderpriority = '1-URGENT' THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS price
+        FROM orders""",
+)
+def checked_scan(spark, sf):
+    """Keys that are whole numbers or not, and prices with words among them, found out from few lines."""
+    half = F.when(F.col("o_orderstatus") == "P", F.lit(".5")).otherwise(F.lit(""))
+    price = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    dirty = table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.concat(F.col("o_custkey").cast("string"), half).alias("o_custkey"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "n/a").otherwise(price).alias("price"),
+    )
+    path = _scratch_path(spark, "dirty-csv")
+    write_csv(dirty, path)
+    rows = read_csv_checked(spark, path, sample_rows=5).rows
+    return rows.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @query(
     "s02_schema_listing",
     """SELECT d.column_name AS "column", CASE d.column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
