@@ -7,6 +7,7 @@ usual single-machine estimators define, not Spark's default.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -21,11 +22,12 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.util import DefaultParamsReader, MLWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from outcomekit.functions import bce_loss, threshold_label
 from outcomekit.operators.evaluate import roc_auc, score_points
+from outcomekit.sources.files import SourceNotFound, read_parquet
 
 HISTORY_SCHEMA = (
     "model string, step int, loss double, val_loss double, accuracy double, val_accuracy double, val_auc double"
@@ -192,21 +194,35 @@ def fit_early_stopping(
     name: str = "perceptron",
     save_best_to: str | None = None,
     save_monitor: str = "val_auc",
+    resume_in: str | None = None,
 ) -> EarlyStop:
     """Train in steps of a few iterations and watch the validation rows.
 
     Each step is a distributed fit that starts from the weights of the last one.
     ``monitor`` is ``val_loss`` (lower is better) or ``val_auc``. The model best by
     ``save_monitor`` is saved to ``save_best_to`` whenever it improves.
+
+    With ``resume_in``, a shared folder, every step leaves its model and state there, and a call
+    that finds some goes on after the last whole step, as if it had not been stopped. The folder is
+    that of one fit: it is refused if settings differ. ``max_steps`` may be raised.
     """
     estimator = _perceptron(width, hidden, features, label, step_iter, seed)
+    spark = train.sparkSession
+    settings = repr((width, list(hidden), features, label, step_iter, patience, monitor, seed, name))
+    kept = load_state(spark, resume_in, settings) if resume_in else None
     best, best_value, best_step, waited, saved_value = None, None, 0, 0, None
     history: list[tuple] = []
     model = None
+    if kept:
+        best_value, best_step, waited, saved_value = (kept[k] for k in ("best_value", "best_step", "waited", "saved_value"))
+        history = [tuple(h) for h in kept["history"]]
+        model = load_model(f"{resume_in}/step-{len(history)}", spark)
+        best = load_model(f"{resume_in}/step-{best_step}", spark)
+    steps = range(len(history) + 1, max_steps + 1) if waited < patience else ()
     # Every step reads the rows again; lost blocks are made anew from the source.
     train, validation = train.persist(), validation.persist()
     try:
-        for step in range(1, max_steps + 1):
+        for step in steps:
             if model is not None:
                 estimator = estimator.setInitialWeights(model.weights)
             model = estimator.fit(train)
@@ -225,14 +241,37 @@ def fit_early_stopping(
                 best, best_value, best_step, waited = model, value, step, 0
             else:
                 waited += 1
-                if waited >= patience:
-                    break
+            if resume_in:
+                save_model(model, f"{resume_in}/step-{step}")
+                state = {"best_value": best_value, "best_step": best_step, "waited": waited, "saved_value": saved_value}
+                save_state(spark, resume_in, step, state | {"settings": settings, "history": history})
+            if waited >= patience:
+                break
     finally:
         train.unpersist()
         validation.unpersist()
     return EarlyStop(best if restore_best else model, best, best_step, history)
 
 
+def save_state(spark: SparkSession, folder: str, step: int, state: dict) -> None:
+    """Add the state of a step to those in the folder. It is written after the step's model, so it stands for both."""
+    line = spark.createDataFrame([(step, json.dumps(state))], "step int, state string").coalesce(1)
+    line.write.mode("append").parquet(f"{folder}/states")
+
+
+def load_state(spark: SparkSession, folder: str, settings: str) -> dict | None:
+    """State of the last step in the folder."""
+    try:
+        states = read_parquet(spark, f"{folder}/states", "step int, state string")
+    except SourceNotFound:
+        return None
+    last = states.orderBy(F.desc("step")).first()
+    state = json.loads(last["state"]) if last else None
+    if state and state["settings"] != settings:
+        raise ValueError(f"{folder} holds a fit with other settings")
+    return state
+
+
 def _figures(model: Model, train: DataFrame, validation: DataFrame, label: str) -> dict[str, dict[str, float]]:
     """Loss and accuracy on both tables, in one job."""
     rows = train.withColumn("part", F.lit("train")).unionByName(validation.withColumn("part", F.lit("held")))

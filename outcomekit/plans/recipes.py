@@ -143,10 +143,17 @@ def lenient_rows(df: DataFrame, recipe: Recipe, lay: Layout) -> DataFrame:
     return rows.select(*kept, *recipe.extra_categories)
 
 
-def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe, save_best_to: str | None = None) -> Model:
+def train(
+    prepared: Prepared,
+    spec: ModelSpec,
+    recipe: Recipe,
+    save_best_to: str | None = None,
+    resume_in: str | None = None,
+) -> Model:
     """Fit one model; with ``balance`` "weights" or "both" every model has its classes weighted.
 
-    A fit that may stop early keeps its best model in a folder of ``save_best_to`` named by the model.
+    A fit that may stop early keeps its best model in a folder of ``save_best_to`` named by the model,
+    and its steps in one of ``resume_in``, from which another call goes on.
     """
     rows = prepared.resampled if spec.resampled else prepared.train
     if spec.kind == "forest" and spec.per_bootstrap:
@@ -171,6 +178,7 @@ def train(prepared: Prepared, spec: ModelSpec, recipe: Recipe, save_best_to: str
             fit_on, held, width, spec.hidden, step_iter=STEP, max_steps=-(-spec.iterations // STEP),
             patience=-(-spec.patience // STEP), restore_best=spec.restore_best, monitor=spec.monitor, seed=recipe.seed,
             save_best_to=f"{save_best_to.rstrip('/')}/{spec.name}" if save_best_to else None,
+            resume_in=f"{resume_in.rstrip('/')}/{spec.name}" if resume_in else None,
         ).model
     return models.fit_perceptron(fit_on, width, spec.hidden, max_iter=spec.iterations, seed=recipe.seed)
 

@@ -360,6 +360,16 @@ def stopped_rule(spark, sf):
     return predictions(_stopped(data, recipe), data)
 
 
+@query("m06_resumed_rule", PAIRED_SQL)
+def resumed_rule(spark, sf):
+    """Stopped after three steps and gone on with by a second call."""
+    data, recipe = paired_data(spark, sf)
+    folder = os.path.join(scratch_dir(spark), f"fit-{uuid.uuid4().hex}")
+    spec = recipes.ModelSpec("resumed", "perceptron", (64, 32), 3 * recipes.STEP, early_stop=True)
+    recipes.train(data, spec, recipe, resume_in=folder)
+    return predictions(recipes.train(data, changed(spec, iterations=100), recipe, resume_in=folder), data)
+
+
 # Segment and region go with no other column, so none stands in for them.
 PLACE_RULE = "segment = 'BUILDING' OR region = 'ASIA'"
 

@@ -116,6 +116,31 @@ def test_early_stopping_on_area_without_restoring(vectors, spark, tmp_path):
     assert models.score(stop.model, held).count() == held.count()
 
 
+def test_stopped_fit_goes_on_where_it_was(vectors, spark, tmp_path):
+    train, held = vectors.where("k % 3 <> 0"), vectors.where("k % 3 = 0")
+    options = {"step_iter": 4, "patience": 2, "resume_in": str(tmp_path / "fit")}
+    part = models.fit_early_stopping(train, held, 3, (4,), max_steps=3, **options)
+    rest = models.fit_early_stopping(train, held, 3, (4,), max_steps=7, **options)
+    whole = models.fit_early_stopping(train, held, 3, (4,), step_iter=4, patience=2, max_steps=7)
+    assert rest.history[: part.steps_run] == part.history and rest.steps_run == whole.steps_run
+    assert np.allclose([h[2:6] for h in rest.history], [h[2:6] for h in whole.history], atol=1e-9)
+    assert rest.best_step == whole.best_step
+    assert np.allclose(rest.best.weights.toArray(), whole.best.weights.toArray(), atol=1e-7)
+    # A finished fit is read back without a step.
+    again = models.fit_early_stopping(train, held, 3, (4,), max_steps=rest.steps_run, **options)
+    assert again.history == rest.history and again.best_step == rest.best_step
+    with pytest.raises(ValueError, match="other settings"):
+        models.fit_early_stopping(train, held, 3, (5,), max_steps=3, **options)
+
+
+def test_state_counts_only_once_it_is_whole(spark, tmp_path):
+    folder = str(tmp_path / "states")
+    assert models.load_state(spark, folder, "s") is None
+    models.save_state(spark, folder, 1, {"settings": "s", "best_value": None, "history": [["m", 1, 0.5]]})
+    models.save_state(spark, folder, 2, {"settings": "s", "best_value": -0.25, "history": [["m", 1, 0.5], ["m", 2, 0.25]]})
+    assert models.load_state(spark, folder, "s")["best_value"] == -0.25
+
+
 def test_replication_balances(spark):
     df = spark.createDataFrame([(0,)] * 30 + [(1,)] * 10, "label int")
     assert {r.label: r["count"] for r in models.replicate_by_class(df).groupBy("label").count().collect()} == {0: 30, 1: 30}
