@@ -8,12 +8,15 @@ Method
     others, and goes on until no match of ``min_match`` words is left. Matches may come in any order,
     so reordered passages count. An item leaks if the tiles cover enough of its words.
 
+    An item of fewer than ``min_match`` words has no seed. It leaks as one whole sequence, found by the
+    Karp-Rabin hash of windows of its own length; a single word is in too many texts to tell anything,
+    so such an item leaks where it is all a document holds.
+
     Documents are read once, without a shuffle, against a part of the benchmark of bounded size. A
     benchmark of more words than ``PART_WORDS`` is dealt into such parts by hash, each its own pass.
 
 Defined cases
-    Null and empty documents hold nothing. Items of fewer than ``min_match`` words are not searched
-    for. Repeated items are searched for as one each; repeated documents are rows of their own. Of
+    Null and empty documents hold nothing, and items without words are in none. Repeated items are searched for as one each; repeated documents are rows of their own. Of
     matches of one length the first in the item, then in the document, comes first. Columns of the
     documents are kept by :func:`without_leaks`, and not read by :func:`leaks`.
 """
@@ -51,18 +54,19 @@ def batch_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, spans), spans.first
 
 
-class Items:
-    """A part of the benchmark with its seeds, sorted, and where each occurs."""
+class Seeds:
+    """Windows of one length of some items, sorted by hash, and where each occurs."""
 
-    def __init__(self, ids: list[int | None], words: list[np.ndarray], min_match: int) -> None:
-        self.ids, self.words, self.min_match = ids, words, min_match
+    def __init__(self, numbers: list[int], words: list[np.ndarray], size: int) -> None:
+        self.size = size
         first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
         flat = np.concatenate(words) if words else np.zeros(0, np.uint64)
-        begins = window_starts(first, min_match)
-        seeds = windows(flat, min_match)[begins] if len(begins) else np.zeros(0, np.uint64)
+        begins = window_starts(first, size)
+        seeds = windows(flat, size)[begins] if len(begins) else np.zeros(0, np.uint64)
         owner = np.searchsorted(first, begins, "right") - 1
         order = np.argsort(seeds, kind="stable")
-        self.seeds, self.owner, self.at = seeds[order], owner[order], (begins - first[owner])[order]
+        self.seeds, self.at = seeds[order], (begins - first[owner])[order]
+        self.owner = np.array(numbers, np.int64)[owner[order]]
         self.likely = np.zeros(1 << 20, bool)
         self.likely[(self.seeds >> np.uint64(44)).astype(np.int64)] = True
 
@@ -79,6 +83,19 @@ class Items:
         return np.repeat(maybe, count), np.repeat(low, count) + inner
 
 
+class Items:
+    """A part of the benchmark: the seeds of its items, and its short items by length."""
+
+    def __init__(self, ids: list[int | None], words: list[np.ndarray], min_match: int) -> None:
+        self.ids, self.words, self.min_match = ids, words, min_match
+        of_length: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            of_length.setdefault(min(len(w), min_match), []).append(k)
+        self.by_length = {
+            size: Seeds(mine, [words[k] for k in mine], size) for size, mine in sorted(of_length.items()) if size
+        }
+
+
 def chains(item_at: np.ndarray, doc_at: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
     """Maximal matches (length, place in the item, place in the document) from the seeds they share."""
     order = np.lexsort((doc_at, doc_at - item_at))
@@ -124,15 +141,54 @@ def search(column: pa.Array, items: Items, coverage: float) -> list[tuple]:
 
 
 def search_part(words: np.ndarray, first: np.ndarray, items: Items, coverage: float) -> list[tuple]:
-    begins = window_starts(first, items.min_match)
-    if len(begins) == 0 or len(items.seeds) == 0:
-        return []
-    spot, seed = items.hits(windows(words, items.min_match)[begins])
+    out = []
+    for size, seeds in items.by_length.items():
+        begins = window_starts(first, size)
+        if size == 1:
+            begins = begins[(np.diff(first) == 1)[np.searchsorted(first, begins, "right") - 1]]
+        if len(begins) == 0:
+            continue
+        found = search_tiles if size == items.min_match else search_whole
+        out += found(words, first, begins, windows(words, size)[begins], seeds, items, coverage)
+    return out
+
+
+def search_whole(
+    words: np.ndarray, first: np.ndarray, begins: np.ndarray, hashes: np.ndarray, seeds: Seeds, items: Items, _: float
+) -> list[tuple]:
+    """Items as long as the windows, at the first place in each document."""
+    doc = np.searchsorted(first, begins, "right") - 1
+    known = np.flatnonzero(np.isin(hashes, seeds.seeds))
+    # A sequence that a document repeats is looked up once.
+    order = known[np.lexsort((begins[known], hashes[known], doc[known]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
+    once = order[new]
+    spot, seed = seeds.hits(hashes[once])
+    out = []
+    for i, k in zip(once[spot].tolist(), seeds.owner[seed].tolist(), strict=True):
+        at, d = int(begins[i]), int(doc[i])
+        if np.array_equal(words[at : at + seeds.size], items.words[k]):
+            out.append((d, k, seeds.size, [(0, at - int(first[d]), seeds.size)]))
+    return out
+
+
+def search_tiles(
+    words: np.ndarray,
+    first: np.ndarray,
+    begins: np.ndarray,
+    hashes: np.ndarray,
+    seeds: Seeds,
+    items: Items,
+    coverage: float,
+) -> list[tuple]:
+    """Items that share seeds, where the tiles cover enough."""
+    spot, seed = seeds.hits(hashes)
     if len(spot) == 0:
         return []
     at = begins[spot]
     doc = np.searchsorted(first, at, "right") - 1
-    item = items.owner[seed]
+    item = seeds.owner[seed]
     order = np.lexsort((at, item, doc))
     doc, item, at, seed = doc[order], item[order], at[order], seed[order]
     new = np.ones(len(doc), bool)
@@ -142,7 +198,7 @@ def search_part(words: np.ndarray, first: np.ndarray, items: Items, coverage: fl
     for a, b in zip(heads, np.concatenate([heads[1:], [len(doc)]]), strict=True):
         d, k = int(doc[a]), int(item[a])
         target = items.words[k]
-        places = items.at[seed[a:b]]
+        places = seeds.at[seed[a:b]]
         reach = np.zeros(len(target) + 1, np.int64)
         np.add.at(reach, places, 1)
         np.add.at(reach, places + items.min_match, -1)
@@ -170,7 +226,7 @@ def benchmark_parts(benchmark: DataFrame, min_match: int) -> Iterator[Items]:
             )
 
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
-    rows = stage(rows.mapInArrow(convert, ITEM_SCHEMA).where(F.col("n") >= min_match).distinct())
+    rows = stage(rows.mapInArrow(convert, ITEM_SCHEMA).where("n > 0").distinct())
     total = rows.agg(F.sum("n")).first()[0] or 0
     n_parts = max(1, -(-total // PART_WORDS))
     for k in range(n_parts):

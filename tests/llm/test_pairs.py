@@ -263,6 +263,28 @@ def test_tiles_equal_brute_force():
         assert tiling.tile(item, doc, matches, least) == slow_tiles(item.tolist(), doc.tolist(), least)
 
 
+def test_short_items_leak_as_whole_sequences(spark):
+    rng = random.Random(12)
+    vocabulary = ["a", "b", "c"]
+    items = [(k, " ".join(rng.choices(vocabulary, k=rng.randint(0, 4)))) for k in range(40)]
+    items += [(k, t) for k, t in items[:5]] + [(50, "A-b")]
+    docs = [(d, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 5, 9])))) for d in range(60)] + [(60, "b, A. B")]
+    got = tiling.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    want = set()
+    for d, text in docs:
+        held = re.findall("[a-z]+", text.lower())
+        for k, item in items:
+            asked = re.findall("[a-z]+", item.lower())
+            places = [t for t in range(len(held) - len(asked) + 1) if held[t : t + len(asked)] == asked]
+            if asked and places and (len(asked) > 1 or len(held) == 1):
+                want.add((d, k, len(asked), f"0:{places[0]}:{len(asked)}"))
+    assert len(got) == len(want) and {(r.doc_id, r.item_id, r.n_covered, r.tiles) for r in got} == want
+    assert any(n == 1 for _, _, n, _ in want) and any(n == 4 for _, _, n, _ in want)
+
+
 def test_leaks_are_found_in_any_order(spark, monkeypatch):
     rng = random.Random(9)
     items = [(k, " ".join(invented(rng, 40, 100_000))) for k in range(6)] + [(6, "too short"), (7, None), (None, " ".join(f"n{i}" for i in range(20)))]
@@ -280,14 +302,14 @@ def test_leaks_are_found_in_any_order(spark, monkeypatch):
     ]
     frame_docs = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item_id long").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = [(0, 0, 1.0), (0, None, 1.0), (1, 0, 1.0), (3, 1, 1.0), (3, 2, 1.0), (None, 3, 1.0)]
+    want = [(0, 0, 1.0), (0, None, 1.0), (1, 0, 1.0), (3, 1, 1.0), (3, 2, 1.0), (8, 6, 1.0), (None, 3, 1.0)]
     for words in (1_000_000, 60):
         monkeypatch.setattr(tiling, "PART_WORDS", words)
         got = tiling.leaks(frame_docs, bench).collect()
         assert sorted(((r.doc_id, r.item_id, r.coverage) for r in got), key=str) == sorted(want, key=str)
         kept = tiling.without_leaks(frame_docs, bench)
         assert kept.columns == frame_docs.columns
-        assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 8]
+        assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5]
     empty = spark.createDataFrame([], "item_id long, text string")
     assert tiling.leaks(frame_docs, empty).count() == 0 and tiling.without_leaks(frame_docs, empty).count() == len(docs)
 
