@@ -7,6 +7,7 @@ separators cut texts exactly where a pattern over characters would.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -125,3 +126,11 @@ def window_starts(first: np.ndarray, size: int) -> np.ndarray:
     full = np.maximum(counts - size + 1, 0)
     begin = np.concatenate([[0], np.cumsum(full)[:-1]]) if len(full) else full
     return np.arange(int(full.sum())) - np.repeat(begin, full) + np.repeat(first[:-1], full)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a worker that is used again still holds what its last task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

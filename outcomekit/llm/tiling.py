@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from outcomekit.llm.text import LOWER, find_words, parts, text_bytes, window_starts, windows, word_hashes
+from outcomekit.llm.text import LOWER, find_words, give_back, parts, text_bytes, window_starts, windows, word_hashes
 from outcomekit.session import stage
 
 MIN_MATCH = 5
@@ -242,6 +242,7 @@ def leaks(
 
     def against(items: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            give_back()
             for batch in batches:
                 rows = search(batch.column("text"), items, coverage)
                 sizes = [len(items.words[k]) for _, k, _, _ in rows]
@@ -274,11 +275,13 @@ def without_leaks(
 
     def against(rest: DataFrame, items: Items) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            give_back()
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index("text"))
                 keep = np.ones(batch.num_rows, bool)
                 keep[[d for d, _, _, _ in search(texts, items, coverage)]] = False
                 yield batch.filter(pa.array(keep))
+            give_back()
 
         return rest.mapInArrow(run, docs.schema)
 
