@@ -113,33 +113,70 @@ def _with_cell(df: DataFrame, tree: Partition, width: int) -> DataFrame:
     return df.withColumn("cell", cell("vec"))
 
 
+def _candidates(q_ids, q_vecs, limits, p_ids, p_vecs, center, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (query, point) that hold all of the k nearest points within the limits, and few others.
+
+    Squared distances come from one matrix product about ``center``; a bound on what this rounds off is given way by.
+    """
+    q, p = q_vecs - center, p_vecs - center
+    q_square, p_square = (q * q).sum(axis=1), (p * p).sum(axis=1)
+    slack = 32 * (p.shape[1] + 8) * np.finfo(np.float64).eps * (q_square + p_square.max())
+    if np.isfinite(slack).all():
+        dist = q @ p.T
+        dist *= -2
+        dist += p_square
+        dist += q_square[:, None]
+    else:
+        slack, dist = np.zeros(len(q)), np.zeros((len(q), len(p)))
+        for d in range(p.shape[1]):
+            gap = q_vecs[:, d, None] - p_vecs[None, :, d]
+            dist += gap * gap
+    if p_ids.dtype == object or q_ids.dtype == object:
+        dist[q_ids[:, None] == p_ids[None, :]] = np.inf
+    else:
+        # Points are in the order of their ids; no id equals a missing one.
+        first, last = np.searchsorted(p_ids, q_ids, "left"), np.searchsorted(p_ids, q_ids, "right")
+        for row in np.flatnonzero((last > first) & (q_ids == q_ids)):
+            dist[row, first[row] : last[row]] = np.inf
+    limits = limits + slack
+    hit = dist <= limits[:, None]
+    if np.count_nonzero(hit) > 4 * k * len(q):
+        at = min(k, dist.shape[1]) - 1
+        hit &= dist <= (np.partition(dist, at, axis=1)[:, at] + 2 * slack)[:, None]
+    row, col = np.nonzero(hit)
+    finite = np.isfinite(dist[row, col])
+    return row[finite], col[finite]
+
+
 def _nearest_in_tile(q_ids, q_vecs, limits, p_ids, p_vecs, k: int):
-    """Rows (query, point, distance) of up to k nearest points per query, by (distance, id).
+    """Rows (query, point, distance) of up to k nearest points per query, by (distance, id); points in order of ids.
 
     Distances are summed dimension by dimension, in order: the same figures a
-    plain SQL expression gives.
+    plain SQL expression gives. Only candidates have them computed.
     """
     found = []
+    center = p_vecs.mean(axis=0)
     for start in range(0, len(q_ids), BLOCK_ROWS):
         q = slice(start, start + BLOCK_ROWS)
-        dist = np.zeros((len(q_ids[q]), len(p_ids)))
+        row, col = _candidates(q_ids[q], q_vecs[q], limits[q], p_ids, p_vecs, center, k)
+        near = np.zeros(len(row))
         for d in range(p_vecs.shape[1]):
-            gap = q_vecs[q, d, None] - p_vecs[None, :, d]
-            dist += gap * gap
-        dist[q_ids[q][:, None] == p_ids[None, :]] = np.inf
-        dist[dist > limits[q][:, None]] = np.inf
-        last = min(k, dist.shape[1]) - 1
-        bar = np.partition(dist, last, axis=1)[:, last]
-        row, col = np.nonzero((dist <= bar[:, None]) & np.isfinite(dist))
-        near = dist[row, col]
-        order = np.lexsort((col, near, row))
-        row, col, near = row[order], col[order], near[order]
-        begin = np.searchsorted(row, row, side="left")
-        kept = np.arange(len(row)) - begin < k
-        found.append((row[kept] + start, col[kept], near[kept]))
+            gap = q_vecs[row + start, d] - p_vecs[col, d]
+            near += gap * gap
+        kept = np.isfinite(near) & (near <= limits[row + start])
+        row, col, near = _first_k(row[kept], col[kept], near[kept], k)
+        found.append((row + start, col, near))
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _first_k(row: np.ndarray, col: np.ndarray, near: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the k nearest, by (distance, place of the point)."""
+    order = np.lexsort((col, near, row))
+    row, col, near = row[order], col[order], near[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row, side="left") < k
+    return row[kept], col[kept], near[kept]
+
+
 def _tile_counts(rows: DataFrame) -> dict[int, int]:
     """How many tiles (or chunks) the rows of each cell fill."""
     counts = rows.groupBy("cell").agg(F.count("*").alias("n")).collect()

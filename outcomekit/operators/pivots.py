@@ -7,6 +7,10 @@ cell the least and greatest distance to every pivot. A query first looks into it
 distance there is a bound, and only cells that no pivot rules out at that bound are looked into next. The
 pivots decide the effort, never the result.
 
+Cells are packed into groups of a bounded number of points. A query goes once to each group with a cell that it
+has to look into, and tells which; a task holds a group, or a part of a large cell, and a bounded chunk of its
+queries. Distances are matrix products with a bound on their rounding, and exact for what that leaves.
+
 ``approximate_neighbors`` is for tables where even that visits too much: random projections put near vectors
 into the same buckets, with a chance, and the k nearest of what shares a bucket are returned.
 """
@@ -23,11 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from outcomekit.functions import draw
-from outcomekit.operators.neighbors import BLOCK_ROWS, TILE_ROWS, _as_arrays, _closest, _matrix, _probe, _tile_counts
+from outcomekit.operators.neighbors import BLOCK_ROWS, _as_arrays, _closest, _first_k, _matrix, _nearest_in_tile
 from outcomekit.session import stage
 
 PIVOTS = 256
 SAMPLE_ROWS = 8_192
+#: Points of a group of cells, and queries of a chunk, that a task holds.
+GROUP_ROWS = 16_384
 #: Part of a distance by which a bound gives way, as distances are rounded.
 SLACK = 1e-9
 
@@ -99,42 +105,131 @@ def nearest_by_pivots(
     chosen = spread_pivots(_matrix(sample.toPandas()["vec"], width), pivots)
     if not len(chosen):
         chosen = np.zeros((1, width))
-    held = stage(_with_pivot(points.select("id", "vec"), chosen, width))
+    number = F.monotonically_increasing_id()
+    held = stage(_with_pivot(points.select("id", "vec", number.alias("at")), chosen, width))
     cells, low, high = _rings(held, len(chosen))
-    held = held.drop("far")
-    asked = stage(_with_pivot(queries.select("id", "vec"), chosen, width))
-    home = asked.drop("far").withColumn("bound", F.lit(float("inf")))
-    tiles = _tile_counts(held)
-    first = stage(_closest(_probe(home, held, tiles, _tile_counts(home), k, width), k).drop("rk"))
+    groups = cell_groups({r["cell"]: r["n"] for r in held.groupBy("cell").agg(F.count("*").alias("n")).collect()})
+    held = held.select("cell", "at", "id", "vec")
+    asked = stage(_with_pivot(queries.select("id", "vec", number.alias("no")), chosen, width))
+    home = asked.withColumn("bound", F.lit(float("inf")))
+    first = stage(_closest(_look(_with_cells(home, cells, groups), held, cells, groups, k, width), k).drop("rk"))
     reach = first.groupBy("id").agg(F.max("distance").alias("reach"), F.count("*").alias("n"))
     reach = reach.where(F.col("n") >= k).select("id", "reach")
     bounded = asked.join(reach, "id", "left").withColumn("bound", F.coalesce("reach", F.lit(float("inf")))).drop("reach")
+    visits = stage(_with_cells(bounded, cells, groups, (low, high)))
+    further = _look(visits, held, cells, groups, k, width)
+    closest = _closest(first.unionByName(further), k).join(held.select("at", F.col("vec").alias("near_vec")), "at")
+    return _as_arrays(closest)
+
+
+def cell_groups(sizes: dict[int, int]) -> dict[int, list[int]]:
+    """For each cell the group of each of its parts; neither a part nor a group has more than about GROUP_ROWS points."""
+    out, group, filled = {}, 0, 0
+    for cell, n in sorted(sizes.items()):
+        parts = -(-n // GROUP_ROWS)
+        out[cell] = []
+        for _ in range(parts):
+            size = -(-n // parts)
+            if filled and filled + size > GROUP_ROWS:
+                group, filled = group + 1, 0
+            out[cell].append(group)
+            filled += size
+    return out
+
+
+def _with_cells(
+    asked: DataFrame, cells: np.ndarray, groups: dict[int, list[int]], rings: tuple[np.ndarray, np.ndarray] | None = None
+) -> DataFrame:
+    """Queries with the cells to look into, a bit each, and the groups of these: the own cell, or with ``rings``
+    all others that could hold a point as near as the bound."""
+    every = max((g for parts in groups.values() for g in parts), default=-1) + 1
+    member = np.zeros((len(cells), every), bool)
+    for i, cell in enumerate(cells):
+        member[i, groups[cell]] = True
 
-    def near_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), BLOCK_ROWS):
                 part = batch.iloc[start : start + BLOCK_ROWS]
-                far = _matrix(part["far"], len(chosen))
-                gap = np.zeros((len(part), len(cells)))
-                for p in range(len(chosen)):
-                    d = far[:, p, None]
-                    gap = np.maximum(gap, np.maximum(d - high[None, :, p], low[None, :, p] - d))
-                bound = np.sqrt(part["bound"].to_numpy())[:, None] * (1 + SLACK) + SLACK * far.max(axis=1, keepdims=True)
-                row, col = np.nonzero((gap <= bound) & (part["cell"].to_numpy()[:, None] != cells))
+                own = part["cell"].to_numpy()[:, None] == cells
+                visit = own
+                if rings:
+                    far = _matrix(part["far"], rings[0].shape[1])
+                    gap = np.zeros((len(part), len(cells)))
+                    for p in range(far.shape[1]):
+                        d = far[:, p, None]
+                        gap = np.maximum(gap, np.maximum(d - rings[1][None, :, p], rings[0][None, :, p] - d))
+                    bound = np.sqrt(part["bound"].to_numpy())[:, None] * (1 + SLACK) + SLACK * far.max(axis=1, keepdims=True)
+                    visit = (gap <= bound) & ~own
+                bits = np.packbits(visit, axis=1)
+                reached = visit.astype(np.float32) @ member.astype(np.float32) > 0
                 yield pd.DataFrame(
                     {
-                        "id": part["id"].to_numpy()[row],
-                        "vec": part["vec"].to_numpy()[row],
-                        "cell": cells[col],
-                        "bound": part["bound"].to_numpy()[row],
+                        "id": part["id"].to_numpy(),
+                        "no": part["no"].to_numpy(),
+                        "vec": part["vec"].to_numpy(),
+                        "bound": part["bound"].to_numpy(),
+                        "cells": [b.tobytes() for b in bits],
+                        "groups": [np.flatnonzero(r).astype(np.int32) for r in reached],
                     }
                 )
 
     kind = asked.schema["id"].dataType.simpleString()
-    visits = bounded.select("id", "vec", "cell", "far", "bound")
-    visits = stage(visits.mapInPandas(near_cells, f"id {kind}, vec array<double>, cell int, bound double"))
-    further = _probe(visits, held, tiles, _tile_counts(visits), k, width)
-    return _as_arrays(_closest(first.unionByName(further), k))
+    schema = f"id {kind}, no bigint, vec array<double>, bound double, cells binary, groups array<int>"
+    return asked.select("id", "no", "vec", "bound", "cell", "far").mapInPandas(look, schema)
+
+
+def _look(
+    visits: DataFrame, points: DataFrame, cells: np.ndarray, groups: dict[int, list[int]], k: int, width: int
+) -> DataFrame:
+    """Rows (id, near_id, distance, at): up to k nearest points of each query in each group, of the cells it looks into."""
+    spark = points.sparkSession
+    sent = visits.select(F.explode("groups").alias("group")).groupBy("group").agg(F.count("*").alias("n")).collect()
+    chunks = {r["group"]: -(-r["n"] // GROUP_ROWS) for r in sent}
+    # As many rows as groups, and as parts of cells.
+    chunk_plan = F.broadcast(spark.createDataFrame(list(chunks.items()), "group int, chunks int"))
+    parts = [(int(c), len(own), i, g) for c, own in groups.items() for i, g in enumerate(own)]
+    part_plan = F.broadcast(spark.createDataFrame(parts, "cell int, parts int, part int, group int"))
+    left = (
+        visits.select("no", "id", "vec", "bound", "cells", F.explode("groups").alias("group"))
+        .join(chunk_plan, "group")
+        .withColumn("chunk", F.pmod(F.xxhash64("no"), F.col("chunks")).cast("int"))
+        .select("group", "chunk", "id", "vec", "bound", "cells")
+    )
+    right = (
+        points.join(part_plan, "cell")
+        .where(F.pmod(F.xxhash64("at"), F.col("parts")) == F.col("part"))
+        .join(chunk_plan, "group")
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        # Fresh columns: both sides may stem from one table.
+        .select(*[F.col(c).alias(c) for c in ("group", "chunk", "cell", "at", "id", "vec")])
+    )
+    columns = ["id", "near_id", "distance", "at"]
+
+    def meet(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(p):
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in columns})
+        p = p.sort_values("id", kind="stable", ignore_index=True)
+        bits = np.unpackbits(np.stack([np.frombuffer(b, np.uint8) for b in q["cells"]]), axis=1)
+        q_ids, q_vecs, limits = q["id"].to_numpy(), _matrix(q["vec"], width), q["bound"].to_numpy(copy=True)
+        p_ids, p_vecs, place = p["id"].to_numpy(), _matrix(p["vec"], width), np.searchsorted(cells, p["cell"].to_numpy())
+        best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for c in np.unique(place):
+            rows, cols = np.flatnonzero(bits[:, c]), np.flatnonzero(place == c)
+            if not len(rows):
+                continue
+            row, col, near = _nearest_in_tile(q_ids[rows], q_vecs[rows], limits[rows], p_ids[cols], p_vecs[cols], k)
+            best = _first_k(*[np.concatenate(x) for x in zip(best, (rows[row], cols[col], near))], k)
+            # What is farther than the k-th point so far is none of the k nearest.
+            last = np.flatnonzero(np.bincount(best[0], minlength=len(q)) >= k)
+            limits[last] = np.minimum(limits[last], best[2][np.searchsorted(best[0], last, side="right") - 1])
+        row, col, near = best
+        return pd.DataFrame({"id": q_ids[row], "near_id": p_ids[col], "distance": near, "at": p["at"].to_numpy()[col]})
+
+    id_type = points.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, near_id {id_type}, distance double, at bigint"
+    keys = ["group", "chunk"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, schema)
 
 
 def compared_share(queries: DataFrame, points: DataFrame, width: int, pivots: int = PIVOTS, k: int = 5, seed: int = 42) -> float:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from outcomekit.operators import features, pivots, profile
+from outcomekit.operators import features, neighbors, pivots, profile
 from outcomekit.operators.levels import LevelTable
 from outcomekit.operators.neighbors import nearest_neighbors
 from outcomekit.operators.resample import smote
@@ -134,3 +134,40 @@ def test_smote_by_pivots_equals_smote_by_boxes(spark):
     assert by[0] == by[1] and len(by[0]) == 450
     one = nearest_neighbors(*[vectors(spark, rows)] * 2, 3, 12).count()
     assert one == 300
+
+
+def test_a_query_goes_once_to_a_group_of_cells(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = rng.normal(size=(300, 16))
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rows)], "id long, vec array<double>")
+    sent, look = [], pivots._look
+
+    def counted(visits, *rest):
+        sent.append(visits.agg(F.count("*"), F.max(F.size("groups"))).first())
+        return look(visits, *rest)
+
+    monkeypatch.setattr(pivots, "_look", counted)
+    monkeypatch.setattr(pivots, "GROUP_ROWS", 100)
+    got = {r.id: [n.near_id for n in r.neighbors] for r in pivots.nearest_by_pivots(df, df, 5, 16, pivots=30).collect()}
+    gap = ((rows[:, None] - rows[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(gap, np.inf)
+    assert got == {i: list(np.argsort(gap[i], kind="stable")[:5]) for i in range(300)}
+    # All 30 cells are near in this noise; they fill about four groups.
+    assert [r[0] for r in sent] == [300, 300]
+    assert max(r[1] for r in sent) <= 6
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e8])
+def test_products_leave_all_nearest_points_as_candidates(offset):
+    rng = np.random.default_rng(5)
+    points = offset + np.round(rng.normal(size=(400, 12)), 2)
+    points[200:] = points[:200]
+    ids = np.arange(400)
+    row, col, near = neighbors._nearest_in_tile(ids, points, np.full(400, np.inf), ids, points, 4)
+    gap = np.zeros((400, 400))
+    for d in range(12):
+        gap += (points[:, d, None] - points[None, :, d]) ** 2
+    np.fill_diagonal(gap, np.inf)
+    order = np.argsort(gap, axis=1, kind="stable")[:, :4]
+    assert col.reshape(400, 4).tolist() == order.tolist()
+    assert near.reshape(400, 4).tolist() == np.take_along_axis(gap, order, axis=1).tolist()
