@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from outcomekit.functions import bce_loss
 from outcomekit.operators.ranking import BUCKET_ROWS, score_bounds, with_score_bucket
-from outcomekit.session import join_groups
+from outcomekit.session import join_groups, stage
 
 CELLS = ["tn", "fp", "fn", "tp"]
 
@@ -153,8 +153,9 @@ def score_points(
     ``pos`` and ``neg``; ``with_next`` adds ``next_pos`` and ``next_neg`` of the next
     lower score.
 
-    Equal scores collapse on the map side. Running sums go bucket by bucket of
-    scores: a task sorts one bucket of one group, never a whole group.
+    The rows are read once: equal scores collapse on the map side, and what is left, a
+    row per group and score, is staged. Running sums go bucket by bucket of scores: a
+    task sorts one bucket of one group, never a whole group.
     """
     by = list(by)
     y = F.col(label)
@@ -165,18 +166,19 @@ def score_points(
         flags = [F.count_if((y == 1) & predicted).alias("hits"), F.count_if((y == 0) & predicted).alias("alarms")]
     carried = ["hits", "alarms"] if prediction else []
     rows = scored.where(F.col(score).isNotNull() & y.isNotNull()).withColumn("score", F.col(score).cast("double"))
-    bounds = score_bounds(rows, "score", bucket_rows)
     if not by:
         rows = rows.withColumn("_all", F.lit(0))
     keys = by or ["_all"]
     down = F.desc("score")
+    counts = stage(rows.groupBy(*keys, "score").agg(*sides, *flags))
+    bounds = score_bounds(counts, "score", bucket_rows)
     if not bounds:
-        # Few enough rows in all for one sort per group.
+        # Few enough scores in all for one sort per group.
         group = W.partitionBy(*keys)
         order = group.orderBy(down)
         whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
         following = [F.lead(c).over(order).alias(f"next_{c}") for c in ("pos", "neg")] if with_next else []
-        return rows.groupBy(*keys, "score").agg(*sides, *flags).select(
+        return counts.select(
             *by,
             "score",
             "pos",
@@ -188,11 +190,9 @@ def score_points(
             F.sum("neg").over(whole).alias("n_neg"),
             *following,
         )
-    rows = with_score_bucket(rows, "score", bounds, "bucket")
-    counts = rows.groupBy(*keys, "bucket", "score").agg(*sides, *flags)
-    # Totals straight from the rows: a map-side reduction to a few cells per task, so only
-    # the counts by score are shuffled at length. A group has at most one total per bucket.
-    totals = rows.groupBy(*keys, "bucket").agg(*sides)
+    counts = with_score_bucket(counts, "score", bounds, "bucket")
+    # A group has at most one total per bucket.
+    totals = counts.groupBy(*keys, "bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     group = W.partitionBy(*keys)
     lower = group.orderBy(F.desc("bucket"))
     whole = group.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)

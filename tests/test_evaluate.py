@@ -186,3 +186,17 @@ def test_confusion_long_lists_empty_cells(spark):
     df = spark.createDataFrame([("m", 1, 1)], "model string, label int, prediction int")
     rows = ev.confusion_long(ev.confusion(df, ["model"]), ["model"]).where(F.col("n") == 0)
     assert rows.count() == 3
+
+
+def test_curve_reads_its_rows_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(value):
+        reads.add(1)
+        return value
+
+    df = spark.range(400, numPartitions=2).select((F.col("id") % 2).alias("label"), (F.col("id") % 90 / 90).alias("s"))
+    points = ev.score_points(df.withColumn("score", seen.asNondeterministic()("s")), bucket_rows=10)
+    assert points.agg(F.sum("pos"), F.sum("neg"), F.count("*")).first() == (200, 200, 90)
+    assert reads.value == 400
