@@ -25,7 +25,7 @@ from outcomekit.operators.ranking import with_rank
 from outcomekit.session import stage
 
 BLOCK_ROWS = 20_000
-# Rows of a block are made anew for every feature and repeat before a model scores them.
+# Rows of a block are handed a value for every feature and repeat before a model scores them.
 SCORED_BLOCK_ROWS = 2_000
 
 
@@ -156,25 +156,30 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean drop in accuracy per feature of any classifier that reads a feature vector.
 
-    Rows with a permuted feature are made block by block and scored; of them only hits
-    per feature and repeat are shuffled.
+    A task only hands each row its donors; rows with a permuted feature are made from them
+    outside Python, one at a time, and scored. Of them only hits per feature and repeat are shuffled.
     """
     names = list(features)
     blocks, n = _blocks(df, key, label, names, seed, block_rows)
 
-    def permuted(y: np.ndarray, x: np.ndarray, donors: np.ndarray, block: int) -> pd.DataFrame:
-        parts = [pd.DataFrame({"feature": "", "repeat": 0, "y": y.astype(int), "x": list(x)})]
-        for j, name in enumerate(names):
-            for r in range(repeats):
-                moved = x.copy()
-                moved[:, j] = donors[j, r]
-                parts.append(pd.DataFrame({"feature": name, "repeat": r, "y": y.astype(int), "x": list(moved)}))
-        return pd.concat(parts)
+    def given(y: np.ndarray, x: np.ndarray, donors: np.ndarray, block: int) -> pd.DataFrame:
+        each = np.ascontiguousarray(donors.reshape(-1, len(y)).T)
+        return pd.DataFrame({"y": y.astype(int), "x": list(x), "donors": list(each)})
 
-    made = _with_donors(
-        blocks, n, names, repeats, seed, block_rows, permuted, "feature string, repeat int, y int, x array<double>"
-    )
+    rows = _with_donors(blocks, n, names, repeats, seed, block_rows, given, "y int, x array<double>, donors array<double>")
+    # Place 0 is the row as it is; place 1 + j x repeats + r has feature j of repeat r.
+    place = F.explode(F.sequence(F.lit(0), F.lit(len(names) * repeats)))
+    made = rows.withColumn("place", place).withColumn("feature_at", F.expr(f"(place - 1) DIV {repeats}"))
+    moved = F.transform("x", lambda v, i: F.when(i == F.col("feature_at"), F.get("donors", F.col("place") - 1)).otherwise(v))
+    made = made.select("place", "y", F.when(F.col("place") == 0, F.col("x")).otherwise(moved).alias("x"))
     scored = model.transform(made.withColumn(vector, array_to_vector("x")))
     hit = F.col("prediction").cast("int") == F.col("y")
-    totals = scored.groupBy("feature", "repeat").agg(F.count_if(hit).alias("hits"), F.count("*").alias("n"))
+    counts = scored.groupBy("place").agg(F.count_if(hit).alias("hits"), F.count("*").alias("n"))
+    feature = F.get(F.array(*[F.lit(name) for name in names]), F.expr(f"CAST((place - 1) DIV {repeats} AS INT)"))
+    totals = counts.select(
+        F.when(F.col("place") == 0, F.lit("")).otherwise(feature).alias("feature"),
+        F.when(F.col("place") == 0, F.lit(0)).otherwise(F.pmod(F.col("place") - 1, F.lit(repeats))).alias("repeat"),
+        "hits",
+        "n",
+    )
     return _drops(totals)

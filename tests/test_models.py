@@ -218,3 +218,17 @@ def test_permutation_does_not_depend_on_blocks(spark, block_rows):
     got = explain.linear_permutation_importance(df, "k", "y", weights, block_rows=block_rows).collect()
     for r in got:
         assert (r.importance, r.importance_std) == pytest.approx(want[r.feature])
+
+
+def test_tasks_give_donors_not_whole_rows_for_any_model(spark, vectors, table, monkeypatch):
+    df, x, _ = table
+    made, give = [], explain._with_donors
+
+    def counted(*args):
+        out = give(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(explain, "_with_donors", counted)
+    explain.permutation_importance(models.fit_logistic(vectors), df, "k", "label", ["a", "b", "c"], repeats=4).collect()
+    assert made == [len(x)]
