@@ -1,9 +1,10 @@
 """Permutation importance of a forest, with only the trees scored again that a permuted feature can change.
 
 A saved forest is a table of nodes. Read as arrays, its trees are walked down by all rows of a block at once,
-and an inverted index tells which trees split by a feature. A block keeps each row's votes by tree; for a
-permuted feature the votes of the other trees stand, and only those that use it are walked again. So no row is
-made anew: what leaves a block is a number of hits per feature and repeat.
+and the walk tells at which node a row first meets each feature. For a permuted feature a vote stands unless the row
+meets it and the new value lies on the other side of one of the tree's thresholds; only then it is walked again,
+from the node where it met the feature. So no row is made anew: what leaves a block is a number of hits per
+feature and repeat.
 
 The model itself is what each task holds: its size is that of the forest, not of the data.
 """
@@ -36,19 +37,38 @@ class Tree(NamedTuple):
     right: np.ndarray
     shares: np.ndarray
 
-    def votes(self, columns: list[np.ndarray]) -> np.ndarray:
+    def votes(self, columns: Sequence[np.ndarray]) -> np.ndarray:
         """Share of class 1 at the leaf that each row comes to."""
-        node = np.zeros(len(columns[0]), np.int64)
+        x = np.asarray(columns)
+        return self.shares[self.walk(np.zeros(x.shape[1], np.int64), np.arange(x.shape[1]), x)]
+
+    def walk(
+        self,
+        node: np.ndarray,
+        rows: np.ndarray,
+        x: np.ndarray,
+        moved: tuple[int, np.ndarray] | None = None,
+        met: np.ndarray | None = None,
+    ) -> np.ndarray:
+        """Leaf that each walk comes to, from ``node`` with the values of a row, a column of ``x``.
+
+        ``moved`` is a feature and its value for each walk instead of the row's. ``met``, features x walks of -1,
+        gets the node where a walk first meets a feature.
+        """
+        node = node.copy()
         walking = np.flatnonzero(self.feature[node] >= 0)
         while len(walking):
             at = node[walking]
-            values = np.empty(len(at))
-            for f in np.unique(self.feature[at]):
-                mine = self.feature[at] == f
-                values[mine] = columns[f][walking[mine]]
+            feature = self.feature[at]
+            values = x[feature, rows[walking]]
+            if moved:
+                values = np.where(feature == moved[0], moved[1][walking], values)
+            if met is not None:
+                new = met[feature, walking] < 0
+                met[feature[new], walking[new]] = at[new]
             node[walking] = np.where(values <= self.threshold[at], self.left[at], self.right[at])
             walking = walking[self.feature[node[walking]] >= 0]
-        return self.shares[node]
+        return node
 
 
 def read_trees(model: RandomForestClassificationModel, spark: SparkSession) -> list[Tree]:
@@ -84,6 +104,27 @@ def trees_by_feature(trees: Sequence[Tree], width: int) -> list[list[int]]:
     return [[i for i, u in enumerate(used) if f in u] for f in range(width)]
 
 
+def _changed_votes(tree: Tree, used: Sequence[int], own: np.ndarray, given: np.ndarray, change: np.ndarray) -> np.ndarray:
+    """Votes of a tree on the rows as they are; to ``change`` is added what its votes are more for given values.
+
+    ``own`` is features x rows, ``given`` and ``change`` are features x repeats x rows.
+    """
+    n = own.shape[1]
+    met = np.full((len(own), n), -1, np.int32)
+    votes = tree.shares[tree.walk(np.zeros(n, np.int64), np.arange(n), own, met=met)]
+    for f in used:
+        rows = np.flatnonzero(met[f] >= 0)
+        cuts = np.unique(tree.threshold[tree.feature == f])
+        # Between the same two thresholds all ways are the same.
+        values = given[f][:, rows]
+        repeat, at = np.nonzero(np.searchsorted(cuts, values) != np.searchsorted(cuts, own[f, rows]))
+        if len(at):
+            mine = rows[at]
+            leaf = tree.walk(met[f, mine].astype(np.int64), mine, own, (f, values[repeat, at]))
+            change[f, repeat, mine] += tree.shares[leaf] - votes[mine]
+    return votes
+
+
 def forest_permutation_importance(
     model: RandomForestClassificationModel,
     df: DataFrame,
@@ -97,7 +138,7 @@ def forest_permutation_importance(
     """Mean drop in accuracy per feature, as :func:`outcomekit.operators.explain.permutation_importance` gives it."""
     names = list(features)
     trees = read_trees(model, df.sparkSession)
-    index = trees_by_feature(trees, len(names))
+    by_tree = [[f for f in range(len(names)) if (t.feature == f).any()] for t in trees]
     blocks, n = _blocks(df, key, label, names, seed, block_rows)
 
     def hits(y: np.ndarray, x: np.ndarray, donors: np.ndarray, block: int) -> pd.DataFrame:
@@ -105,16 +146,14 @@ def forest_permutation_importance(
         as_is = 0
         for low in range(0, len(y), VOTED_ROWS):
             part = slice(low, low + VOTED_ROWS)
-            columns = [np.ascontiguousarray(x[part, f]) for f in range(len(names))]
-            votes = np.stack([t.votes(columns) for t in trees])
-            total = votes.sum(axis=0)
-            as_is += int(((total > len(trees) / 2) == y[part]).sum())
-            for f, mine in enumerate(index):
-                rest = total - votes[mine].sum(axis=0)
-                for r in range(repeats):
-                    moved = [*columns[:f], donors[f, r, part], *columns[f + 1 :]]
-                    again = rest + sum((trees[i].votes(moved) for i in mine), np.zeros(len(rest)))
-                    counts[f, r] += int(((again > len(trees) / 2) == y[part]).sum())
+            own, given = np.ascontiguousarray(x[part].T), donors[:, :, part]
+            total = np.zeros(own.shape[1])
+            change = np.zeros(given.shape)
+            for tree, used in zip(trees, by_tree, strict=True):
+                total += _changed_votes(tree, used, own, given, change)
+            half = len(trees) / 2
+            as_is += int(((total > half) == y[part]).sum())
+            counts += ((total + change > half) == y[part]).sum(axis=2)
         rows = [("", 0, as_is, len(y))]
         rows += [(name, r, int(counts[f, r]), len(y)) for f, name in enumerate(names) for r in range(repeats)]
         return pd.DataFrame(rows, columns=["feature", "repeat", "hits", "n"])

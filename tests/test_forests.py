@@ -55,3 +55,29 @@ def test_unused_features_change_nothing(spark, data):
     got = forests.forest_permutation_importance(model, constant, "k", "label", every, repeats=2)
     assert {r.feature: r.importance for r in got.collect()}["zero"] == 0.0
     assert forests.trees_by_feature(forests.read_trees(model, spark), 7)[6] == []
+
+
+def test_only_walks_that_a_new_value_changes_are_repeated(spark, data, forest, monkeypatch):
+    df, names = data
+    trees = forests.read_trees(forest, spark)
+    x = df.orderBy("k").select(*[F.col(f"`{c}`") for c in names]).toPandas().to_numpy().T
+    given = np.stack([[np.roll(x[f], s) for s in (1, 5)] for f in range(len(names))])
+    walks, walk = [], forests.Tree.walk
+    monkeypatch.setattr(forests.Tree, "walk", lambda tree, node, *rest, **named: walks.append(len(node)) or walk(tree, node, *rest, **named))
+    for t in trees:
+        change = np.zeros(given.shape)
+        used = sorted(set(t.feature[t.feature >= 0].tolist()))
+        votes = forests._changed_votes(t, used, x, given, change)
+        assert votes.tolist() == t.votes(x).tolist()
+        for f in range(len(names)):
+            for r in range(2):
+                moved = [*x[:f], given[f, r], *x[f + 1 :]]
+                assert np.allclose(votes + change[f, r], t.votes(moved), atol=1e-12)
+    walks.clear()
+    forests._changed_votes(t, used, x, given, np.zeros(given.shape))
+    # Whole walks would be one of all rows for each feature in use and repeat.
+    assert sum(walks[1:]) < 0.6 * len(used) * 2 * x.shape[1]
+    # A row given its own values is not walked again.
+    walks.clear()
+    forests._changed_votes(t, used, x, np.repeat(x[:, None], 2, axis=1), np.zeros(given.shape))
+    assert len(walks) == 1
