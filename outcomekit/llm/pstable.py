@@ -9,7 +9,8 @@ Method
 
     Equal vectors are one class with a multiplicity. Vectors of one bucket are compared in blocks of
     bounded size: a bucket larger than a block is dealt into parts, and each pair of parts is a task's
-    work. A pair counts in the first table in which it shares a bucket, so each link counts once. Links
+    work. Small buckets, which are most, go to a task many at a time, and their pairs are compared at once.
+    A pair counts in the first table in which it shares a bucket, so each link counts once. Links
     are not written: a task gives each vector its number of links and one vector that it is joined to.
 
 Defined cases
@@ -39,6 +40,9 @@ RECALL = 0.97
 #: Far vectors that a vector may meet in a bucket, on average.
 STRANGERS = 8
 BLOCK = 1024
+#: Vectors of the small buckets that a task compares at once, and the size up to which a bucket is small.
+PACK_ROWS = 16_384
+SMALL = 64
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -166,8 +170,40 @@ def compare(table: pa.Table, threshold: float) -> pa.Table:
         b.append(j[new])
     i = np.concatenate(a) if a else np.zeros(0, np.int64)
     j = np.concatenate(b) if b else np.zeros(0, np.int64)
-    copies = table.column("copies").to_numpy()
-    n = len(data)
+    return _told(table, i, j)
+
+
+def compare_small(table: pa.Table, threshold: float) -> pa.Table:
+    """As :func:`compare`, of all pairs in many small buckets of one table of hashes."""
+    table = table.combine_chunks()
+    first = table.column("table")[0].as_py()
+    data = [x.as_py() for x in table.column("vector")]
+    signs = np.stack([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("signature")])
+    bucket = table.column("bucket").to_numpy()
+    lengths = np.array([len(d) for d in data])
+    a, b = [], []
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        at = at[np.argsort(bucket[at], kind="stable")]
+        x, here = unit_rows([data[i] for i in at]), bucket[at]
+        # Each row with the one so many places on, as long as any is in the same bucket.
+        for step in range(1, len(at)):
+            i = np.flatnonzero(here[step:] == here[:-step])
+            if len(i) == 0:
+                break
+            i = i[np.einsum("ij,ij->i", x[i], x[i + step]) >= threshold]
+            i, j = at[i], at[i + step]
+            new = ~(signs[i, :first] == signs[j, :first]).any(axis=1)
+            a.append(i[new])
+            b.append(j[new])
+    i = np.concatenate(a) if a else np.zeros(0, np.int64)
+    j = np.concatenate(b) if b else np.zeros(0, np.int64)
+    return _told(table, i, j)
+
+
+def _told(table: pa.Table, i: np.ndarray, j: np.ndarray) -> pa.Table:
+    """Rows (node, others, root) of the classes that the pairs (i, j) of rows link."""
+    copies, n = table.column("copies").to_numpy(), len(table)
     others = np.bincount(i, weights=copies[j], minlength=n) + np.bincount(j, weights=copies[i], minlength=n)
     root = joined(i, j, n)
     at = np.flatnonzero(others)
@@ -200,26 +236,33 @@ def links(classes: DataFrame, k: int, tables: int, threshold: float, width: floa
     rows = bucket_rows(classes, k, tables, width, seed)
     counted = rows.groupBy("table", "bucket").agg(F.count("*").alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    counted = counted.select("table", "bucket", parts.alias("parts"))
-    met = rows.join(counted, ["table", "bucket"]).withColumn(
-        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    dealt = met.withColumn("other", other).select(
-        "table",
-        "bucket",
-        F.least("part", "other").alias("low"),
-        F.greatest("part", "other").alias("high"),
-        "part",
-        "node",
-        "vector",
-        "copies",
-        "signature",
+    counted = counted.select("table", "bucket", "n", parts.alias("parts"))
+    met = rows.join(counted, ["table", "bucket"])
+    # Packs of small buckets have no parts; their number follows from the rows that a table has at most.
+    small = F.col("n") <= min(SMALL, BLOCK)
+    packs = F.lit(max(1, -(-classes.count() // PACK_ROWS)))
+    dealt = (
+        met.withColumn("part", F.when(~small, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
+        .withColumn("other", F.explode(F.when(small, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
+        .select(
+            "table",
+            F.when(small, F.pmod(F.xxhash64("bucket"), packs)).otherwise(F.col("bucket")).alias("pack"),
+            F.least("part", "other").alias("low"),
+            F.greatest("part", "other").alias("high"),
+            "part",
+            "bucket",
+            "node",
+            "vector",
+            "copies",
+            "signature",
+        )
     )
     kind = classes.schema["node"].dataType.simpleString()
-    return dealt.groupBy("table", "bucket", "low", "high").applyInArrow(
-        lambda t: compare(t, threshold), f"node {kind}, others long, root {kind}"
-    )
+
+    def meet(t: pa.Table) -> pa.Table:
+        return compare_small(t, threshold) if t.column("low")[0].as_py() < 0 else compare(t, threshold)
+
+    return dealt.groupBy("table", "pack", "low", "high").applyInArrow(meet, f"node {kind}, others long, root {kind}")
 
 
 def cosine_groups(

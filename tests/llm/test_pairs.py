@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from outcomekit.llm import jaccard, pstable, recompress, tiling
 from outcomekit.llm.blocks import to_blocks
@@ -323,3 +324,23 @@ def test_places_are_joined_to_the_least_one():
             for x, y in zip(a, b, strict=True):
                 root[x] = root[y] = min(root[x], root[y])
         assert pstable.joined(a, b, n).tolist() == root
+
+
+def test_small_buckets_are_compared_many_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(300, 24))
+    rows = [c + rng.normal(scale=0.02, size=24) for c in centers for _ in range(1 + int(rng.integers(3)))]
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+    calls = spark.sparkContext.accumulator(0)
+    small, large = pstable.compare_small, pstable.compare
+    monkeypatch.setattr(pstable, "compare_small", lambda *a: calls.add(1) or small(*a))
+    monkeypatch.setattr(pstable, "compare", lambda *a: calls.add(1_000) or large(*a))
+    classes = pstable.vector_classes(spark.createDataFrame(data, "vec_id long, embedding array<double>"))
+    classes = classes.select(F.struct(F.col("vec_id").alias("first")).alias("node"), "vector", F.lit(1).cast("long").alias("copies"))
+    k, tables = 6, 12
+    packed = pstable.links(classes, k, tables, 0.9, pstable.WIDTH, 5)
+    sums = {r["first"]: r["n"] for r in packed.groupBy("node.first").agg(F.sum("others").alias("n")).collect()}
+    assert 0 < calls.value <= tables
+    monkeypatch.setattr(pstable, "SMALL", 0)
+    alone = pstable.links(classes, k, tables, 0.9, pstable.WIDTH, 5)
+    assert sums == {r["first"]: r["n"] for r in alone.groupBy("node.first").agg(F.sum("others").alias("n")).collect()}
