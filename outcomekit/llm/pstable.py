@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from outcomekit.llm.components import connect
@@ -233,36 +234,39 @@ def joined(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def links(classes: DataFrame, k: int, tables: int, threshold: float, width: float, seed: int) -> DataFrame:
     """Rows (node, others, root) as :func:`compare` gives them; a pair of classes counts in one of them only."""
-    rows = bucket_rows(classes, k, tables, width, seed)
-    counted = rows.groupBy("table", "bucket").agg(F.count("*").alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    counted = counted.select("table", "bucket", "n", parts.alias("parts"))
-    met = rows.join(counted, ["table", "bucket"])
-    # Packs of small buckets have no parts; their number follows from the rows that a table has at most.
-    small = F.col("n") <= min(SMALL, BLOCK)
-    packs = F.lit(max(1, -(-classes.count() // PACK_ROWS)))
-    dealt = (
-        met.withColumn("part", F.when(~small, F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
-        .withColumn("other", F.explode(F.when(small, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))))
-        .select(
-            "table",
-            F.when(small, F.pmod(F.xxhash64("bucket"), packs)).otherwise(F.col("bucket")).alias("pack"),
-            F.least("part", "other").alias("low"),
-            F.greatest("part", "other").alias("high"),
-            "part",
-            "bucket",
-            "node",
-            "vector",
-            "copies",
-            "signature",
-        )
-    )
+    packs = max(1, -(-classes.count() // PACK_ROWS))
+    # Dealt once, by packs of buckets: sizes of buckets and the work on small ones need no other shuffle.
+    rows = bucket_rows(classes, k, tables, width, seed).withColumn("pack", F.pmod(F.xxhash64("bucket"), F.lit(packs)))
+    size = F.count("*").over(W.partitionBy("table", "pack", "bucket"))
+    sized = rows.repartition("table", "pack").withColumn("n", size)
     kind = classes.schema["node"].dataType.simpleString()
-
-    def meet(t: pa.Table) -> pa.Table:
-        return compare_small(t, threshold) if t.column("low")[0].as_py() < 0 else compare(t, threshold)
-
-    return dealt.groupBy("table", "pack", "low", "high").applyInArrow(meet, f"node {kind}, others long, root {kind}")
+    schema = f"node {kind}, others long, root {kind}"
+    most = min(SMALL, BLOCK)
+    small = (
+        sized.where(F.col("n").between(2, most))
+        .select("table", "pack", "bucket", "node", "vector", "copies", "signature")
+        .groupBy("table", "pack")
+        .applyInArrow(lambda t: compare_small(t, threshold), schema)
+    )
+    met = (
+        sized.where(F.col("n") > most)
+        .withColumn("parts", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+        .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    dealt = met.withColumn("other", other).select(
+        "table",
+        "bucket",
+        F.least("part", "other").alias("low"),
+        F.greatest("part", "other").alias("high"),
+        "part",
+        "node",
+        "vector",
+        "copies",
+        "signature",
+    )
+    large = dealt.groupBy("table", "bucket", "low", "high").applyInArrow(lambda t: compare(t, threshold), schema)
+    return small.unionByName(large)
 
 
 def cosine_groups(
