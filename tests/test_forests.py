@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from outcomekit.operators import explain, features, forests, models
@@ -32,6 +33,15 @@ def test_trees_vote_as_the_model(spark, data, forest):
     assert np.abs(share - scored["score"].to_numpy()).max() < 1e-12
 
 
+def test_nodes_of_rows_are_kept_and_trees_stay_the_same(spark, data, forest):
+    df, names = data
+    walked = RandomForestClassifier(numTrees=12, maxDepth=5, seed=42, cacheNodeIds=False)
+    plain = walked.fit(features.assemble(df, names, keep=["label"]))
+    assert forest.getCacheNodeIds() and not plain.getCacheNodeIds()
+    found = [[(t.feature.tolist(), t.threshold.tolist(), t.shares.tolist()) for t in forests.read_trees(m, spark)] for m in (forest, plain)]
+    assert len(found[0]) == 12 and found[0] == found[1]
+
+
 @pytest.mark.parametrize("block_rows", [400, 20_000])
 def test_importance_equals_that_of_rows_made_anew(data, forest, block_rows):
     df, names = data
