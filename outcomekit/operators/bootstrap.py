@@ -1,7 +1,8 @@
 """Random forests whose classes are weighted anew in the bootstrap sample of every tree.
 
 How often a row is in the sample of a tree is a Poisson draw by hash of (key, tree), so samples follow the rows
-alone. The classes of each sample are counted in one pass for all trees. A tree is then a ``pyspark.ml`` forest of
+alone. Every draw is made once and kept with its row, a byte per tree. The classes of each sample are counted in
+one pass for all trees. A tree is then a ``pyspark.ml`` forest of
 one tree without sampling, on those rows weighted by copies x class weight; several are fitted at a time. The
 saved trees are joined into one saved forest, which loads as a usual ``RandomForestClassificationModel``.
 
@@ -43,20 +44,34 @@ def poisson_cuts() -> list[int]:
 def copies(drawn: Column | str) -> Column:
     """Number of copies that a draw stands for."""
     drawn = F.col(drawn) if isinstance(drawn, str) else drawn
-    return reduce(lambda a, b: a + b, [(drawn >= F.lit(c)).cast("int") for c in poisson_cuts()])
+    cuts = poisson_cuts()
+    # Small numbers come first, as most rows end there.
+    out = F.when(drawn < F.lit(cuts[0]), F.lit(0))
+    for n, c in enumerate(cuts[1:], 1):
+        out = out.when(drawn < F.lit(c), F.lit(n))
+    return out.otherwise(F.lit(len(cuts)))
 
 
-def _sampled(rows: DataFrame, key: str, seed: int, tree: int) -> DataFrame:
-    drawn = rows.withColumn("_draw", draw(key, seed, f"tree {tree}"))
-    return drawn.withColumn("_copies", copies("_draw")).drop("_draw")
+def with_copies(rows: DataFrame, key: str, trees: int, seed: int) -> DataFrame:
+    """``rows`` and, as ``_copies``, how often each is in the sample of every tree.
+
+    To be persisted: a reader that filters on a number of copies would make its draw anew for each cut.
+    """
+    drawn = rows.select("*", *[draw(key, seed, f"tree {t}").alias(f"_draw_{t}") for t in range(trees)])
+    numbers = F.array(*[copies(f"_draw_{t}").cast("tinyint") for t in range(trees)])
+    return drawn.select(*[F.col(f"`{c}`") for c in rows.columns], numbers.alias("_copies"))
 
 
 def class_weights(
     rows: DataFrame, key: str, label: str, trees: int, seed: int, balanced: bool = True
 ) -> list[dict[float, float]]:
     """For each tree the weight n / (k x n_c) of the k classes in its sample; a class not in it has none."""
-    drawn = rows.select(label, *[draw(key, seed, f"tree {t}").alias(f"_{t}") for t in range(trees)])
-    counted = drawn.groupBy(F.col(label).alias("_class")).agg(*[F.sum(copies(f"_{t}")).alias(f"_{t}") for t in range(trees)])
+    return _weights_of(with_copies(rows.select(key, label), key, trees, seed), label, trees, balanced)
+
+
+def _weights_of(sampled: DataFrame, label: str, trees: int, balanced: bool) -> list[dict[float, float]]:
+    drawn = [F.sum(F.col("_copies")[t].cast("int")).alias(f"_{t}") for t in range(trees)]
+    counted = sampled.groupBy(F.col(label).alias("_class")).agg(*drawn)
     counts = counted.limit(MAX_CLASSES + 1).collect()
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} classes")
@@ -94,9 +109,10 @@ def fit_bootstrap_forest(
     if n == 0:
         raise ValueError("no labelled rows to fit on")
     # Every tree reads the rows again; lost blocks are made anew from the source.
-    rows = rows.repartition(max(1, -(-n // rows_each)), key).sortWithinPartitions(key).persist()
+    rows = rows.repartition(max(1, -(-n // rows_each)), key).sortWithinPartitions(key)
+    rows = with_copies(rows, key, trees, seed).persist()
     try:
-        weights = class_weights(rows, key, label, trees, seed, balanced)
+        weights = _weights_of(rows, label, trees, balanced)
         if not any(weights):
             raise ValueError("no sample holds a row: more rows or another seed")
         # Stated, as a sample may lack the last class.
@@ -105,9 +121,9 @@ def fit_bootstrap_forest(
         def fit(t: int) -> str | None:
             if not weights[t]:
                 return None
-            mine = _sampled(rows, key, seed, t).where("_copies > 0")
-            mine = mine.withColumn("_weight", F.col("_copies") * map_values(label, weights[t]))
-            mine = mine.withMetadata(label, classes)
+            times = F.col("_copies")[t]
+            mine = rows.where(times > 0).withColumn("_weight", times * map_values(label, weights[t]))
+            mine = mine.drop("_copies").withMetadata(label, classes)
             estimator = RandomForestClassifier(
                 featuresCol=features, labelCol=label, weightCol="_weight", numTrees=1, bootstrap=False, maxDepth=depth,
                 featureSubsetStrategy="sqrt" if subset == "auto" else subset, seed=seed * 10_007 + t,

@@ -59,6 +59,21 @@ def test_class_weights_are_those_of_each_sample(vectors):
     assert got[0] != got[1]
 
 
+def test_trees_read_their_samples_without_drawing_again(vectors, monkeypatch):
+    plans = []
+    fit = bootstrap.RandomForestClassifier.fit
+
+    def seen(self, rows, *args):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(bootstrap.RandomForestClassifier, "fit", seen)
+    bootstrap.fit_bootstrap_forest(vectors, "k", trees=3, depth=2)
+    # What stands above the persisted rows is done in each of a tree's passes.
+    assert len(plans) == 3 and all("md5" not in p.split("InMemoryRelation")[0] for p in plans)
+    assert all("InMemoryRelation" in p for p in plans)
+
+
 def test_copies_follow_the_draw(spark):
     draws = [0, CUTS[0] - 1, CUTS[0], CUTS[1], CUTS[5], 2**32 - 1]
     df = spark.createDataFrame([(d,) for d in draws], "d long").select(bootstrap.copies("d").alias("n"))
