@@ -49,7 +49,7 @@ def copies(drawn: Column | str) -> Column:
     out = F.when(drawn < F.lit(cuts[0]), F.lit(0))
     for n, c in enumerate(cuts[1:], 1):
         out = out.when(drawn < F.lit(c), F.lit(n))
-    return out.otherwise(F.lit(len(cuts)))
+    return out.when(drawn.isNotNull(), F.lit(len(cuts)))
 
 
 def with_copies(rows: DataFrame, key: str, trees: int, seed: int) -> DataFrame:
